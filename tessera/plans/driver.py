@@ -43,3 +43,113 @@ def q05_label_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "q05_label_articles": q05_label_articles,
 }
+
+
+# ---------------------------------------------------------------- Q01-Q04
+from tessera import fixed_values as fv  # noqa: E402
+from tessera.functions import text as tx  # noqa: E402
+from tessera.operators import profile as pf  # noqa: E402
+from tessera.operators import quality as ql  # noqa: E402
+
+# Indicator lists for the test documents (the medical indicator words occur in
+# none of them, so the vote is exercised with common function words).
+ES_WORDS = ["de", "que", "los", "las", "para"]
+EN_WORDS = ["the", "of", "and", "that", "with"]
+
+
+def documents_as_abstracts(documents: DataFrame) -> DataFrame:
+    """Document -> abstract stand-in: text, has_content, word_count."""
+    return documents.select(
+        "doc_id", "text",
+        tx.has_content("text").alias("has_content"),
+        tx.word_count("text").alias("word_count"),
+    )
+
+
+def q01_quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents_as_abstracts(Tables(spark, sf_dir).documents)
+    kept = ql.quality_filter(docs, has_content="has_content", word_count="word_count", terms=None)
+    return kept.select("doc_id", F.col("word_count").cast("long").alias("word_count"))
+
+
+def q02_language_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = Tables(spark, sf_dir).documents
+    return docs.select("doc_id", tx.detect_language("text", ES_WORDS, EN_WORDS).alias("abstract_language"))
+
+
+def q03_corpus_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    o = Tables(spark, sf_dir).orders
+    prof = pf.corpus_profile(
+        o, year=F.year("o_orderdate"), word_count="o_totalprice", structured=F.col("o_orderstatus") == "F"
+    )
+    return prof.withColumns({
+        "year_earliest": F.col("year_earliest").cast("int"),
+        "year_latest": F.col("year_latest").cast("int"),
+        "avg_abstract_length": F.round("avg_abstract_length", 2),
+    })
+
+
+def q04_top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    langs = pf.language_distribution(t.documents, "lang").select(
+        F.lit("language").alias("stat"), F.col("language").alias("key"), F.col("count").alias("n"))
+    years = pf.top_k(pf.year_counts(t.orders, F.year("o_orderdate")), 10, "count", "year").select(
+        F.lit("year").alias("stat"), F.col("year").cast("string").alias("key"), F.col("count").alias("n"))
+    journals = pf.top_k(pf.journal_counts(t.orders, "o_orderpriority"), 20, "count", "journal").select(
+        F.lit("journal").alias("stat"), F.col("journal").alias("key"), F.col("count").alias("n"))
+    return langs.unionByName(years).unionByName(journals)
+
+
+def q06_coverage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labelled = label_orders(spark, sf_dir)
+    cov = pf.coverage_stats(labelled).select(F.expr(
+        "stack(7, 'total_articles', cast(total_articles as double), "
+        "'articles_with_categories', cast(articles_with_categories as double), "
+        "'articles_with_translation', cast(articles_with_translation as double), "
+        "'coverage_percentage', coverage_percentage, "
+        "'translation_percentage', translation_percentage, "
+        "'articles_without_categories', cast(articles_without_categories as double), "
+        "'without_categories_percentage', without_categories_percentage) as (metric, value)"
+    )).select("metric", F.lit(None).cast("string").alias("key"), "value")
+    freq = pf.category_frequencies(labelled)
+    unique = freq.agg(F.count("*").cast("double").alias("value")).select(
+        F.lit("unique_level1_categories").alias("metric"), F.lit(None).cast("string").alias("key"), "value")
+    top = pf.top_k(freq, 10, "count", "category").select(
+        F.lit("top_category").alias("metric"), F.col("category").alias("key"), F.col("count").cast("double").alias("value"))
+    return cov.unionByName(unique).unionByName(top)
+
+
+def q09_stage_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D8 over three id 'strategies' (union all, then distinct), then the
+    quality rules with the first-failed-rule attribution."""
+    t = Tables(spark, sf_dir)
+    docs, labels = t.documents, t.labels
+    s1 = docs.where(F.col("lang") == "en").select("doc_id")
+    s2 = labels.select("doc_id")
+    s3 = docs.where(F.col("n_chars") > 5000).select("doc_id")
+    searched = s1.unionAll(s2).unionAll(s3)
+    found = searched.distinct()
+    abstracts = documents_as_abstracts(docs).select("doc_id", "has_content", "word_count")
+    has_terms = labels.groupBy("doc_id").agg(F.lit(True).alias("has_terms"))
+    rows = found.join(abstracts, "doc_id", "left").join(has_terms, "doc_id", "left")
+    rules = [
+        ("no_abstract", F.coalesce(F.col("has_content"), F.lit(False))),
+        ("no_terms", F.coalesce(F.col("has_terms"), F.lit(False))),
+        ("too_short", F.coalesce(F.col("word_count") >= fv.MIN_ABSTRACT_WORDS, F.lit(False))),
+    ]
+    counts = ql.stage_counters(rows, rules)
+    searched_n = searched.agg(F.count("*").alias("searched"))
+    return searched_n.unionByName(counts, allowMissingColumns=True).agg(
+        *[F.max(c).alias(c) for c in ["searched", "total", "dropped_no_abstract", "dropped_no_terms",
+                                      "dropped_too_short", "final"]]
+    ).withColumnRenamed("total", "found")
+
+
+QUERIES.update({
+    "q01_quality_filter": q01_quality_filter,
+    "q02_language_detect": q02_language_detect,
+    "q03_corpus_profile": q03_corpus_profile,
+    "q04_top_groups": q04_top_groups,
+    "q06_coverage_stats": q06_coverage_stats,
+    "q09_stage_counters": q09_stage_counters,
+})

@@ -91,3 +91,100 @@ FROM named
 ORACLES = {
     "q05_label_articles": Q05,
 }
+
+WORDS = "list_filter(regexp_split_to_array(coalesce({c}, ''), '\\s+'), lambda x: x <> '')"
+WORD_COUNT = "len(" + WORDS + ")"
+HAS_CONTENT = "coalesce(length(regexp_replace({c}, '^\\s+|\\s+$', '', 'g')) > 0, false)"
+
+
+def _hits(col: str, words: list[str]) -> str:
+    return "(" + " + ".join(f"CAST(contains(lower({col}), {_sql_str(w)}) AS INTEGER)" for w in words) + ")"
+
+
+ES_WORDS = ["de", "que", "los", "las", "para"]
+EN_WORDS = ["the", "of", "and", "that", "with"]
+
+Q01 = f"""
+SELECT doc_id, CAST({WORD_COUNT.format(c='text')} AS BIGINT) AS word_count
+FROM documents
+WHERE {HAS_CONTENT.format(c='text')} AND {WORD_COUNT.format(c='text')} >= {fv.MIN_ABSTRACT_WORDS}
+"""
+
+Q02 = f"""
+SELECT doc_id,
+  CASE WHEN text IS NULL OR text = '' THEN 'unknown'
+       WHEN {_hits('text', ES_WORDS)} > {_hits('text', EN_WORDS)} AND {_hits('text', ES_WORDS)} >= 2 THEN 'spanish'
+       WHEN {_hits('text', EN_WORDS)} > {_hits('text', ES_WORDS)} AND {_hits('text', EN_WORDS)} >= 2 THEN 'english'
+       ELSE 'mixed_or_unknown' END AS abstract_language
+FROM documents
+"""
+
+Q03 = """
+SELECT count(*) AS total_articles,
+       CAST(min(year(o_orderdate)) AS INTEGER) AS year_earliest,
+       CAST(max(year(o_orderdate)) AS INTEGER) AS year_latest,
+       round(avg(o_totalprice), 2) AS avg_abstract_length,
+       count(*) FILTER (WHERE o_orderstatus = 'F') AS structured_abstracts
+FROM orders
+"""
+
+Q04 = """
+SELECT 'language' AS stat, lang AS key, count(*) AS n FROM documents GROUP BY lang
+UNION ALL
+(SELECT 'year', CAST(year(o_orderdate) AS VARCHAR), count(*) AS n FROM orders
+ GROUP BY year(o_orderdate) ORDER BY n DESC, year(o_orderdate) LIMIT 10)
+UNION ALL
+(SELECT 'journal', coalesce(o_orderpriority, 'Unknown') AS j, count(*) AS n FROM orders
+ GROUP BY j ORDER BY n DESC, j LIMIT 20)
+"""
+
+Q06 = "WITH " + LABEL_ORDERS_CTES + """,
+cov AS (
+  SELECT count(*) AS total,
+         count(*) FILTER (WHERE length(level1_names) > 0) AS with_cat,
+         count(*) FILTER (WHERE length(spanish_abstract) > 0) AS with_tr
+  FROM named),
+freq AS (
+  SELECT c AS category, count(*) AS n
+  FROM (SELECT unnest(string_split(level1_names, '; ')) AS c FROM named WHERE length(level1_names) > 0)
+  GROUP BY c)
+SELECT 'total_articles' AS metric, CAST(NULL AS VARCHAR) AS key, CAST(total AS DOUBLE) AS value FROM cov
+UNION ALL SELECT 'articles_with_categories', NULL, with_cat FROM cov
+UNION ALL SELECT 'articles_with_translation', NULL, with_tr FROM cov
+UNION ALL SELECT 'coverage_percentage', NULL, round(with_cat * 100.0 / total, 4) FROM cov
+UNION ALL SELECT 'translation_percentage', NULL, round(with_tr * 100.0 / total, 4) FROM cov
+UNION ALL SELECT 'articles_without_categories', NULL, total - with_cat FROM cov
+UNION ALL SELECT 'without_categories_percentage', NULL, round((total - with_cat) * 100.0 / total, 4) FROM cov
+UNION ALL SELECT 'unique_level1_categories', NULL, count(*) FROM freq
+UNION ALL (SELECT 'top_category', category, n FROM freq ORDER BY n DESC, category LIMIT 10)
+"""
+
+Q09 = f"""
+WITH searched AS (
+  SELECT doc_id FROM documents WHERE lang = 'en'
+  UNION ALL SELECT doc_id FROM labels
+  UNION ALL SELECT doc_id FROM documents WHERE n_chars > 5000),
+found AS (SELECT DISTINCT doc_id FROM searched),
+rows AS (
+  SELECT f.doc_id,
+         coalesce({HAS_CONTENT.format(c='d.text')}, false) AS ok_abstract,
+         EXISTS (SELECT 1 FROM labels l WHERE l.doc_id = f.doc_id) AS ok_terms,
+         coalesce({WORD_COUNT.format(c='d.text')} >= {fv.MIN_ABSTRACT_WORDS} AND d.doc_id IS NOT NULL, false) AS ok_len
+  FROM found f LEFT JOIN documents d USING (doc_id))
+SELECT (SELECT count(*) FROM searched) AS searched,
+       count(*) AS found,
+       count(*) FILTER (WHERE NOT ok_abstract) AS dropped_no_abstract,
+       count(*) FILTER (WHERE ok_abstract AND NOT ok_terms) AS dropped_no_terms,
+       count(*) FILTER (WHERE ok_abstract AND ok_terms AND NOT ok_len) AS dropped_too_short,
+       count(*) FILTER (WHERE ok_abstract AND ok_terms AND ok_len) AS final
+FROM rows
+"""
+
+ORACLES.update({
+    "q01_quality_filter": Q01,
+    "q02_language_detect": Q02,
+    "q03_corpus_profile": Q03,
+    "q04_top_groups": Q04,
+    "q06_coverage_stats": Q06,
+    "q09_stage_counters": Q09,
+})
