@@ -153,3 +153,117 @@ QUERIES.update({
     "q06_coverage_stats": q06_coverage_stats,
     "q09_stage_counters": q09_stage_counters,
 })
+
+
+# ---------------------------------------------------------------- Q07, Q08, Q27
+from tessera.operators import collection as co  # noqa: E402
+
+
+def q07_prefix_closure(spark: SparkSession, sf_dir: str) -> DataFrame:
+    nation = Tables(spark, sf_dir).nation
+    return th.tree_names(mp.nation_descriptor(nation), mp.nation_descriptor_tree_multi(nation))
+
+
+def order_strategies(t: Tables) -> list[tuple[str, DataFrame]]:
+    """Three id 'search strategies' over orders: a year range, a customer
+    segment list (semi join) and a priority."""
+    o = t.orders.select(F.col("o_orderkey").alias("id"), "o_orderdate", "o_custkey", "o_orderpriority")
+    by_year = o.where(ql.year_between(F.year("o_orderdate"), 1995, 1997)).select("id")
+    segments = t.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
+        F.col("c_custkey").alias("o_custkey"))
+    by_segment = ql.member_of(o, "o_custkey", segments, "o_custkey").select("id")
+    by_priority = o.where(F.col("o_orderpriority") == "1-URGENT").select("id")
+    return [("date_range", by_year), ("journals", by_segment), ("subjects", by_priority)]
+
+
+def q08_union_strategies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return co.union_strategies(order_strategies(Tables(spark, sf_dir)), "id").select(
+        F.col("id").alias("pmid"), "strategy", F.col("rank").cast("int").alias("rank"))
+
+
+def q27_membership_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """AND of a year range, a priority list and region membership of
+    the customer's nation (semi joins through small dimension lists)."""
+    t = Tables(spark, sf_dir)
+    regions = t.region.where(F.col("r_name").isin("EUROPE", "ASIA")).select(F.col("r_regionkey").alias("n_regionkey"))
+    nations = ql.member_of(t.nation, "n_regionkey", regions, "n_regionkey").select(
+        F.col("n_nationkey").alias("c_nationkey"))
+    customers = ql.member_of(t.customer, "c_nationkey", nations, "c_nationkey").select(
+        F.col("c_custkey").alias("o_custkey"))
+    orders = t.orders.where(ql.all_of([
+        ql.year_between(F.year("o_orderdate"), 1994, 1996),
+        F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
+    ]))
+    kept = ql.member_of(orders, "o_custkey", customers, "o_custkey")
+    return kept.select(F.col("o_orderkey").alias("pmid"), "o_custkey", F.year("o_orderdate").alias("year"))
+
+
+QUERIES.update({
+    "q07_prefix_closure": q07_prefix_closure,
+    "q08_union_strategies": q08_union_strategies,
+    "q27_membership_filters": q27_membership_filters,
+})
+
+
+# ---------------------------------------------------------------- Q10-Q13, Q30
+from tessera.operators import textprep as tp  # noqa: E402
+from tessera.operators import vocabulary as vc  # noqa: E402
+
+
+def part_titles(part: DataFrame) -> DataFrame:
+    """Title variants per part: plain, one bracket wrap with dots, nested
+    wraps with spaces, parenthesised bracket, and two parenthesised groups."""
+    n = F.col("p_name")
+    variants = F.array(
+        F.struct(F.lit(0).alias("variant"), n.alias("title")),
+        F.struct(F.lit(1).alias("variant"), F.concat(F.lit("["), n, F.lit("].")).alias("title")),
+        F.struct(F.lit(2).alias("variant"), F.concat(F.lit("  [[ "), n, F.lit(" ] ]..  ")).alias("title")),
+        F.struct(F.lit(3).alias("variant"), F.concat(F.lit("(["), n, F.lit("])")).alias("title")),
+        F.struct(F.lit(4).alias("variant"), F.concat(F.lit("("), n, F.lit(") and ("), F.col("p_brand"), F.lit(")")).alias("title")),
+    )
+    return part.select("p_partkey", F.inline(variants))
+
+
+def q10_clean_title(spark: SparkSession, sf_dir: str) -> DataFrame:
+    titles = part_titles(Tables(spark, sf_dir).part)
+    return titles.select("p_partkey", "variant", "title", tx.clean_title("title").alias("cleaned_title"))
+
+
+def q11_sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = Tables(spark, sf_dir).documents
+    s = docs.select("doc_id", tx.split_sentences("text").alias("sentences"))
+    return s.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"),
+                    tx.join_sentences("sentences").alias("rejoined"))
+
+
+def q12_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    out = tp.preprocess_columns(docs, ["text"], min_length=2)
+    return out.select("doc_id", tx.clean_text("text").alias("cleaned"), "text_processed")
+
+
+def q13_text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    out = tp.preprocess_columns(docs, ["text"], min_length=2)
+    prof = tp.processing_profile(out, ["text"])
+    return prof.withColumns({
+        "avg_length_before": F.round("avg_length_before", 4),
+        "avg_length_after": F.round("avg_length_after", 4),
+    })
+
+
+def q30_normalise_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    toks = docs.select("doc_id", tx.tokenize(tx.clean_text("text")).alias("tokens"))
+    lemmas = vc.plural_lemma_table(vc.explode_tokens(toks, "doc_id", "tokens"))
+    out = vc.normalise_tokens(toks, "doc_id", "tokens", "normalised", lemma_table=lemmas, mode="lemmatize")
+    return out.select("doc_id", F.array_join("normalised", " ").alias("normalised"))
+
+
+QUERIES.update({
+    "q10_clean_title": q10_clean_title,
+    "q11_sentence_split": q11_sentence_split,
+    "q12_clean_text": q12_clean_text,
+    "q13_text_profile": q13_text_profile,
+    "q30_normalise_vocab": q30_normalise_vocab,
+})

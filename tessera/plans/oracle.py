@@ -21,12 +21,23 @@ NATION_TREE = (
 )
 
 # Thesaurus CTEs over nation: descriptor, descriptor_tree, tree_name.
-THESAURUS_CTES = f"""
+DESCRIPTOR_TREE_SIMPLE = f"""
+  SELECT CAST(n_nationkey AS VARCHAR) AS ui, {NATION_TREE} AS tree_number,
+         CAST(n_nationkey AS BIGINT) AS ord FROM nation"""
+
+DESCRIPTOR_TREE_MULTI = DESCRIPTOR_TREE_SIMPLE + """
+  UNION ALL
+  SELECT CAST(n_nationkey AS VARCHAR), chr(65 + n_regionkey) || lpad(CAST(n_nationkey % 7 AS VARCHAR), 2, '0'),
+         CAST(n_nationkey AS BIGINT) FROM nation WHERE n_nationkey % 2 = 0
+  UNION ALL
+  SELECT CAST(n_nationkey AS VARCHAR), 'Q' || lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || '.' ||
+         lpad(CAST(n_nationkey AS VARCHAR), 3, '0'),
+         CAST(n_nationkey AS BIGINT) FROM nation WHERE n_nationkey % 5 = 0"""
+
+THESAURUS_TEMPLATE = f"""
 roots(code, name) AS (VALUES {ROOTS_VALUES}),
 descriptor AS (SELECT CAST(n_nationkey AS VARCHAR) AS ui, n_name AS name FROM nation),
-descriptor_tree AS (
-  SELECT CAST(n_nationkey AS VARCHAR) AS ui, {NATION_TREE} AS tree_number,
-         CAST(n_nationkey AS BIGINT) AS ord FROM nation),
+descriptor_tree AS (@DTREE@),
 prefixes AS (
   SELECT DISTINCT array_to_string(list_slice(string_split(tree_number, '.'), 1, i), '.') AS code
   FROM descriptor_tree,
@@ -37,10 +48,11 @@ exact AS (
   WHERE d.name IS NOT NULL AND d.name <> ''
   GROUP BY t.tree_number),
 tree_name AS (
-  SELECT code, name FROM roots
+  SELECT code, name, false AS exact FROM roots
   UNION ALL
   SELECT p.code,
-         coalesce(e.name, coalesce(r.name, 'Category_' || substr(p.code, 1, 1)) || ' (' || p.code || ')')
+         coalesce(e.name, coalesce(r.name, 'Category_' || substr(p.code, 1, 1)) || ' (' || p.code || ')'),
+         e.name IS NOT NULL
   FROM prefixes p LEFT JOIN exact e USING (code)
        LEFT JOIN roots r ON r.code = substr(p.code, 1, 1)
   WHERE p.code NOT IN (SELECT code FROM roots)),
@@ -52,6 +64,7 @@ ui_cats AS (
   LEFT JOIN tree_name n USING (code)
   WHERE c.code <> '')
 """
+THESAURUS_CTES = THESAURUS_TEMPLATE.replace("@DTREE@", DESCRIPTOR_TREE_SIMPLE)
 
 LABEL_ORDERS_CTES = THESAURUS_CTES + """,
 majors AS (
@@ -188,3 +201,142 @@ ORACLES.update({
     "q06_coverage_stats": Q06,
     "q09_stage_counters": Q09,
 })
+
+Q07 = "WITH " + THESAURUS_TEMPLATE.replace("@DTREE@", DESCRIPTOR_TREE_MULTI) + """
+SELECT code, name, exact FROM tree_name
+"""
+
+Q08 = """
+WITH o AS (SELECT o_orderkey AS id, o_orderdate, o_custkey, o_orderpriority FROM orders),
+tagged AS (
+  SELECT id, 'date_range' AS strategy, 0 AS rank FROM o WHERE year(o_orderdate) BETWEEN 1995 AND 1997
+  UNION ALL
+  SELECT id, 'journals', 1 FROM o WHERE o_custkey IN
+    (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))
+  UNION ALL
+  SELECT id, 'subjects', 2 FROM o WHERE o_orderpriority = '1-URGENT')
+SELECT id AS pmid, arg_min(strategy, rank) AS strategy, CAST(min(rank) AS INTEGER) AS rank
+FROM tagged GROUP BY id
+"""
+
+Q27 = """
+SELECT o_orderkey AS pmid, o_custkey, CAST(year(o_orderdate) AS INTEGER) AS year
+FROM orders
+WHERE year(o_orderdate) BETWEEN 1994 AND 1996
+  AND o_orderpriority IN ('1-URGENT', '2-HIGH')
+  AND o_custkey IN (
+    SELECT c_custkey FROM customer WHERE c_nationkey IN (
+      SELECT n_nationkey FROM nation WHERE n_regionkey IN (
+        SELECT r_regionkey FROM region WHERE r_name IN ('EUROPE', 'ASIA'))))
+"""
+
+ORACLES.update({
+    "q07_prefix_closure": Q07,
+    "q08_union_strategies": Q08,
+    "q27_membership_filters": Q27,
+})
+
+STRIP = "regexp_replace({c}, '^\\s+|\\s+$', '', 'g')"
+
+
+def _strip(c: str) -> str:
+    return STRIP.format(c=c)
+
+
+# J1 oracle: the unwrap loops run literally, one level per recursion step.
+Q10 = f"""
+WITH RECURSIVE titles AS (
+  SELECT p_partkey, 0 AS variant, p_name AS title FROM part
+  UNION ALL SELECT p_partkey, 1, '[' || p_name || '].' FROM part
+  UNION ALL SELECT p_partkey, 2, '  [[ ' || p_name || ' ] ]..  ' FROM part
+  UNION ALL SELECT p_partkey, 3, '([' || p_name || '])' FROM part
+  UNION ALL SELECT p_partkey, 4, '(' || p_name || ') and (' || p_brand || ')' FROM part),
+start AS (
+  SELECT p_partkey, variant, title,
+         {_strip("regexp_replace(" + _strip('title') + ", '\\.+$', '')")} AS s
+  FROM titles),
+brackets(p_partkey, variant, s, done) AS (
+  SELECT p_partkey, variant, s, false FROM start
+  UNION ALL
+  SELECT p_partkey, variant,
+         CASE WHEN starts_with(s, '[') AND ends_with(s, ']') THEN {_strip('substr(s, 2, length(s) - 2)')} ELSE s END,
+         NOT (starts_with(s, '[') AND ends_with(s, ']'))
+  FROM brackets WHERE NOT done),
+parens(p_partkey, variant, s, done) AS (
+  SELECT p_partkey, variant, s, false FROM brackets WHERE done
+  UNION ALL
+  SELECT p_partkey, variant,
+         CASE WHEN starts_with(s, '(') AND ends_with(s, ')') THEN {_strip('substr(s, 2, length(s) - 2)')} ELSE s END,
+         NOT (starts_with(s, '(') AND ends_with(s, ')'))
+  FROM parens WHERE NOT done)
+SELECT t.p_partkey, t.variant, t.title,
+       CASE WHEN t.title IS NULL OR t.title = '' THEN t.title
+            ELSE {_strip("regexp_replace(" + _strip("regexp_replace(p.s, '\\.+$', '')") + ", '\\s+', ' ', 'g')")} END
+       AS cleaned_title
+FROM titles t JOIN parens p ON p.p_partkey = t.p_partkey AND p.variant = t.variant AND p.done
+"""
+
+SENTENCES = ("list_filter(list_transform(string_split(regexp_replace(coalesce(text, ''), '([.!?])\\s+', '\\1' || chr(1), 'g'), chr(1)), "
+             "lambda s: " + STRIP.format(c="s") + "), lambda s: s <> '')")
+
+Q11 = f"""
+SELECT doc_id, CAST(len({SENTENCES}) AS BIGINT) AS n_sentences, array_to_string({SENTENCES}, ' ') AS rejoined
+FROM documents
+"""
+
+
+def _stopword_list_sql() -> str:
+    from tessera.operators.textprep import spanish_stopwords
+
+    return "[" + ", ".join(_sql_str(w) for w in spanish_stopwords()) + "]"
+
+
+CLEAN = ("regexp_replace(regexp_replace(regexp_replace(lower(coalesce({c}, '')), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), "
+         "'\\s+', ' ', 'g'), '^\\s+|\\s+$', '', 'g')")
+TOKENS = "list_filter(string_split(" + CLEAN + ", ' '), lambda t: t <> '')"
+
+
+def _processed(c: str) -> str:
+    return ("array_to_string(list_filter(" + TOKENS.format(c=c) + ", lambda t: length(t) >= 2 AND "
+            "regexp_matches(t, '[a-zA-ZáéíóúüñÁÉÍÓÚÜÑ]') AND NOT list_contains(" + _stopword_list_sql() + ", t)), ' ')")
+
+
+def _q12() -> str:
+    return f"""
+SELECT doc_id, {CLEAN.format(c='text')} AS cleaned, {_processed('text')} AS text_processed
+FROM documents
+"""
+
+
+def _q13() -> str:
+    return f"""
+WITH p AS (SELECT text, {_processed('text')} AS text_processed FROM documents)
+SELECT 'text' AS column, count(text) AS non_empty_before, round(avg(length(text)), 4) AS avg_length_before,
+       count(*) FILTER (WHERE text_processed <> '') AS non_empty_after,
+       round(avg(length(text_processed)), 4) AS avg_length_after
+FROM p
+"""
+
+
+Q30 = f"""
+WITH toks AS (SELECT doc_id, {TOKENS.format(c='text')} AS tokens FROM documents),
+rows AS (SELECT doc_id, generate_subscripts(tokens, 1) AS pos, unnest(tokens) AS token FROM toks),
+vocab AS (SELECT DISTINCT token FROM rows),
+lemmas AS (
+  SELECT v.token, substr(v.token, 1, length(v.token) - 1) AS lemma FROM vocab v
+  WHERE ends_with(v.token, 's') AND length(v.token) >= 4
+    AND substr(v.token, 1, length(v.token) - 1) IN (SELECT token FROM vocab)),
+normed AS (
+  SELECT r.doc_id, r.pos, coalesce(l.lemma, r.token) AS norm FROM rows r LEFT JOIN lemmas l USING (token))
+SELECT d.doc_id, coalesce(string_agg(n.norm, ' ' ORDER BY n.pos), '') AS normalised
+FROM documents d LEFT JOIN normed n USING (doc_id)
+GROUP BY d.doc_id
+"""
+
+ORACLES.update({
+    "q10_clean_title": Q10,
+    "q11_sentence_split": Q11,
+    "q12_clean_text": _q12(),
+    "q13_text_profile": _q13(),
+    "q30_normalise_vocab": Q30,
+})
