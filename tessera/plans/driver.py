@@ -267,3 +267,57 @@ QUERIES.update({
     "q13_text_profile": q13_text_profile,
     "q30_normalise_vocab": q30_normalise_vocab,
 })
+
+
+# ---------------------------------------------------------------- Q18-Q21, Q28
+from tessera.operators import bio  # noqa: E402
+from tessera.operators.ordered import positions  # noqa: E402
+
+
+def event_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token rows ``(file, ord, token, label)``; positions are computed per
+    (user, day) and stitched, so a very active user is not one task."""
+    ev = mp.event_tokens(Tables(spark, sf_dir).events)
+    day = F.date_trunc("day", F.col("ts"))
+    return positions(ev, "file", ["ts", "event_id"], segment=day).select("file", "ord", "token", "label", "ts")
+
+
+def _event_errors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    toks = event_token_rows(spark, sf_dir)
+    errs = bio.validate_tokens(toks, segment=F.date_trunc("day", F.col("ts")))
+    return toks.drop("ts"), errs
+
+
+def q18_bio_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, errs = _event_errors(spark, sf_dir)
+    return errs.select("file", "line_number", "token", "label", "rule", "error_type", "description", "suggested_fix")
+
+
+def q19_bio_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    toks, errs = _event_errors(spark, sf_dir)
+    v = bio.file_verdicts(toks, errs)
+    return v.select(
+        "file", "total_lines", "total_errors", "is_valid", "total_entities",
+        F.array_join(F.transform(F.sort_array(F.map_entries("entity_counts")),
+                                 lambda e: F.concat_ws(":", e["key"], e["value"].cast("string"))), ",").alias("entity_counts"),
+    )
+
+
+def q20_bio_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    toks, errs = _event_errors(spark, sf_dir)
+    return bio.repair_labels(toks, errs).select("file", "ord", "token", "label", "fixed_label")
+
+
+def q21_bio_top_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    _, errs = _event_errors(spark, sf_dir)
+    return bio.top_errors_per_file(errs, 10).select(
+        "file", "line_number", "rule", "error_type", F.col("rank").cast("int").alias("rank"),
+        "file_errors", "more")
+
+
+QUERIES.update({
+    "q18_bio_errors": q18_bio_errors,
+    "q19_bio_stats": q19_bio_stats,
+    "q20_bio_repair": q20_bio_repair,
+    "q21_bio_top_errors": q21_bio_top_errors,
+})

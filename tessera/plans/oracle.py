@@ -340,3 +340,72 @@ ORACLES.update({
     "q13_text_profile": _q13(),
     "q30_normalise_vocab": Q30,
 })
+
+BIO_CTES = """
+toks AS (
+  SELECT CAST(user_id AS VARCHAR) AS file, event_type AS token,
+         CASE WHEN value < 1 THEN 'I-' WHEN event_type = 'signup' THEN 'B-A' WHEN event_type = 'view' THEN 'I-A'
+              WHEN event_type = 'click' THEN 'I-B' WHEN event_type = 'purchase' THEN 'O'
+              WHEN event_type = 'error' THEN 'ERR' ELSE event_type END AS label,
+         CAST(row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS INTEGER) AS ord
+  FROM events),
+prevs AS (SELECT *, lag(label) OVER (PARTITION BY file ORDER BY ord) AS prev FROM toks),
+flags AS (
+  SELECT *, label <> 'O' AND NOT (starts_with(label, 'B-') OR starts_with(label, 'I-')) AS r1,
+         substr(label, 3) AS t,
+         starts_with(prev, 'B-') OR starts_with(prev, 'I-') AS prev_bi
+  FROM prevs),
+errs AS (
+  SELECT file, ord AS line_number, token, label, 1 AS rule, 'INVALID_LABEL_FORMAT' AS error_type,
+         'label ''' || label || ''' does not follow the BIO scheme' AS description, 'O' AS suggested_fix
+  FROM flags WHERE r1
+  UNION ALL
+  SELECT file, ord, token, label, 2, 'ORPHAN_I_TAG', 'I-' || t || ' without a preceding B-' || t || ' (first line)', 'B-' || t
+  FROM flags WHERE NOT r1 AND starts_with(label, 'I-') AND prev IS NULL
+  UNION ALL
+  SELECT file, ord, token, label, 3, 'ORPHAN_I_TAG', 'I-' || t || ' without a preceding B-' || t || ' (after O)', 'B-' || t
+  FROM flags WHERE NOT r1 AND starts_with(label, 'I-') AND prev = 'O'
+  UNION ALL
+  SELECT file, ord, token, label, 4, 'ENTITY_TYPE_MISMATCH', 'I-' || t || ' after ' || prev, 'B-' || t
+  FROM flags WHERE NOT r1 AND starts_with(label, 'I-') AND prev_bi AND substr(prev, 3) <> t
+  UNION ALL
+  SELECT file, ord, token, label, 5, 'EMPTY_ENTITY_TYPE', 'label ''' || label || ''' has no entity type', 'O'
+  FROM flags WHERE NOT r1 AND (starts_with(label, 'B-') OR starts_with(label, 'I-')) AND t = '')
+"""
+
+Q18 = "WITH " + BIO_CTES + """
+SELECT file, line_number, token, label, rule, error_type, description, suggested_fix FROM errs
+"""
+
+Q19 = "WITH " + BIO_CTES + """,
+lines AS (SELECT file, count(*) AS total_lines, count(*) FILTER (WHERE starts_with(label, 'B-')) AS total_entities
+          FROM toks GROUP BY file),
+ec AS (SELECT file, substr(label, 3) AS et, count(*) AS n FROM toks WHERE starts_with(label, 'B-') GROUP BY file, et),
+ecs AS (SELECT file, string_agg(et || ':' || CAST(n AS VARCHAR), ',' ORDER BY et) AS entity_counts FROM ec GROUP BY file),
+ne AS (SELECT file, count(*) AS total_errors FROM errs GROUP BY file)
+SELECT l.file, l.total_lines, coalesce(ne.total_errors, 0) AS total_errors,
+       coalesce(ne.total_errors, 0) = 0 AS is_valid, l.total_entities,
+       coalesce(ecs.entity_counts, '') AS entity_counts
+FROM lines l LEFT JOIN ne USING (file) LEFT JOIN ecs USING (file)
+"""
+
+Q20 = "WITH " + BIO_CTES + """,
+fixes AS (SELECT file, line_number AS ord, arg_max(suggested_fix, rule) AS fix FROM errs GROUP BY file, line_number)
+SELECT t.file, t.ord, t.token, t.label, coalesce(f.fix, t.label) AS fixed_label
+FROM toks t LEFT JOIN fixes f USING (file, ord)
+"""
+
+Q21 = "WITH " + BIO_CTES + """,
+ranked AS (SELECT *, row_number() OVER (PARTITION BY file ORDER BY line_number, rule) AS rank,
+                  count(*) OVER (PARTITION BY file) AS file_errors FROM errs)
+SELECT file, line_number, rule, error_type, CAST(rank AS INTEGER) AS rank, file_errors,
+       greatest(file_errors - 10, 0) AS more
+FROM ranked WHERE rank <= 10
+"""
+
+ORACLES.update({
+    "q18_bio_errors": Q18,
+    "q19_bio_stats": Q19,
+    "q20_bio_repair": Q20,
+    "q21_bio_top_errors": Q21,
+})
