@@ -64,6 +64,7 @@ ERR_EMPTY_TYPE = "EMPTY_ENTITY_TYPE"
 
 # --- fixed values: file admission ---------------------------------------------
 SYSTEM_FILE_NAMES = [".DS_Store", "Thumbs.db", "desktop.ini"]
+APPLEDOUBLE_TEXT_MARK = b"Mac OS X"
 APPLEDOUBLE_MAGIC = b"\x00\x05\x16\x07"
 TOKEN_FILE_SUFFIX = ".nersuite"
 

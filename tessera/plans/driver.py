@@ -321,3 +321,34 @@ QUERIES.update({
     "q20_bio_repair": q20_bio_repair,
     "q21_bio_top_errors": q21_bio_top_errors,
 })
+
+
+from tessera.sources import tokens as tk  # noqa: E402
+
+
+def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events rendered as token-file lines: full layout (4 columns), simple
+    layout (2 columns), a leading-tab simple line, blank lines and lines
+    without a tab, by ``event_id % 8``."""
+    ev = mp.event_tokens(Tables(spark, sf_dir).events)
+    day = F.date_trunc("day", F.col("ts"))
+    ev = positions(ev, "file", ["ts", "event_id"], segment=day, out="line_no")
+    k = F.col("event_id") % 8
+    line = (
+        F.when(k.isin(0, 4), F.concat_ws("\t", "label", F.lit("x"), F.lit("y"), "token"))
+        .when(k.isin(1, 5), F.concat_ws("\t", "token", "label"))
+        .when(k == 2, F.concat(F.lit("\t"), F.col("token"), F.lit("\t"), F.col("label")))
+        .when(k == 3, F.lit("   "))
+        .when(k == 6, F.concat_ws("\t", "token", "label", F.lit("extra")))
+        .otherwise(F.col("token"))
+    )
+    return ev.select("file", "line_no", line.alias("line"))
+
+
+def q28_bio_tokens_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lines = event_lines(spark, sf_dir)
+    return tk.parse_token_lines(lines, "auto", segment_size=16).select(
+        "file", "ord", "token", "label", F.col("line_no").cast("int").alias("line_no"))
+
+
+QUERIES.update({"q28_bio_tokens_parse": q28_bio_tokens_parse})

@@ -409,3 +409,34 @@ ORACLES.update({
     "q20_bio_repair": Q20,
     "q21_bio_top_errors": Q21,
 })
+
+Q28 = """
+WITH ev AS (
+  SELECT CAST(user_id AS VARCHAR) AS file, event_id, event_type AS token,
+         CASE WHEN value < 1 THEN 'I-' WHEN event_type = 'signup' THEN 'B-A' WHEN event_type = 'view' THEN 'I-A'
+              WHEN event_type = 'click' THEN 'I-B' WHEN event_type = 'purchase' THEN 'O'
+              WHEN event_type = 'error' THEN 'ERR' ELSE event_type END AS label,
+         row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS line_no
+  FROM events),
+lines AS (
+  SELECT file, line_no,
+    CASE WHEN event_id % 8 IN (0, 4) THEN label || chr(9) || 'x' || chr(9) || 'y' || chr(9) || token
+         WHEN event_id % 8 IN (1, 5) THEN token || chr(9) || label
+         WHEN event_id % 8 = 2 THEN chr(9) || token || chr(9) || label
+         WHEN event_id % 8 = 3 THEN '   '
+         WHEN event_id % 8 = 6 THEN token || chr(9) || label || chr(9) || 'extra'
+         ELSE token END AS line
+  FROM ev),
+parsed AS (
+  SELECT file, line_no, string_split(s, chr(9)) AS parts
+  FROM (SELECT file, line_no, regexp_replace(line, '^\\s+|\\s+$', '', 'g') AS s FROM lines)
+  WHERE s <> '' AND contains(s, chr(9)))
+SELECT file,
+       CAST(row_number() OVER (PARTITION BY file ORDER BY line_no) AS INTEGER) AS ord,
+       CASE WHEN len(parts) >= 4 THEN parts[4] ELSE parts[1] END AS token,
+       CASE WHEN len(parts) >= 4 THEN parts[1] ELSE parts[2] END AS label,
+       CAST(line_no AS INTEGER) AS line_no
+FROM parsed WHERE len(parts) >= 2
+"""
+
+ORACLES.update({"q28_bio_tokens_parse": Q28})
