@@ -352,3 +352,58 @@ def q28_bio_tokens_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES.update({"q28_bio_tokens_parse": q28_bio_tokens_parse})
+
+
+# ---------------------------------------------------------------- Q14, Q15
+from tessera.operators import translate as trn  # noqa: E402
+
+
+def document_articles(documents: DataFrame) -> DataFrame:
+    """Documents as articles: abstract = text, title = first line (every third
+    one wrapped as ``[title].`` so title cleaning matters)."""
+    first_line = F.substring_index("text", "\n", 1)
+    title = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("["), first_line, F.lit("]."))).otherwise(first_line)
+    return documents.select(
+        "doc_id", "text", title.alias("title"),
+        tx.detect_language("text", ES_WORDS, EN_WORDS).alias("abstract_language"),
+        tx.has_content("text").alias("has_content"),
+    )
+
+
+def document_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    arts = document_articles(t.documents)
+    done_abs = t.labels.where(F.col("quality") == 1).select("doc_id")
+    done_titles = t.labels.where(F.col("toxic") == 1).select("doc_id")
+    return trn.translation_queue(
+        arts, "doc_id", abstract=F.col("text"), language=F.col("abstract_language"),
+        has_content=F.col("has_content"), title=F.col("title"),
+        done_abstracts=done_abs, done_titles=done_titles,
+    )
+
+
+def q14_translate_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return document_queue(spark, sf_dir)
+
+
+class MarkerTranslator:
+    """Deterministic stand-in translator: prefixes ``[es] ``; refuses items
+    containing ``@`` (so per-item failure handling is exercised)."""
+
+    def __call__(self, texts: list[str]) -> list[str]:
+        for t in texts:
+            if "@" in t:
+                raise ValueError("untranslatable item")
+        return ["[es] " + t for t in texts]
+
+
+def q15_translate_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
+    queue = document_queue(spark, sf_dir)
+    res = trn.translate_items(queue, "doc_id", MarkerTranslator)
+    return res.select("doc_id", "kind", "text", "success", "error")
+
+
+QUERIES.update({
+    "q14_translate_queue": q14_translate_queue,
+    "q15_translate_apply": q15_translate_apply,
+})

@@ -440,3 +440,61 @@ FROM parsed WHERE len(parts) >= 2
 """
 
 ORACLES.update({"q28_bio_tokens_parse": Q28})
+
+
+def _lang_case(col: str) -> str:
+    es, en = _hits(col, ES_WORDS), _hits(col, EN_WORDS)
+    return (f"CASE WHEN {col} IS NULL OR {col} = '' THEN 'unknown' "
+            f"WHEN {es} > {en} AND {es} >= 2 THEN 'spanish' WHEN {en} > {es} AND {en} >= 2 THEN 'english' "
+            "ELSE 'mixed_or_unknown' END")
+
+
+def _clean_title_sql(src: str) -> str:
+    """One-level bracket/parenthesis unwrap (enough for these titles, which
+    carry at most one ``[...]`` wrap)."""
+    s0 = _strip("regexp_replace(" + _strip(src) + ", '\\.+$', '')")
+    b = (f"CASE WHEN starts_with({s0}, '[') AND ends_with({s0}, ']') "
+         f"THEN {_strip(f'substr({s0}, 2, length({s0}) - 2)')} ELSE {s0} END")
+    p = (f"CASE WHEN starts_with({b}, '(') AND ends_with({b}, ')') "
+         f"THEN {_strip(f'substr({b}, 2, length({b}) - 2)')} ELSE {b} END")
+    return _strip("regexp_replace(" + _strip(f"regexp_replace({p}, '\\.+$', '')") + ", '\\s+', ' ', 'g')")
+
+
+QUEUE_CTES = f"""
+arts AS (
+  SELECT doc_id, text,
+         CASE WHEN doc_id % 3 = 0 THEN '[' || split_part(text, chr(10), 1) || '].' ELSE split_part(text, chr(10), 1) END AS title,
+         {_lang_case('text')} AS abstract_language,
+         {HAS_CONTENT.format(c='text')} AS has_content
+  FROM documents),
+queue AS (
+  SELECT doc_id, 'abstract' AS kind, text AS source_text, CAST(NULL AS VARCHAR) AS original_title
+  FROM arts
+  WHERE abstract_language IN ('english', 'mixed_or_unknown') AND has_content
+    AND doc_id NOT IN (SELECT doc_id FROM labels WHERE quality = 1)
+  UNION ALL
+  SELECT doc_id, 'title', ct, ot FROM (
+    SELECT doc_id, {_clean_title_sql('title')} AS ct, {_strip('title')} AS ot FROM arts
+    WHERE {HAS_CONTENT.format(c='title')}
+      AND doc_id NOT IN (SELECT doc_id FROM labels WHERE toxic = 1))
+  WHERE length(ct) > 0)
+"""
+
+Q14 = "WITH " + QUEUE_CTES + "SELECT * FROM queue"
+
+Q15 = "WITH " + QUEUE_CTES + f""",
+abs_items AS (SELECT doc_id, {SENTENCES.replace('coalesce(text', 'coalesce(source_text')} AS sents FROM queue WHERE kind = 'abstract')
+SELECT doc_id, 'abstract' AS kind,
+       CASE WHEN list_bool_or(list_transform(sents, lambda s: contains(s, '@'))) THEN ''
+            ELSE array_to_string(list_transform(sents, lambda s: '[es] ' || s), ' ') END AS text,
+       NOT coalesce(list_bool_or(list_transform(sents, lambda s: contains(s, '@'))), false) AS success,
+       CASE WHEN list_bool_or(list_transform(sents, lambda s: contains(s, '@'))) THEN 'ValueError: untranslatable item' END AS error
+FROM abs_items
+UNION ALL
+SELECT doc_id, 'title', CASE WHEN contains(source_text, '@') THEN '' ELSE '[es] ' || source_text END,
+       NOT contains(source_text, '@'),
+       CASE WHEN contains(source_text, '@') THEN 'ValueError: untranslatable item' END
+FROM queue WHERE kind = 'title'
+"""
+
+ORACLES.update({"q14_translate_queue": Q14, "q15_translate_apply": Q15})
