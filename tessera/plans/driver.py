@@ -407,3 +407,30 @@ QUERIES.update({
     "q14_translate_queue": q14_translate_queue,
     "q15_translate_apply": q15_translate_apply,
 })
+
+
+# ---------------------------------------------------------------- Q16, Q17
+from tessera.operators import splits as sp  # noqa: E402
+
+
+def q16_multilabel_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K5 over the labelled orders that have categories."""
+    labelled = label_orders(spark, sf_dir).where(ql.has_categories("level1_categories_str"))
+    rows = labelled.select("pmid", "level1_categories_str")
+    classes = sp.label_classes(rows)
+    m = sp.multilabel_matrix(rows, classes)
+    return m.withColumn("n_labels", F.size(sp.category_list("level1_categories_str")).cast("int")).drop(
+        "level1_categories_str")
+
+
+def q17_split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = Tables(spark, sf_dir).documents.select(
+        "doc_id", F.concat_ws("; ", "lang", "source").alias("categories"))
+    out = sp.assign_splits(sp.single_label(docs, "categories"), "doc_id")
+    return out.select("doc_id", "single_category", "bucket", "split")
+
+
+QUERIES.update({
+    "q16_multilabel_matrix": q16_multilabel_matrix,
+    "q17_split_assign": q17_split_assign,
+})

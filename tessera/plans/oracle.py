@@ -498,3 +498,35 @@ FROM queue WHERE kind = 'title'
 """
 
 ORACLES.update({"q14_translate_queue": Q14, "q15_translate_apply": Q15})
+
+# The labelled orders fall in the five roots of regions 0-4 (letters A-E).
+Q16_CLASSES = [n for c, n in fv.ROOT_CATEGORIES if c in "ABCDE"]
+
+
+def _q16() -> str:
+    from tessera.operators.splits import category_column_name
+
+    cols = ",\n       ".join(
+        f"CAST(list_contains(cats, {_sql_str(c)}) AS INTEGER) AS {category_column_name(c)}" for c in sorted(Q16_CLASSES))
+    return "WITH " + LABEL_ORDERS_CTES + f""",
+rows AS (
+  SELECT pmid, list_transform(string_split(level1_names, ';'), lambda x: {_strip('x')}) AS cats
+  FROM named WHERE length(level1_names) > 0)
+SELECT pmid,
+       {cols},
+       CAST(len(cats) AS INTEGER) AS n_labels
+FROM rows
+"""
+
+
+Q17 = """
+WITH d AS (SELECT doc_id, lang || '; ' || source AS categories FROM documents),
+b AS (SELECT doc_id, categories,
+             CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '#42'), 1, 8))::BIGINT % 10000 AS INTEGER) AS bucket
+      FROM d)
+SELECT doc_id, regexp_replace(split_part(categories, ';', 1), '^\\s+|\\s+$', '', 'g') AS single_category, bucket,
+       CASE WHEN bucket < 2000 THEN 'test' WHEN bucket < 3600 THEN 'val' ELSE 'train' END AS split
+FROM b
+"""
+
+ORACLES.update({"q16_multilabel_matrix": _q16(), "q17_split_assign": Q17})
