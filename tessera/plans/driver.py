@@ -434,3 +434,92 @@ QUERIES.update({
     "q16_multilabel_matrix": q16_multilabel_matrix,
     "q17_split_assign": q17_split_assign,
 })
+
+
+# ---------------------------------------------------------------- Q22-Q25
+from tessera.operators import chunking as ch  # noqa: E402
+from tessera.operators import requests as rq  # noqa: E402
+
+DOC_CHUNK_LINES = 200
+TURN_CHUNK_LINES = 50
+REQUEST_BATCH = 100
+MODEL = "translator-model"
+
+
+def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = Tables(spark, sf_dir).documents.select(
+        F.col("doc_id").cast("string").alias("doc_id"), ch.text_tokens(F.col("text")).alias("tokens"))
+    return ch.split_documents(docs, "doc_id", "tokens", DOC_CHUNK_LINES)
+
+
+def q23_chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = document_chunks(spark, sf_dir)
+    return c.select(
+        "source_file", "chunk_index", "total_chunks", "start", "end",
+        F.size("tokens").alias("n_tokens"),
+        F.col("tokens")[0]["token"].alias("first_token"),
+        F.element_at("tokens", -1)["token"].alias("last_token"),
+    )
+
+
+def turn_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = Tables(spark, sf_dir).conversations
+    files = conv.select(
+        F.format_string("c%05d_t%03d", "conv_id", "turn").alias("file"),
+        ch.text_tokens(F.col("text")).alias("tokens"))
+    return ch.split_documents(files, "file", "tokens", TURN_CHUNK_LINES)
+
+
+def q22_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    reqs = ch.build_requests(turn_chunks(spark, sf_dir), MODEL)
+    batched = ch.assign_batches(reqs, ["source_file", "chunk_index"], REQUEST_BATCH)
+    r = F.col("request")
+    return batched.select(
+        r["custom_id"].alias("custom_id"), "batch_no", r["method"].alias("method"), r["url"].alias("url"),
+        r["body"]["model"].alias("model"), F.size(r["body"]["messages"]).alias("n_messages"),
+        r["body"]["messages"][1]["content"].alias("prompt"), "total_chunks",
+    )
+
+
+def conversation_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Result lines for every (conversation, turn) chunk, as JSON text parsed
+    back with the declared schema: the turn text with spaces turned into tabs
+    is the response content; ``(conv_id + turn) % 7 = 3`` answers 500."""
+    conv = Tables(spark, sf_dir).conversations
+    status = F.when((F.col("conv_id") + F.col("turn")) % 7 == 3, F.lit(500)).otherwise(F.lit(200))
+    rec = F.struct(
+        ch.chunk_custom_id(F.col("conv_id"), F.col("turn")).alias("custom_id"),
+        F.struct(
+            status.alias("status_code"),
+            F.struct(F.array(F.struct(F.struct(F.replace("text", F.lit(" "), F.lit("\t")).alias("content")).alias("message"))).alias("choices")).alias("body"),
+        ).alias("response"),
+    )
+    return rq.parse_result_json(conv.select(F.to_json(rec).alias("value")))
+
+
+def q24_reassemble(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ok, _ = rq.split_results(conversation_results(spark, sf_dir))
+    docs = rq.reassemble(rq.translated_chunks(ok))
+    return docs.select(
+        F.col("source_file").cast("long").alias("conv_id"),
+        F.array_join(F.transform("chunk_indexes", lambda i: i.cast("string")), ",").alias("chunk_indexes"),
+        F.size("tokens").alias("n_tokens"),
+        tx.tokens_to_text(F.col("tokens")).alias("text"),
+    )
+
+
+def q25_retry_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = Tables(spark, sf_dir).conversations
+    reqs = conv.select(ch.chunk_custom_id(F.col("conv_id"), F.col("turn")).alias("custom_id"))
+    ok, _ = rq.split_results(conversation_results(spark, sf_dir))
+    retry = rq.retry_set(reqs, ok)
+    return retry.select("custom_id", ch.custom_id_file(F.col("custom_id")).cast("long").alias("conv_id"),
+                        ch.custom_id_index(F.col("custom_id")).alias("turn"))
+
+
+QUERIES.update({
+    "q22_request_lines": q22_request_lines,
+    "q23_chunk_documents": q23_chunk_documents,
+    "q24_reassemble": q24_reassemble,
+    "q25_retry_set": q25_retry_set,
+})

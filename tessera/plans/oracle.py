@@ -530,3 +530,98 @@ FROM b
 """
 
 ORACLES.update({"q16_multilabel_matrix": _q16(), "q17_split_assign": Q17})
+
+TOKEN_RE = "'[\\p{L}\\p{N}_]+|[^\\p{L}\\p{N}_\\s]'"
+CUTS = "('.', ',', ';', '!', '?')"
+
+
+def chunk_ctes(source_sql: str, m: int) -> str:
+    """K9 oracle: per-position chunk end from a window, then the chain of
+    chunk starts followed with a recursive CTE (start 0, next = end + 1)."""
+    return f"""
+src AS ({source_sql}),
+toks AS (SELECT file, regexp_extract_all(text, {TOKEN_RE}) AS t FROM src),
+lens AS (SELECT file, len(t) AS n FROM toks),
+pos AS (SELECT file, unnest(generate_series(0, len(t) - 1)) AS i, unnest(t) AS tok FROM toks WHERE len(t) > 0),
+cand AS (
+  SELECT file, i AS s,
+         min(CASE WHEN tok IN {CUTS} THEN i END)
+           OVER (PARTITION BY file ORDER BY i ROWS BETWEEN {m - 1} FOLLOWING AND {m + 98} FOLLOWING) AS p
+  FROM pos),
+ends AS (
+  SELECT c.file, c.s,
+         CASE WHEN c.s + {m - 1} >= l.n - 1 THEN l.n - 1 WHEN c.p IS NOT NULL THEN c.p
+              WHEN c.s + {m + 49} <= l.n - 1 THEN c.s + {m + 49} ELSE l.n - 1 END AS e
+  FROM cand c JOIN lens l USING (file)),
+chain(file, idx, s, e) AS (
+  SELECT file, 0, 0, e FROM ends WHERE s = 0 AND file IN (SELECT file FROM lens WHERE n > {m})
+  UNION ALL
+  SELECT ch.file, ch.idx + 1, en.s, en.e FROM chain ch JOIN ends en ON en.file = ch.file AND en.s = ch.e + 1),
+chunks AS (
+  SELECT file, idx, s, e FROM chain
+  UNION ALL SELECT file, 0, 0, n - 1 FROM lens WHERE n <= {m}),
+chunks_t AS (
+  SELECT c.file, CAST(c.idx AS INTEGER) AS chunk_index,
+         CAST(count(*) OVER (PARTITION BY c.file) AS INTEGER) AS total_chunks,
+         CAST(c.s AS INTEGER) AS start, CAST(c.e AS INTEGER) AS "end",
+         t.t[c.s + 1:c.e + 1] AS toks, t.t AS all_t
+  FROM chunks c JOIN toks t USING (file))
+"""
+
+
+Q23 = "WITH RECURSIVE " + chunk_ctes("SELECT CAST(doc_id AS VARCHAR) AS file, text FROM documents", 200) + """
+SELECT file AS source_file, chunk_index, total_chunks, start, "end",
+       CAST(len(toks) AS INTEGER) AS n_tokens, toks[1] AS first_token, toks[len(toks)] AS last_token
+FROM chunks_t
+"""
+
+
+def _q22() -> str:
+    from tessera.operators.chunking import DEFAULT_PART_NOTE, DEFAULT_PROMPT_TEMPLATE
+
+    head, tail = DEFAULT_PROMPT_TEMPLATE.split("%s%s")
+    note_a, rest = DEFAULT_PART_NOTE.split("%d", 1)
+    note_b, note_c = rest.split("%d", 1)
+    lines = ("array_to_string(list_transform(toks, lambda w: w || chr(9) || "
+             "CASE WHEN regexp_matches(w, '^\\p{Lu}') THEN 'B-CAP' ELSE 'O' END), chr(10))")
+    note = (f"CASE WHEN total_chunks > 1 THEN {_sql_str(note_a)} || CAST(chunk_index + 1 AS VARCHAR) || "
+            f"{_sql_str(note_b)} || CAST(total_chunks AS VARCHAR) || {_sql_str(note_c)} ELSE '' END")
+    src = "SELECT printf('c%05d_t%03d', conv_id, turn) AS file, text FROM conversations"
+    return "WITH RECURSIVE " + chunk_ctes(src, 50) + f"""
+SELECT file || '__chunk_' || CAST(chunk_index AS VARCHAR) AS custom_id,
+       CAST((row_number() OVER (ORDER BY file, chunk_index) - 1) // 100 AS INTEGER) AS batch_no,
+       'POST' AS method, '/v1/chat/completions' AS url, 'translator-model' AS model, 2 AS n_messages,
+       {_sql_str(head)} || {lines} || {note} || {_sql_str(tail)} AS prompt,
+       total_chunks
+FROM chunks_t
+"""
+
+
+RESULTS_CTE = """
+res AS (
+  SELECT conv_id, turn, CAST(conv_id AS VARCHAR) || '__chunk_' || CAST(turn AS VARCHAR) AS custom_id,
+         CASE WHEN (conv_id + turn) % 7 = 3 THEN 500 ELSE 200 END AS status_code,
+         replace(text, ' ', chr(9)) AS content
+  FROM conversations)
+"""
+
+Q24 = "WITH " + RESULTS_CTE + """,
+ok AS (
+  SELECT conv_id, turn,
+         list_filter(list_transform(list_filter(list_transform(regexp_split_to_array(content, '\\r\\n|\\r|\\n'),
+                       lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), lambda s: s <> '' AND contains(s, chr(9))),
+                     lambda s: string_split(s, chr(9))), lambda p: len(p) >= 2) AS parts
+  FROM res WHERE status_code = 200),
+flat AS (SELECT conv_id, turn, unnest(generate_series(1, len(parts))) AS k, unnest(parts) AS p FROM ok)
+SELECT o.conv_id,
+       (SELECT string_agg(CAST(turn AS VARCHAR), ',' ORDER BY turn) FROM ok o2 WHERE o2.conv_id = o.conv_id) AS chunk_indexes,
+       CAST((SELECT count(*) FROM flat f WHERE f.conv_id = o.conv_id) AS INTEGER) AS n_tokens,
+       coalesce((SELECT string_agg(p[1] || chr(9) || p[2], chr(10) ORDER BY turn, k) FROM flat f WHERE f.conv_id = o.conv_id), '') AS text
+FROM (SELECT DISTINCT conv_id FROM ok) o
+"""
+
+Q25 = "WITH " + RESULTS_CTE + """
+SELECT custom_id, conv_id, CAST(turn AS INTEGER) AS turn FROM res WHERE status_code <> 200
+"""
+
+ORACLES.update({"q22_request_lines": _q22(), "q23_chunk_documents": Q23, "q24_reassemble": Q24, "q25_retry_set": Q25})
