@@ -50,7 +50,9 @@ def head_and_tail(df: DataFrame, key: str, n: int = 10) -> DataFrame:
     else everything; ``part`` tells which end a row comes from."""
     first = df.orderBy(F.asc(key)).limit(n).withColumn("part", F.lit("first"))
     last = df.orderBy(F.desc(key)).limit(n).withColumn("part", F.lit("last"))
-    return first.unionByName(last).dropDuplicates([key])
+    cols = [c for c in df.columns if c != key]
+    return first.unionByName(last).groupBy(key).agg(
+        *[F.first(c).alias(c) for c in cols], F.min("part").alias("part"))
 
 
 def sample_first(df: DataFrame, n: int, key: str) -> DataFrame:

@@ -523,3 +523,50 @@ QUERIES.update({
     "q24_reassemble": q24_reassemble,
     "q25_retry_set": q25_retry_set,
 })
+
+
+# ---------------------------------------------------------------- Q26, Q29
+from tessera.functions import markup as mk  # noqa: E402
+from tessera.operators import compare as cmp  # noqa: E402
+
+
+def _file_names(df: DataFrame) -> DataFrame:
+    return df.select(F.format_string("doc_%06d.nersuite", "doc_id").alias("name"))
+
+
+def dataset_members(spark: SparkSession, sf_dir: str) -> DataFrame:
+    t = Tables(spark, sf_dir)
+    a = _file_names(t.documents.where(F.col("doc_id") % 2 == 0))
+    b = _file_names(t.labels)
+    return cmp.membership(a, b)
+
+
+def q26_dataset_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cmp.completeness(dataset_members(spark, sf_dir))
+
+
+def q26b_missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = dataset_members(spark, sf_dir)
+    a = cmp.missing_preview(m, "only_a").withColumn("side", F.lit("only_a"))
+    b = cmp.missing_preview(m, "only_b").withColumn("side", F.lit("only_b"))
+    return a.unionByName(b).select("side", "name", "part")
+
+
+def q29_page_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    p = Tables(spark, sf_dir).pages
+    h = F.col("html")
+    return p.select(
+        "page_id",
+        mk.first_element_text(h, "title").alias("title"),
+        mk.first_element_text(h, "h1").alias("heading"),
+        mk.attribute_value(h, "html", "lang").alias("lang"),
+        mk.attribute_value(h, "meta", "charset").alias("charset"),
+        mk.count_elements(h, "a").alias("n_links"),
+    )
+
+
+QUERIES.update({
+    "q26_dataset_compare": q26_dataset_compare,
+    "q26b_missing_files": q26b_missing_files,
+    "q29_page_extract": q29_page_extract,
+})

@@ -625,3 +625,49 @@ SELECT custom_id, conv_id, CAST(turn AS INTEGER) AS turn FROM res WHERE status_c
 """
 
 ORACLES.update({"q22_request_lines": _q22(), "q23_chunk_documents": Q23, "q24_reassemble": Q24, "q25_retry_set": Q25})
+
+MEMBERS_CTE = """
+a AS (SELECT DISTINCT printf('doc_%06d.nersuite', doc_id) AS name FROM documents WHERE doc_id % 2 = 0),
+b AS (SELECT DISTINCT printf('doc_%06d.nersuite', doc_id) AS name FROM labels),
+m AS (SELECT coalesce(a.name, b.name) AS name, a.name IS NOT NULL AS in_a, b.name IS NOT NULL AS in_b
+      FROM a FULL OUTER JOIN b ON a.name = b.name)
+"""
+
+Q26 = "WITH " + MEMBERS_CTE + """
+SELECT count(*) FILTER (WHERE in_a) AS size_a, count(*) FILTER (WHERE in_b) AS size_b,
+       count(*) FILTER (WHERE in_a AND in_b) AS common,
+       count(*) FILTER (WHERE in_a AND NOT in_b) AS only_a,
+       count(*) FILTER (WHERE in_b AND NOT in_a) AS only_b,
+       round(count(*) FILTER (WHERE in_a AND in_b) * 100.0 / count(*) FILTER (WHERE in_a), 4) AS completeness_pct
+FROM m
+"""
+
+Q26B = "WITH " + MEMBERS_CTE + """,
+sides AS (SELECT name, CASE WHEN in_a THEN 'only_a' ELSE 'only_b' END AS side FROM m WHERE in_a <> in_b),
+firsts AS (SELECT side, name, 'first' AS part FROM (
+             SELECT *, row_number() OVER (PARTITION BY side ORDER BY name) AS r FROM sides) WHERE r <= 10),
+lasts AS (SELECT side, name, 'last' AS part FROM (
+             SELECT *, row_number() OVER (PARTITION BY side ORDER BY name DESC) AS r FROM sides) WHERE r <= 10)
+SELECT side, name, min(part) AS part FROM (SELECT * FROM firsts UNION ALL SELECT * FROM lasts) GROUP BY side, name
+"""
+
+
+def _elem_text(tag: str) -> str:
+    inner = f"regexp_extract(html, '(?is)<{tag}(?:\\s[^>]*)?>(.*?)</{tag}\\s*>', 1)"
+    s = f"regexp_replace({inner}, '<[^>]*>', '', 'g')"
+    for ent, ch in [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&#39;", "'"), ("&amp;", "&")]:
+        s = f"replace({s}, {_sql_str(ent)}, {_sql_str(ch)})"
+    return f"coalesce({_strip(s)}, '')"
+
+
+Q29 = f"""
+SELECT page_id,
+       {_elem_text('title')} AS title,
+       {_elem_text('h1')} AS heading,
+       nullif(regexp_extract(html, '(?is)<html\\s[^>]*\\blang\\s*=\\s*"([^"]*)"', 1), '') AS lang,
+       nullif(regexp_extract(html, '(?is)<meta\\s[^>]*\\bcharset\\s*=\\s*"([^"]*)"', 1), '') AS charset,
+       CAST(len(regexp_extract_all(html, '(?i)<a[\\s>]')) AS INTEGER) AS n_links
+FROM pages
+"""
+
+ORACLES.update({"q26_dataset_compare": Q26, "q26b_missing_files": Q26B, "q29_page_extract": Q29})
