@@ -29,37 +29,46 @@ from tessera.functions import text as tx
 BOUNDS_TYPE = "array<struct<start:int,end:int>>"
 
 
+def cut_flags(tokens: Column, token_text=lambda t: t["token"]) -> Column:
+    """One character per token: ``1`` for a natural cut token, else ``0``.
+    Computed once per document; the fold below only runs cheap ``instr`` /
+    ``substring`` calls on it."""
+    cut_set = F.array(*[F.lit(c) for c in fv.CUT_TOKENS])
+    return F.concat_ws("", F.transform(
+        tokens, lambda t: F.when(F.array_contains(cut_set, token_text(t)), F.lit("1")).otherwise(F.lit("0"))))
+
+
 def chunk_bounds(
-    tokens: Column,
+    flags: Column,
     max_lines: int,
     compat_overlap: bool = False,
-    token_text=lambda t: t["token"],
     lookahead: int = fv.CHUNK_LOOKAHEAD,
 ) -> Column:
-    """K9: ``array<struct<start, end>>`` (0-based, inclusive) of the chunks of one token array."""
+    """K9: ``array<struct<start, end>>`` (0-based, inclusive) of the chunks of
+    one document, from its :func:`cut_flags` string."""
     if max_lines < 1:
         raise ValueError("max_lines must be >= 1")
     m, la = max_lines, lookahead
-    cut_set = F.array(*[F.lit(c) for c in fv.CUT_TOKENS])
-    n = F.size(tokens)
+    n = F.length(flags)
+    last = n - 1
     steps = F.sequence(F.lit(1), (F.floor(n / m) + 2).cast("int"))
     init = F.struct(F.lit(0).alias("s"), F.array().cast(BOUNDS_TYPE).alias("b"))
 
     def step(acc, _i):
         s = acc["s"]
         i0 = s + F.lit(m - 1)
-        window = F.slice(tokens, i0 + 1, 2 * la)  # positions i0 .. i0 + 2*la - 1
-        hit = F.array_position(F.transform(window, lambda t: F.array_contains(cut_set, token_text(t))), True)
-        p = F.when(hit > 0, i0 + hit - 1)
-        last = n - 1
+        # first cut token in positions i0 .. i0 + 2*la - 1 (1-based hit, 0 = none)
+        hit = F.instr(F.substring(flags, i0 + 1, 2 * la), F.lit("1"))
         end = (
             F.when(i0 >= last, last)
-            .when(p.isNotNull(), p)
+            .when(hit > 0, i0 + hit - 1)
             .when(i0 + F.lit(la) <= last, i0 + F.lit(la))
             .otherwise(last)
         )
         if compat_overlap:
-            nxt = F.when(i0 >= last, n).when(p.isNotNull(), F.greatest(i0, p - F.lit(la - 1)) + 1).otherwise(end + 1)
+            nxt = (F.when(i0 >= last, n)
+                   .when(hit > 0, F.greatest(i0, i0 + hit - 1 - F.lit(la - 1)) + 1)
+                   .otherwise(end + 1))
         else:
             nxt = end + 1
         add = F.array(F.struct(s.cast("int").alias("start"), end.cast("int").alias("end")))
@@ -80,14 +89,18 @@ def split_documents(
 ) -> DataFrame:
     """K9 + G5: one row per chunk
     ``(source_file, chunk_index, total_chunks, start, end, tokens)``."""
-    b = docs.select(
+    f = docs.select(
         F.col(file_col).alias("source_file"), F.col(tokens_col).alias("_toks"),
-        chunk_bounds(F.col(tokens_col), max_lines, compat_overlap).alias("_b"),
+        cut_flags(F.col(tokens_col)).alias("_flags"),
     )
+    b = f.select("source_file", "_toks", chunk_bounds(F.col("_flags"), max_lines, compat_overlap).alias("_b"))
+    # ``posexplode_outer``: the bounds array is never empty, and the outer form
+    # keeps the optimizer from inferring a ``size(_b) > 0`` filter that would be
+    # pushed below the projection and re-evaluate the whole fold from the text.
     return b.select(
         "source_file",
         F.size("_b").alias("total_chunks"),
-        F.posexplode("_b").alias("chunk_index", "_bd"),
+        F.posexplode_outer("_b").alias("chunk_index", "_bd"),
         "_toks",
     ).select(
         "source_file", "chunk_index", "total_chunks",

@@ -111,8 +111,10 @@ def translate_items(queue: DataFrame, id_col: str, factory: TranslatorFactory) -
     ``(id, kind, source_text, original_title, text, success, error)``."""
     udf = translator_udf(factory)
     abstracts = queue.where(F.col("kind") == "abstract")
+    # outer form + null filter: no inferred size() filter re-running the splitter
     sentences = abstracts.select(
-        id_col, "kind", F.posexplode(tx.split_sentences("source_text")).alias("pos", "sentence"))
+        id_col, "kind", F.posexplode_outer(tx.split_sentences("source_text")).alias("pos", "sentence")
+    ).where(F.col("pos").isNotNull())
     done = sentences.withColumn("r", udf(F.col("sentence")))
     per_article = done.groupBy(id_col, "kind").agg(
         F.sort_array(F.collect_list(F.struct("pos", F.col("r.text").alias("t")))).alias("parts"),

@@ -24,8 +24,12 @@ from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcas
 
 
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
-    """``(id, pos, token)`` for every token of every row."""
-    return df.select(id_col, F.posexplode(tokens_col).alias("pos", "token"))
+    """``(id, pos, token)`` for every token of every row.
+
+    ``posexplode_outer`` + a null filter instead of ``posexplode``: the plain
+    generator makes the optimizer infer ``size(tokens) > 0`` and push it under
+    the projection, which would evaluate the tokenizer twice per row."""
+    return df.select(id_col, F.posexplode_outer(tokens_col).alias("pos", "token")).where(F.col("pos").isNotNull())
 
 
 def vocabulary(token_rows: DataFrame) -> DataFrame:
