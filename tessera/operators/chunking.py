@@ -131,7 +131,7 @@ def custom_id_file(custom_id: Column) -> Column:
 
 
 def custom_id_index(custom_id: Column) -> Column:
-    return F.regexp_extract(custom_id, r"^(.*)__chunk_(\d+)$", 2).cast("int")
+    return F.regexp_extract(custom_id, r"^(.*)__chunk_(\d+)$", 2).try_cast("int")
 
 
 # ---------------------------------------------------------------- B13, B11

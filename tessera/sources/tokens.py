@@ -25,7 +25,8 @@ def file_name(path: Column) -> Column:
 def list_files(spark: SparkSession, directory: str, suffix: str | None = None) -> DataFrame:
     """Visible regular file names of a directory, optionally by suffix.
     Hidden names (``.``, ``._``) and common system files are skipped.
-    Only ``path`` is selected, so file contents are not read."""
+    Only ``path`` is selected, so file contents are not read.  Zero-length
+    files get no input split in Spark's file sources and are not listed."""
     reader = spark.read.format("binaryFile")
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
