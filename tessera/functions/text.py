@@ -33,6 +33,15 @@ def _col(c: ColumnOrName) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """Evaluate ``value`` once and pass it to ``body`` (a ``Column -> Column``
+    function) as a lambda variable.  Catalyst does not share subexpressions
+    across conditional branches or inside lambdas, so an expression used in
+    many places of a ``CASE`` (or of a fold) would otherwise be recomputed at
+    every use."""
+    return F.transform(F.array(value), body)[0]
+
+
 def strip_ws(c: ColumnOrName) -> Column:
     """Python ``str.strip()``: remove leading and trailing whitespace."""
     return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
@@ -73,17 +82,24 @@ def _unwrap(c: Column, open_ch: str, close_ch: str) -> Column:
     many levels, so there is no data-dependent loop.
     """
     o, cl = "\\" + open_ch, "\\" + close_ch
-    lead = F.regexp_extract(c, rf"^({o}\s*)*", 0)
-    trail = F.regexp_extract(c, rf"(\s*{cl})*$", 0)
-    n_lead = F.length(lead) - F.length(F.replace(lead, F.lit(open_ch), F.lit("")))
-    n_trail = F.length(trail) - F.length(F.replace(trail, F.lit(close_ch), F.lit("")))
-    levels = F.least(n_lead, n_trail)
-    peeled = F.aggregate(
-        F.sequence(F.lit(1), levels),
-        c,
-        lambda acc, _i: strip_ws(F.substring(acc, 2, F.length(acc) - 2)),
-    )
-    return F.when(levels > 0, peeled).otherwise(c)
+
+    def peel(s: Column) -> Column:
+        lead = F.regexp_extract(s, rf"^({o}\s*)*", 0)
+        trail = F.regexp_extract(s, rf"(\s*{cl})*$", 0)
+        n_lead = F.length(lead) - F.length(F.replace(lead, F.lit(open_ch), F.lit("")))
+        n_trail = F.length(trail) - F.length(F.replace(trail, F.lit(close_ch), F.lit("")))
+
+        def apply(levels: Column) -> Column:
+            peeled = F.aggregate(
+                F.sequence(F.lit(1), levels), s,
+                lambda acc, _i: strip_ws(F.substring(acc, 2, F.length(acc) - 2)),
+            )
+            return F.when(levels > 0, peeled).otherwise(s)
+
+        return let(F.least(n_lead, n_trail), apply)
+
+    # quick exit for the common case (no wrapping character at the start)
+    return F.when(c.startswith(open_ch) & c.endswith(close_ch), let(c, peel)).otherwise(c)
 
 
 def clean_title(c: ColumnOrName) -> Column:
@@ -95,13 +111,14 @@ def clean_title(c: ColumnOrName) -> Column:
     removed without checking that they match each other, as in the original.
     """
     src = _col(c)
-    s = strip_ws(src)
-    s = strip_ws(F.regexp_replace(s, r"\.+$", ""))
-    s = _unwrap(s, "[", "]")
-    s = _unwrap(s, "(", ")")
-    s = strip_ws(F.regexp_replace(s, r"\.+$", ""))
-    s = collapse_ws(s)
-    return F.when(src.isNull() | (src == ""), src).otherwise(s)
+
+    def clean(s0: Column) -> Column:
+        s1 = strip_ws(F.regexp_replace(s0, r"\.+$", ""))
+        s2 = let(s1, lambda a: _unwrap(a, "[", "]"))
+        s3 = let(s2, lambda b: _unwrap(b, "(", ")"))
+        return collapse_ws(strip_ws(F.regexp_replace(s3, r"\.+$", "")))
+
+    return F.when(src.isNull() | (src == ""), src).otherwise(let(strip_ws(src), clean))
 
 
 def indicator_hits(lower_text: Column, indicators: Sequence[str]) -> Column:
@@ -129,15 +146,17 @@ def detect_language(
     also counts for ``conclusion``.
     """
     text = _col(c)
-    low = F.lower(text)
-    es = indicator_hits(low, spanish)
-    en = indicator_hits(low, english)
-    return (
-        F.when(text.isNull() | (text == ""), F.lit(fv.LANG_UNKNOWN))
-        .when((es > en) & (es >= min_hits), F.lit(fv.LANG_SPANISH))
-        .when((en > es) & (en >= min_hits), F.lit(fv.LANG_ENGLISH))
-        .otherwise(F.lit(fv.LANG_MIXED))
-    )
+
+    def vote(low: Column) -> Column:
+        es = indicator_hits(low, spanish)
+        en = indicator_hits(low, english)
+        return (
+            F.when((es > en) & (es >= min_hits), F.lit(fv.LANG_SPANISH))
+            .when((en > es) & (en >= min_hits), F.lit(fv.LANG_ENGLISH))
+            .otherwise(F.lit(fv.LANG_MIXED))
+        )
+
+    return F.when(text.isNull() | (text == ""), F.lit(fv.LANG_UNKNOWN)).otherwise(let(F.lower(text), vote))
 
 
 def split_sentences(c: ColumnOrName) -> Column:
