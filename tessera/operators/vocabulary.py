@@ -4,12 +4,12 @@ Per-token normalisers (a lemma table, a stemmer) are applied once per
 *distinct* word, never once per occurrence:
 
 1. explode ``(id, pos, token)`` from the token arrays,
-2. build the distinct vocabulary,
+2. build the distinct vocabulary (partially aggregated before the shuffle),
 3. map it through the lemma table (left join) and/or a stemmer running as a
-   pandas UDF over the vocabulary only,
-4. join back on the token and re-collect each row's tokens in position order.
-
-The regroup is per row id, so a group is exactly the tokens of one input row.
+   pandas UDF over the vocabulary only, keeping only words that change,
+4. apply the map: in-row through a broadcast variable when the map is
+   proven small, else by a join on the token and a re-collect per row id
+   (a group is then exactly the tokens of one input row).
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast, row_count_at_most
 
 
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
@@ -47,6 +47,40 @@ def stem_vocabulary(vocab: DataFrame, stem_fn: Callable[[str], str]) -> DataFram
     return vocab.select("token", _stem("token").alias("norm"))
 
 
+def normalisation_map(
+    vocab: DataFrame,
+    lemma_table: DataFrame | None = None,
+    stem_fn: Callable[[str], str] | None = None,
+    mode: str = "lemmatize",
+    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+) -> DataFrame:
+    """``(token, norm)`` for the distinct tokens whose normal form differs.
+
+    ``stem``: stemmer over the vocabulary.  ``lemmatize``: lemma table, and the
+    stemmer for words without a lemma when one is given.  ``both``: lemma
+    (or the word itself), then the stemmer."""
+    vocab = vocab.select("token").distinct()
+    if mode == "stem" or (lemma_table is None and stem_fn is not None):
+        mapping = stem_vocabulary(vocab, stem_fn)
+    else:
+        lemmas = checked_broadcast(lemma_table.select("token", "lemma"), broadcast_max_rows)
+        joined = vocab.join(lemmas, "token", "left")
+        if mode == "lemmatize":
+            mapping = joined.where(F.col("lemma").isNotNull()).select("token", F.col("lemma").alias("norm"))
+            if stem_fn is not None:
+                mapping = mapping.unionByName(stem_vocabulary(joined.where(F.col("lemma").isNull()).select("token"), stem_fn))
+        elif mode == "both":
+            base = joined.select("token", F.coalesce("lemma", "token").alias("base"))
+            if stem_fn is None:
+                mapping = base.select("token", F.col("base").alias("norm"))
+            else:
+                stems = stem_vocabulary(base.select(F.col("base").alias("token")).distinct(), stem_fn)
+                mapping = base.join(stems.withColumnRenamed("token", "base"), "base").select("token", "norm")
+        else:
+            raise ValueError(f"unknown mode {mode!r}")
+    return mapping.where(F.col("norm").isNotNull() & (F.col("norm") != F.col("token")))
+
+
 def normalise_tokens(
     df: DataFrame,
     id_col: str,
@@ -56,33 +90,33 @@ def normalise_tokens(
     stem_fn: Callable[[str], str] | None = None,
     mode: str = "lemmatize",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    inline_max_rows: int = 2_000_000,
 ) -> DataFrame:
-    """K1: ``basic`` (identity), ``stem``, ``lemmatize`` (lemma table, stem
-    fallback for words without a lemma when a stemmer is given) or ``both``
-    (lemma, then stem).  ``lemma_table`` has columns ``(token, lemma)``.
-    Returns ``df`` with ``out_col``: the normalised tokens in original order."""
+    """K1: ``basic`` (identity), ``stem``, ``lemmatize`` or ``both``;
+    ``lemma_table`` has columns ``(token, lemma)``.  Returns ``df`` with
+    ``out_col``: the normalised tokens in their original order.
+
+    The map of changed words is computed once per distinct word.  When it is
+    proven small (at most ``inline_max_rows`` entries) it is shipped to the
+    executors as a broadcast variable and applied inside each row -- no
+    shuffle of the token stream at all.  Beyond that bound the distributed
+    path explodes the tokens, joins the map on the token (AQE splits hot
+    tokens) and re-collects each row's tokens by position."""
     if mode == "basic":
         return df.withColumn(out_col, F.col(tokens_col))
     rows = explode_tokens(df, id_col, tokens_col)
-    vocab = vocabulary(rows).select("token")
-    mapping = vocab.withColumn("norm", F.col("token"))
-    if mode in ("lemmatize", "both") and lemma_table is not None:
-        lemmas = checked_broadcast(lemma_table.select("token", F.col("lemma")), broadcast_max_rows)
-        mapping = vocab.join(lemmas, "token", "left").select(
-            "token", F.coalesce("lemma", "token").alias("norm"), F.col("lemma").isNotNull().alias("_hit"))
-        if stem_fn is not None and mode == "lemmatize":
-            stems = stem_vocabulary(mapping.where(~F.col("_hit")).select("token"), stem_fn)
-            mapping = mapping.where(F.col("_hit")).select("token", "norm").unionByName(stems)
-        else:
-            mapping = mapping.select("token", "norm")
-        if stem_fn is not None and mode == "both":
-            stems = stem_vocabulary(mapping.select(F.col("norm").alias("token")).distinct(), stem_fn)
-            mapping = mapping.join(stems.withColumnRenamed("token", "norm").withColumnRenamed("norm", "stem"),
-                                   "norm", "left").select("token", F.coalesce("stem", "norm").alias("norm"))
-    elif stem_fn is not None:
-        mapping = stem_vocabulary(vocab, stem_fn)
-    normed = rows.join(mapping, "token", "left").select(
-        id_col, "pos", F.coalesce("norm", "token").alias("norm"))
+    mapping = normalisation_map(vocabulary(rows), lemma_table, stem_fn, mode, broadcast_max_rows)
+    if row_count_at_most(mapping, inline_max_rows):
+        table = {r["token"]: r["norm"] for r in mapping.collect()}
+        bc = df.sparkSession.sparkContext.broadcast(table)
+
+        @F.pandas_udf("array<string>")
+        def _apply(tokens: pd.Series) -> pd.Series:
+            lookup = bc.value
+            return tokens.map(lambda arr: None if arr is None else [lookup.get(t, t) for t in arr])
+
+        return df.withColumn(out_col, _apply(F.col(tokens_col)))
+    normed = rows.join(mapping, "token", "left").select(id_col, "pos", F.coalesce("norm", "token").alias("norm"))
     regrouped = normed.groupBy(id_col).agg(
         F.transform(F.sort_array(F.collect_list(F.struct("pos", "norm"))), lambda s: s["norm"]).alias(out_col))
     empty = F.array().cast("array<string>")

@@ -67,13 +67,13 @@ def documents_as_abstracts(documents: DataFrame) -> DataFrame:
 
 
 def q01_quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents_as_abstracts(Tables(spark, sf_dir).documents)
+    docs = documents_as_abstracts(Tables(spark, sf_dir).spread("documents", "doc_id"))
     kept = ql.quality_filter(docs, has_content="has_content", word_count="word_count", terms=None)
     return kept.select("doc_id", F.col("word_count").cast("long").alias("word_count"))
 
 
 def q02_language_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).documents
+    docs = Tables(spark, sf_dir).spread("documents", "doc_id")
     return docs.select("doc_id", tx.detect_language("text", ES_WORDS, EN_WORDS).alias("abstract_language"))
 
 
@@ -225,25 +225,25 @@ def part_titles(part: DataFrame) -> DataFrame:
 
 
 def q10_clean_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titles = part_titles(Tables(spark, sf_dir).part)
+    titles = part_titles(Tables(spark, sf_dir).spread("part", "p_partkey"))
     return titles.select("p_partkey", "variant", "title", tx.clean_title("title").alias("cleaned_title"))
 
 
 def q11_sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).documents
+    docs = Tables(spark, sf_dir).spread("documents", "doc_id")
     s = docs.select("doc_id", tx.split_sentences("text").alias("sentences"))
     return s.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"),
                     tx.join_sentences("sentences").alias("rejoined"))
 
 
 def q12_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    docs = Tables(spark, sf_dir).spread("documents", "doc_id").select("doc_id", "text")
     out = tp.preprocess_columns(docs, ["text"], min_length=2)
     return out.select("doc_id", tx.clean_text("text").alias("cleaned"), "text_processed")
 
 
 def q13_text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    docs = Tables(spark, sf_dir).spread("documents", "doc_id").select("doc_id", "text")
     out = tp.preprocess_columns(docs, ["text"], min_length=2)
     prof = tp.processing_profile(out, ["text"])
     return prof.withColumns({
@@ -253,7 +253,7 @@ def q13_text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q30_normalise_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).documents.select("doc_id", "text")
+    docs = Tables(spark, sf_dir).spread("documents", "doc_id").select("doc_id", "text")
     toks = docs.select("doc_id", tx.tokenize(tx.clean_text("text")).alias("tokens"))
     lemmas = vc.plural_lemma_table(vc.explode_tokens(toks, "doc_id", "tokens"))
     out = vc.normalise_tokens(toks, "doc_id", "tokens", "normalised", lemma_table=lemmas, mode="lemmatize")
@@ -372,7 +372,7 @@ def document_articles(documents: DataFrame) -> DataFrame:
 
 def document_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    arts = document_articles(t.documents)
+    arts = document_articles(t.spread("documents", "doc_id"))
     done_abs = t.labels.where(F.col("quality") == 1).select("doc_id")
     done_titles = t.labels.where(F.col("toxic") == 1).select("doc_id")
     return trn.translation_queue(
@@ -424,7 +424,7 @@ def q16_multilabel_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q17_split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).documents.select(
+    docs = Tables(spark, sf_dir).spread("documents", "doc_id").select(
         "doc_id", F.concat_ws("; ", "lang", "source").alias("categories"))
     out = sp.assign_splits(sp.single_label(docs, "categories"), "doc_id")
     return out.select("doc_id", "single_category", "bucket", "split")
@@ -447,7 +447,7 @@ MODEL = "translator-model"
 
 
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).documents.select(
+    docs = Tables(spark, sf_dir).spread("documents", "doc_id").select(
         F.col("doc_id").cast("string").alias("doc_id"), ch.text_tokens(F.col("text")).alias("tokens"))
     return ch.split_documents(docs, "doc_id", "tokens", DOC_CHUNK_LINES)
 
@@ -463,7 +463,7 @@ def q23_chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turn_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = Tables(spark, sf_dir).conversations
+    conv = Tables(spark, sf_dir).spread("conversations", "conv_id")
     files = conv.select(
         F.format_string("c%05d_t%03d", "conv_id", "turn").alias("file"),
         ch.text_tokens(F.col("text")).alias("tokens"))
@@ -553,7 +553,7 @@ def q26b_missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q29_page_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = Tables(spark, sf_dir).pages
+    p = Tables(spark, sf_dir).spread("pages", "page_id")
     h = F.col("html")
     return p.select(
         "page_id",

@@ -26,6 +26,19 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
+def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
+    """Spread rows over at least ``min_partitions`` (default: the session's
+    parallelism) when the scan yields fewer input splits -- e.g. one file with
+    one row group.  Row-local CPU work (regexes, tokenising) then uses every
+    core.  On large inputs the scan already has more splits and this is a
+    no-op, so no shuffle is added at scale.  Hash partitioning on ``key``
+    (an id) is deterministic without the pre-sort a round-robin needs."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target, key) if key else df.repartition(target)
+
+
 class Tables:
     """Attribute access to the tables of one scale-factor folder."""
 
@@ -33,6 +46,10 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
 
+    def spread(self, name: str, key: str | None = None) -> DataFrame:
+        """The table with its rows spread over all cores (see :func:`spread`)."""
+        return spread(read_table(self.spark, self.sf_dir, name), key)
+
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:
             return read_table(self.spark, self.sf_dir, name)
