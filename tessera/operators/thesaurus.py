@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import fixed_values as fv
-from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast, row_count_at_most
 
 
 # ---------------------------------------------------------------- F2 / E4
@@ -81,7 +81,8 @@ def tree_names(descriptor: DataFrame, descriptor_tree: DataFrame) -> DataFrame:
     """
     spark = descriptor.sparkSession
     roots = root_categories(spark)
-    prefixes = prefix_closure(descriptor_tree).join(roots.select("code"), "code", "left_anti")
+    # the 16 fixed roots are a literal table: broadcasting them is bounded
+    prefixes = prefix_closure(descriptor_tree).join(F.broadcast(roots.select("code")), "code", "left_anti")
     exact = exact_tree_matches(descriptor, descriptor_tree)
     root_of = F.broadcast(roots.select(F.col("code").alias("root"), F.col("name").alias("root_name")))
     named = (
@@ -159,13 +160,22 @@ def categories_per_article(
     ui_cats: DataFrame,
     id_col: str = "pmid",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
+    descriptor_tree: DataFrame | None = None,
 ) -> DataFrame:
     """F5 + F6 over a long table of ``(id, ui)`` major headings (duplicates allowed).
 
     Output per id: sorted distinct level-1/level-2 codes, their names in code
     order, and the number of distinct major ids (unknown ids count too).
+
+    ``ui_cats`` has at most two rows per tree number, so when
+    ``descriptor_tree`` is given its (cheap, stored) row count bounds the
+    broadcast side instead of counting the derived table.
     """
-    cats = checked_broadcast(ui_cats, broadcast_max_rows)
+    if descriptor_tree is not None:
+        small = row_count_at_most(descriptor_tree, broadcast_max_rows // 2)
+        cats = F.broadcast(ui_cats) if small else ui_cats
+    else:
+        cats = checked_broadcast(ui_cats, broadcast_max_rows)
     joined = majors.select(id_col, "ui").join(cats, "ui", "left")
     pair = F.struct(F.col("code"), F.col("name"))
     agg = joined.groupBy(id_col).agg(
@@ -226,7 +236,8 @@ def label_articles(
     majors = articles.select(
         "pmid", F.explode(major_descriptor_ids(F.col("mesh_terms"))).alias("ui")
     )
-    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name), "pmid", broadcast_max_rows)
+    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name), "pmid", broadcast_max_rows,
+                                  descriptor_tree)
     return attach_categories(article_row_projection(articles), cats, "pmid")
 
 
@@ -243,5 +254,6 @@ def label_from_terms(
     majors = terms.where(
         F.coalesce(F.col("major_topic"), F.lit(False)) & F.col("ui").isNotNull() & (F.col("ui") != "")
     ).select(id_col, "ui")
-    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name), id_col, broadcast_max_rows)
+    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name), id_col, broadcast_max_rows,
+                                  descriptor_tree)
     return attach_categories(articles, cats, id_col)

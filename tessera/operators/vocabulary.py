@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast, row_count_at_most
+from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
 
 
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
@@ -106,8 +106,9 @@ def normalise_tokens(
         return df.withColumn(out_col, F.col(tokens_col))
     rows = explode_tokens(df, id_col, tokens_col)
     mapping = normalisation_map(vocabulary(rows), lemma_table, stem_fn, mode, broadcast_max_rows)
-    if row_count_at_most(mapping, inline_max_rows):
-        table = {r["token"]: r["norm"] for r in mapping.collect()}
+    head = mapping.limit(inline_max_rows + 1).collect()  # bounded: at most inline_max_rows + 1 rows
+    if len(head) <= inline_max_rows:
+        table = {r["token"]: r["norm"] for r in head}
         bc = df.sparkSession.sparkContext.broadcast(table)
 
         @F.pandas_udf("array<string>")

@@ -36,7 +36,14 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() >= target:
         return df
-    return df.repartition(target, key) if key else df.repartition(target)
+    from tessera.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    spread_df = df.repartition(target, key) if key else df.repartition(target)
+    # A checkpoint (shared checkpoint folder) is a barrier the optimizer
+    # cannot push filters through; without it an expensive predicate would be
+    # pushed below the exchange and run in the single input task again.
+    return spread_df.checkpoint(eager=True)
 
 
 class Tables:
