@@ -478,6 +478,7 @@ def q22_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         r["custom_id"].alias("custom_id"), "batch_no", r["method"].alias("method"), r["url"].alias("url"),
         r["body"]["model"].alias("model"), F.size(r["body"]["messages"]).alias("n_messages"),
         r["body"]["messages"][1]["content"].alias("prompt"), "total_chunks",
+        tx.estimate_tokens(r["body"]["messages"][1]["content"]).alias("est_tokens"),
     )
 
 
@@ -570,3 +571,76 @@ QUERIES.update({
     "q26b_missing_files": q26b_missing_files,
     "q29_page_extract": q29_page_extract,
 })
+
+
+# ---------------------------------------------------------------- Q31-Q38: summaries
+def q31_language_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D9 over the document language vote."""
+    docs = Tables(spark, sf_dir).spread("documents", "doc_id")
+    langs = docs.select(tx.detect_language("text", ES_WORDS, EN_WORDS).alias("abstract_language"))
+    return pf.language_summary(langs)
+
+
+def q32_thesaurus_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D10 over the hierarchy of Q07."""
+    nation = Tables(spark, sf_dir).nation
+    d, t = mp.nation_descriptor(nation), mp.nation_descriptor_tree_multi(nation)
+    return th.thesaurus_stats(d, t, th.tree_names(d, t))
+
+
+def q33_translation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D13 over the translated document queue of Q15."""
+    res = trn.translate_items(document_queue(spark, sf_dir), "doc_id", MarkerTranslator)
+    return trn.translation_summary(res)
+
+
+def q34_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D16 + H4: top 10 level-1 labels with their share of labelled articles."""
+    labelled = label_orders(spark, sf_dir).where(ql.has_categories("level1_categories_str")).select(
+        "pmid", "level1_categories_str")
+    counts = sp.label_counts(labelled)
+    return pf.top_k(counts, 10, "count", "category")
+
+
+def q35_split_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K8: rows per split."""
+    docs = Tables(spark, sf_dir).documents.select("doc_id")
+    return sp.split_sizes(sp.assign_splits(docs, "doc_id"))
+
+
+def q36_batch_info(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Chunks and distinct source files per request batch."""
+    reqs = ch.build_requests(turn_chunks(spark, sf_dir), MODEL)
+    batched = ch.assign_batches(reqs, ["source_file", "chunk_index"], REQUEST_BATCH)
+    info = ch.batch_info(batched)
+    return info.select("batch_no", "chunks", F.array_join("files", ",").alias("files"))
+
+
+def q37_bio_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """D18 + D20 + H5: errors per type and the validation summary, long form."""
+    toks, errs = _event_errors(spark, sf_dir)
+    by_type = bio.error_statistics(errs).select(
+        F.lit("error_type").alias("metric"), F.col("error_type").alias("key"), F.col("count").alias("value"))
+    summ = bio.validation_summary(bio.file_verdicts(toks, errs)).select(F.expr(
+        "stack(3, 'total_files', total_files, 'total_errors', total_errors, "
+        "'files_with_errors', files_with_errors) as (metric, value)")).select(
+        "metric", F.lit(None).cast("string").alias("key"), "value")
+    return by_type.unionByName(summ)
+
+
+def q38_strategy_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """I3 + D8: ids searched per strategy and ids new to the union."""
+    c = co.strategy_counts(order_strategies(Tables(spark, sf_dir)), "id")
+    return c.select("strategy", F.col("rank").cast("int").alias("rank"), "searched", "new")
+
+
+QUERIES.update({
+    "q31_language_summary": q31_language_summary,
+    "q32_thesaurus_stats": q32_thesaurus_stats,
+    "q33_translation_summary": q33_translation_summary,
+    "q34_label_counts": q34_label_counts,
+    "q35_split_sizes": q35_split_sizes,
+    "q36_batch_info": q36_batch_info,
+    "q37_bio_summary": q37_bio_summary,
+    "q38_strategy_counts": q38_strategy_counts,
+})

@@ -592,7 +592,8 @@ SELECT file || '__chunk_' || CAST(chunk_index AS VARCHAR) AS custom_id,
        CAST((row_number() OVER (ORDER BY file, chunk_index) - 1) // 100 AS INTEGER) AS batch_no,
        'POST' AS method, '/v1/chat/completions' AS url, 'translator-model' AS model, 2 AS n_messages,
        {_sql_str(head)} || {lines} || {note} || {_sql_str(tail)} AS prompt,
-       total_chunks
+       total_chunks,
+       CAST(floor(length({_sql_str(head)} || {lines} || {note} || {_sql_str(tail)}) / 4) AS BIGINT) AS est_tokens
 FROM chunks_t
 """
 
@@ -671,3 +672,97 @@ FROM pages
 """
 
 ORACLES.update({"q26_dataset_compare": Q26, "q26b_missing_files": Q26B, "q29_page_extract": Q29})
+
+
+def _q31() -> str:
+    lang = _lang_case("text")
+    return f"""
+WITH l AS (SELECT {lang} AS lang FROM documents)
+SELECT count(*) AS total,
+       count(*) FILTER (WHERE lang = 'spanish') AS spanish,
+       count(*) FILTER (WHERE lang = 'english') AS english,
+       count(*) - count(*) FILTER (WHERE lang = 'spanish') - count(*) FILTER (WHERE lang = 'english') AS other,
+       round(count(*) FILTER (WHERE lang = 'spanish') * 100.0 / count(*), 1) AS spanish_pct,
+       round(count(*) FILTER (WHERE lang = 'english') * 100.0 / count(*), 1) AS english_pct,
+       round((count(*) - count(*) FILTER (WHERE lang = 'spanish') - count(*) FILTER (WHERE lang = 'english')) * 100.0
+             / count(*), 1) AS other_pct
+FROM l
+"""
+
+
+Q32 = "WITH " + THESAURUS_TEMPLATE.replace("@DTREE@", DESCRIPTOR_TREE_MULTI) + """
+SELECT 'total_terms' AS metric, count(*) AS value FROM descriptor
+UNION ALL SELECT 'terms_with_tree_numbers', count(DISTINCT ui) FROM descriptor_tree
+UNION ALL SELECT 'total_categories', count(*) FROM tree_name
+UNION ALL SELECT 'main_categories', count(*) FILTER (WHERE length(code) = 1) FROM tree_name
+UNION ALL SELECT 'level2_categories', count(*) FILTER (WHERE NOT contains(code, '.') AND length(code) > 1) FROM tree_name
+UNION ALL SELECT 'exact_matches', count(*) FILTER (WHERE exact) FROM tree_name
+"""
+
+Q33 = "WITH q15 AS (" + Q15 + """)
+SELECT kind, count(*) FILTER (WHERE success) AS successful, count(*) FILTER (WHERE NOT success) AS failed,
+       count(*) AS total, round(count(*) FILTER (WHERE success) * 100.0 / count(*), 2) AS success_rate
+FROM q15 GROUP BY kind
+"""
+
+Q34 = "WITH " + LABEL_ORDERS_CTES + """,
+rows AS (SELECT pmid, list_transform(string_split(level1_names, ';'), lambda x: regexp_replace(x, '^\\s+|\\s+$', '', 'g')) AS cats
+         FROM named WHERE length(level1_names) > 0),
+total AS (SELECT count(*) AS n FROM rows),
+counts AS (SELECT c AS category, count(*) AS count FROM (SELECT unnest(cats) AS c FROM rows) GROUP BY c)
+SELECT category, count, (SELECT n FROM total) AS total_samples,
+       round(count * 100.0 / (SELECT n FROM total), 4) AS percentage
+FROM counts ORDER BY count DESC, category LIMIT 10
+"""
+
+Q35 = """
+WITH b AS (SELECT CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '#42'), 1, 8))::BIGINT % 10000 AS INTEGER) AS bucket
+           FROM documents)
+SELECT CASE WHEN bucket < 2000 THEN 'test' WHEN bucket < 3600 THEN 'val' ELSE 'train' END AS split, count(*) AS count
+FROM b GROUP BY 1
+"""
+
+
+def _q36() -> str:
+    src = "SELECT printf('c%05d_t%03d', conv_id, turn) AS file, text FROM conversations"
+    return "WITH RECURSIVE " + chunk_ctes(src, 50) + """,
+b AS (SELECT file, CAST((row_number() OVER (ORDER BY file, chunk_index) - 1) // 100 AS INTEGER) AS batch_no FROM chunks_t)
+SELECT batch_no, count(*) AS chunks, string_agg(DISTINCT file, ',' ORDER BY file) AS files FROM b GROUP BY batch_no
+"""
+
+
+Q37 = "WITH " + BIO_CTES + """,
+verdicts AS (SELECT t.file, count(e.file) AS total_errors
+             FROM (SELECT DISTINCT file FROM toks) t LEFT JOIN errs e USING (file) GROUP BY t.file)
+SELECT 'error_type' AS metric, error_type AS key, count(*) AS value FROM errs GROUP BY error_type
+UNION ALL SELECT 'total_files', NULL, count(*) FROM verdicts
+UNION ALL SELECT 'total_errors', NULL, sum(total_errors) FROM verdicts
+UNION ALL SELECT 'files_with_errors', NULL, count(*) FILTER (WHERE total_errors > 0) FROM verdicts
+"""
+
+Q38 = """
+WITH o AS (SELECT o_orderkey AS id, o_orderdate, o_custkey, o_orderpriority FROM orders),
+tagged AS (
+  SELECT id, 'date_range' AS strategy, 0 AS rank FROM o WHERE year(o_orderdate) BETWEEN 1995 AND 1997
+  UNION ALL
+  SELECT id, 'journals', 1 FROM o WHERE o_custkey IN
+    (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))
+  UNION ALL
+  SELECT id, 'subjects', 2 FROM o WHERE o_orderpriority = '1-URGENT'),
+winners AS (SELECT id, arg_min(strategy, rank) AS strategy FROM tagged GROUP BY id),
+searched AS (SELECT strategy, CAST(min(rank) AS INTEGER) AS rank, count(*) AS searched FROM tagged GROUP BY strategy),
+new AS (SELECT strategy, count(*) AS new FROM winners GROUP BY strategy)
+SELECT s.strategy, s.rank, s.searched, coalesce(n.new, 0) AS new FROM searched s LEFT JOIN new n USING (strategy)
+"""
+
+ORACLES.update({
+    "q22_request_lines": _q22(),
+    "q31_language_summary": _q31(),
+    "q32_thesaurus_stats": Q32,
+    "q33_translation_summary": Q33,
+    "q34_label_counts": Q34,
+    "q35_split_sizes": Q35,
+    "q36_batch_info": _q36(),
+    "q37_bio_summary": Q37,
+    "q38_strategy_counts": Q38,
+})
