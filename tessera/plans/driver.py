@@ -36,6 +36,14 @@ def label_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def materialized(df: DataFrame) -> DataFrame:
+    """Cut lineage for a result read by several aggregates (shared checkpoint folder)."""
+    from tessera.session import ensure_checkpoint_dir
+
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def q05_label_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _codes_as_text(label_orders(spark, sf_dir))
 
@@ -101,7 +109,7 @@ def q04_top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q06_coverage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = label_orders(spark, sf_dir)
+    labelled = materialized(label_orders(spark, sf_dir).select("pmid", "level1_categories_str", "spanish_abstract"))
     cov = pf.coverage_stats(labelled).select(F.expr(
         "stack(7, 'total_articles', cast(total_articles as double), "
         "'articles_with_categories', cast(articles_with_categories as double), "
@@ -416,7 +424,7 @@ from tessera.operators import splits as sp  # noqa: E402
 def q16_multilabel_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 over the labelled orders that have categories."""
     labelled = label_orders(spark, sf_dir).where(ql.has_categories("level1_categories_str"))
-    rows = labelled.select("pmid", "level1_categories_str")
+    rows = materialized(labelled.select("pmid", "level1_categories_str"))
     classes = sp.label_classes(rows)
     m = sp.multilabel_matrix(rows, classes)
     return m.withColumn("n_labels", F.size(sp.category_list("level1_categories_str")).cast("int")).drop(
@@ -596,8 +604,8 @@ def q33_translation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q34_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D16 + H4: top 10 level-1 labels with their share of labelled articles."""
-    labelled = label_orders(spark, sf_dir).where(ql.has_categories("level1_categories_str")).select(
-        "pmid", "level1_categories_str")
+    labelled = materialized(label_orders(spark, sf_dir).where(ql.has_categories("level1_categories_str")).select(
+        "pmid", "level1_categories_str"))
     counts = sp.label_counts(labelled)
     return pf.top_k(counts, 10, "count", "category")
 
