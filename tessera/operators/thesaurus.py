@@ -78,29 +78,38 @@ def tree_names(descriptor: DataFrame, descriptor_tree: DataFrame) -> DataFrame:
     to ``Category_<letter>`` for letters outside the fixed roots (E4).
     Output: ``code, name, exact`` (``exact`` marks E3 hits, used for the
     mapped-count report).
+
+    One aggregation does F1 and E3 together: every tree number is exploded
+    into its prefixes; a prefix row whose prefix *is* the tree number carries
+    the descriptor's order as the ``min_by`` key, so grouping by prefix gives
+    both the distinct closure and the first exact match by source order.
     """
     spark = descriptor.sparkSession
     roots = root_categories(spark)
+    named = descriptor.where(F.col("name").isNotNull() & (F.col("name") != "")).select("ui", "name")
+    rows = descriptor_tree.select(
+        "ui", "tree_number", "ord", F.explode(tree_prefixes(F.col("tree_number"))).alias("code")
+    ).join(named, "ui", "left")
+    hit = (F.col("code") == F.col("tree_number")) & F.col("name").isNotNull()
+    per_code = rows.groupBy("code").agg(F.min_by(F.col("name"), F.when(hit, F.col("ord"))).alias("exact_name"))
     # the 16 fixed roots are a literal table: broadcasting them is bounded
-    prefixes = prefix_closure(descriptor_tree).join(F.broadcast(roots.select("code")), "code", "left_anti")
-    exact = exact_tree_matches(descriptor, descriptor_tree)
     root_of = F.broadcast(roots.select(F.col("code").alias("root"), F.col("name").alias("root_name")))
-    named = (
-        prefixes.join(exact, "code", "left")
+    named_codes = (
+        per_code.join(F.broadcast(roots.select("code")), "code", "left_anti")
         .join(root_of, F.substring(F.col("code"), 1, 1) == F.col("root"), "left")
         .select(
             "code",
             F.coalesce(
-                F.col("name"),
+                F.col("exact_name"),
                 F.concat(
                     F.coalesce(F.col("root_name"), F.concat(F.lit("Category_"), F.substring("code", 1, 1))),
                     F.lit(" ("), F.col("code"), F.lit(")"),
                 ),
             ).alias("name"),
-            F.col("name").isNotNull().alias("exact"),
+            F.col("exact_name").isNotNull().alias("exact"),
         )
     )
-    return roots.withColumn("exact", F.lit(False)).unionByName(named)
+    return roots.withColumn("exact", F.lit(False)).unionByName(named_codes)
 
 
 # ---------------------------------------------------------------- D10

@@ -20,7 +20,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
 
 
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
@@ -63,8 +63,9 @@ def normalisation_map(
     if mode == "stem" or (lemma_table is None and stem_fn is not None):
         mapping = stem_vocabulary(vocab, stem_fn)
     else:
-        lemmas = checked_broadcast(lemma_table.select("token", "lemma"), broadcast_max_rows)
-        joined = vocab.join(lemmas, "token", "left")
+        # both sides are vocabulary-sized; the join strategy is left to AQE,
+        # which broadcasts at runtime when the shuffled lemma side is small
+        joined = vocab.join(lemma_table.select("token", "lemma"), "token", "left")
         if mode == "lemmatize":
             mapping = joined.where(F.col("lemma").isNotNull()).select("token", F.col("lemma").alias("norm"))
             if stem_fn is not None:

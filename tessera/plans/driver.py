@@ -131,7 +131,7 @@ def q09_stage_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D8 over three id 'strategies' (union all, then distinct), then the
     quality rules with the first-failed-rule attribution."""
     t = Tables(spark, sf_dir)
-    docs, labels = t.documents, t.labels
+    docs, labels = t.spread("documents", "doc_id"), t.labels
     s1 = docs.where(F.col("lang") == "en").select("doc_id")
     s2 = labels.select("doc_id")
     s3 = docs.where(F.col("n_chars") > 5000).select("doc_id")
