@@ -77,8 +77,10 @@ def with_previous_label(tokens: DataFrame, segment: Column | None = None) -> Dat
 
 def validate_tokens(tokens: DataFrame, segment: Column | None = None) -> DataFrame:
     """G1: long error table
-    ``(file, line_number, token, label, rule, error_type, description, suggested_fix)``."""
-    t = with_previous_label(tokens, segment)
+    ``(file, line_number, token, label, rule, error_type, description, suggested_fix)``.
+    A ``prev`` column already present (from
+    :func:`tessera.operators.ordered.positions_and_previous`) is used as is."""
+    t = tokens if "prev" in tokens.columns else with_previous_label(tokens, segment)
     return (
         t.select("file", F.col("ord").alias("line_number"), "token", "label",
                  F.explode(line_errors(F.col("label"), F.col("prev"))).alias("e"))

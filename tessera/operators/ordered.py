@@ -66,3 +66,38 @@ def previous_value(
         .withColumn(out, F.when(F.col("_first"), F.col("_carry")).otherwise(F.col(out)))
         .drop("_seg", "_first", "_carry")
     )
+
+
+def positions_and_previous(
+    df: DataFrame,
+    key: str,
+    order_cols: Sequence[str],
+    value_col: str,
+    segment: Column | None = None,
+    out_pos: str = "ord",
+    out_prev: str = "prev",
+) -> DataFrame:
+    """:func:`positions` and :func:`previous_value` in one pass: one window
+    per ``(key, segment)`` and one per-segment table (size and last value)
+    stitched with a single join."""
+    order = [F.col(c) for c in order_cols]
+    if segment is None:
+        w = Window.partitionBy(key).orderBy(*order)
+        return df.withColumn(out_pos, F.row_number().over(w)).withColumn(out_prev, F.lag(value_col).over(w))
+    w = Window.partitionBy(key, "_seg").orderBy(*order)
+    d = (df.withColumn("_seg", segment)
+         .withColumn("_local", F.row_number().over(w))
+         .withColumn(out_prev, F.lag(value_col).over(w)))
+    seg = d.groupBy(key, "_seg").agg(F.count("*").alias("_n"), F.max_by(value_col, F.struct(*order)).alias("_last"))
+    ws = Window.partitionBy(key).orderBy("_seg")
+    stitch = seg.select(
+        key, "_seg",
+        F.coalesce(F.sum("_n").over(ws.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"),
+        F.lag("_last").over(ws).alias("_carry"),
+    )
+    return (
+        d.join(stitch, [key, "_seg"])
+        .withColumn(out_pos, (F.col("_local") + F.col("_off")).cast("int"))
+        .withColumn(out_prev, F.when(F.col("_local") == 1, F.col("_carry")).otherwise(F.col(out_prev)))
+        .drop("_seg", "_local", "_off", "_carry")
+    )

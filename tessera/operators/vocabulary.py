@@ -91,7 +91,7 @@ def normalise_tokens(
     stem_fn: Callable[[str], str] | None = None,
     mode: str = "lemmatize",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    inline_max_rows: int = 2_000_000,
+    inline_max_rows: int = 500_000,
 ) -> DataFrame:
     """K1: ``basic`` (identity), ``stem``, ``lemmatize`` or ``both``;
     ``lemma_table`` has columns ``(token, lemma)``.  Returns ``df`` with

@@ -283,17 +283,21 @@ from tessera.operators.ordered import positions  # noqa: E402
 
 
 def event_token_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token rows ``(file, ord, token, label)``; positions are computed per
-    (user, day) and stitched, so a very active user is not one task."""
+    """Token rows ``(file, ord, token, label, prev)``; positions and previous
+    labels are computed per (user, day) and stitched, so a very active user
+    is not one task."""
+    from tessera.operators.ordered import positions_and_previous
+
     ev = mp.event_tokens(Tables(spark, sf_dir).events)
     day = F.date_trunc("day", F.col("ts"))
-    return positions(ev, "file", ["ts", "event_id"], segment=day).select("file", "ord", "token", "label", "ts")
+    return positions_and_previous(ev, "file", ["ts", "event_id"], "label", segment=day).select(
+        "file", "ord", "token", "label", "prev")
 
 
 def _event_errors(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     toks = event_token_rows(spark, sf_dir)
-    errs = bio.validate_tokens(toks, segment=F.date_trunc("day", F.col("ts")))
-    return toks.drop("ts"), errs
+    errs = bio.validate_tokens(toks)
+    return toks.drop("prev"), errs
 
 
 def q18_bio_errors(spark: SparkSession, sf_dir: str) -> DataFrame:

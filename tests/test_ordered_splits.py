@@ -41,3 +41,14 @@ def test_multilabel_matrix(spark):
     assert splits.category_column_name("Analytical, Diagnostic (x)-y") == "category_Analytical_Diagnostic_x_y"
     lc = {r["category"]: r for r in splits.label_counts(df).collect()}
     assert lc["Anatomy"]["count"] == 2 and lc["Anatomy"]["total_samples"] == 3
+
+
+def test_positions_and_previous_equal_windows(spark):
+    df = spark.range(0, 2000).select(
+        (F.col("id") % 4).cast("string").alias("k"), ((F.col("id") * 7919) % 2003).alias("o"),
+        (F.col("id") % 13).cast("string").alias("v"))
+    w = Window.partitionBy("k").orderBy("o")
+    plain = df.withColumn("ord", F.row_number().over(w)).withColumn("prev", F.lag("v").over(w))
+    seg = ordered.positions_and_previous(df, "k", ["o"], "v", segment=F.floor(F.col("o") / 61))
+    assert plain.exceptAll(seg.select("k", "o", "v", "ord", "prev")).count() == 0
+    assert seg.count() == 2000
