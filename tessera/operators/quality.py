@@ -86,6 +86,14 @@ def year_between(year: Column | str, lo: int, hi: int) -> Column:
     return _col(year).between(lo, hi)
 
 
+def date_in_years(date: Column | str, lo: int, hi: int) -> Column:
+    """C6 on a date/timestamp column, written as a range on the column itself
+    (``lo-01-01 <= d < (hi+1)-01-01``) so the predicate is pushed into the
+    parquet scan and prunes row groups, unlike ``year(d) BETWEEN lo AND hi``."""
+    d = _col(date)
+    return (d >= F.to_timestamp_ntz(F.lit(f"{lo:04d}-01-01"))) & (d < F.to_timestamp_ntz(F.lit(f"{hi + 1:04d}-01-01")))
+
+
 def member_of(df: DataFrame, key: str, values: DataFrame, values_key: str,
               broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
     """Rows whose ``key`` is in a list table (left semi join, list broadcast when small)."""

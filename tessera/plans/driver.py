@@ -176,7 +176,7 @@ def order_strategies(t: Tables) -> list[tuple[str, DataFrame]]:
     """Three id 'search strategies' over orders: a year range, a customer
     segment list (semi join) and a priority."""
     o = t.orders.select(F.col("o_orderkey").alias("id"), "o_orderdate", "o_custkey", "o_orderpriority")
-    by_year = o.where(ql.year_between(F.year("o_orderdate"), 1995, 1997)).select("id")
+    by_year = o.where(ql.date_in_years("o_orderdate", 1995, 1997)).select("id")
     segments = t.customer.where(F.col("c_mktsegment").isin("BUILDING", "MACHINERY")).select(
         F.col("c_custkey").alias("o_custkey"))
     by_segment = ql.member_of(o, "o_custkey", segments, "o_custkey").select("id")
@@ -199,7 +199,7 @@ def q27_membership_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     customers = ql.member_of(t.customer, "c_nationkey", nations, "c_nationkey").select(
         F.col("c_custkey").alias("o_custkey"))
     orders = t.orders.where(ql.all_of([
-        ql.year_between(F.year("o_orderdate"), 1994, 1996),
+        ql.date_in_years("o_orderdate", 1994, 1996),
         F.col("o_orderpriority").isin("1-URGENT", "2-HIGH"),
     ]))
     kept = ql.member_of(orders, "o_custkey", customers, "o_custkey")
