@@ -656,3 +656,56 @@ QUERIES.update({
     "q37_bio_summary": q37_bio_summary,
     "q38_strategy_counts": q38_strategy_counts,
 })
+
+
+# ---------------------------------------------------------------- Q39: XML records
+from tessera.sources import articles as art  # noqa: E402
+
+
+def order_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One ``PubmedArticle``-style XML record per order, rendered from the
+    tables: mixed-content title, a labelled and an unlabelled abstract
+    section, the order's lineitems as headings (major when returned), a
+    journal and a publication year; every 50th record is left unclosed."""
+    t = Tables(spark, sf_dir)
+    li = t.lineitem.select(
+        "l_orderkey", "l_linenumber",
+        F.format_string('<MeshHeading><DescriptorName UI="S%d" MajorTopicYN="%s">supplier %d</DescriptorName>'
+                        '<QualifierName UI="Q%d" MajorTopicYN="N">line</QualifierName></MeshHeading>',
+                        "l_suppkey", F.when(F.col("l_returnflag") == "R", "Y").otherwise("N"), "l_suppkey",
+                        "l_linenumber").alias("h"))
+    heads = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
+        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "h"))), lambda s: s["h"]), "")
+        .alias("headings"))
+    o = t.orders.join(heads, "o_orderkey", "left")
+    xml = F.concat(
+        F.lit("<PubmedArticle><MedlineCitation><PMID>"), F.col("o_orderkey").cast("string"), F.lit("</PMID><Article>"),
+        F.lit("<Journal><ISSN>"), F.col("o_custkey").cast("string"), F.lit("</ISSN><Title>"), F.col("o_orderpriority"),
+        F.lit("</Title></Journal><ArticleTitle>Order <i>"), F.col("o_orderstatus"),
+        F.lit("</i> &amp; more</ArticleTitle><Abstract><AbstractText Label=\"TOTAL\">"),
+        F.floor(F.col("o_totalprice") * 100).cast("string"),
+        F.lit(" cents</AbstractText><AbstractText>"), F.col("o_orderpriority"),
+        F.lit(" text</AbstractText></Abstract></Article><MeshHeadingList>"), F.coalesce("headings", F.lit("")),
+        F.lit("</MeshHeadingList></MedlineCitation><PubDate><Year>"), F.year("o_orderdate").cast("string"),
+        F.lit("</Year></PubDate>"),
+        F.when(F.col("o_orderkey") % 50 == 0, F.lit("")).otherwise(F.lit("</PubmedArticle>")),
+    )
+    return o.select(xml.alias("xml"))
+
+
+def q39_xml_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A2 gate + B1-B9 extraction + C1/C2 over XML records rendered from the tables."""
+    good, _bad = art.gate_records(order_xml_records(spark, sf_dir))
+    a = art.extract_articles(good)
+    return a.where(ql.require_abstract("abstract.has_content") & ql.require_terms("mesh_terms")).select(
+        F.col("pmid").cast("long").alias("pmid"), "title",
+        F.col("abstract.full_text").alias("full_text"), F.col("abstract.word_count").alias("word_count"),
+        F.col("abstract.structured").alias("structured"),
+        F.size("mesh_terms").alias("n_terms"),
+        F.size(F.filter("mesh_terms", lambda m: m["descriptor"]["major_topic"])).alias("n_major"),
+        F.col("journal.title").alias("journal_title"), F.col("journal.issn").alias("issn"),
+        art.publication_year(F.col("publication_info")).alias("year"),
+    )
+
+
+QUERIES.update({"q39_xml_extract": q39_xml_extract})

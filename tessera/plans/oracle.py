@@ -766,3 +766,19 @@ ORACLES.update({
     "q37_bio_summary": Q37,
     "q38_strategy_counts": Q38,
 })
+
+Q39 = """
+WITH li AS (SELECT l_orderkey, count(*) AS n_terms, count(*) FILTER (WHERE l_returnflag = 'R') AS n_major
+            FROM lineitem GROUP BY l_orderkey),
+t AS (SELECT *, 'TOTAL: ' || CAST(CAST(floor(o_totalprice * 100) AS BIGINT) AS VARCHAR) || ' cents' || chr(10) || chr(10)
+         || o_orderpriority || ' text' AS full_text FROM orders)
+SELECT o.o_orderkey AS pmid, 'Order ' || o.o_orderstatus || ' & more' AS title, o.full_text,
+       CAST(""" + WORD_COUNT.format(c="o.full_text") + """ AS INTEGER) AS word_count, true AS structured,
+       CAST(li.n_terms AS INTEGER) AS n_terms, CAST(li.n_major AS INTEGER) AS n_major,
+       o.o_orderpriority AS journal_title, CAST(o.o_custkey AS VARCHAR) AS issn,
+       CAST(year(o.o_orderdate) AS INTEGER) AS year
+FROM t o JOIN li ON li.l_orderkey = o.o_orderkey
+WHERE o.o_orderkey % 50 <> 0
+"""
+
+ORACLES.update({"q39_xml_extract": Q39})

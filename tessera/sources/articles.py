@@ -5,12 +5,13 @@ which keeps input splitting parallel for large files.  Each record is first
 gated with the permissive ``from_xml`` parser -- malformed records go to a
 quarantine frame instead of failing the job, because ``xpath_*`` throws on
 malformed input -- and then projected with ``xpath_*`` functions:
-``xpath_string`` returns the full descendant text (mixed content such as
-``Foo <i>x</i> bar`` is kept in order and entities are decoded), which the
-XML data source with inferred or declared struct schemas does not.
-Repeated elements (abstract sections, headings, authors, ids, keywords) are
-cut into per-element fragments with a regex and each fragment is queried
-with ``xpath_string`` -- element paths in ``xpath`` return nulls.
+each element is cut out as a fragment with a regex; attributes and leading
+text (the ElementTree ``.text``) are read from the fragment with regexes and
+the predefined entities decoded, so no XML parse is needed for them.  Only
+mixed-content fields (title, abstract sections) use ``xpath_string`` -- on
+the small fragment, not the whole record -- because it returns all
+descendant text in order (``Foo <i>x</i> bar``), which the XML data source
+with inferred or declared struct schemas does not.
 """
 
 from __future__ import annotations
@@ -106,18 +107,57 @@ def _x(xml: Column, path: str) -> Column:
     return F.xpath_string(xml, F.lit(path))
 
 
-def _present(xml: Column, path: str) -> Column:
-    return F.xpath_boolean(xml, F.lit(path))
+# --- fixed values: the XML predefined entities (ampersand decoded last) ---
+_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
 
 
-def node_text(xml: Column, path: str) -> Column:
-    """B1: all descendant text of the first node at ``path``, stripped, '' if absent."""
-    return F.coalesce(tx.strip_ws(_x(xml, path)), F.lit(""))
+def decode_xml_text(t: Column) -> Column:
+    """Character data of a well-formed record -> text.  The predefined
+    entities are replaced directly; text with numeric character references
+    is handed to the XML parser (rare, so the parse cost is rare too)."""
+    plain = t
+    for ent, ch in _ENTITIES:
+        plain = F.replace(plain, F.lit(ent), F.lit(ch))
+    parsed = F.xpath_string(F.concat(F.lit("<x>"), t, F.lit("</x>")), F.lit("/x"))
+    return F.when(~t.contains("&"), t).when(t.contains("&#"), parsed).otherwise(plain)
 
 
-def leading_text(frag: Column, path: str) -> Column:
-    """Text before the first child element of the node at ``path`` (null if none)."""
-    return F.nullif(_x(frag, f"{path}/text()[1]"), F.lit(""))
+def _start_tag(frag: Column, tag: str) -> Column:
+    return F.regexp_extract(frag, rf"^<{tag}(?:\s[^>]*)?/?>", 0)
+
+
+def attribute(frag: Column, tag: str, name: str) -> Column:
+    """Value of attribute ``name`` on the fragment's root element, ``''`` if absent
+    (one anchored regex over the start tag; either quote style)."""
+    quoted = F.regexp_extract(frag, rf"""^<{tag}\s[^>]*?\b{name}\s*=\s*("[^"]*"|'[^']*')""", 1)
+    return decode_xml_text(F.substring(quoted, 2, F.greatest(F.length(quoted) - 2, F.lit(0))))
+
+
+def leading_text(frag: Column, tag: str) -> Column:
+    """Text of the fragment's root element before its first child element
+    (the ElementTree ``.text``); null for an empty or self-closing element."""
+    raw = F.regexp_extract(frag, rf"^<{tag}(?:\s[^>]*)?>([^<]*)", 1)
+    return F.nullif(decode_xml_text(raw), F.lit(""))
+
+
+def all_text(frag: Column, tag: str) -> Column:
+    """All descendant text of the fragment's root element, entities decoded.
+    Plain character data is decoded directly; content with child elements
+    (mixed content such as ``Foo <i>x</i> bar``) goes through one XPath over
+    the small fragment, which keeps all text runs in order."""
+    inner = F.regexp_extract(frag, rf"(?s)^<{tag}(?:\s[^>]*)?>(.*)</{tag}>$", 1)
+    return (F.when(frag == "", F.lit(None).cast("string"))
+            .when(~inner.contains("<"), decode_xml_text(inner))
+            .otherwise(_x(frag, f"/{tag}")))
+
+
+def has_child(frag: Column, child: str) -> Column:
+    return frag.rlike(rf"<{child}[\s/>]")
+
+
+def node_text(xml: Column, tag: str) -> Column:
+    """B1: all descendant text of the first ``tag`` element, stripped, '' if absent."""
+    return F.coalesce(tx.strip_ws(all_text(_first_fragment(xml, tag), tag)), F.lit(""))
 
 
 def extract_abstract(xml: Column) -> Column:
@@ -125,8 +165,8 @@ def extract_abstract(xml: Column) -> Column:
     blocks = F.regexp_extract_all(xml, F.lit(r"(?s)<Abstract(?:\s[^>]*)?>.*?</Abstract>"), 0)
     frags = F.flatten(F.transform(blocks, lambda b: _fragments(b, "AbstractText")))
     raw = F.transform(frags, lambda f: F.struct(
-        tx.strip_ws(_x(f, "/AbstractText/@Label")).alias("label"),
-        tx.strip_ws(_x(f, "/AbstractText")).alias("content")))
+        tx.strip_ws(attribute(f, "AbstractText", "Label")).alias("label"),
+        F.coalesce(tx.strip_ws(all_text(f, "AbstractText")), F.lit("")).alias("content")))
     kept = F.filter(raw, lambda s: s["content"] != "")
     full = F.array_join(F.transform(kept, lambda s: F.when(
         s["label"] != "", F.concat(s["label"], F.lit(": "), s["content"])).otherwise(s["content"])), "\n\n")
@@ -145,15 +185,15 @@ def extract_abstract(xml: Column) -> Column:
 
 def _named_flag(frag: Column, elem: str) -> Column:
     return F.struct(
-        leading_text(frag, f"/{elem}").alias("name"),
-        _x(frag, f"/{elem}/@UI").alias("ui"),
-        (_x(frag, f"/{elem}/@MajorTopicYN") == "Y").alias("major_topic"),
+        leading_text(frag, elem).alias("name"),
+        attribute(frag, elem, "UI").alias("ui"),
+        (attribute(frag, elem, "MajorTopicYN") == "Y").alias("major_topic"),
     )
 
 
 def extract_mesh_terms(xml: Column) -> Column:
     """Headings that have a descriptor, with their qualifiers."""
-    heads = F.filter(_fragments(xml, "MeshHeading"), lambda h: _present(h, "/MeshHeading/DescriptorName"))
+    heads = F.filter(_fragments(xml, "MeshHeading"), lambda h: has_child(h, "DescriptorName"))
     return F.transform(heads, lambda h: F.struct(
         _named_flag(_first_fragment(h, "DescriptorName"), "DescriptorName").alias("descriptor"),
         F.transform(_fragments(h, "QualifierName"), lambda q: _named_flag(q, "QualifierName")).alias("qualifiers"),
@@ -166,7 +206,7 @@ def extract_journal(xml: Column) -> Column:
     has = j != ""
 
     def field(tag):
-        return F.when(has, leading_text(_first_fragment(j, tag), f"/{tag}"))
+        return F.when(has, leading_text(_first_fragment(j, tag), tag))
 
     return F.struct(field("Title").alias("title"), field("ISOAbbreviation").alias("iso_abbreviation"),
                     field("ISSN").alias("issn"))
@@ -175,11 +215,10 @@ def extract_journal(xml: Column) -> Column:
 def extract_authors(xml: Column) -> Column:
     """Authors of the first author list with at least one name element."""
     lst = _first_fragment(xml, "AuthorList")
-    auths = F.filter(_fragments(lst, "Author"),
-                     lambda a: _present(a, "/Author/LastName") | _present(a, "/Author/ForeName"))
+    auths = F.filter(_fragments(lst, "Author"), lambda a: has_child(a, "LastName") | has_child(a, "ForeName"))
     return F.transform(auths, lambda a: F.struct(
-        leading_text(a, "/Author/LastName").alias("last_name"),
-        leading_text(a, "/Author/ForeName").alias("first_name")))
+        leading_text(_first_fragment(a, "LastName"), "LastName").alias("last_name"),
+        leading_text(_first_fragment(a, "ForeName"), "ForeName").alias("first_name")))
 
 
 def extract_publication(xml: Column) -> Column:
@@ -187,8 +226,9 @@ def extract_publication(xml: Column) -> Column:
     integer year when it is all digits) and month."""
     d = _first_fragment(xml, "PubDate")
     return F.struct(
-        F.when(_present(d, "/PubDate/Year"), F.coalesce(leading_text(d, "/PubDate/Year"), F.lit(""))).alias("year"),
-        F.when(_present(d, "/PubDate/Month"), leading_text(d, "/PubDate/Month")).alias("month"),
+        F.when(has_child(d, "Year"), F.coalesce(leading_text(_first_fragment(d, "Year"), "Year"), F.lit("")))
+        .alias("year"),
+        F.when(has_child(d, "Month"), leading_text(_first_fragment(d, "Month"), "Month")).alias("month"),
     )
 
 
@@ -199,7 +239,7 @@ def extract_identifiers(xml: Column, article_ids_only: bool = True) -> Column:
     scope = _first_fragment(_first_fragment(xml, "PubmedData"), "ArticleIdList") if article_ids_only else xml
     frags = _fragments(scope, "ArticleId")
     pairs = F.transform(frags, lambda f, i: F.struct(
-        _x(f, "/ArticleId/@IdType").alias("k"), leading_text(f, "/ArticleId").alias("v"), i.alias("pos")))
+        attribute(f, "ArticleId", "IdType").alias("k"), leading_text(f, "ArticleId").alias("v"), i.alias("pos")))
     pairs = F.filter(pairs, lambda p: (p["k"] != "") & p["v"].isNotNull())
     last = F.filter(pairs, lambda p: ~F.exists(pairs, lambda q: (q["k"] == p["k"]) & (q["pos"] > p["pos"])))
     return F.map_from_entries(F.transform(last, lambda p: F.struct(p["k"], p["v"])))
@@ -209,7 +249,7 @@ def extract_keywords(xml: Column) -> Column:
     """Stripped leading text of every ``Keyword`` of every ``KeywordList``."""
     lists = F.regexp_extract_all(xml, F.lit(r"(?s)<KeywordList(?:\s[^>]*)?>.*?</KeywordList>"), 0)
     kws = F.flatten(F.transform(lists, lambda b: _fragments(b, "Keyword")))
-    texts = F.transform(kws, lambda k: leading_text(k, "/Keyword"))
+    texts = F.transform(kws, lambda k: leading_text(k, "Keyword"))
     return F.transform(F.filter(texts, lambda t: t.isNotNull()), tx.strip_ws)
 
 
@@ -217,8 +257,8 @@ def extract_articles(records: DataFrame, article_ids_only: bool = True) -> DataF
     """Every well-formed record -> article row (before quality filters)."""
     x = F.col("xml")
     a = records.select(
-        node_text(x, "//PMID").alias("pmid"),
-        node_text(x, "//ArticleTitle").alias("title"),
+        F.coalesce(tx.strip_ws(leading_text(_first_fragment(x, "PMID"), "PMID")), F.lit("")).alias("pmid"),
+        node_text(x, "ArticleTitle").alias("title"),
         extract_abstract(x).alias("abstract"),
         extract_journal(x).alias("journal"),
         extract_authors(x).alias("authors"),
