@@ -677,7 +677,7 @@ def order_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "h"))), lambda s: s["h"]), "")
         .alias("headings"))
-    o = t.orders.join(heads, "o_orderkey", "left")
+    o = t.spread("orders", "o_orderkey").join(heads, "o_orderkey", "left")
     xml = F.concat(
         F.lit("<PubmedArticle><MedlineCitation><PMID>"), F.col("o_orderkey").cast("string"), F.lit("</PMID><Article>"),
         F.lit("<Journal><ISSN>"), F.col("o_custkey").cast("string"), F.lit("</ISSN><Title>"), F.col("o_orderpriority"),

@@ -141,13 +141,16 @@ def leading_text(frag: Column, tag: str) -> Column:
 
 
 def all_text(frag: Column, tag: str) -> Column:
-    """All descendant text of the fragment's root element, entities decoded.
-    Plain character data is decoded directly; content with child elements
-    (mixed content such as ``Foo <i>x</i> bar``) goes through one XPath over
-    the small fragment, which keeps all text runs in order."""
+    """All descendant text of the fragment's root element, entities decoded,
+    mixed content (``Foo <i>x</i> bar``) kept in order."""
     inner = F.regexp_extract(frag, rf"(?s)^<{tag}(?:\s[^>]*)?>(.*)</{tag}>$", 1)
+    # In a well-formed record, removing the tags of child elements leaves the
+    # text runs in document order; only CDATA sections, comments and
+    # processing instructions need the XML parser.
+    needs_parser = inner.contains("<!") | inner.contains("<?")
     return (F.when(frag == "", F.lit(None).cast("string"))
             .when(~inner.contains("<"), decode_xml_text(inner))
+            .when(~needs_parser, decode_xml_text(F.regexp_replace(inner, r"<[^>]*>", "")))
             .otherwise(_x(frag, f"/{tag}")))
 
 

@@ -66,3 +66,11 @@ def test_token_files(spark, tmp_path):
     # Spark's file sources plan no split for zero-length files, so empty files
     # are not listed (they are never admitted as token files either).
     assert names == ["PMC1.nersuite", "a.nersuite", "b.nersuite", "mac.nersuite"]
+
+
+def test_all_text_paths(spark):
+    df = spark.createDataFrame([
+        ("<T>plain &amp; simple</T>",), ("<T>Foo <i>x</i> &lt;bar&gt;</T>",), ("<T>a<![CDATA[<b>]]>c</T>",),
+        ("<T>num &#233;t&#xE9;</T>",), ("<T/>",), ("<T a='1'>q<!-- c -->r</T>",)], "f string")
+    got = [r[0] for r in df.select(articles.all_text(F.col("f"), "T")).collect()]
+    assert got == ["plain & simple", "Foo x <bar>", "a<b>c", "num été", "", "qr"]
