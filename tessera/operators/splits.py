@@ -67,16 +67,12 @@ def assign_splits(df: DataFrame, id_col: str, seed: int = fv.SPLIT_SEED,
 def assign_splits_exact(df: DataFrame, id_col: str, seed: int = fv.SPLIT_SEED,
                         test: float = fv.TEST_FRACTION, val: float = fv.VAL_FRACTION) -> DataFrame:
     """K6, exact-size mode: rows ordered by ``(bucket, id)`` and cut at exact
-    counts (test = ceil(n * test), val = ceil(rest * val)).  The dense index
-    comes from ``zipWithIndex`` on the range-partitioned sort, which numbers
-    partitions in parallel (one count job, no single-partition window)."""
-    spark = df.sparkSession
-    ordered = df.withColumn("bucket", split_bucket(id_col, seed)).orderBy("bucket", id_col)
-    schema = ordered.schema
-    indexed = ordered.rdd.zipWithIndex().map(lambda r: (*r[0], r[1]))
-    from pyspark.sql.types import LongType, StructField, StructType
-
-    out = spark.createDataFrame(indexed, StructType(schema.fields + [StructField("_idx", LongType(), False)]))
+    counts (test = ceil(n * test), val = ceil(rest * val)).  The dense index is
+    computed without a single-partition window (see ``chunking.dense_index``)."""
+    from tessera.operators.chunking import dense_index
+
+    with_bucket = df.withColumn("bucket", split_bucket(id_col, seed))
+    out = dense_index(with_bucket, ["bucket", id_col], "_idx")
     n = df.count()
     n_test = -(-n * int(test * 1000) // 1000)
     n_val = -(-(n - n_test) * int(val * 1000) // 1000)
