@@ -23,6 +23,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Checkpoint files of DataFrames that are no longer referenced are removed.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # Parquet/JSON files are split into ~128 MB input partitions.
     "spark.sql.files.maxPartitionBytes": str(128 * 1024 * 1024),
 }

@@ -82,3 +82,13 @@ def test_compare_datasets(spark, tmp_path):
         (b / n).write_text("1")
     c = corpus.compare_datasets(spark, str(a), str(b), str(tmp_path / "cmp")).first()
     assert (c["size_a"], c["size_b"], c["common"], c["only_a"], c["only_b"]) == (2, 2, 1, 1, 1)
+
+
+def test_collect_corpus(spark, tmp_path):
+    out = str(tmp_path / "corpus")
+    counters = corpus.collect_corpus(spark, os.path.join(FIX, "articles.xml"), out)
+    assert counters["total"] == 3 and counters["malformed"] == 1
+    assert counters["dropped_no_abstract"] == 1 and counters["final"] == 0  # fixture abstracts are short
+    stats = spark.read.json(os.path.join(out, "statistics")).first()
+    assert stats["total_articles"] == 0
+    assert spark.read.parquet(os.path.join(out, "articles")).count() == 0
