@@ -143,3 +143,12 @@ def label_frequency(exploded: DataFrame, label: str, total: int | None = None) -
     if total is not None:
         return counts.withColumn("percentage", F.round(F.col("count") * 100.0 / F.lit(total), 4))
     return counts
+
+
+# ---------------------------------------------------------------- J14
+def report_format(df: DataFrame, counts: list[str] = (), percents: list[str] = ()) -> DataFrame:
+    """Report text -- counts with thousands separators (``1,234``),
+    percentages with one decimal (``12.5``)."""
+    cols = {c: F.format_number(F.col(c), 0) for c in counts}
+    cols.update({p: F.format_string("%.1f", F.col(p)) for p in percents})
+    return df.withColumns(cols)

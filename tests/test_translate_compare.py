@@ -49,3 +49,11 @@ def test_compare(spark):
     assert (c["size_a"], c["size_b"], c["common"], c["only_a"], c["only_b"]) == (30, 35, 25, 5, 10)
     prev = compare.missing_preview(m, "only_b", n=3).collect()
     assert len(prev) == 6
+
+
+def test_report_format(spark):
+    from tessera.operators import profile
+
+    df = spark.createDataFrame([(1234567, 12.345)], "n long, p double")
+    r = profile.report_format(df, ["n"], ["p"]).first()
+    assert r["n"] == "1,234,567" and r["p"] == "12.3"
