@@ -132,12 +132,14 @@ def thesaurus_stats(descriptor: DataFrame, descriptor_tree: DataFrame, tree_name
 
 
 # ---------------------------------------------------------------- E1 / E2 / F5
-def ui_categories(descriptor_tree: DataFrame, tree_name: DataFrame) -> DataFrame:
+def ui_categories(descriptor_tree: DataFrame, tree_name: DataFrame, small: bool = False) -> DataFrame:
     """E1 + F4 + E2: ``ui -> (level, code, name)``, distinct.
 
     Level-1 and level-2 codes of every tree number of a descriptor, named
     through ``tree_name`` with the ``Unknown_<code>`` default.  The table is
     sized by the thesaurus, so it is the broadcast side of the labelling join.
+    ``small`` (the tree-number table was proven small, so its prefix table is
+    too) broadcasts the name table instead of shuffling both sides.
     """
     tn = F.col("tree_number")
     levels = descriptor_tree.select(
@@ -150,12 +152,26 @@ def ui_categories(descriptor_tree: DataFrame, tree_name: DataFrame) -> DataFrame
         ).alias("lc"),
     ).select("ui", "lc.level", "lc.code").where(F.col("code") != "").distinct()
     names = tree_name.select("code", F.col("name").alias("tname"))
+    if small:
+        names = F.broadcast(names)
     return levels.join(names, "code", "left").select(
         "ui", "level", "code",
         F.coalesce("tname", F.concat(F.lit("Unknown_"), F.col("code"))).alias("name"),
     )
 
 
+MAX_TREE_DEPTH = 20
+
+
+def _thesaurus_bounds(descriptor_tree: DataFrame, broadcast_max_rows: int) -> tuple[bool, bool]:
+    """One bounded count of the tree-number table gives both broadcast bounds:
+    the ui-category table has at most 2 rows per tree number; the prefix-name
+    table at most ``MAX_TREE_DEPTH`` rows per tree number."""
+    limit = broadcast_max_rows // 2
+    n = descriptor_tree.select(F.lit(1)).limit(limit + 1).count()
+    return n <= limit, n * MAX_TREE_DEPTH <= broadcast_max_rows
+
+
 def major_descriptor_ids(mesh_terms: Column) -> Column:
     """C11 + dedup: distinct non-empty descriptor ids of major-topic headings.
     Qualifier-level major flags are ignored."""
@@ -169,22 +185,22 @@ def categories_per_article(
     ui_cats: DataFrame,
     id_col: str = "pmid",
     broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    descriptor_tree: DataFrame | None = None,
+    small: bool | None = None,
 ) -> DataFrame:
     """F5 + F6 over a long table of ``(id, ui)`` major headings (duplicates allowed).
 
     Output per id: sorted distinct level-1/level-2 codes, their names in code
     order, and the number of distinct major ids (unknown ids count too).
 
-    ``ui_cats`` has at most two rows per tree number, so when
-    ``descriptor_tree`` is given its (cheap, stored) row count bounds the
-    broadcast side instead of counting the derived table.
+    ``ui_cats`` has at most two rows per tree number, so when the caller has
+    proven the tree-number table small (``small``) that bound covers the
+    broadcast side without counting the derived table; otherwise the derived
+    table itself is checked.
     """
-    if descriptor_tree is not None:
-        small = row_count_at_most(descriptor_tree, broadcast_max_rows // 2)
-        cats = F.broadcast(ui_cats) if small else ui_cats
-    else:
+    if small is None:
         cats = checked_broadcast(ui_cats, broadcast_max_rows)
+    else:
+        cats = F.broadcast(ui_cats) if small else ui_cats
     joined = majors.select(id_col, "ui").join(cats, "ui", "left")
     pair = F.struct(F.col("code"), F.col("name"))
     agg = joined.groupBy(id_col).agg(
@@ -245,8 +261,9 @@ def label_articles(
     majors = articles.select(
         "pmid", F.explode(major_descriptor_ids(F.col("mesh_terms"))).alias("ui")
     )
-    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name), "pmid", broadcast_max_rows,
-                                  descriptor_tree)
+    small_cats, small_names = _thesaurus_bounds(descriptor_tree, broadcast_max_rows)
+    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name, small_names), "pmid",
+                                  broadcast_max_rows, small=small_cats)
     return attach_categories(article_row_projection(articles), cats, "pmid")
 
 
@@ -263,6 +280,7 @@ def label_from_terms(
     majors = terms.where(
         F.coalesce(F.col("major_topic"), F.lit(False)) & F.col("ui").isNotNull() & (F.col("ui") != "")
     ).select(id_col, "ui")
-    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name), id_col, broadcast_max_rows,
-                                  descriptor_tree)
+    small_cats, small_names = _thesaurus_bounds(descriptor_tree, broadcast_max_rows)
+    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name, small_names), id_col,
+                                  broadcast_max_rows, small=small_cats)
     return attach_categories(articles, cats, id_col)
