@@ -71,3 +71,38 @@ def test_top_errors_per_file(spark):
     toks = _tokens(spark, ["X"] * 25)
     top = bio.top_errors_per_file(bio.validate_tokens(toks), 10).collect()
     assert len(top) == 10 and all(r["more"] == 15 and r["file_errors"] == 25 for r in top)
+
+
+def _py_errors(labels):
+    """Sequential statement of the G1 rules (previous label only)."""
+    out, prev = [], None
+    for i, lab in enumerate(labels, 1):
+        bi = lab.startswith("B-") or lab.startswith("I-")
+        if lab != "O" and not bi:
+            out.append((i, "INVALID_LABEL_FORMAT", "O"))
+        else:
+            t = lab[2:]
+            if lab.startswith("I-"):
+                if prev is None or prev == "O":
+                    out.append((i, "ORPHAN_I_TAG", "B-" + t))
+                elif (prev.startswith("B-") or prev.startswith("I-")) and prev[2:] != t:
+                    out.append((i, "ENTITY_TYPE_MISMATCH", "B-" + t))
+            if bi and t == "":
+                out.append((i, "EMPTY_ENTITY_TYPE", "O"))
+        prev = lab
+    return out
+
+
+def test_rules_random_against_loop(spark):
+    import random
+
+    rnd = random.Random(11)
+    choices = ["O", "B-a", "I-a", "B-b", "I-b", "B-", "I-", "X", "b-a"]
+    files = {f"f{k}": [rnd.choice(choices) for _ in range(rnd.randint(1, 40))] for k in range(60)}
+    rows = [(f, i + 1, "t", lab) for f, labs in files.items() for i, lab in enumerate(labs)]
+    toks = spark.createDataFrame(rows, "file string, ord int, token string, label string")
+    got = {}
+    for r in bio.validate_tokens(toks).orderBy("file", "line_number", "rule").collect():
+        got.setdefault(r["file"], []).append((r["line_number"], r["error_type"], r["suggested_fix"]))
+    for f, labs in files.items():
+        assert got.get(f, []) == _py_errors(labs), f
