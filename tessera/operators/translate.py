@@ -7,10 +7,10 @@ size = ``spark.sql.execution.arrow.maxRecordsPerBatch``).  A failing batch is
 retried item by item so one bad item does not fail its neighbours; each item
 gets ``(text, success, error)``.
 
-Abstracts are translated sentence by sentence: sentences are exploded with
-their position, translated as independent rows (spread over all tasks), and
-re-assembled per article in position order; an article fails if any of its
-sentences failed.
+Abstracts are translated sentence by sentence inside the row: the sentences
+of the articles in one Arrow batch are flattened, translated in batches and
+re-joined per article in order -- no explode and no regroup shuffle; an
+article fails if any of its sentences failed.
 """
 
 from __future__ import annotations
@@ -61,6 +61,37 @@ def translator_udf(factory: TranslatorFactory):
     return _translate
 
 
+def sentences_translator_udf(factory: TranslatorFactory, batch_size: int = 64):
+    """K10 + K11 in the row: ``array<sentence> -> struct<text, success, error>``.
+
+    The sentences of all articles in an Arrow batch are flattened and sent to
+    the translator in batches of ``batch_size`` (isolating failing items), then
+    re-joined per article in order.  An article fails when any of its
+    sentences failed; its text is then ``''``.  No explode / regroup shuffle."""
+
+    @F.pandas_udf(RESULT_TYPE)
+    def _translate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        fn = factory()
+        for arrays in batches:
+            lists = [list(a) if a is not None else [] for a in arrays]
+            flat = [s for lst in lists for s in lst]
+            results = []
+            for i in range(0, len(flat), batch_size):
+                results.extend(_translate_batch(fn, flat[i:i + batch_size]))
+            out, pos = [], 0
+            for lst in lists:
+                part = results[pos:pos + len(lst)]
+                pos += len(lst)
+                failed = [r for r in part if not r[1]]
+                if failed:
+                    out.append(("", False, failed[0][2]))
+                else:
+                    out.append((" ".join(r[0] for r in part), True, None))
+            yield pd.DataFrame(out, columns=["text", "success", "error"])
+
+    return _translate
+
+
 # ---------------------------------------------------------------- C9, C10, I6, E8
 def translation_queue(
     articles: DataFrame,
@@ -105,37 +136,19 @@ def translation_queue(
 
 
 # ---------------------------------------------------------------- K11, K12
-def translate_items(queue: DataFrame, id_col: str, factory: TranslatorFactory) -> DataFrame:
-    """Translate a queue.  Abstract items go sentence by sentence and
-    are re-assembled; title items are translated whole.  Output
-    ``(id, kind, source_text, original_title, text, success, error)``."""
-    udf = translator_udf(factory)
-    abstracts = queue.where(F.col("kind") == "abstract")
-    # outer form + null filter: no inferred size() filter re-running the splitter
-    sentences = abstracts.select(
-        id_col, "kind", F.posexplode_outer(tx.split_sentences("source_text")).alias("pos", "sentence")
-    ).where(F.col("pos").isNotNull())
-    done = sentences.withColumn("r", udf(F.col("sentence")))
-    per_article = done.groupBy(id_col, "kind").agg(
-        F.sort_array(F.collect_list(F.struct("pos", F.col("r.text").alias("t")))).alias("parts"),
-        F.bool_and("r.success").alias("success"),
-        F.first(F.when(~F.col("r.success"), F.col("r.error")), ignorenulls=True).alias("error"),
-    )
-    assembled = per_article.select(
-        id_col, "kind",
-        F.when(F.col("success"), tx.join_sentences(F.transform("parts", lambda p: p["t"]))).otherwise(F.lit("")).alias("text"),
-        "success", "error",
-    )
-    abs_out = abstracts.join(assembled, [id_col, "kind"], "left").select(
-        id_col, "kind", "source_text", "original_title",
-        # an abstract with no sentence left after splitting translates to ''
-        F.coalesce("text", F.lit("")).alias("text"),
-        F.coalesce("success", F.lit(True)).alias("success"), "error",
-    )
-    titles = queue.where(F.col("kind") == "title").withColumn("r", udf(F.col("source_text"))).select(
+def translate_items(queue: DataFrame, id_col: str, factory: TranslatorFactory, batch_size: int = 64) -> DataFrame:
+    """Translate a queue.  Abstract items are split into sentences
+    and translated sentence by sentence inside the row (see
+    :func:`sentences_translator_udf`); title items are translated whole.
+    Output ``(id, kind, source_text, original_title, text, success, error)``."""
+    per_sentence = sentences_translator_udf(factory, batch_size)
+    whole = translator_udf(factory)
+    abstracts = queue.where(F.col("kind") == "abstract").withColumn(
+        "r", per_sentence(tx.split_sentences("source_text")))
+    titles = queue.where(F.col("kind") == "title").withColumn("r", whole(F.col("source_text")))
+    return abstracts.unionByName(titles).select(
         id_col, "kind", "source_text", "original_title",
         F.col("r.text").alias("text"), F.col("r.success").alias("success"), F.col("r.error").alias("error"))
-    return abs_out.unionByName(titles)
 
 
 def translation_struct(results: DataFrame, model: str, batch_size: int | None = None) -> DataFrame:
