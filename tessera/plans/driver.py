@@ -339,20 +339,21 @@ from tessera.sources import tokens as tk  # noqa: E402
 
 
 def event_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events rendered as token-file lines: full layout (4 columns), simple
-    layout (2 columns), a leading-tab simple line, blank lines and lines
-    without a tab, by ``event_id % 8``."""
-    ev = mp.event_tokens(Tables(spark, sf_dir).events)
+    """Events rendered as token-file lines by event type: full layout (4
+    columns) for signups and views, simple layout (2 columns) for clicks,
+    leading-tab or 3-column simple lines for purchases, and blank lines or
+    lines without a tab for errors."""
+    ev = mp.event_tokens(Tables(spark, sf_dir).events).withColumn("value", F.col("value"))
     day = F.date_trunc("day", F.col("ts"))
     ev = positions(ev, "file", ["ts", "event_id"], segment=day, out="line_no")
-    k = F.col("event_id") % 8
+    tok = F.col("token")
     line = (
-        F.when(k.isin(0, 4), F.concat_ws("\t", "label", F.lit("x"), F.lit("y"), "token"))
-        .when(k.isin(1, 5), F.concat_ws("\t", "token", "label"))
-        .when(k == 2, F.concat(F.lit("\t"), F.col("token"), F.lit("\t"), F.col("label")))
-        .when(k == 3, F.lit("   "))
-        .when(k == 6, F.concat_ws("\t", "token", "label", F.lit("extra")))
-        .otherwise(F.col("token"))
+        F.when(tok.isin("signup", "view"), F.concat_ws("\t", "label", F.lit("x"), F.lit("y"), "token"))
+        .when(tok == "click", F.concat_ws("\t", "token", "label"))
+        .when((tok == "purchase") & (F.col("value") < 10), F.concat(F.lit("\t"), tok, F.lit("\t"), F.col("label")))
+        .when(tok == "purchase", F.concat_ws("\t", "token", "label", F.lit("extra")))
+        .when(F.col("value") < 5, F.lit("   "))
+        .otherwise(tok)
     )
     return ev.select("file", "line_no", line.alias("line"))
 
@@ -371,10 +372,10 @@ from tessera.operators import translate as trn  # noqa: E402
 
 
 def document_articles(documents: DataFrame) -> DataFrame:
-    """Documents as articles: abstract = text, title = first line (every third
-    one wrapped as ``[title].`` so title cleaning matters)."""
+    """Documents as articles: abstract = text, title = first line (French
+    documents' titles wrapped as ``[title].`` so title cleaning matters)."""
     first_line = F.substring_index("text", "\n", 1)
-    title = F.when(F.col("doc_id") % 3 == 0, F.concat(F.lit("["), first_line, F.lit("]."))).otherwise(first_line)
+    title = F.when(F.col("lang") == "fr", F.concat(F.lit("["), first_line, F.lit("]."))).otherwise(first_line)
     return documents.select(
         "doc_id", "text", title.alias("title"),
         tx.detect_language("text", ES_WORDS, EN_WORDS).alias("abstract_language"),
@@ -497,9 +498,9 @@ def q22_request_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 def conversation_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Result lines for every (conversation, turn) chunk, as JSON text parsed
     back with the declared schema: the turn text with spaces turned into tabs
-    is the response content; ``(conv_id + turn) % 7 = 3`` answers 500."""
+    is the response content; system turns answer 500."""
     conv = Tables(spark, sf_dir).conversations
-    status = F.when((F.col("conv_id") + F.col("turn")) % 7 == 3, F.lit(500)).otherwise(F.lit(200))
+    status = F.when(F.col("role") == "system", F.lit(500)).otherwise(F.lit(200))
     rec = F.struct(
         ch.chunk_custom_id(F.col("conv_id"), F.col("turn")).alias("custom_id"),
         F.struct(
@@ -549,7 +550,7 @@ def _file_names(df: DataFrame) -> DataFrame:
 
 def dataset_members(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    a = _file_names(t.documents.where(F.col("doc_id") % 2 == 0))
+    a = _file_names(t.documents)
     b = _file_names(t.labels)
     return cmp.membership(a, b)
 
@@ -666,7 +667,8 @@ def order_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One ``PubmedArticle``-style XML record per order, rendered from the
     tables: mixed-content title, a labelled and an unlabelled abstract
     section, the order's lineitems as headings (major when returned), a
-    journal and a publication year; every 50th record is left unclosed."""
+    journal and a publication year; records of low-priority pending orders
+    are left unclosed (malformed)."""
     t = Tables(spark, sf_dir)
     li = t.lineitem.select(
         "l_orderkey", "l_linenumber",
@@ -688,7 +690,8 @@ def order_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" text</AbstractText></Abstract></Article><MeshHeadingList>"), F.coalesce("headings", F.lit("")),
         F.lit("</MeshHeadingList></MedlineCitation><PubDate><Year>"), F.year("o_orderdate").cast("string"),
         F.lit("</Year></PubDate>"),
-        F.when(F.col("o_orderkey") % 50 == 0, F.lit("")).otherwise(F.lit("</PubmedArticle>")),
+        F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"), F.lit(""))
+        .otherwise(F.lit("</PubmedArticle>")),
     )
     return o.select(xml.alias("xml"))
 

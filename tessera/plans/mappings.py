@@ -50,18 +50,18 @@ def nation_descriptor_tree(nation: DataFrame) -> DataFrame:
 
 def nation_descriptor_tree_multi(nation: DataFrame) -> DataFrame:
     """Richer thesaurus for the hierarchy query: besides the main tree number,
-    even nations also sit directly on their level-2 node (so several
+    nations of regions 0-2 also sit directly on their level-2 node (so several
     descriptors share that tree number and the first by ``ord`` must win) and
-    every fifth nation has a number under the non-root letter ``Q`` (so the
+    nations of region 4 have a number under the non-root letter ``Q`` (so the
     ``Category_<letter>`` fallback is exercised)."""
     nk = F.col("n_nationkey")
     main = nation.select(nk.cast("string").alias("ui"), nation_tree_number().alias("tree_number"), nk.cast("long").alias("ord"))
-    level2 = nation.where(nk % 2 == 0).select(
+    level2 = nation.where(F.col("n_regionkey") <= 2).select(
         nk.cast("string").alias("ui"),
         F.concat(F.chr(F.lit(65) + F.col("n_regionkey")), F.lpad((nk % 7).cast("string"), 2, "0")).alias("tree_number"),
         nk.cast("long").alias("ord"),
     )
-    q = nation.where(nk % 5 == 0).select(
+    q = nation.where(F.col("n_regionkey") == 4).select(
         nk.cast("string").alias("ui"),
         F.concat(F.lit("Q"), F.lpad(F.col("n_regionkey").cast("string"), 2, "0"), F.lit("."),
                  F.lpad(nk.cast("string"), 3, "0")).alias("tree_number"),
@@ -114,4 +114,5 @@ def event_tokens(events: DataFrame) -> DataFrame:
         F.col("event_id"),
         F.col("event_type").alias("token"),
         bio_label().alias("label"),
+        F.col("value"),
     )

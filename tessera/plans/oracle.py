@@ -28,11 +28,11 @@ DESCRIPTOR_TREE_SIMPLE = f"""
 DESCRIPTOR_TREE_MULTI = DESCRIPTOR_TREE_SIMPLE + """
   UNION ALL
   SELECT CAST(n_nationkey AS VARCHAR), chr(65 + n_regionkey) || lpad(CAST(n_nationkey % 7 AS VARCHAR), 2, '0'),
-         CAST(n_nationkey AS BIGINT) FROM nation WHERE n_nationkey % 2 = 0
+         CAST(n_nationkey AS BIGINT) FROM nation WHERE n_regionkey <= 2
   UNION ALL
   SELECT CAST(n_nationkey AS VARCHAR), 'Q' || lpad(CAST(n_regionkey AS VARCHAR), 2, '0') || '.' ||
          lpad(CAST(n_nationkey AS VARCHAR), 3, '0'),
-         CAST(n_nationkey AS BIGINT) FROM nation WHERE n_nationkey % 5 = 0"""
+         CAST(n_nationkey AS BIGINT) FROM nation WHERE n_regionkey = 4"""
 
 THESAURUS_TEMPLATE = f"""
 roots(code, name) AS (VALUES {ROOTS_VALUES}),
@@ -412,7 +412,7 @@ ORACLES.update({
 
 Q28 = """
 WITH ev AS (
-  SELECT CAST(user_id AS VARCHAR) AS file, event_id, event_type AS token,
+  SELECT CAST(user_id AS VARCHAR) AS file, event_id, event_type AS token, value,
          CASE WHEN value < 1 THEN 'I-' WHEN event_type = 'signup' THEN 'B-A' WHEN event_type = 'view' THEN 'I-A'
               WHEN event_type = 'click' THEN 'I-B' WHEN event_type = 'purchase' THEN 'O'
               WHEN event_type = 'error' THEN 'ERR' ELSE event_type END AS label,
@@ -420,11 +420,11 @@ WITH ev AS (
   FROM events),
 lines AS (
   SELECT file, line_no,
-    CASE WHEN event_id % 8 IN (0, 4) THEN label || chr(9) || 'x' || chr(9) || 'y' || chr(9) || token
-         WHEN event_id % 8 IN (1, 5) THEN token || chr(9) || label
-         WHEN event_id % 8 = 2 THEN chr(9) || token || chr(9) || label
-         WHEN event_id % 8 = 3 THEN '   '
-         WHEN event_id % 8 = 6 THEN token || chr(9) || label || chr(9) || 'extra'
+    CASE WHEN token IN ('signup', 'view') THEN label || chr(9) || 'x' || chr(9) || 'y' || chr(9) || token
+         WHEN token = 'click' THEN token || chr(9) || label
+         WHEN token = 'purchase' AND value < 10 THEN chr(9) || token || chr(9) || label
+         WHEN token = 'purchase' THEN token || chr(9) || label || chr(9) || 'extra'
+         WHEN value < 5 THEN '   '
          ELSE token END AS line
   FROM ev),
 parsed AS (
@@ -463,7 +463,7 @@ def _clean_title_sql(src: str) -> str:
 QUEUE_CTES = f"""
 arts AS (
   SELECT doc_id, text,
-         CASE WHEN doc_id % 3 = 0 THEN '[' || split_part(text, chr(10), 1) || '].' ELSE split_part(text, chr(10), 1) END AS title,
+         CASE WHEN lang = 'fr' THEN '[' || split_part(text, chr(10), 1) || '].' ELSE split_part(text, chr(10), 1) END AS title,
          {_lang_case('text')} AS abstract_language,
          {HAS_CONTENT.format(c='text')} AS has_content
   FROM documents),
@@ -601,7 +601,7 @@ FROM chunks_t
 RESULTS_CTE = """
 res AS (
   SELECT conv_id, turn, CAST(conv_id AS VARCHAR) || '__chunk_' || CAST(turn AS VARCHAR) AS custom_id,
-         CASE WHEN (conv_id + turn) % 7 = 3 THEN 500 ELSE 200 END AS status_code,
+         CASE WHEN role = 'system' THEN 500 ELSE 200 END AS status_code,
          replace(text, ' ', chr(9)) AS content
   FROM conversations)
 """
@@ -628,7 +628,7 @@ SELECT custom_id, conv_id, CAST(turn AS INTEGER) AS turn FROM res WHERE status_c
 ORACLES.update({"q22_request_lines": _q22(), "q23_chunk_documents": Q23, "q24_reassemble": Q24, "q25_retry_set": Q25})
 
 MEMBERS_CTE = """
-a AS (SELECT DISTINCT printf('doc_%06d.nersuite', doc_id) AS name FROM documents WHERE doc_id % 2 = 0),
+a AS (SELECT DISTINCT printf('doc_%06d.nersuite', doc_id) AS name FROM documents),
 b AS (SELECT DISTINCT printf('doc_%06d.nersuite', doc_id) AS name FROM labels),
 m AS (SELECT coalesce(a.name, b.name) AS name, a.name IS NOT NULL AS in_a, b.name IS NOT NULL AS in_b
       FROM a FULL OUTER JOIN b ON a.name = b.name)
@@ -778,7 +778,7 @@ SELECT o.o_orderkey AS pmid, 'Order ' || o.o_orderstatus || ' & more' AS title,
        o.o_orderpriority AS journal_title, CAST(o.o_custkey AS VARCHAR) AS issn,
        CAST(year(o.o_orderdate) AS INTEGER) AS year
 FROM t o JOIN li ON li.l_orderkey = o.o_orderkey
-WHERE o.o_orderkey % 50 <> 0
+WHERE NOT (o.o_orderpriority = '5-LOW' AND o.o_orderstatus = 'P')
 """
 
 ORACLES.update({"q39_xml_extract": Q39})
