@@ -21,8 +21,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import checked_broadcast
-
 
 def nation_tree_number() -> Column:
     return F.concat(
@@ -83,9 +81,12 @@ def order_articles(orders: DataFrame) -> DataFrame:
 
 def order_terms(lineitem: DataFrame, supplier: DataFrame) -> DataFrame:
     """Long heading table ``(pmid, ui, major_topic)``; only major rows are read
-    (the flag predicate is pushed into the lineitem scan)."""
+    (the flag predicate is pushed into the lineitem scan).  The supplier side
+    is a plain file scan, so the planner's own size check (file statistics
+    against the broadcast threshold) decides the broadcast; a large supplier
+    table is joined by shuffle."""
     li = lineitem.where(F.col("l_returnflag") == "R").select("l_orderkey", "l_suppkey")
-    sup = checked_broadcast(supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"))
+    sup = supplier.select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey")
     return li.join(sup, "l_suppkey").select(
         F.col("l_orderkey").alias("pmid"),
         F.col("s_nationkey").cast("string").alias("ui"),
