@@ -16,7 +16,6 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions import text as tx
 from tessera.operators import bio, chunking, compare, profile, requests, splits, textprep, thesaurus, translate
 from tessera.session import ensure_checkpoint_dir
 from tessera.sinks import writers
@@ -188,5 +187,5 @@ def document_text_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 __all__ = [
     "collect_corpus", "label_dataset", "create_split", "translate_dataset", "validate_directory",
-    "make_requests", "ingest_results", "compare_datasets", "document_text_profile", "tx",
+    "make_requests", "ingest_results", "compare_datasets", "document_text_profile",
 ]
