@@ -33,8 +33,11 @@ def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = N
     core.  On large inputs the scan already has more splits and this is a
     no-op, so no shuffle is added at scale.  Hash partitioning on ``key``
     (an id) is deterministic without the pre-sort a round-robin needs."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() >= target:
+            return df
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the plan as is
         return df
     from tessera.session import ensure_checkpoint_dir
 
