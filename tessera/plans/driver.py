@@ -560,7 +560,8 @@ def q26_dataset_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q26b_missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = dataset_members(spark, sf_dir)
+    # the membership table feeds four top-k scans: computed once
+    m = materialized(dataset_members(spark, sf_dir))
     a = cmp.missing_preview(m, "only_a").withColumn("side", F.lit("only_a"))
     b = cmp.missing_preview(m, "only_b").withColumn("side", F.lit("only_b"))
     return a.unionByName(b).select("side", "name", "part")
