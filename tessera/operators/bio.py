@@ -126,17 +126,30 @@ def error_statistics(errors: DataFrame) -> DataFrame:
     return errors.groupBy("error_type").agg(F.count("*").alias("count"))
 
 
-def file_verdicts(tokens: DataFrame, errors: DataFrame) -> DataFrame:
-    """Per file ``total_lines, total_errors, is_valid`` and the entity counts map."""
-    lines = tokens.groupBy("file").agg(
-        F.count("*").alias("total_lines"),
-        F.count_if(is_begin(F.col("label"))).alias("total_entities"),
-    )
-    errs = errors.groupBy("file").agg(F.count("*").alias("total_errors"))
+def file_verdicts(tokens: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """Per file ``total_lines, total_errors, is_valid`` and the entity counts map.
+
+    When the token rows carry ``prev`` (the previous label), the errors of a
+    line are counted in the row and summed in the same aggregation as the
+    line counts -- one shuffle less than aggregating the error table."""
+    if "prev" in tokens.columns:
+        lines = tokens.groupBy("file").agg(
+            F.count("*").alias("total_lines"),
+            F.count_if(is_begin(F.col("label"))).alias("total_entities"),
+            F.sum(F.size(line_errors(F.col("label"), F.col("prev")))).alias("total_errors"),
+        )
+        errs = None
+    else:
+        lines = tokens.groupBy("file").agg(
+            F.count("*").alias("total_lines"),
+            F.count_if(is_begin(F.col("label"))).alias("total_entities"),
+        )
+        errs = errors.groupBy("file").agg(F.count("*").alias("total_errors"))
     ents = entity_counts(tokens).groupBy("file").agg(
         F.map_from_entries(F.collect_list(F.struct("entity_type", "count"))).alias("entity_counts"))
+    joined = lines if errs is None else lines.join(errs, "file", "left")
     return (
-        lines.join(errs, "file", "left").join(ents, "file", "left")
+        joined.join(ents, "file", "left")
         .select(
             "file", "total_lines", F.coalesce("total_errors", F.lit(0)).alias("total_errors"),
             (F.coalesce("total_errors", F.lit(0)) == 0).alias("is_valid"),

@@ -306,8 +306,7 @@ def q18_bio_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q19_bio_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    toks, errs = _event_errors(spark, sf_dir)
-    v = bio.file_verdicts(toks, errs)
+    v = bio.file_verdicts(event_token_rows(spark, sf_dir))
     return v.select(
         "file", "total_lines", "total_errors", "is_valid", "total_entities",
         F.array_join(F.transform(F.sort_array(F.map_entries("entity_counts")),
@@ -635,7 +634,7 @@ def q37_bio_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     toks, errs = _event_errors(spark, sf_dir)
     by_type = bio.error_statistics(errs).select(
         F.lit("error_type").alias("metric"), F.col("error_type").alias("key"), F.col("count").alias("value"))
-    summ = bio.validation_summary(bio.file_verdicts(toks, errs)).select(F.expr(
+    summ = bio.validation_summary(bio.file_verdicts(event_token_rows(spark, sf_dir))).select(F.expr(
         "stack(3, 'total_files', total_files, 'total_errors', total_errors, "
         "'files_with_errors', files_with_errors) as (metric, value)")).select(
         "metric", F.lit(None).cast("string").alias("key"), "value")
