@@ -89,9 +89,16 @@ def validate_tokens(tokens: DataFrame, segment: Column | None = None) -> DataFra
 
 
 # ---------------------------------------------------------------- K13
-def repair_labels(tokens: DataFrame, errors: DataFrame) -> DataFrame:
+def repair_labels(tokens: DataFrame, errors: DataFrame | None = None) -> DataFrame:
     """One pass on the original labels; when a line has several errors the
-    last rule's fix wins.  Output ``(file, ord, token, label, fixed_label)``."""
+    last rule's fix wins.  Output ``(file, ord, token, label, fixed_label)``.
+
+    With ``prev`` on the token rows the fix is taken from the line's own error
+    array (its last element) -- no error table, no join; otherwise the error
+    table is reduced per line and joined back."""
+    if "prev" in tokens.columns:
+        last = F.try_element_at(line_errors(F.col("label"), F.col("prev")), F.lit(-1))
+        return tokens.withColumn("fixed_label", F.coalesce(last["suggested_fix"], F.col("label"))).drop("prev")
     fixes = errors.where(F.col("suggested_fix").isNotNull()).groupBy("file", "line_number").agg(
         F.max_by("suggested_fix", "rule").alias("fix"))
     return (

@@ -33,7 +33,8 @@ def parse_result_json(lines: DataFrame, col: str = "value") -> DataFrame:
 
 
 def result_content(response: Column) -> Column:
-    return response["body"]["choices"][0]["message"]["content"]
+    """Text of the first choice (null when there is none)."""
+    return F.try_element_at(response["body"]["choices"], F.lit(1))["message"]["content"]
 
 
 def parse_translation(content: Column) -> Column:

@@ -315,8 +315,7 @@ def q19_bio_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q20_bio_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
-    toks, errs = _event_errors(spark, sf_dir)
-    return bio.repair_labels(toks, errs).select("file", "ord", "token", "label", "fixed_label")
+    return bio.repair_labels(event_token_rows(spark, sf_dir)).select("file", "ord", "token", "label", "fixed_label")
 
 
 def q21_bio_top_errors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -469,8 +468,8 @@ def q23_chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return c.select(
         "source_file", "chunk_index", "total_chunks", "start", "end",
         F.size("tokens").alias("n_tokens"),
-        F.col("tokens")[0]["token"].alias("first_token"),
-        F.element_at("tokens", -1)["token"].alias("last_token"),
+        F.try_element_at("tokens", F.lit(1))["token"].alias("first_token"),
+        F.try_element_at("tokens", F.lit(-1))["token"].alias("last_token"),
     )
 
 

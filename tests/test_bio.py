@@ -106,3 +106,16 @@ def test_rules_random_against_loop(spark):
         got.setdefault(r["file"], []).append((r["line_number"], r["error_type"], r["suggested_fix"]))
     for f, labs in files.items():
         assert got.get(f, []) == _py_errors(labs), f
+
+
+def test_repair_in_row_equals_join(spark):
+    from tessera.operators.ordered import positions_and_previous
+
+    labels = ["O", "I-", "X", "I-a", "B-a", "I-b", "I-b", "B-", "I-c"] * 5
+    rows = [("f", i + 1, "t", lab) for i, lab in enumerate(labels)]
+    toks = spark.createDataFrame(rows, "file string, ord int, token string, label string")
+    joined = bio.repair_labels(toks, bio.validate_tokens(toks)).select("ord", "fixed_label")
+    with_prev = positions_and_previous(toks.drop("ord").withColumn("o", F.monotonically_increasing_id()),
+                                       "file", ["o"], "label").drop("o")
+    in_row = bio.repair_labels(with_prev).select("ord", "fixed_label")
+    assert sorted(joined.collect()) == sorted(in_row.collect())
