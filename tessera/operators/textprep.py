@@ -7,11 +7,7 @@ Spark ML's ``StopWordsRemover`` (a JVM hash-set lookup, O(tokens)) instead of
 
 from __future__ import annotations
 
-import glob
-import os
-import zipfile
 from collections.abc import Sequence
-from functools import lru_cache
 
 from pyspark.ml.feature import StopWordsRemover
 from pyspark.sql import DataFrame
@@ -20,25 +16,12 @@ from pyspark.sql import functions as F
 from tessera import fixed_values as fv
 from tessera.functions import text as tx
 from tessera.operators import profile as pf
-
-
-@lru_cache(maxsize=None)
-def default_stopwords(language: str = "spanish") -> tuple[str, ...]:
-    """Spark's bundled stopword list for ``language`` (read from the Spark ML
-    jar, so no JVM is needed -- the same list ``StopWordsRemover`` loads)."""
-    import pyspark
-
-    jars = glob.glob(os.path.join(os.path.dirname(pyspark.__file__), "jars", "spark-mllib_*.jar"))
-    if jars:
-        with zipfile.ZipFile(jars[0]) as z:
-            data = z.read(f"org/apache/spark/ml/feature/stopwords/{language}.txt").decode("utf-8")
-        return tuple(w for w in data.split("\n") if w)
-    return tuple(StopWordsRemover.loadDefaultStopWords(language))
+from tessera.stopwords import spanish_standard
 
 
 def spanish_stopwords() -> list[str]:
     """K2: the standard Spanish list plus the extra academic words."""
-    return list(dict.fromkeys(list(default_stopwords("spanish")) + fv.EXTRA_SPANISH_STOPWORDS))
+    return list(dict.fromkeys([*spanish_standard(), *fv.EXTRA_SPANISH_STOPWORDS]))
 
 
 def preprocess_columns(

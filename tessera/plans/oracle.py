@@ -7,6 +7,7 @@ DuckDB 2.0 wants ``lambda x: ...`` for list lambdas.  Counts are cast to
 from __future__ import annotations
 
 from tessera import fixed_values as fv
+from tessera.stopwords import spanish_standard
 
 
 def _sql_str(s: str) -> str:
@@ -286,9 +287,8 @@ FROM documents
 
 
 def _stopword_list_sql() -> str:
-    from tessera.operators.textprep import spanish_stopwords
-
-    return "[" + ", ".join(_sql_str(w) for w in spanish_stopwords()) + "]"
+    words = dict.fromkeys([*spanish_standard(), *fv.EXTRA_SPANISH_STOPWORDS])
+    return "[" + ", ".join(_sql_str(w) for w in words) + "]"
 
 
 CLEAN = ("regexp_replace(regexp_replace(regexp_replace(lower(coalesce({c}, '')), '[^\\p{{L}}\\p{{N}}_\\s]', ' ', 'g'), "

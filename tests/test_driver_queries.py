@@ -4,6 +4,7 @@ plus the entry smoke check at sf0.001."""
 import pytest
 
 import __spark_entry__ as entry
+from tessera.plans import driver
 from tessera.plans.check import compare, duckdb_connection
 
 from conftest import SF001, SF01
@@ -18,10 +19,10 @@ def con():
 
 
 def test_every_query_has_an_oracle():
-    assert set(QUERIES) == set(ORACLES)
+    assert set(driver.QUERIES) <= set(ORACLES)
 
 
-@pytest.mark.parametrize("name", sorted(QUERIES))
+@pytest.mark.parametrize("name", sorted(driver.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     r = compare(spark, name, QUERIES[name], ORACLES[name], SF01, con)
     assert r.ok, f"{name}: spark={r.spark_rows} oracle={r.oracle_rows} {r.detail}"
