@@ -2,15 +2,23 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_quality, token_counts, url_rules
+from tessera.llm import line_quality, packing, simhash_blocks, token_counts, url_rules
 from tessera.llm.common import table
 
 
+def op4_packing(spark, sf_dir):
+    return packing.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op6_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict", "n_blocking")
 
 
+def op8_simhash(spark, sf_dir):
+    return simhash_blocks.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op9_line_quality(spark, sf_dir):
     return line_quality.judge_documents(table(spark, sf_dir, "documents"))
 
@@ -21,7 +29,9 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op4_packing": op4_packing,
     "op6_url_filter": op6_url_filter,
+    "op8_simhash": op8_simhash,
     "op9_line_quality": op9_line_quality,
     "op10_token_counts": op10_token_counts,
 }

@@ -25,7 +25,7 @@ from pyspark.sql import types as T
 
 #: Characters up to here have the same class in every Unicode table in use;
 #: above, characters assigned lately may count as letters in one table only.
-SETTLED = "՗"
+SETTLED = "\u0557"
 
 
 class PieceCounter:
