@@ -18,6 +18,7 @@ bucket, so a length that holds a third of all pieces is ranked in many parts.
 
 from __future__ import annotations
 
+import os
 import re
 import zlib
 from collections import Counter
@@ -54,16 +55,28 @@ class WordIds:
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian unsigned 32-bit numbers."""
+        if text.isascii() and "<|" not in text:  # lower-casing first changes no id then
+            text = text.lower()
         words = self.split_at(text) if any(c in text for c in NOT_SPACE) else text.split()
-        missing = list(set(words) - self.ids.keys())
+        distinct = set(words)
+        missing = distinct.difference(self.ids)
         if missing:
             if len(self.ids) + len(missing) > self.max_lookup:
                 self.ids.clear()
-                missing = list(set(words))
-            for word, e in zip(missing, self.tokenizer.encode_batch_fast(missing, add_special_tokens=False)):
-                self.ids[word] = np.array(e.ids, dtype="<u4").tobytes()
+                missing = distinct
+            self.learn(missing)
         return b"".join(map(self.ids.__getitem__, words))
 
+    def learn(self, words: set[str]) -> None:
+        """Look words up in the tokenizer.  A last point or comma after a letter
+        is a pre-token of its own, so such a word has the ids of both parts."""
+        ended = {w: w[:-1] for w in words if w.endswith((".", ",")) and w[-2:-1].isalpha() and w[-2] < "\u0250"}
+        plain = list(words.difference(ended).union(ended.values(), ".,").difference(self.ids))
+        for word, e in zip(plain, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
+            self.ids[word] = np.array(e.ids, dtype="<u4").tobytes()
+        for word, stem in ended.items():
+            self.ids[word] = self.ids[stem] + self.ids[word[-1]]
+
 
 def token_pieces(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity: int = CAPACITY,
                  text: str = "text", doc_id: str = "doc_id") -> DataFrame:
@@ -76,6 +89,7 @@ def token_pieces(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         ids = WordIds(public_tokenizers.path(file_name))
         for batch in batches:
             owner, piece, length, crc = [], [], [], []

@@ -2,19 +2,33 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_quality, packing, simhash_blocks, token_counts, url_rules
+from tessera.llm import line_quality, mixing, packing, secret_links, simhash_blocks, token_counts, toxicity, url_rules
 from tessera.llm.common import table
 
 
+def op2_toxicity(spark, sf_dir):
+    return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
 
+def op5_mixing(spark, sf_dir):
+    drawn = mixing.sample_documents(table(spark, sf_dir, "documents"))
+    return drawn.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
+
+
 def op6_url_filter(spark, sf_dir):
     pages = table(spark, sf_dir, "pages").select("page_id", "url")
     return url_rules.judge_urls(pages).select("page_id", "host", "path", "rule", "verdict", "n_blocking")
 
 
+def op7_secret_scan(spark, sf_dir):
+    found = secret_links.find_secrets(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256", "spans")
+
+
 def op8_simhash(spark, sf_dir):
     return simhash_blocks.near_duplicates(table(spark, sf_dir, "documents"))
 
@@ -29,8 +43,11 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op2_toxicity": op2_toxicity,
     "op4_packing": op4_packing,
+    "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,
+    "op7_secret_scan": op7_secret_scan,
     "op8_simhash": op8_simhash,
     "op9_line_quality": op9_line_quality,
     "op10_token_counts": op10_token_counts,

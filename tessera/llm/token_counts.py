@@ -14,6 +14,7 @@ full, which changes no result): a corpus-wide lookup would shuffle one row per
 
 from __future__ import annotations
 
+import os
 import unicodedata
 from collections import Counter
 from collections.abc import Iterator
@@ -58,7 +59,7 @@ class PieceCounter:
         freq = Counter(self.find(parts[0]))
         for part in parts[1:]:
             freq.update(self.find(part))
-        missing = list(freq.keys() - self.pieces.keys())
+        missing = list(set(freq).difference(self.pieces))
         if missing:
             if len(self.pieces) + len(missing) > self.max_lookup:
                 self.pieces.clear()
@@ -74,6 +75,7 @@ def token_count(text: Column, file_name: str, max_lookup: int = 400_000) -> Colu
     def n_tokens(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         import public_tokenizers
 
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         counter = PieceCounter(public_tokenizers.path(file_name), public_tokenizers.PATTERN, max_lookup)
         for texts in batches:
             yield pd.Series([counter.count(t or "") for t in texts], dtype="int64")

@@ -35,3 +35,30 @@ def components(links, nodes):
                 out[x] = start
                 todo += near[x]
     return out
+
+
+BASE = [
+    ("assign", re.compile(r"""([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|"""
+                          r"""[Aa][Pp][Ii]_?[Kk][Ee][Yy])["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""), 2, 6),
+    ("access", re.compile(r"AKIA[A-Z0-9]+"), 0, 20),
+    ("hex", re.compile(r"[0-9a-f]+"), 0, 24),
+]
+
+
+def base_secrets(text):
+    """Sorted (start, kind number, end) of the base patterns."""
+    return sorted((m.start(), k, m.end()) for k, (_, p, g, n) in enumerate(BASE) for m in p.finditer(text or "") if len(m[g]) >= n)
+
+
+def base_text(spans):
+    return ",".join(f"{BASE[k][0]}:{s}:{e}" for s, k, e in spans)
+
+
+def simhash(text, n=3):
+    import xxhash
+
+    low = (text or "").translate({i: i + 32 for i in range(65, 91)})
+    w = words(low)
+    grams = [w] if 0 < len(w) < n else [w[i:i + n] for i in range(len(w) - n + 1)]
+    h = [xxhash.xxh64_intdigest(" ".join(g).encode(), 42) for g in grams]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
