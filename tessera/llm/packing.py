@@ -70,7 +70,7 @@ class WordIds:
     def learn(self, words: set[str]) -> None:
         """Look words up in the tokenizer.  A last point or comma after a letter
         is a pre-token of its own, so such a word has the ids of both parts."""
-        ended = {w: w[:-1] for w in words if w.endswith((".", ",")) and w[-2:-1].isalpha() and w[-2] < "\u0250"}
+        ended = {w: w[:-1] for w in words if w.endswith((".", ",")) and w[-2:-1].isalpha() and w[-2] < "\u0250" and w[-2] != "\u0130"}
         plain = list(words.difference(ended).union(ended.values(), ".,").difference(self.ids))
         for word, e in zip(plain, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
             self.ids[word] = np.array(e.ids, dtype="<u4").tobytes()
