@@ -46,3 +46,15 @@ def connected_components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"components not settled after {max_rounds} rounds")
     members = edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
     return members.unionByName(members.select(F.col("root").alias("node"), "root").distinct())
+
+
+def component_ids(nodes: DataFrame, links: DataFrame) -> DataFrame:
+    """Rows ``node, component_id`` for each row of ``nodes`` (``node``, a long
+    without repeats, and ``id``): the smallest id of the node's component, null
+    ids left out; a node without links has its own id."""
+    roots = connected_components(links).withColumnRenamed("node", "n")
+    linked = stage(nodes.join(roots, nodes["node"] == roots["n"]).select("node", "id", "root"), "linked_nodes")
+    least = stage(linked.groupBy(F.col("root").alias("r")).agg(F.min("id").alias("least")), "component_least")
+    named = stage(linked.join(least, linked["root"] == least["r"]).select(F.col("node").alias("n"), "least"), "named_nodes")
+    own = nodes.join(named, nodes["node"] == named["n"], "left")
+    return stage(own.select("node", F.coalesce("least", "id").alias("component_id")), "component_ids")

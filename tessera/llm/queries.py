@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_quality, mixing, packing, secret_links, simhash_blocks, token_counts, toxicity, url_rules
+from tessera.llm import line_quality, mixing, packing, secret_links, simhash_blocks, token_counts, toxicity, url_rules, vector_graph
 from tessera.llm.common import table
 
 
+def op1_embedding_dedup(spark, sf_dir):
+    return vector_graph.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
 def op2_toxicity(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -43,6 +47,7 @@ def op10_token_counts(spark, sf_dir):
 
 
 QUERIES = {
+    "op1_embedding_dedup": op1_embedding_dedup,
     "op2_toxicity": op2_toxicity,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tessera.llm.common import stage
-from tessera.llm.components import connected_components
+from tessera.llm.components import component_ids
 
 BITS = 64
 SEED = 42
@@ -155,9 +155,6 @@ def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, text:
     columns are left out."""
     prints = stage(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
     reps = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct_fingerprints")
-    roots = connected_components(close_pairs(reps.select("fp"), distance))
-    linked = stage(reps.join(roots, reps["fp"] == roots["node"]).select("fp", "low", "root"), "linked_fingerprints")
-    least = stage(linked.groupBy(F.col("root").alias("r")).agg(F.min("low").alias("component_id")), "component_ids")
-    named = stage(linked.join(least, linked["root"] == least["r"], "left").select("fp", "component_id"), "named_fingerprints")
-    ids = stage(reps.join(named, "fp", "left").select("fp", F.coalesce("component_id", "low").alias("component_id")), "fingerprint_ids")
+    nodes = reps.select(F.col("fp").alias("node"), F.col("low").alias("id"))
+    ids = component_ids(nodes, close_pairs(reps.select("fp"), distance)).withColumnRenamed("node", "fp")
     return prints.join(ids, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
