@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_quality, mixing, packing, secret_links, simhash_blocks, token_counts, toxicity, url_rules, vector_graph
+from tessera.llm import line_quality, mixing, packing, phrase_dedup, secret_links, simhash_blocks, token_counts, toxicity, url_rules, vector_graph
 from tessera.llm.common import table
 
 
@@ -14,6 +14,11 @@ def op2_toxicity(spark, sf_dir):
     return toxicity.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op3_substring_dedup(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return phrase_dedup.remove_repeats(docs).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 def op4_packing(spark, sf_dir):
     return packing.pack_documents(table(spark, sf_dir, "documents"))
 
@@ -49,6 +54,7 @@ def op10_token_counts(spark, sf_dir):
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_toxicity": op2_toxicity,
+    "op3_substring_dedup": op3_substring_dedup,
     "op4_packing": op4_packing,
     "op5_mixing": op5_mixing,
     "op6_url_filter": op6_url_filter,

@@ -62,3 +62,18 @@ def simhash(text, n=3):
     grams = [w] if 0 < len(w) < n else [w[i:i + n] for i in range(len(w) - n + 1)]
     h = [xxhash.xxh64_intdigest(" ".join(g).encode(), 42) for g in grams]
     return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def remove_repeats(texts, n=50):
+    """Kept words of each document of ``{doc_id: text}`` and how many went."""
+    first = {}
+    for d in sorted(texts):
+        w = words(texts[d])
+        for i in range(len(w) - n + 1):
+            first.setdefault(tuple(w[i:i + n]), d)
+    out = {}
+    for d, text in texts.items():
+        w = words(text)
+        gone = {j for i in range(len(w) - n + 1) if first[tuple(w[i:i + n])] < d for j in range(i, i + n)}
+        out[d] = len(w), len(gone), " ".join(x for j, x in enumerate(w) if j not in gone)
+    return out
