@@ -1,10 +1,51 @@
-"""Corpus pipeline: STAGES applied to `documents` one after the other."""
+"""Corpus pipeline: STAGES applied to `documents` one after the other.
+
+Every stage takes all that the one before kept, as Parquet read again, and
+returns the columns of `documents`; the last one returns packed pieces.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from tessera.llm import line_quality, mixing, packing, secret_links, simhash_blocks
 from tessera.llm.common import stage, table
 
-STAGES = []
+
+def quality_rules(spark, docs, sf_dir):
+    """Drops documents that fail the base rules or are depleted by removing
+    lines that too many documents of their host share."""
+    return line_quality.reject_documents(docs)
+
+
+def near_duplicates(spark, docs, sf_dir):
+    """Keeps the document of smallest id of every SimHash component."""
+    return simhash_blocks.keep_one(docs, shingle=3, distance=3)
+
+
+def secret_scan(spark, docs, sf_dir):
+    """Replaces every reported secret by a mark; no document is dropped."""
+    clean = secret_links.redact(docs)
+    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
+def source_mixing(spark, docs, sf_dir):
+    """Keeps the documents sampled by the raked weights of their cells."""
+    return mixing.sample_documents(docs).filter("sampled").select(*docs.columns)
+
+
+def sequence_packing(spark, docs, sf_dir):
+    """Token pieces of every document and their places in the sequences."""
+    return packing.pack_documents(docs)
+
+
+STAGES = [
+    ("quality_rules", quality_rules),
+    ("near_duplicates", near_duplicates),
+    ("secret_scan", secret_scan),
+    ("source_mixing", source_mixing),
+    ("sequence_packing", sequence_packing),
+]
 
 #: Hash sampling and tokenizing have no SQL form.
 ORACLE_SQL = None

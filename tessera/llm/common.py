@@ -45,6 +45,11 @@ def words(text: Column) -> Column:
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS), "")
 
 
+def text_key(text: Column) -> Column:
+    """Hash that, next to its id, tells a document's text (null as empty)."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def lower_ascii(text: Column) -> Column:
     """``text`` with A-Z lower-cased and nothing else changed."""
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -5,9 +5,9 @@ document are hashed after normalising (case, digits, spaces); per host the
 documents that hold a line are counted, lines above the limit are removed, and
 a document that keeps too few of its words is rejected.
 
-Copies must not make a text look like boilerplate: documents count as distinct
-by the smallest of their line hashes, which exact copies always and near
-copies nearly always have in common.
+Copies must not make a text look like boilerplate: documents of a host with
+the same set of lines count as one, and the limit is a share of a host's
+documents that navigation and notices exceed but a group of near copies does not.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.llm.common import SPACE_CLASS, stage, words
+from tessera.llm.common import SPACE_CLASS, stage, text_key, words
 
 #: Words a document needs, and the share of repeated words it may have.
 MIN_WORDS = 50
@@ -83,7 +83,7 @@ def busy_lines(lines: DataFrame, host: str, min_docs: int, max_share: float) ->
     row per document with its host and ``lines``."""
     keys = F.transform("lines", lambda x: x["h"])
     own = lines.filter(F.size("lines") > 0).select(
-        F.col(host).alias("host"), F.array_distinct(keys).alias("keys"), F.array_min(keys).alias("sig"))
+        F.col(host).alias("host"), F.array_sort(F.array_distinct(keys)).alias("keys")).withColumn("sig", F.xxhash64("keys"))
     per_line = (own.select("host", "sig", F.explode("keys").alias("h")).distinct()
                 .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs))
     hosts = own.select("host", "sig").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
@@ -92,7 +92,7 @@ def busy_lines(lines: DataFrame, host: str, min_docs: int, max_share: float) ->
 
 
 def judge_documents(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", host: str = "source",
-                    min_docs: int = 20, max_share: float = 0.2, min_left: float = 0.3) -> DataFrame:
+                    min_docs: int = 20, max_share: float = 0.4, min_left: float = 0.3) -> DataFrame:
     """One row per row of ``docs``: the columns ``keep``, the measures,
     ``base_failed`` (fewer than 50 words, or over half of them repeated),
     ``n_removed_lines``, ``n_removed_words`` (lines above the limit) and
@@ -116,3 +116,11 @@ def judge_documents(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text:
                           "n_removed_words": gone})
             .withColumn("kept", ~F.col("base_failed") & (n_words - F.col("n_removed_words") >= min_left * n_words))
             .drop("__row", "__host"))
+
+
+def reject_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **limits) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge_documents` keeps, unchanged."""
+    keyed = docs.withColumn("__key", text_key(F.col(text)))
+    judged = judge_documents(keyed, (doc_id, "__key"), text, **limits)
+    bad = judged.filter("NOT kept").select(F.col(doc_id).alias("__id"), F.col("__key").alias("__bad")).distinct()
+    return keyed.join(bad, (keyed["__key"] == bad["__bad"]) & keyed[doc_id].eqNullSafe(bad["__id"]), "left_anti").select(*docs.columns)

@@ -78,7 +78,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
 
 
 #: Powers of the default targets: sources are evened out most.
-AIMS = {"source": 0.75, "lang": 0.9, "topic": 0.9}
+AIMS = {"source": 0.8, "lang": 0.9, "topic": 0.95}
 
 
 def sample_documents(docs: DataFrame, aims: Mapping[str, float | Mapping[str, float]] = AIMS, text: str = "text",

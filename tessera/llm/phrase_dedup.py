@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import stage
+from tessera.llm.common import stage, text_key
 
 WINDOW = 50
 PHRASE = 16
@@ -49,10 +49,6 @@ def split_words(text: str | None) -> list[str]:
     return WORD.findall(text or "")
 
 
-def text_key(text):
-    return F.xxhash64(F.coalesce(F.col(text), F.lit("")))
-
-
 class _Powers:
     """Powers of the base and of its inverse, as many as asked for so far."""
 
@@ -238,7 +234,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     rows of equal id never remove each other, and equal rows lose the same; a
     null id neither removes nor loses; an empty table gives an empty table;
     other columns are left out."""
-    source = docs.select(F.col(doc_id).alias("doc_id"), text_key(text).alias("text_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
+    source = docs.select(F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("text_key"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     table = stage(phrase_table(source, window, phrase), "phrases")
     each = table.filter("doc_id IS NOT NULL").select("doc_id", "text_key", F.explode("phrases").alias("p")).select("doc_id", "text_key", "p.*")
     shared = stage(each.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h"), "shared_phrases")

@@ -39,7 +39,7 @@ def op7_secret_scan(spark, sf_dir):
 
 
 def op8_simhash(spark, sf_dir):
-    return simhash_blocks.near_duplicates(table(spark, sf_dir, "documents"))
+    return simhash_blocks.near_duplicates(table(spark, sf_dir, "documents")).drop("text_key")
 
 
 def op9_line_quality(spark, sf_dir):

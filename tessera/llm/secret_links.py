@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tessera.llm.common import stage
+from tessera.llm.common import stage, text_key
 
 # --- fixed values: base patterns, in the order in which kinds are listed --------
 ASSIGN = r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -60,10 +60,6 @@ def _found(text: Column, kind: str) -> Column:
     return F.when(F.size(matches) > 0, both)
 
 
-def text_key(text: Column) -> Column:
-    return F.xxhash64(F.coalesce(text, F.lit("")))
-
-
 def scan(docs: DataFrame, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per row of ``docs``: ``doc_id``, ``text_key`` and the raw
     matches of each kind (null without one)."""

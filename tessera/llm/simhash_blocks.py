@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import stage
+from tessera.llm.common import stage, text_key
 from tessera.llm.components import component_ids
 
 BITS = 64
@@ -146,15 +146,29 @@ def close_pairs(fps: DataFrame, distance: int = 3, blocks: int | None = None, ch
 
 
 def near_duplicates(docs: DataFrame, shingle: int = 3, distance: int = 3, text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """One row per row of ``docs``: ``doc_id``, ``fingerprint`` (16 hex digits)
-    and ``component_id``, the smallest id reachable over links.
+    """One row per row of ``docs``: ``doc_id``, ``fingerprint`` (16 hex digits),
+    ``component_id``, the smallest id reachable over links, and ``text_key``.
 
     Null and empty texts have fingerprint 0 and link like any other; a null id
     is never the smallest unless its whole component has no id (then null);
     repeated rows each give a row; an empty table gives an empty table; other
     columns are left out."""
-    prints = stage(docs.select(F.col(doc_id).alias("doc_id"), fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
+    prints = stage(docs.select(F.col(doc_id).alias("doc_id"), text_key(F.col(text)).alias("text_key"),
+                               fingerprint(F.col(text), shingle).alias("fp")), "fingerprints")
     reps = stage(prints.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct_fingerprints")
     nodes = reps.select(F.col("fp").alias("node"), F.col("low").alias("id"))
     ids = component_ids(nodes, close_pairs(reps.select("fp"), distance)).withColumnRenamed("node", "fp")
-    return prints.join(ids, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+    return prints.join(ids, "fp", "left").select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", "text_key")
+
+
+def keep_one(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
+    """One row of ``docs`` for each component, unchanged: the one of smallest
+    id.  Where no row of a component has an id, one for each fingerprint."""
+    found = near_duplicates(docs, text=text, doc_id=doc_id, **options)
+    group = F.coalesce(F.col("component_id").cast("string"), F.col("fingerprint"))
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key"))
+    best = stage(found.groupBy(F.col("component_id").isNull(), group).agg(first.alias("b"))
+                 .select(F.col("b.doc_id").alias("__id"), F.col("b.text_key").alias("__best")), "kept_documents")
+    keyed = docs.withColumn("__key", text_key(F.col(text)))
+    kept = keyed.join(best, (keyed["__key"] == best["__best"]) & keyed[doc_id].eqNullSafe(best["__id"]), "left_semi")
+    return kept.dropDuplicates([doc_id, "__key"]).select(*docs.columns)
