@@ -105,11 +105,11 @@ def test_line_measures(odd, empty):
 def test_lines_shared_by_a_host_are_removed_and_copies_are_not_counted_apart(spark):
     rng = random.Random(1)
     own = lambda n: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
-    menu, other = own(60), own(60)
+    menu, other, another = own(60), own(60), own(60)
     rows = [(i, f"{menu}\n{own(10)}", "a") for i in range(30)]  # depleted by the shared line
     rows += [(100 + i, f"{menu.upper()}\n{own(200)}", "a") for i in range(30)]  # enough left
     rows += [(200 + i, f"{menu}\n{own(5)}", "b") for i in range(5)] + [(300 + i, own(60), "b") for i in range(90)]  # rare on its host
-    rows += [(400 + i, f"{other}\n{'copied ' + other}", None) for i in range(50)]  # copies of one document
+    rows += [(400 + i, f"{other}\n{another}", None) for i in range(50)]  # copies of one document
     rows += [(500 + i, own(60), None) for i in range(5)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = {r["doc_id"]: (r["kept"], r["n_removed_words"]) for r in line_quality.judge_documents(df).collect()}
