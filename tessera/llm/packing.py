@@ -39,23 +39,35 @@ CAPACITY = 2048
 TOKENIZER_SPACE = "[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]+"
 #: Python's str.split() cuts at these too.
 NOT_SPACE = "\x1c\x1d\x1e\x1f"
+#: Without these, lower-casing is one to one and nothing needs normalising.
+UNUSUAL = re.compile("[\u0130\u0250-\U0010ffff]|<[|]")
+
+
+def byte_letters() -> list[str]:
+    """Letter that a byte-level vocabulary writes for each byte: printable
+    Latin-1 characters stand for themselves, the others for U+0100 and on."""
+    own = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = iter(range(0x100, 0x200))
+    return [chr(b) if b in own else chr(next(rest)) for b in range(256)]
 
 
 class WordIds:
     """Ids of whole texts for a tokenizer that merges inside words only: the
     ids of a text are those of its words, which are looked up."""
 
-    def __init__(self, path: str, max_lookup: int = 300_000):
+    def __init__(self, path: str, max_lookup: int = 500_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.merge = self.tokenizer.model.tokenize
+        self.letter = byte_letters()
         self.split_at = re.compile(TOKENIZER_SPACE).split
         self.max_lookup = max_lookup
         self.ids: dict[str, bytes] = {}
 
     def encode(self, text: str) -> bytes:
         """Ids of ``text`` as little-endian unsigned 32-bit numbers."""
-        if text.isascii() and "<|" not in text:  # lower-casing first changes no id then
+        if not UNUSUAL.search(text):  # lower-casing first changes no id then
             text = text.lower()
         words = self.split_at(text) if any(c in text for c in NOT_SPACE) else text.split()
         distinct = set(words)
@@ -68,14 +80,23 @@ class WordIds:
         return b"".join(map(self.ids.__getitem__, words))
 
     def learn(self, words: set[str]) -> None:
-        """Look words up in the tokenizer.  A last point or comma after a letter
-        is a pre-token of its own, so such a word has the ids of both parts."""
-        ended = {w: w[:-1] for w in words if w.endswith((".", ",")) and w[-2:-1].isalpha() and w[-2] < "\u0250" and w[-2] != "\u0130"}
-        plain = list(words.difference(ended).union(ended.values(), ".,").difference(self.ids))
-        for word, e in zip(plain, self.tokenizer.encode_batch_fast(plain, add_special_tokens=False)):
-            self.ids[word] = np.array(e.ids, dtype="<u4").tobytes()
-        for word, stem in ended.items():
-            self.ids[word] = self.ids[stem] + self.ids[word[-1]]
+        """Look words up in the tokenizer.  A word of usual lower-case letters
+        is one pre-token and goes straight to the merges; a last point or comma
+        after letters is a pre-token of its own."""
+        plain = {w for w in words if self.is_plain(w)}
+        ended = {w: w[:-1] for w in words.difference(plain) if w.endswith((".", ",")) and self.is_plain(w[:-1])}
+        for w in plain.union(ended.values()).difference(self.ids):
+            letters = w if w.isascii() else "".join([self.letter[b] for b in w.encode()])
+            self.ids[w] = np.array([t.id for t in self.merge(letters)], dtype="<u4").tobytes()
+        others = list(words.difference(plain, ended).union(".,"))
+        for w, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
+            self.ids[w] = np.array(e.ids, dtype="<u4").tobytes()
+        for w, stem in ended.items():
+            self.ids[w] = self.ids[stem] + self.ids[w[-1]]
+
+    @staticmethod
+    def is_plain(word: str) -> bool:
+        return word.isalpha() and (word.isascii() or not UNUSUAL.search(word)) and word == word.lower()
 
 
 def token_pieces(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity: int = CAPACITY,
@@ -205,7 +226,7 @@ def place(runs: list[tuple[int, int, int, int, int, int]], length, number):
     return find(length, number)
 
 
-def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = 5000) -> DataFrame:
+def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = 1000) -> DataFrame:
     """``pieces`` (a staged table of :func:`token_pieces`) plus ``sequence_id``
     and ``offset``.  At most ``capacity`` counts reach the driver, and the plan
     sent to the tasks has at most 64 runs a step."""
