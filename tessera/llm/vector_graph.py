@@ -4,8 +4,9 @@ Vectors of a label are cut into overlapping clusters ("shards"), level by
 level, until a shard fits one task.  Each shard gets a flat graph: a vector
 keeps its nearest neighbours, but none that a kept one is clearly nearer to.
 The adjacency lists of a vector from all its shards are united.  Every vector
-is then searched for in its home shard, greedily from the medoid, and from all
-vectors found within range the search goes on until nothing new is in range.
+is then searched for in its home shard, greedily from medoids; from all vectors
+found within range, itself among them, the search goes on until nothing new is
+in range.
 Links are verified by their cosine in double precision.
 
 Centres nearer to each other than ``merge`` become one, so a dense group of
@@ -45,12 +46,12 @@ def _stack(column: pd.Series) -> np.ndarray:
     return np.stack(column.to_list()).astype(np.float64)
 
 
-def _centres(merge: float, max_shard: int, fanout: int, rounds: int = 6):
+def _centres(merge: float, max_shard: int, fanout: int, overlap: int, rounds: int = 6):
     """Spherical k-means on the sample of one shard."""
 
     def fit(sample: pd.DataFrame) -> pd.DataFrame:
         x = _stack(sample.sort_values("row")["v"])
-        k = int(min(fanout, max(2, -(-2 * int(sample["n"].iloc[0]) // max_shard)), len(x)))
+        k = int(min(max(fanout, 4 * overlap), max(4 * overlap, -(-2 * overlap * int(sample["n"].iloc[0]) // max_shard)), len(x)))
         c = x[np.linspace(0, len(x) - 1, k).astype(int)]
         for _ in range(rounds):
             near = (x @ c.T).argmax(axis=1)
@@ -65,8 +66,9 @@ def _centres(merge: float, max_shard: int, fanout: int, rounds: int = 6):
     return fit
 
 
-def _assign(overlap: int):
-    """Nearest ``overlap`` centres of each vector of a part of one shard."""
+def _assign(overlap: int, threshold: float):
+    """Nearest ``overlap`` centres of each vector of a part of one shard, as far
+    as a vector within range could have them as its nearest."""
 
     def deal(rows: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(centres):
@@ -74,18 +76,21 @@ def _assign(overlap: int):
         sims = _stack(rows["v"]) @ _stack(centres["c"]).T
         m = min(overlap, sims.shape[1])
         best = np.argsort(-sims, axis=1, kind="stable")[:, :m]
+        near = np.take_along_axis(sims, best, axis=1)
+        top = np.clip(near[:, :1], -1, 1)
+        close = near >= top - 2 * np.sqrt(1 - top * top) * np.sqrt(1 - threshold * threshold) - 1e-9
+        who, nth = np.nonzero(close)
         names = centres["centre"].to_numpy()
-        who = np.repeat(np.arange(len(rows)), m)
         return pd.DataFrame({
             "row": rows["row"].to_numpy()[who],
-            "shard": [f"{rows['shard'].iloc[0]}.{j}" for j in names[best.ravel()]],
-            "home": rows["home"].to_numpy()[who] & (np.tile(np.arange(m), len(rows)) == 0),
+            "shard": [f"{rows['shard'].iloc[0]}.{j}" for j in names[best[who, nth]]],
+            "home": rows["home"].to_numpy()[who] & (nth == 0),
             "v": rows["v"].to_numpy()[who]})
 
     return deal
 
 
-def shards(vectors: DataFrame, overlap: int, max_shard: int, fanout: int, merge: float, max_levels: int = 8,
+def shards(vectors: DataFrame, threshold: float, overlap: int, max_shard: int, fanout: int, merge: float, max_levels: int = 8,
            part: int = 2000) -> tuple[DataFrame, DataFrame]:
     """Rows ``row, shard, home, v`` of the shards that fit, and of those that
     could not be cut.  Levels grow with the logarithm of the rows; centres are
@@ -107,7 +112,7 @@ def shards(vectors: DataFrame, overlap: int, max_shard: int, fanout: int, merge:
         large = stage(todo.join(big, "shard").select(*todo.columns, "n"), "large_shards")
         draw = F.pmod(F.xxhash64("row", F.lit(level)), F.lit(1 << 30)) / float(1 << 30)
         sample = large.filter(draw < F.lit(16.0 * fanout) / F.col("n")).select("shard", "row", "n", "v")
-        centres = stage(sample.groupBy("shard").applyInPandas(_centres(merge, max_shard, fanout), "shard string, centre int, c array<double>"), "centres")
+        centres = stage(sample.groupBy("shard").applyInPandas(_centres(merge, max_shard, fanout, overlap), "shard string, centre int, c array<double>"), "centres")
         cut = stage(centres.groupBy("shard").agg(F.count(F.lit(1)).alias("k")).filter("k > 1").join(big, "shard"), "cut_shards")
         whole = large.join(cut.select("shard"), "shard", "left_anti").select(todo.columns)
         stuck = more(stuck, whole)
@@ -116,7 +121,7 @@ def shards(vectors: DataFrame, overlap: int, max_shard: int, fanout: int, merge:
         spread = centres.join(cut, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), n_parts - 1)))
         todo = stage(parts.select("shard", "salt", "row", "home", "v").groupBy("shard", "salt")
                      .cogroup(spread.select("shard", "salt", "centre", "c").groupBy("shard", "salt"))
-                     .applyInPandas(_assign(overlap), "row long, shard string, home boolean, v array<double>"), "dealt_shards")
+                     .applyInPandas(_assign(overlap, threshold), "row long, shard string, home boolean, v array<double>"), "dealt_shards")
         level += 1
         if level >= max_levels:
             stuck = more(stuck, todo)
@@ -126,7 +131,9 @@ def shards(vectors: DataFrame, overlap: int, max_shard: int, fanout: int, merge:
 
 
 def _graph(degree: int, alpha: float, block: int = 256):
-    """Robust-pruned neighbour lists of one shard."""
+    """Robust-pruned neighbour lists of one shard, with their reverse links:
+    pruning hangs a group of copies on the one in its middle, so the way back
+    from there must not be cut short."""
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("row")
@@ -148,7 +155,7 @@ def _graph(degree: int, alpha: float, block: int = 256):
         for i, kept in enumerate(lists):
             for j in kept:
                 back[j].append(i)
-        near = [sorted({*a, *b[:degree]}) for a, b in zip(lists, back)]
+        near = [sorted({*a, *b}) for a, b in zip(lists, back)]
         return pd.DataFrame({"row": ids, "near": [ids[a].tolist() for a in near]})
 
     return build
@@ -174,6 +181,19 @@ def _result(ids: np.ndarray, counts: dict[int, int], joined: _Joined) -> pd.Data
                          "other": pd.array([*[None] * len(counts), *ids[joined.root[moved]]], dtype="Int64")})
 
 
+def medoids(x: np.ndarray, k: int = 8) -> np.ndarray:
+    """The vector nearest to the mean, then ``k - 1`` that are each least
+    similar to those before, every one moved to the middle of its group."""
+    start = int((x @ x.mean(axis=0)).argmax())
+    best, found = x @ x[start], [start]
+    for _ in range(min(k, len(x)) - 1):
+        found.append(int(best.argmin()))
+        best = np.maximum(best, x @ x[found[-1]])
+    group = (x @ x[found].T).argmax(axis=1)
+    sums = np.stack([x[group == j].sum(axis=0) for j in range(len(found))])
+    return np.unique((x @ sums.T).argmax(axis=0))
+
+
 def _search(threshold: float, beam: int, slack: float):
     """Range-expanding greedy search of the home vectors of one shard."""
 
@@ -182,12 +202,11 @@ def _search(threshold: float, beam: int, slack: float):
         x, ids = _stack(rows["v"]), rows["row"].to_numpy()
         place = {r: i for i, r in enumerate(ids.tolist())}
         near = [np.array([place[r] for r in a if r in place], dtype=int) for a in rows["near"]]
-        mean = x.mean(axis=0)
-        medoid, counts, joined = int((x @ mean).argmax()), {}, _Joined(len(x))
+        first, counts, joined = medoids(x), {}, _Joined(len(x))
         for q in np.flatnonzero(rows["home"].to_numpy()):
             sims = np.full(len(x), -2.0)
-            sims[medoid] = x[medoid] @ x[q]
-            seen, done = np.array([medoid]), np.zeros(len(x), dtype=bool)
+            sims[first] = x[first] @ x[q]
+            seen, done = first, np.zeros(len(x), dtype=bool)
             while True:
                 best = seen if len(seen) <= beam else seen[np.argpartition(-sims[seen], beam - 1)[:beam]]
                 todo = best[~done[best]]
@@ -198,6 +217,9 @@ def _search(threshold: float, beam: int, slack: float):
                 new = near[go][sims[near[go]] == -2.0]
                 sims[new] = x[new] @ x[q]
                 seen = np.concatenate([seen, new])
+            if sims[q] == -2.0:  # the vector is in its own range
+                sims[q] = 1.0
+                seen = np.append(seen, q)
             while len(todo := seen[(sims[seen] >= threshold - slack) & ~done[seen]]):
                 done[todo] = True
                 new = np.unique(np.concatenate([near[i] for i in todo]))
@@ -279,7 +301,7 @@ def audit(vectors: DataFrame, counted: DataFrame, threshold: float, at_most: int
 
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label",
-                    overlap: int = 2, max_shard: int = 1500, fanout: int = 64, merge: float = 0.8, degree: int = 24, alpha: float = 1.2,
+                    overlap: int = 3, max_shard: int = 1500, fanout: int = 64, merge: float = 0.8, degree: int = 24, alpha: float = 1.2,
                     beam: int = 24, slack: float = 0.1, target: float = 0.99, max_overlap: int = 5) -> DataFrame:
     """One row per row of ``rows``: ``vec_id``, ``n_links`` (other vectors of
     the label with a cosine of ``threshold`` or more), ``component_id``
@@ -293,7 +315,7 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, vec_id: str =
     are left out.  Raises if the audited recall stays below ``target``."""
     vectors = unit_vectors(rows, vec_id, vector, label)
     while True:
-        fits, stuck = shards(vectors, overlap, max_shard, fanout, merge)
+        fits, stuck = shards(vectors, threshold, overlap, max_shard, fanout, merge)
         found = stage(search_shards(fits, threshold, degree, alpha, beam, slack).unionByName(compare_blocks(stuck, threshold)), "vector_links")
         counted = stage(found.groupBy("row").agg(F.sum("n_links").alias("n_links")), "link_counts")
         recall = audit(vectors, counted, threshold)
