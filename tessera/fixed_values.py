@@ -36,6 +36,13 @@ ENGLISH_INDICATORS = [
     "introduction", "material", "patients", "study", "analysis",
 ]
 
+# --- fixed values: white space, word letters, URL and e-mail patterns ---------
+# (the inside of a character class: what str.split() and str.strip() remove)
+WHITESPACE = r"\t-\r\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+HAS_LETTER = r"[a-zA-ZáéíóúüñÁÉÍÓÚÜÑ]"
+URL_PATTERN = rf"http[^{WHITESPACE}]+|www[^{WHITESPACE}]+|https[^{WHITESPACE}]+"
+EMAIL_PATTERN = rf"[^{WHITESPACE}]+@[^{WHITESPACE}]+"
+
 # --- fixed values: language labels -------------------------------------------
 LANG_SPANISH = "spanish"
 LANG_ENGLISH = "english"

@@ -3,9 +3,9 @@
 Every function takes and returns ``Column``s, so they stay inside whole-stage
 codegen and can be used in ``select``/``filter``/``withColumn`` anywhere.
 
-Whitespace: ``\\s`` in Java regexes is the ASCII class ``[ \\t\\n\\x0B\\f\\r]``;
-Spark's ``trim`` only removes spaces.  ``strip_ws`` and ``words`` therefore use
-regexes so that tabs and newlines count as whitespace, like Python's
+Whitespace: ``\\s`` in Java regexes is ASCII only and Spark's ``trim`` only
+removes spaces.  Everything here uses ``fixed_values.WHITESPACE``, so that tabs,
+newlines, no-break and other Unicode spaces count, like in Python's
 ``str.strip``/``str.split``.
 """
 
@@ -22,11 +22,10 @@ ColumnOrName = Column | str
 
 # "Word" characters in the Unicode sense (letters, digits, underscore).
 # Java's \w is ASCII-only, which would split "año" into "a o".
-NON_WORD_NON_SPACE = r"[^\p{L}\p{N}_\s]"
-HAS_LETTER = r"[a-zA-ZáéíóúüñÁÉÍÓÚÜÑ]"
-URL_PATTERN = r"http\S+|www\S+|https\S+"
-EMAIL_PATTERN = r"\S+@\S+"
-SENTENCE_BOUNDARY = r"(?<=[.!?])\s+"
+SPACE = f"[{fv.WHITESPACE}]"
+NON_WORD_NON_SPACE = r"[^\p{L}\p{N}_" + fv.WHITESPACE + "]"
+HAS_LETTER, URL_PATTERN, EMAIL_PATTERN = fv.HAS_LETTER, fv.URL_PATTERN, fv.EMAIL_PATTERN
+SENTENCE_BOUNDARY = rf"(?<=[.!?]){SPACE}+"
 
 
 def _col(c: ColumnOrName) -> Column:
@@ -44,17 +43,17 @@ def let(value: Column, body) -> Column:
 
 def strip_ws(c: ColumnOrName) -> Column:
     """Python ``str.strip()``: remove leading and trailing whitespace."""
-    return F.regexp_replace(_col(c), r"^\s+|\s+$", "")
+    return F.regexp_replace(_col(c), rf"^{SPACE}+|{SPACE}+$", "")
 
 
 def collapse_ws(c: ColumnOrName) -> Column:
     """Collapse whitespace runs to one space and strip."""
-    return strip_ws(F.regexp_replace(_col(c), r"\s+", " "))
+    return strip_ws(F.regexp_replace(_col(c), rf"{SPACE}+", " "))
 
 
 def words(c: ColumnOrName) -> Column:
     """Python ``str.split()``: whitespace tokens, no empty strings (J5 helper)."""
-    return F.filter(F.split(F.coalesce(_col(c), F.lit("")), r"\s+"), lambda t: t != "")
+    return F.filter(F.split(F.coalesce(_col(c), F.lit("")), rf"{SPACE}+"), lambda t: t != "")
 
 
 def word_count(c: ColumnOrName) -> Column:
@@ -64,9 +63,9 @@ def word_count(c: ColumnOrName) -> Column:
     split on whitespace runs yields one extra empty piece for leading and
     one for trailing whitespace, which are subtracted."""
     t = F.coalesce(_col(c), F.lit(""))
-    pieces = F.size(F.split(t, r"\s+", -1))
-    lead = F.substring(t, 1, 1).rlike(r"\s").cast("int")
-    trail = F.substring(t, -1, 1).rlike(r"\s").cast("int")
+    pieces = F.size(F.split(t, rf"{SPACE}+", -1))
+    lead = F.substring(t, 1, 1).rlike(SPACE).cast("int")
+    trail = F.substring(t, -1, 1).rlike(SPACE).cast("int")
     return F.when(t == "", F.lit(0)).otherwise(pieces - lead - trail)
 
 
@@ -92,8 +91,8 @@ def _unwrap(c: Column, open_ch: str, close_ch: str) -> Column:
     o, cl = "\\" + open_ch, "\\" + close_ch
 
     def peel(s: Column) -> Column:
-        lead = F.regexp_extract(s, rf"^({o}\s*)*", 0)
-        trail = F.regexp_extract(s, rf"(\s*{cl})*$", 0)
+        lead = F.regexp_extract(s, rf"^({o}{SPACE}*)*", 0)
+        trail = F.regexp_extract(s, rf"({SPACE}*{cl})*$", 0)
         n_lead = F.length(lead) - F.length(F.replace(lead, F.lit(open_ch), F.lit("")))
         n_trail = F.length(trail) - F.length(F.replace(trail, F.lit(close_ch), F.lit("")))
 

@@ -11,13 +11,14 @@ checkpoint rather than from the raw input.
 from __future__ import annotations
 
 import os
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.operators import bio, chunking, compare, profile, requests, splits, textprep, thesaurus, translate
-from tessera.session import ensure_checkpoint_dir
+from tessera.operators import bio, chunking, compare, profile, quality, requests, splits, textprep, thesaurus, translate
+from tessera.session import reusable
 from tessera.sinks import writers
 from tessera.sources import articles as art
 from tessera.sources import thesaurus as ts
@@ -30,23 +31,22 @@ CATEGORY_CSV_SCHEMA = (
 )
 
 
-def _reusable(df: DataFrame) -> DataFrame:
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 # ---------------------------------------------------------------- 3.1 corpus collection
-def collect_corpus(spark: SparkSession, xml_path: str, out_dir: str) -> dict:
-    """A2 -> B1-B9 -> C4 -> L1, with D7 statistics and D8 stage counters."""
-    good, bad = art.gate_records(art.read_xml_records(spark, xml_path))
-    extracted = _reusable(art.extract_articles(good))
-    from tessera.operators import quality as ql
-
-    kept = ql.quality_filter(extracted)
-    stats = profile.corpus_profile(kept.withColumn("_y", art.publication_year(F.col("publication_info"))), year="_y")
-    writers.write_article_dataset(kept, out_dir, statistics=stats)
-    counters = ql.stage_counters(extracted, ql.quality_rules()).first().asDict()
+def collect_corpus(spark: SparkSession, xml_path: str, out_dir: str, metadata: dict | None = None) -> dict:
+    """A2 -> B1-B9 -> C4 -> L1: one article per pmid, written by year, with the
+    D7 statistics, the metadata record and the D8 stage counters."""
+    good, bad = art.gate_records(reusable(art.parse_records(art.read_xml_records(spark, xml_path))))
+    extracted = art.extract_articles(good).withColumn("year", art.publication_year(F.col("publication_info")))
+    extracted = reusable(extracted.dropDuplicates(["pmid"]))
+    kept = quality.quality_filter(extracted)
+    counters = quality.stage_counters(extracted, quality.quality_rules()).first().asDict()
     counters["malformed"] = bad.count()
+    stats = profile.corpus_statistics(kept, year="year", stage_counts=counters)
+    info = {"collection_method": "records files", "filters_applied": art.QUALITY_FILTERS, "search_strategies": [], **(metadata or {})}
+    about = spark.createDataFrame([(info["collection_method"], int(counters["final"]), list(info["filters_applied"]), list(info["search_strategies"]))],
+                                  "collection_method string, total_articles long, filters_applied array<string>, search_strategies array<string>")
+    about = about.withColumn("creation_date", F.date_format(F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss"))
+    writers.write_article_dataset(kept, out_dir, metadata=about, statistics=stats, year="year" if counters["final"] else None)
     return counters
 
 
@@ -59,6 +59,7 @@ def label_dataset(spark: SparkSession, articles_path: str, thesaurus_xml: str, t
         arts, _, _ = art.read_article_dataset(spark, articles_path)
     else:
         arts = art.read_articles(spark, articles_path, articles_format)
+    arts = art.require_articles(arts, articles_path)
     labelled = thesaurus.label_articles(
         arts.withColumn("publication_info", F.struct(
             art.publication_year(F.col("publication_info")).alias("year"))), dtree, names)
@@ -68,57 +69,87 @@ def label_dataset(spark: SparkSession, articles_path: str, thesaurus_xml: str, t
 
 # ---------------------------------------------------------------- 3.3 splits
 def create_split(spark: SparkSession, csv_path: str, out_dir: str, min_length: int = 2,
-                 extra_cleaning: bool = False, remove_stopwords: bool = True) -> DataFrame:
-    """K7: C12 -> K3 -> K4 + K5 (same membership) -> L7, L8; returns K8 sizes."""
-    from tessera.operators import quality as ql
-
-    df = writers.read_category_csv(spark, csv_path, CATEGORY_CSV_SCHEMA).where(ql.has_categories())
-    df = textprep.preprocess_columns(df, ["title", "spanish_abstract"], remove_stopwords=remove_stopwords,
-                                     min_length=min_length, extra_cleaning=extra_cleaning)
-    df = _reusable(splits.assign_splits(df, "pmid"))
-    writers.write_splits(splits.single_label(df), os.path.join(out_dir, "traditional"))
-    classes = splits.label_classes(df)
-    writers.write_splits(splits.multilabel_matrix(df, classes), os.path.join(out_dir, "multilabel"))
-    counts = splits.label_counts(df)
-    writers.write_info(counts, os.path.join(out_dir, "multilabel_info"))
+                 extra_cleaning: bool = False, remove_stopwords: bool = True, mode: str = "basic",
+                 lemma_table: DataFrame | None = None, stem_fn: Callable[[str], str] | None = None) -> DataFrame:
+    """K7: C12 -> K3 in one of its modes -> K4 + K5 (same membership) -> L7, and
+    L8: preprocessing info, label counts (D16), single labels (D15) and text
+    profiles (D14); returns K8 sizes."""
+    columns = ["title", "spanish_abstract"]
+    df = writers.read_category_csv(spark, csv_path, CATEGORY_CSV_SCHEMA).where(quality.has_categories())
+    df = textprep.preprocess_columns(df, columns, remove_stopwords=remove_stopwords, min_length=min_length,
+                                     extra_cleaning=extra_cleaning, mode=mode, lemma_table=lemma_table, stem_fn=stem_fn)
+    df = reusable(splits.assign_splits(df, "pmid"))
+    single = splits.single_label(df)
+    writers.write_splits(single, os.path.join(out_dir, "traditional"))
+    writers.write_splits(splits.multilabel_matrix(df, splits.label_classes(df)), os.path.join(out_dir, "multilabel"))
+    info = spark.createDataFrame(
+        [(mode, remove_stopwords, min_length, extra_cleaning, [f"{c}_processed" for c in columns], columns)],
+        "text_processing_type string, remove_stopwords boolean, min_length int, extra_cleaning boolean, "
+        "processed_columns array<string>, original_columns array<string>")
+    for name, table in (("preprocessing_info", info), ("multilabel_info", splits.label_counts(df)),
+                        ("traditional_info", profile.top_k(profile.group_counts(single, "single_category", "category"), 1 << 20, "count", "category")),
+                        ("text_profile", textprep.processing_profile(df, columns))):
+        writers.write_info(table, os.path.join(out_dir, name))
     return splits.split_sizes(df)
 
 
 # ---------------------------------------------------------------- translation
 def translate_dataset(spark: SparkSession, articles: DataFrame, factory: Callable, model: str,
                       done_abstracts: DataFrame | None = None, titles_only: bool = False,
-                      translate_titles: bool = True) -> tuple[DataFrame, DataFrame]:
+                      translate_titles: bool = True, done_titles: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """C9/C10 queue -> K11/K10 -> E5 write-back by id -> D13 summary.
     Returns ``(articles_with_translations, summary)``."""
+    if titles_only and not translate_titles:  # C15
+        raise ValueError("titles only and no titles exclude each other")
     queue = translate.translation_queue(
         articles, "pmid", abstract=F.col("abstract.full_text"), language=F.col("abstract_language"),
         has_content=F.col("abstract.has_content"), title=F.col("title"),
         abstract_ok=F.col("abstract.spanish_translation.success"),
         title_ok=F.col("title_spanish_translation.success"),
-        done_abstracts=done_abstracts, titles_only=titles_only, translate_titles=translate_titles)
-    results = _reusable(translate.translation_struct(translate.translate_items(queue, "pmid", factory), model))
-    abs_tr = results.where(F.col("kind") == "abstract").select("pmid", F.col("translation").alias("_abs_tr"))
-    tit_tr = results.where(F.col("kind") == "title").select(
-        "pmid", F.struct(F.col("original_title"), F.col("source_text").alias("cleaned_title"),
-                         F.col("translation.text").alias("translated_title"), F.col("translation.success"),
-                         F.col("translation.model_used"), F.col("translation.batch_size_used"),
-                         F.col("translation.translation_date").cast("string").alias("translation_date"),
-                         F.col("translation.error")).alias("_tit_tr"))
-    out = (articles.join(abs_tr, "pmid", "left").join(tit_tr, "pmid", "left")
+        done_abstracts=done_abstracts, done_titles=done_titles, titles_only=titles_only, translate_titles=translate_titles)
+    results = reusable(translate.translation_struct(translate.translate_items(queue, "pmid", factory), model))
+    abstract_of = F.when(F.col("kind") == "abstract", F.col("translation").withField(
+        "translation_date", F.col("translation.translation_date").cast("string")))
+    title_of = F.when(F.col("kind") == "title", F.struct(
+        F.col("original_title"), F.col("source_text").alias("cleaned_title"),
+        F.col("translation.text").alias("translated_title"), F.col("translation.success"),
+        F.col("translation.model_used"), F.col("translation.batch_size_used"),
+        F.col("translation.translation_date").cast("string").alias("translation_date"), F.col("translation.error")))
+    found = results.groupBy("pmid").agg(F.first(abstract_of, ignorenulls=True).alias("_abs_tr"), F.first(title_of, ignorenulls=True).alias("_tit_tr"))
+    out = (articles.join(found, "pmid", "left")
            .withColumn("abstract", F.col("abstract").withField(
-               "spanish_translation", F.coalesce(F.col("_abs_tr").withField(
-                   "translation_date", F.col("_abs_tr.translation_date").cast("string")),
-                   F.col("abstract.spanish_translation"))))
+               "spanish_translation", F.coalesce("_abs_tr", "abstract.spanish_translation")))
            .withColumn("title_spanish_translation", F.coalesce("_tit_tr", "title_spanish_translation"))
            .drop("_abs_tr", "_tit_tr"))
     return out, translate.translation_summary(results)
 
 
+def translate_corpus(spark: SparkSession, articles: DataFrame, factory: Callable, model: str, out_dir: str, **options) -> dict:
+    """:func:`translate_dataset` written to ``out_dir`` with its
+    translation info (counts per kind, minutes, items per minute).  With
+    nothing to translate nothing is written and ``items`` is 0."""
+    start = time.monotonic()
+    out, summary = translate_dataset(spark, articles, factory, model, **options)
+    kinds = {r["kind"]: r for r in summary.collect()}  # two kinds at most
+    items = sum(r["total"] for r in kinds.values())
+    info = {"model_used": model, "titles_only_mode": bool(options.get("titles_only")), "items": items}
+    if items:
+        minutes = (time.monotonic() - start) / 60
+        counts = spark.createDataFrame(
+            [(k, r["successful"], r["failed"], r["total"]) for k, r in kinds.items()], "kind string, successful long, failed long, total long")
+        record = counts.agg(F.collect_list(F.struct("kind", "successful", "failed", "total")).alias("translation_stats")).select(
+            *[F.lit(v).alias(k) for k, v in info.items()], "translation_stats", F.lit(minutes).alias("total_time_minutes"),
+            F.lit(items / max(minutes, 1e-9)).alias("items_per_minute"))
+        writers.write_article_dataset(out, out_dir)
+        writers.write_info(record, os.path.join(out_dir, "translation_info"))
+    return info
+
+
 # ---------------------------------------------------------------- 3.4 token files
 def validate_directory(spark: SparkSession, token_dir: str, report_dir: str, fix_dir: str | None = None) -> DataFrame:
     """A6 -> G1 -> D17-D20 -> L6; with ``fix_dir``, K13 repairs are
     written as new files and validated again.  Returns the D20 summary."""
-    toks = _reusable(tk.read_token_files(spark, token_dir, layout="auto"))
+    toks = reusable(tk.read_token_files(spark, token_dir, layout="auto"))
     errs = bio.validate_tokens(toks)
     verdicts = bio.file_verdicts(toks, errs)
     writers.write_validation_report(verdicts, errs, report_dir)
@@ -146,7 +177,7 @@ def make_requests(spark: SparkSession, token_dir: str, out_dir: str, model: str,
     docs = read_token_documents(spark, token_dir)
     chunks = chunking.split_documents(docs, "file", "tokens", max_lines)
     reqs = chunking.build_requests(chunks, model, temperature, max_tokens)
-    batched = _reusable(chunking.assign_batches(reqs, ["source_file", "chunk_index"], batch_size))
+    batched = reusable(chunking.assign_batches(reqs, ["source_file", "chunk_index"], batch_size))
     writers.write_request_files(batched, os.path.join(out_dir, "requests"))
     info = chunking.batch_info(batched)
     writers.write_info(info, os.path.join(out_dir, "batch_info"), mode="append")
@@ -158,23 +189,27 @@ def ingest_results(spark: SparkSession, results_path: str, requests_dir: str, ou
     (next request file).  Returns per-file chunk coverage."""
     res = requests.read_results(spark, results_path)
     ok, failed = requests.split_results(res)
-    docs = requests.reassemble(requests.translated_chunks(ok))
+    reqs = spark.read.schema("value string").text(requests_dir).select(
+        F.from_json("value", "custom_id string").alias("r"), "value").select("r.custom_id", "value")
+    totals = reqs.groupBy(chunking.custom_id_file(F.col("custom_id")).alias("source_file")).agg(F.count_distinct("custom_id").alias("total_chunks"))
+    covered = reusable(requests.reassemble(requests.translated_chunks(ok), totals))
+    docs = covered.where(F.col("tokens").isNotNull())
     tokens = docs.select(F.col("source_file").alias("file"),
                          F.posexplode("tokens").alias("pos", "t")).select(
         "file", (F.col("pos") + 1).alias("ord"), F.col("t.token").alias("token"), F.col("t.label").alias("label"))
     writers.write_token_files(tokens, os.path.join(out_dir, "translated"))
-    reqs = spark.read.schema("value string").text(requests_dir).select(
-        F.from_json("value", "custom_id string").alias("r"), "value").select("r.custom_id", "value")
     retry = requests.retry_set(reqs, ok)
     retry.select("value").write.mode("overwrite").text(os.path.join(out_dir, "retry_requests"))
     failed.select("custom_id", F.col("response.status_code").alias("status_code")).write.mode("overwrite").json(
         os.path.join(out_dir, "failed"))
-    return docs.select("source_file", F.size("chunk_indexes").alias("chunks"), F.size("tokens").alias("tokens"))
+    writers.write_info(covered.agg(F.sum("total_chunks").alias("chunks"), F.sum(F.size("missing")).alias("missing_chunks"),
+                                   F.count_if(F.size("missing") > 0).alias("incomplete_files")), os.path.join(out_dir, "retry_info"))
+    return docs.select("source_file", F.size("chunk_indexes").alias("chunks"), F.size("tokens").alias("tokens"), "missing")
 
 
 def compare_datasets(spark: SparkSession, dir_a: str, dir_b: str, out_dir: str, suffix: str | None = None) -> DataFrame:
     """D22 + E10 + L9: completeness row; missing names written per side."""
-    m = _reusable(compare.membership(tk.list_files(spark, dir_a, suffix), tk.list_files(spark, dir_b, suffix)))
+    m = reusable(compare.membership(tk.list_files(spark, dir_a, suffix), tk.list_files(spark, dir_b, suffix)))
     writers.write_names(compare.missing(m, "only_a"), os.path.join(out_dir, "missing_in_b"))
     writers.write_names(compare.missing(m, "only_b"), os.path.join(out_dir, "missing_in_a"))
     return compare.completeness(m)
@@ -186,6 +221,6 @@ def document_text_profile(df: DataFrame, columns: list[str]) -> DataFrame:
 
 
 __all__ = [
-    "collect_corpus", "label_dataset", "create_split", "translate_dataset", "validate_directory",
+    "collect_corpus", "label_dataset", "create_split", "translate_corpus", "translate_dataset", "validate_directory",
     "make_requests", "ingest_results", "compare_datasets", "document_text_profile",
 ]

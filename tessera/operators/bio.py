@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera import fixed_values as fv
 from tessera.operators.ordered import previous_value
+from tessera.session import reusable
 
 ERROR_STRUCT = "struct<rule:int,error_type:string,description:string,suggested_fix:string>"
 
@@ -108,17 +109,20 @@ def repair_labels(tokens: DataFrame, errors: DataFrame | None = None) -> DataFra
     )
 
 
-def repair_until_clean(tokens: DataFrame, max_passes: int = 10, segment: Column | None = None) -> DataFrame:
+def repair_until_clean(tokens: DataFrame, segment: Column | None = None) -> DataFrame:
     """K13 option: repeat validate + repair until no error remains (a single
-    pass can create a new orphan, e.g. ``X I-a`` -> ``O I-a``).  Lineage is
-    cut with ``checkpoint()`` (shared checkpoint dir) between passes."""
+    pass can create a new orphan, e.g. ``X I-a`` -> ``O I-a``), however many
+    passes that takes.  Raises if a pass changes no label and errors remain.
+    Each pass is written to the shared checkpoint folder."""
     cur = tokens.select("file", "ord", "token", "label")
-    for _ in range(max_passes):
+    while True:
         errs = validate_tokens(cur, segment)
         if errs.limit(1).count() == 0:
-            break
-        cur = repair_labels(cur, errs).select("file", "ord", "token", F.col("fixed_label").alias("label")).checkpoint()
-    return cur
+            return cur
+        fixed = reusable(repair_labels(cur, errs))
+        if fixed.where(~F.col("fixed_label").eqNullSafe(F.col("label"))).limit(1).count() == 0:
+            raise RuntimeError("errors remain that no rule repairs")
+        cur = fixed.select("file", "ord", "token", F.col("fixed_label").alias("label"))
 
 
 # ---------------------------------------------------------------- D17-D20
@@ -130,7 +134,7 @@ def entity_counts(tokens: DataFrame) -> DataFrame:
 
 def error_statistics(errors: DataFrame) -> DataFrame:
     """Errors per type, most frequent first."""
-    return errors.groupBy("error_type").agg(F.count("*").alias("count"))
+    return errors.groupBy("error_type").agg(F.count("*").alias("count")).orderBy(F.desc("count"), "error_type")
 
 
 def file_verdicts(tokens: DataFrame, errors: DataFrame | None = None) -> DataFrame:
@@ -170,7 +174,7 @@ def validation_summary(verdicts: DataFrame) -> DataFrame:
     """Files, errors, files with errors."""
     return verdicts.agg(
         F.count("*").alias("total_files"),
-        F.sum("total_errors").alias("total_errors"),
+        F.coalesce(F.sum("total_errors"), F.lit(0)).alias("total_errors"),
         F.count_if(~F.col("is_valid")).alias("files_with_errors"),
     )
 

@@ -25,6 +25,7 @@ from pyspark.sql import Window
 
 from tessera import fixed_values as fv
 from tessera.functions import text as tx
+from tessera.session import reusable
 
 BOUNDS_TYPE = "array<struct<start:int,end:int>>"
 
@@ -182,31 +183,24 @@ def build_requests(chunks: DataFrame, model: str, temperature: float = 0.1, max_
 
 # ---------------------------------------------------------------- G6
 def dense_index(df: DataFrame, order_cols: list[str], out: str = "idx") -> DataFrame:
-    """0-based dense index in ``order_cols`` order (the columns must identify a
-    row), without a single-partition window and without moving rows through
-    Python:
+    """0-based dense index in ``order_cols`` order, without a single-partition
+    window and without moving rows through Python:
 
-    1. the *key columns only* are range-sorted and checkpointed (so both
-       passes below see the same partitions);
+    1. the rows are range-sorted and written to the checkpoint folder, so both
+       passes below see the same partitions;
     2. the rows of each sorted partition are counted (one row per partition)
        and turned into start offsets -- a window over that tiny table;
-    3. index = partition offset + position inside the partition, joined back
-       to the full rows on the keys.
-    """
-    from tessera.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    keys = (df.select(*order_cols).orderBy(*order_cols)
-            .withColumn("_pid", F.spark_partition_id())
-            .withColumn("_mid", F.monotonically_increasing_id())
-            .checkpoint(eager=True))
-    counts = keys.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mid").alias("_first"))
+    3. index = partition offset + position inside the partition.
+
+    Every row keeps its place: null keys sort first, and rows of equal keys
+    get successive numbers in no particular order."""
+    rows = reusable(df.orderBy(*order_cols).withColumns({"_pid": F.spark_partition_id(), "_mid": F.monotonically_increasing_id()}))
+    counts = rows.groupBy("_pid").agg(F.count("*").alias("_n"), F.min("_mid").alias("_first"))
     before = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
     offsets = counts.select("_pid", "_first", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
     # one row per partition of the sort: a bounded broadcast
-    indexed = keys.join(F.broadcast(offsets), "_pid").select(
-        *order_cols, (F.col("_off") + F.col("_mid") - F.col("_first")).alias(out))
-    return df.join(indexed, order_cols)
+    return rows.join(F.broadcast(offsets), "_pid").withColumn(
+        out, F.col("_off") + F.col("_mid") - F.col("_first")).drop("_pid", "_mid", "_first", "_off")
 
 
 def assign_batches(df: DataFrame, order_cols: list[str], batch_size: int) -> DataFrame:

@@ -13,6 +13,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.session import reusable
+
 
 def tag_strategies(strategies: Sequence[tuple[str, DataFrame]], id_col: str = "id") -> DataFrame:
     """All ids of all strategies with ``(strategy, rank)``, duplicates kept (the 'searched' rows)."""
@@ -52,17 +54,18 @@ def gated_union(
     """Run strategies in order while the distinct total is below ``target``.
 
     A strategy is skipped once the target is reached (checked between
-    strategies with one ``count`` each, as in the original); nothing is
-    truncated.  Returns the union and the names of the strategies that ran.
+    strategies); nothing is truncated.  The ids that a strategy adds are
+    written once and counted once.  Returns the union (``id``, ``strategy``,
+    ``rank`` of the first strategy that found it) and the names of those that
+    ran.
     """
-    ran: list[tuple[str, DataFrame]] = []
-    total = 0
-    for name, ids in strategies:
+    found, ran, total = None, [], 0
+    for rank, (name, ids) in enumerate(strategies):
         if total >= target:
             break
-        ran.append((name, ids))
-        total = union_strategies(ran, id_col).count()
-    if not ran:
-        empty = strategies[0][1].select(F.col(id_col)).limit(0) if strategies else None
-        return empty, []
-    return union_strategies(ran, id_col), [n for n, _ in ran]
+        fresh = new_ids(ids, found, id_col) if found is not None else ids.select(id_col).distinct()
+        fresh = reusable(fresh.select(id_col, F.lit(name).alias("strategy"), F.lit(rank).alias("rank")))
+        total += fresh.count()
+        found = fresh if found is None else found.unionByName(fresh)
+        ran.append(name)
+    return found, ran

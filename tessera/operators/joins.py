@@ -1,31 +1,12 @@
-"""Join helpers: size-checked broadcast and the anti/semi joins.
+"""Anti and semi joins.
 
-``checked_broadcast`` only marks a side for broadcast after proving it is
-small.  The proof is a bounded action -- ``limit(max_rows + 1).count()`` over
-an empty projection -- so its cost does not grow with the table: it stops
-after ``max_rows + 1`` rows.  Beyond the bound the side is returned as is and
-the planner (sort-merge join, or AQE's runtime conversion) decides.
+Join strategies are left to the planner: file statistics and AQE decide what
+is small enough to broadcast.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# A dimension side above this many rows is never force-broadcast.
-DEFAULT_BROADCAST_MAX_ROWS = 2_000_000
-
-
-def row_count_at_most(df: DataFrame, max_rows: int) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows (reads at most max_rows + 1)."""
-    return df.select(F.lit(1).alias("_one")).limit(max_rows + 1).count() <= max_rows
-
-
-def checked_broadcast(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint for ``df`` when its row count is proven <= ``max_rows``."""
-    if row_count_at_most(df, max_rows):
-        return F.broadcast(df)
-    return df
 
 
 def anti_join(left: DataFrame, right: DataFrame, on) -> DataFrame:

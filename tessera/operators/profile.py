@@ -77,6 +77,33 @@ def corpus_profile(
     )
 
 
+def corpus_statistics(
+    df: DataFrame,
+    year: Column | str = "publication_info.year",
+    journal: Column | str = "journal.title",
+    language: Column | str = "abstract_language",
+    stage_counts: dict[str, int] | None = None,
+    **profile,
+) -> DataFrame:
+    """The whole statistics record as one row: the D4-D6 profile, the
+    language distribution, the 10 most frequent years and 20 most frequent
+    journals as maps, and the counts of the collection stages."""
+    def rows(stat: str, counts: DataFrame, key: str) -> DataFrame:
+        return counts.select(F.lit(stat).alias("stat"), F.col(key).cast("string").alias("key"), "count")
+
+    small = rows("language_distribution", language_distribution(df, language).where("language IS NOT NULL"), "language").unionByName(
+        rows("top_years", top_k(year_counts(df, year), 10, "count", "year"), "year")).unionByName(
+        rows("top_journals", top_k(journal_counts(df, journal), 20, "count", "journal"), "journal"))
+    maps = [F.map_from_entries(F.collect_list(F.when(F.col("stat") == s, F.struct("key", "count")))).alias(s)
+            for s in ("language_distribution", "top_years", "top_journals")]
+    scalars = corpus_profile(df, year=year, **profile).first()
+    counts = F.create_map(*[x for k, v in (stage_counts or {}).items() for x in (F.lit(k), F.lit(int(v)).cast("long"))]).cast("map<string,bigint>")
+    return small.agg(*maps).select(
+        *[F.lit(scalars[n]).cast(t).alias(n) for n, t in (("total_articles", "long"), ("year_earliest", "int"), ("year_latest", "int"),
+                                                           ("avg_abstract_length", "double"), ("structured_abstracts", "long"))],
+        "language_distribution", "top_years", "top_journals", counts.alias("collection_stats"))
+
+
 def language_summary(df: DataFrame, language: Column | str = "abstract_language") -> DataFrame:
     """Spanish / english / other counts and percentages (null when empty)."""
     lang = _col(language)
@@ -96,12 +123,19 @@ def coverage_stats(
     labelled: DataFrame,
     categories_str: str = "level1_categories_str",
     translation: str = "spanish_abstract",
+    weight: str | None = None,
 ) -> DataFrame:
     """D11 + D12: coverage of categories and translations (percentages null on
-    an empty input instead of dividing by zero)."""
-    total = F.count("*")
-    with_cat = F.count_if(F.length(categories_str) > 0)
-    with_tr = F.count_if(F.length(translation) > 0)
+    an empty input instead of dividing by zero).  ``weight``: a column with the
+    number of articles that a row stands for."""
+    n = F.col(weight) if weight else F.lit(1)
+
+    def count_where(condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0)).cast("long")
+
+    total = count_where(F.lit(True))
+    with_cat = count_where(F.length(categories_str) > 0)
+    with_tr = count_where(F.length(translation) > 0)
     pct = lambda x: F.when(total > 0, F.round(x * 100.0 / total, 4))
     return labelled.agg(
         total.alias("total_articles"),
@@ -114,11 +148,12 @@ def coverage_stats(
     )
 
 
-def category_frequencies(labelled: DataFrame, categories_str: str = "level1_categories_str") -> DataFrame:
-    """Article count per level-1 category name (from the ``'; '`` strings)."""
+def category_frequencies(labelled: DataFrame, categories_str: str = "level1_categories_str", weight: str | None = None) -> DataFrame:
+    """Article count per level-1 category name (from the ``'; '``
+    strings); ``weight`` as in :func:`coverage_stats`."""
     names = labelled.where(F.length(categories_str) > 0).select(
-        F.explode(F.split(categories_str, "; ")).alias("category"))
-    return group_counts(names, "category", "category")
+        (F.col(weight) if weight else F.lit(1)).alias("n"), F.explode(F.split(categories_str, "; ")).alias("category"))
+    return names.groupBy("category").agg(F.sum("n").cast("long").alias("count"))
 
 
 # ---------------------------------------------------------------- D14

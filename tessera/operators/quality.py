@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from tessera import fixed_values as fv
 from tessera.functions import text as tx
-from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast
+from tessera.operators.joins import semi_join
 
 
 def _col(c):
@@ -94,11 +94,9 @@ def date_in_years(date: Column | str, lo: int, hi: int) -> Column:
     return (d >= F.to_timestamp_ntz(F.lit(f"{lo:04d}-01-01"))) & (d < F.to_timestamp_ntz(F.lit(f"{hi + 1:04d}-01-01")))
 
 
-def member_of(df: DataFrame, key: str, values: DataFrame, values_key: str,
-              broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS) -> DataFrame:
-    """Rows whose ``key`` is in a list table (left semi join, list broadcast when small)."""
-    lst = values.select(F.col(values_key).alias(key)).distinct()
-    return df.join(checked_broadcast(lst, broadcast_max_rows), key, "left_semi")
+def member_of(df: DataFrame, key: str, values: DataFrame, values_key: str) -> DataFrame:
+    """Rows whose ``key`` is in a list table (left semi join)."""
+    return semi_join(df, values.select(F.col(values_key).alias(key)), key)
 
 
 def any_term_in(terms: Column | str, subjects: Sequence[str], field=lambda m: m["descriptor"]["name"]) -> Column:

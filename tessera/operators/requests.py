@@ -61,16 +61,33 @@ def translated_chunks(ok_results: DataFrame) -> DataFrame:
     )
 
 
-def reassemble(chunks: DataFrame) -> DataFrame:
+def latest_chunks(chunks: DataFrame, order: str | None = None) -> DataFrame:
+    """One row per (source_file, chunk_index): the one of largest ``order``;
+    among equals, or without an order, the one with the largest tokens."""
+    key = F.struct(*([order] if order else []), "tokens")
+    best = chunks.groupBy("source_file", "chunk_index").agg(F.max(key).alias("_best"))
+    return best.select("source_file", "chunk_index", F.col("_best.tokens").alias("tokens"))
+
+
+def reassemble(chunks: DataFrame, totals: DataFrame | None = None, order: str | None = None) -> DataFrame:
     """Concatenate each file's chunk tokens in chunk order (not arrival
-    order), reporting which chunk indexes are present."""
-    g = chunks.groupBy("source_file").agg(
+    order), reporting which chunk indexes are present.  A chunk that was
+    delivered several times counts once (see :func:`latest_chunks`).  With
+    ``totals`` (``source_file, total_chunks``) the missing indexes of every
+    file are reported too, also of files without any chunk."""
+    g = latest_chunks(chunks, order).groupBy("source_file").agg(
         F.sort_array(F.collect_list(F.struct("chunk_index", "tokens"))).alias("_parts"))
-    return g.select(
+    out = g.select(
         "source_file",
         F.transform("_parts", lambda p: p["chunk_index"]).alias("chunk_indexes"),
         F.flatten(F.transform("_parts", lambda p: p["tokens"])).alias("tokens"),
     )
+    if totals is None:
+        return out
+    every = F.when(F.col("total_chunks") > 0, F.sequence(F.lit(0), F.col("total_chunks").cast("int") - 1))
+    none = F.array().cast("array<int>")
+    return totals.select("source_file", "total_chunks").join(out, "source_file", "left").withColumn(
+        "missing", F.array_except(F.coalesce(every, none), F.coalesce(F.col("chunk_indexes").cast("array<int>"), none)))
 
 
 def retry_set(requests: DataFrame, ok_results: DataFrame) -> DataFrame:

@@ -9,7 +9,9 @@ of the rest (16 %), train = 64 %.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
+from fractions import Fraction
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -74,8 +76,8 @@ def assign_splits_exact(df: DataFrame, id_col: str, seed: int = fv.SPLIT_SEED,
     with_bucket = df.withColumn("bucket", split_bucket(id_col, seed))
     out = dense_index(with_bucket, ["bucket", id_col], "_idx")
     n = df.count()
-    n_test = -(-n * int(test * 1000) // 1000)
-    n_val = -(-(n - n_test) * int(val * 1000) // 1000)
+    n_test = math.ceil(n * Fraction(str(test)))
+    n_val = math.ceil((n - n_test) * Fraction(str(val)))
     idx = F.col("_idx")
     return out.withColumn(
         "split", F.when(idx < n_test, "test").when(idx < n_test + n_val, "val").otherwise("train")).drop("_idx")
@@ -103,7 +105,11 @@ def label_classes(df: DataFrame, categories_str: str = "level1_categories_str")
 def multilabel_matrix(df: DataFrame, classes: Sequence[str],
                       categories_str: str = "level1_categories_str") -> DataFrame:
     """K5: one 0/1 column per class (``category_<clean name>``), computed in the
-    row with ``array_contains`` -- no pivot, no shuffle."""
+    row with ``array_contains`` -- no pivot, no shuffle.  Raises if two classes
+    have the same cleaned name."""
+    names = [category_column_name(c) for c in classes]
+    if len(set(names)) < len(names):
+        raise ValueError(f"categories with the same column name: {sorted(n for n in set(names) if names.count(n) > 1)}")
     cats = category_list(categories_str)
     return df.withColumns({
         category_column_name(c): F.array_contains(cats, F.lit(c)).cast("int") for c in classes
@@ -111,13 +117,15 @@ def multilabel_matrix(df: DataFrame, classes: Sequence[str],
 
 
 def label_counts(df: DataFrame, categories_str: str = "level1_categories_str",
-                 total: int | None = None) -> DataFrame:
+                 total: int | None = None, weight: str | None = None) -> DataFrame:
     """Rows per category and percentage of all rows.  The per-category
-    counts are partially aggregated; the row total is one scalar ``count``
-    (or passed in), used as a literal."""
-    exploded = df.select(F.explode(category_list(categories_str)).alias("category"))
-    counts = exploded.groupBy("category").agg(F.count("*").alias("count"))
-    n = df.count() if total is None else total
+    counts are partially aggregated; the row total is one scalar (or passed
+    in), used as a literal.  ``weight``: a column with the number of rows that
+    a row stands for."""
+    each = (F.col(weight) if weight else F.lit(1)).cast("long")
+    exploded = df.select(each.alias("n"), F.explode(category_list(categories_str)).alias("category"))
+    counts = exploded.groupBy("category").agg(F.sum("n").alias("count"))
+    n = (df.agg(F.sum(each)).first()[0] or 0) if total is None else total
     return counts.withColumns({
         "total_samples": F.lit(n).cast("long"),
         "percentage": F.round(F.col("count") * 100.0 / F.lit(n), 4) if n else F.lit(None).cast("double"),

@@ -7,10 +7,10 @@ Data model (three small tables, sized by the vocabulary, not by the corpus):
   ``ord`` is the descriptor's position in the source (first occurrence)
 * ``tree_name(code, name)``          -- name of every root letter and prefix
 
-Labelling explodes each article's distinct major descriptor ids, joins the
-(size-checked) broadcast ``ui -> category`` table, re-aggregates per article
-with map-side-combined ``collect_set`` and joins the result back, so articles
-without a major descriptor keep a row with empty category lists.
+Labelling takes each article's distinct major descriptor ids, joins the
+``ui -> categories`` table (one row per ui), gathers the category arrays per
+article and joins the result back, so articles without a major descriptor
+keep a row with empty category lists.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera import fixed_values as fv
-from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS, checked_broadcast, row_count_at_most
+from tessera.operators.quality import major_terms_only
 
 
 # ---------------------------------------------------------------- F2 / E4
@@ -132,90 +132,47 @@ def thesaurus_stats(descriptor: DataFrame, descriptor_tree: DataFrame, tree_name
 
 
 # ---------------------------------------------------------------- E1 / E2 / F5
-def ui_categories(descriptor_tree: DataFrame, tree_name: DataFrame, small: bool = False) -> DataFrame:
-    """E1 + F4 + E2: ``ui -> (level, code, name)``, distinct.
-
-    Level-1 and level-2 codes of every tree number of a descriptor, named
-    through ``tree_name`` with the ``Unknown_<code>`` default.  The table is
-    sized by the thesaurus, so it is the broadcast side of the labelling join.
-    ``small`` (the tree-number table was proven small, so its prefix table is
-    too) broadcasts the name table instead of shuffling both sides.
-    """
+def ui_categories(descriptor_tree: DataFrame, tree_name: DataFrame) -> DataFrame:
+    """E1 + F4 + E2: one row per ``ui`` with its distinct level-1 and level-2
+    categories, ``l1`` and ``l2`` (arrays of code and name).
+
+    Codes come from every tree number of a descriptor and are named through
+    ``tree_name`` with the ``Unknown_<code>`` default."""
     tn = F.col("tree_number")
-    levels = descriptor_tree.select(
-        "ui",
-        F.explode(
-            F.array(
-                F.struct(F.lit(1).alias("level"), level1_code(tn).alias("code")),
-                F.struct(F.lit(2).alias("level"), level2_code(tn).alias("code")),
-            )
-        ).alias("lc"),
+    codes = descriptor_tree.select(
+        "ui", F.explode(F.array(F.struct(F.lit(1).alias("level"), level1_code(tn).alias("code")),
+                                F.struct(F.lit(2).alias("level"), level2_code(tn).alias("code")))).alias("lc"),
     ).select("ui", "lc.level", "lc.code").where(F.col("code") != "").distinct()
-    names = tree_name.select("code", F.col("name").alias("tname"))
-    if small:
-        names = F.broadcast(names)
-    return levels.join(names, "code", "left").select(
-        "ui", "level", "code",
-        F.coalesce("tname", F.concat(F.lit("Unknown_"), F.col("code"))).alias("name"),
-    )
-
-
-MAX_TREE_DEPTH = 20
-
-
-def _thesaurus_bounds(descriptor_tree: DataFrame, broadcast_max_rows: int) -> tuple[bool, bool]:
-    """One bounded count of the tree-number table gives both broadcast bounds:
-    the ui-category table has at most 2 rows per tree number; the prefix-name
-    table at most ``MAX_TREE_DEPTH`` rows per tree number."""
-    limit = broadcast_max_rows // 2
-    n = descriptor_tree.select(F.lit(1)).limit(limit + 1).count()
-    return n <= limit, n * MAX_TREE_DEPTH <= broadcast_max_rows
+    named = codes.join(tree_name.select("code", F.col("name").alias("tname")), "code", "left")
+    pair = F.struct("code", F.coalesce("tname", F.concat(F.lit("Unknown_"), F.col("code"))).alias("name"))
+    return named.groupBy("ui").agg(F.collect_set(F.when(F.col("level") == 1, pair)).alias("l1"),
+                                   F.collect_set(F.when(F.col("level") == 2, pair)).alias("l2"))
 
 
 def major_descriptor_ids(mesh_terms: Column) -> Column:
     """C11 + dedup: distinct non-empty descriptor ids of major-topic headings.
     Qualifier-level major flags are ignored."""
-    majors = F.filter(mesh_terms, lambda m: F.coalesce(m["descriptor"]["major_topic"], F.lit(False)))
-    uis = F.transform(majors, lambda m: m["descriptor"]["ui"])
+    uis = F.transform(major_terms_only(mesh_terms), lambda m: m["descriptor"]["ui"])
     return F.array_distinct(F.filter(uis, lambda u: u.isNotNull() & (u != "")))
 
 
-def categories_per_article(
-    majors: DataFrame,
-    ui_cats: DataFrame,
-    id_col: str = "pmid",
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    small: bool | None = None,
-) -> DataFrame:
+def categories_per_article(majors: DataFrame, ui_cats: DataFrame, id_col: str = "pmid") -> DataFrame:
     """F5 + F6 over a long table of ``(id, ui)`` major headings (duplicates allowed).
 
     Output per id: sorted distinct level-1/level-2 codes, their names in code
-    order, and the number of distinct major ids (unknown ids count too).
-
-    ``ui_cats`` has at most two rows per tree number, so when the caller has
-    proven the tree-number table small (``small``) that bound covers the
-    broadcast side without counting the derived table; otherwise the derived
-    table itself is checked.
-    """
-    if small is None:
-        cats = checked_broadcast(ui_cats, broadcast_max_rows)
-    else:
-        cats = F.broadcast(ui_cats) if small else ui_cats
-    joined = majors.select(id_col, "ui").join(cats, "ui", "left")
-    pair = F.struct(F.col("code"), F.col("name"))
+    order, and the number of distinct major ids (unknown ids count too).  Each
+    distinct (id, ui) is joined once; the category arrays of an id's headings
+    are flattened and made distinct in the row."""
+    joined = majors.select(id_col, "ui").distinct().join(ui_cats, "ui", "left")
     agg = joined.groupBy(id_col).agg(
-        F.size(F.collect_set("ui")).alias("major_subjects_count"),
-        F.sort_array(F.collect_set(F.when(F.col("level") == 1, pair))).alias("_l1"),
-        F.sort_array(F.collect_set(F.when(F.col("level") == 2, pair))).alias("_l2"),
-    )
+        F.count("ui").cast("int").alias("major_subjects_count"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("l1")))).alias("_l1"),
+        F.sort_array(F.array_distinct(F.flatten(F.collect_list("l2")))).alias("_l2"))
     return agg.select(
         id_col,
-        F.transform("_l1", lambda s: s["code"]).alias("level1_codes"),
-        F.transform("_l1", lambda s: s["name"]).alias("level1_names"),
-        F.transform("_l2", lambda s: s["code"]).alias("level2_codes"),
-        F.transform("_l2", lambda s: s["name"]).alias("level2_names"),
-        F.col("major_subjects_count").cast("int").alias("major_subjects_count"),
-    )
+        F.col("_l1.code").alias("level1_codes"), F.col("_l1.name").alias("level1_names"),
+        F.col("_l2.code").alias("level2_codes"), F.col("_l2.name").alias("level2_names"),
+        "major_subjects_count")
 
 
 def attach_categories(articles: DataFrame, categories: DataFrame, id_col: str = "pmid") -> DataFrame:
@@ -251,36 +208,19 @@ def article_row_projection(articles: DataFrame) -> DataFrame:
     )
 
 
-def label_articles(
-    articles: DataFrame,
-    descriptor_tree: DataFrame,
-    tree_name: DataFrame,
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def label_articles(articles: DataFrame, descriptor_tree: DataFrame, tree_name: DataFrame) -> DataFrame:
     """F7 over nested articles (``mesh_terms`` array): the 11-column category table."""
-    majors = articles.select(
-        "pmid", F.explode(major_descriptor_ids(F.col("mesh_terms"))).alias("ui")
-    )
-    small_cats, small_names = _thesaurus_bounds(descriptor_tree, broadcast_max_rows)
-    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name, small_names), "pmid",
-                                  broadcast_max_rows, small=small_cats)
+    majors = articles.select("pmid", F.explode(major_descriptor_ids(F.col("mesh_terms"))).alias("ui"))
+    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name), "pmid")
     return attach_categories(article_row_projection(articles), cats, "pmid")
 
 
-def label_from_terms(
-    articles: DataFrame,
-    terms: DataFrame,
-    descriptor_tree: DataFrame,
-    tree_name: DataFrame,
-    id_col: str = "pmid",
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-) -> DataFrame:
+def label_from_terms(articles: DataFrame, terms: DataFrame, descriptor_tree: DataFrame, tree_name: DataFrame,
+                     id_col: str = "pmid") -> DataFrame:
     """F7 over a long term table ``(id, ui, major_topic)`` -- the shape of a
     normalised heading table; major, non-empty ids only."""
     majors = terms.where(
         F.coalesce(F.col("major_topic"), F.lit(False)) & F.col("ui").isNotNull() & (F.col("ui") != "")
     ).select(id_col, "ui")
-    small_cats, small_names = _thesaurus_bounds(descriptor_tree, broadcast_max_rows)
-    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name, small_names), id_col,
-                                  broadcast_max_rows, small=small_cats)
+    cats = categories_per_article(majors, ui_categories(descriptor_tree, tree_name), id_col)
     return attach_categories(articles, cats, id_col)

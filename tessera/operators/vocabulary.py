@@ -7,9 +7,8 @@ Per-token normalisers (a lemma table, a stemmer) are applied once per
 2. build the distinct vocabulary (partially aggregated before the shuffle),
 3. map it through the lemma table (left join) and/or a stemmer running as a
    pandas UDF over the vocabulary only, keeping only words that change,
-4. apply the map: in-row through a broadcast variable when the map is
-   proven small, else by a join on the token and a re-collect per row id
-   (a group is then exactly the tokens of one input row).
+4. join the map to the distinct tokens of each row (a number given to the row,
+   not its id, is the key) and replace inside the row's own array.
 """
 
 from __future__ import annotations
@@ -20,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.operators.joins import DEFAULT_BROADCAST_MAX_ROWS
+from tessera.session import reusable
 
 
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
@@ -52,7 +51,6 @@ def normalisation_map(
     lemma_table: DataFrame | None = None,
     stem_fn: Callable[[str], str] | None = None,
     mode: str = "lemmatize",
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
 ) -> DataFrame:
     """``(token, norm)`` for the distinct tokens whose normal form differs.
 
@@ -84,45 +82,32 @@ def normalisation_map(
 
 def normalise_tokens(
     df: DataFrame,
-    id_col: str,
     tokens_col: str,
     out_col: str,
     lemma_table: DataFrame | None = None,
     stem_fn: Callable[[str], str] | None = None,
     mode: str = "lemmatize",
-    broadcast_max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    inline_max_rows: int = 500_000,
 ) -> DataFrame:
     """K1: ``basic`` (identity), ``stem``, ``lemmatize`` or ``both``;
     ``lemma_table`` has columns ``(token, lemma)``.  Returns ``df`` with
-    ``out_col``: the normalised tokens in their original order.
-
-    The map of changed words is computed once per distinct word.  When it is
-    proven small (at most ``inline_max_rows`` entries) it is shipped to the
-    executors as a broadcast variable and applied inside each row -- no
-    shuffle of the token stream at all.  Beyond that bound the distributed
-    path explodes the tokens, joins the map on the token (AQE splits hot
-    tokens) and re-collects each row's tokens by position."""
+    ``out_col``: the normalised tokens in their original order (null for a
+    null array).
+
+    Rows are numbered and written once, so repeated ids do not matter.  Only
+    the distinct tokens of a row meet the map of changed words, and only the
+    changes of a row come back to it; the token stream itself never moves."""
     if mode == "basic":
         return df.withColumn(out_col, F.col(tokens_col))
-    rows = explode_tokens(df, id_col, tokens_col)
-    mapping = normalisation_map(vocabulary(rows), lemma_table, stem_fn, mode, broadcast_max_rows)
-    head = mapping.limit(inline_max_rows + 1).collect()  # bounded: at most inline_max_rows + 1 rows
-    if len(head) <= inline_max_rows:
-        table = {r["token"]: r["norm"] for r in head}
-        bc = df.sparkSession.sparkContext.broadcast(table)
-
-        @F.pandas_udf("array<string>")
-        def _apply(tokens: pd.Series) -> pd.Series:
-            lookup = bc.value
-            return tokens.map(lambda arr: None if arr is None else [lookup.get(t, t) for t in arr])
-
-        return df.withColumn(out_col, _apply(F.col(tokens_col)))
-    normed = rows.join(mapping, "token", "left").select(id_col, "pos", F.coalesce("norm", "token").alias("norm"))
-    regrouped = normed.groupBy(id_col).agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("pos", "norm"))), lambda s: s["norm"]).alias(out_col))
-    empty = F.array().cast("array<string>")
-    return df.join(regrouped, id_col, "left").withColumn(out_col, F.coalesce(out_col, empty))
+    rows = reusable(df.withColumn("_row", F.monotonically_increasing_id()))
+    tokens = rows.select("_row", F.explode(F.array_distinct(tokens_col)).alias("token"))
+    if mode in ("lemmatize", "both") and lemma_table is None and stem_fn is None:
+        raise ValueError(f"mode {mode!r} needs a lemma table or a stemmer")
+    mapping = normalisation_map(tokens, lemma_table, stem_fn, mode)
+    changes = tokens.join(mapping, "token").groupBy("_row").agg(
+        F.map_from_entries(F.collect_list(F.struct("token", "norm"))).alias("_changes"))
+    changed = F.transform(tokens_col, lambda t: F.coalesce(F.try_element_at(F.col("_changes"), t), t))
+    return rows.join(changes, "_row", "left").withColumn(
+        out_col, F.when(F.col("_changes").isNull(), F.col(tokens_col)).otherwise(changed)).drop("_row", "_changes")
 
 
 def plural_lemma_table(token_rows: DataFrame, min_length: int = 4) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from tessera.operators import thesaurus as th
 from tessera.plans import mappings as mp
+from tessera.session import reusable
 from tessera.sources.tables import Tables
 
 
@@ -36,12 +37,12 @@ def label_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def materialized(df: DataFrame) -> DataFrame:
-    """Cut lineage for a result read by several aggregates (shared checkpoint folder)."""
-    from tessera.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+def category_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled articles per distinct (category string, has a translation),
+    with their number ``n``: what all label statistics need, written once."""
+    labelled = label_orders(spark, sf_dir)
+    translated = F.when(F.length("spanish_abstract") > 0, F.lit("x")).otherwise(F.lit(""))
+    return reusable(labelled.groupBy("level1_categories_str", translated.alias("spanish_abstract")).agg(F.count("*").alias("n")))
 
 
 def q05_label_articles(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -75,13 +76,13 @@ def documents_as_abstracts(documents: DataFrame) -> DataFrame:
 
 
 def q01_quality_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = documents_as_abstracts(Tables(spark, sf_dir).spread("documents", "doc_id"))
+    docs = documents_as_abstracts(Tables(spark, sf_dir).dealt("documents", "doc_id", "text"))
     kept = ql.quality_filter(docs, has_content="has_content", word_count="word_count", terms=None)
     return kept.select("doc_id", F.col("word_count").cast("long").alias("word_count"))
 
 
 def q02_language_detect(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).spread("documents", "doc_id")
+    docs = Tables(spark, sf_dir).dealt("documents", "doc_id", "text")
     return docs.select("doc_id", tx.detect_language("text", ES_WORDS, EN_WORDS).alias("abstract_language"))
 
 
@@ -109,8 +110,8 @@ def q04_top_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q06_coverage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    labelled = materialized(label_orders(spark, sf_dir).select("pmid", "level1_categories_str", "spanish_abstract"))
-    cov = pf.coverage_stats(labelled).select(F.expr(
+    labelled = category_groups(spark, sf_dir)
+    cov = pf.coverage_stats(labelled, weight="n").select(F.expr(
         "stack(7, 'total_articles', cast(total_articles as double), "
         "'articles_with_categories', cast(articles_with_categories as double), "
         "'articles_with_translation', cast(articles_with_translation as double), "
@@ -119,7 +120,7 @@ def q06_coverage_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
         "'articles_without_categories', cast(articles_without_categories as double), "
         "'without_categories_percentage', without_categories_percentage) as (metric, value)"
     )).select("metric", F.lit(None).cast("string").alias("key"), "value")
-    freq = pf.category_frequencies(labelled)
+    freq = pf.category_frequencies(labelled, weight="n")
     unique = freq.agg(F.count("*").cast("double").alias("value")).select(
         F.lit("unique_level1_categories").alias("metric"), F.lit(None).cast("string").alias("key"), "value")
     top = pf.top_k(freq, 10, "count", "category").select(
@@ -131,7 +132,7 @@ def q09_stage_counters(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D8 over three id 'strategies' (union all, then distinct), then the
     quality rules with the first-failed-rule attribution."""
     t = Tables(spark, sf_dir)
-    docs, labels = t.spread("documents", "doc_id"), t.labels
+    docs, labels = t.documents, t.labels
     s1 = docs.where(F.col("lang") == "en").select("doc_id")
     s2 = labels.select("doc_id")
     s3 = docs.where(F.col("n_chars") > 5000).select("doc_id")
@@ -233,25 +234,25 @@ def part_titles(part: DataFrame) -> DataFrame:
 
 
 def q10_clean_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titles = part_titles(Tables(spark, sf_dir).spread("part", "p_partkey"))
+    titles = part_titles(Tables(spark, sf_dir).part)
     return titles.select("p_partkey", "variant", "title", tx.clean_title("title").alias("cleaned_title"))
 
 
 def q11_sentence_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).spread("documents", "doc_id")
+    docs = Tables(spark, sf_dir).dealt("documents", "doc_id", "text")
     s = docs.select("doc_id", tx.split_sentences("text").alias("sentences"))
     return s.select("doc_id", F.size("sentences").cast("long").alias("n_sentences"),
                     tx.join_sentences("sentences").alias("rejoined"))
 
 
 def q12_clean_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).spread("documents", "doc_id").select("doc_id", "text")
+    docs = Tables(spark, sf_dir).dealt("documents", "doc_id", "text")
     out = tp.preprocess_columns(docs, ["text"], min_length=2)
     return out.select("doc_id", tx.clean_text("text").alias("cleaned"), "text_processed")
 
 
 def q13_text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).spread("documents", "doc_id").select("doc_id", "text")
+    docs = Tables(spark, sf_dir).dealt("documents", "doc_id", "text")
     out = tp.preprocess_columns(docs, ["text"], min_length=2)
     prof = tp.processing_profile(out, ["text"])
     return prof.withColumns({
@@ -261,10 +262,10 @@ def q13_text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q30_normalise_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).spread("documents", "doc_id").select("doc_id", "text")
+    docs = Tables(spark, sf_dir).dealt("documents", "doc_id", "text")
     toks = docs.select("doc_id", tx.tokenize(tx.clean_text("text")).alias("tokens"))
     lemmas = vc.plural_lemma_table(vc.explode_tokens(toks, "doc_id", "tokens"))
-    out = vc.normalise_tokens(toks, "doc_id", "tokens", "normalised", lemma_table=lemmas, mode="lemmatize")
+    out = vc.normalise_tokens(toks, "tokens", "normalised", lemma_table=lemmas, mode="lemmatize")
     return out.select("doc_id", F.array_join("normalised", " ").alias("normalised"))
 
 
@@ -383,7 +384,7 @@ def document_articles(documents: DataFrame) -> DataFrame:
 
 def document_queue(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = Tables(spark, sf_dir)
-    arts = document_articles(t.spread("documents", "doc_id"))
+    arts = document_articles(t.dealt("documents", "doc_id", "text", "lang"))
     done_abs = t.labels.where(F.col("quality") == 1).select("doc_id")
     done_titles = t.labels.where(F.col("toxic") == 1).select("doc_id")
     return trn.translation_queue(
@@ -427,15 +428,15 @@ from tessera.operators import splits as sp  # noqa: E402
 def q16_multilabel_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K5 over the labelled orders that have categories."""
     labelled = label_orders(spark, sf_dir).where(ql.has_categories("level1_categories_str"))
-    rows = materialized(labelled.select("pmid", "level1_categories_str"))
-    classes = sp.label_classes(rows)
+    rows = labelled.select("pmid", "level1_categories_str")
+    classes = sp.label_classes(category_groups(spark, sf_dir).where(ql.has_categories("level1_categories_str")))
     m = sp.multilabel_matrix(rows, classes)
     return m.withColumn("n_labels", F.size(sp.category_list("level1_categories_str")).cast("int")).drop(
         "level1_categories_str")
 
 
 def q17_split_assign(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).spread("documents", "doc_id").select(
+    docs = Tables(spark, sf_dir).documents.select(
         "doc_id", F.concat_ws("; ", "lang", "source").alias("categories"))
     out = sp.assign_splits(sp.single_label(docs, "categories"), "doc_id")
     return out.select("doc_id", "single_category", "bucket", "split")
@@ -458,7 +459,7 @@ MODEL = "translator-model"
 
 
 def document_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = Tables(spark, sf_dir).spread("documents", "doc_id").select(
+    docs = Tables(spark, sf_dir).dealt("documents", "doc_id", "text").select(
         F.col("doc_id").cast("string").alias("doc_id"), ch.text_tokens(F.col("text")).alias("tokens"))
     return ch.split_documents(docs, "doc_id", "tokens", DOC_CHUNK_LINES)
 
@@ -474,7 +475,7 @@ def q23_chunk_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def turn_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    conv = Tables(spark, sf_dir).spread("conversations", "conv_id")
+    conv = Tables(spark, sf_dir).dealt("conversations", "conv_id", "turn", "text")
     files = conv.select(
         F.format_string("c%05d_t%03d", "conv_id", "turn").alias("file"),
         ch.text_tokens(F.col("text")).alias("tokens"))
@@ -559,14 +560,14 @@ def q26_dataset_compare(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q26b_missing_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     # the membership table feeds four top-k scans: computed once
-    m = materialized(dataset_members(spark, sf_dir))
+    m = reusable(dataset_members(spark, sf_dir))
     a = cmp.missing_preview(m, "only_a").withColumn("side", F.lit("only_a"))
     b = cmp.missing_preview(m, "only_b").withColumn("side", F.lit("only_b"))
     return a.unionByName(b).select("side", "name", "part")
 
 
 def q29_page_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    p = Tables(spark, sf_dir).spread("pages", "page_id")
+    p = Tables(spark, sf_dir).dealt("pages", "page_id", "html")
     h = F.col("html")
     return p.select(
         "page_id",
@@ -588,7 +589,7 @@ QUERIES.update({
 # ---------------------------------------------------------------- Q31-Q38: summaries
 def q31_language_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D9 over the document language vote."""
-    docs = Tables(spark, sf_dir).spread("documents", "doc_id")
+    docs = Tables(spark, sf_dir).dealt("documents", "doc_id", "text")
     langs = docs.select(tx.detect_language("text", ES_WORDS, EN_WORDS).alias("abstract_language"))
     return pf.language_summary(langs)
 
@@ -608,9 +609,8 @@ def q33_translation_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q34_label_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """D16 + H4: top 10 level-1 labels with their share of labelled articles."""
-    labelled = materialized(label_orders(spark, sf_dir).where(ql.has_categories("level1_categories_str")).select(
-        "pmid", "level1_categories_str"))
-    counts = sp.label_counts(labelled)
+    labelled = category_groups(spark, sf_dir).where(ql.has_categories("level1_categories_str"))
+    counts = sp.label_counts(labelled, weight="n")
     return pf.top_k(counts, 10, "count", "category")
 
 
@@ -663,11 +663,12 @@ from tessera.sources import articles as art  # noqa: E402
 
 
 def order_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One ``PubmedArticle``-style XML record per order, rendered from the
-    tables: mixed-content title, a labelled and an unlabelled abstract
-    section, the order's lineitems as headings (major when returned), a
-    journal and a publication year; records of low-priority pending orders
-    are left unclosed (malformed)."""
+    """One article record per order, rendered from the tables: mixed-content
+    title; a section that closes itself, a section with ``>`` in its label and
+    a CDATA part, an unlabelled one with a comment; the order's lineitems as
+    headings (major when returned), the clerk as author beside a group, ids of
+    the article and of a cited work, a keyword that is empty, a journal and a
+    date.  Records of low-priority pending orders are left unclosed."""
     t = Tables(spark, sf_dir)
     li = t.lineitem.select(
         "l_orderkey", "l_linenumber",
@@ -678,36 +679,158 @@ def order_xml_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     heads = li.groupBy(F.col("l_orderkey").alias("o_orderkey")).agg(
         F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("l_linenumber", "h"))), lambda s: s["h"]), "")
         .alias("headings"))
-    o = t.spread("orders", "o_orderkey").join(heads, "o_orderkey", "left")
-    xml = F.concat(
-        F.lit("<PubmedArticle><MedlineCitation><PMID>"), F.col("o_orderkey").cast("string"), F.lit("</PMID><Article>"),
-        F.lit("<Journal><ISSN>"), F.col("o_custkey").cast("string"), F.lit("</ISSN><Title>"), F.col("o_orderpriority"),
-        F.lit("</Title></Journal><ArticleTitle>Order <i>"), F.col("o_orderstatus"),
-        F.lit("</i> &amp; more</ArticleTitle><Abstract><AbstractText Label=\"TOTAL\">"),
-        F.floor(F.col("o_totalprice") * 100).cast("string"),
-        F.lit(" cents</AbstractText><AbstractText>"), F.col("o_orderpriority"),
-        F.lit(" text</AbstractText></Abstract></Article><MeshHeadingList>"), F.coalesce("headings", F.lit("")),
-        F.lit("</MeshHeadingList></MedlineCitation><PubDate><Year>"), F.year("o_orderdate").cast("string"),
-        F.lit("</Year></PubDate>"),
-        F.when((F.col("o_orderpriority") == "5-LOW") & (F.col("o_orderstatus") == "P"), F.lit(""))
-        .otherwise(F.lit("</PubmedArticle>")),
-    )
-    return o.select(xml.alias("xml"))
+    o = t.orders.join(heads, "o_orderkey", "left")
+    key, cust, status = F.col("o_orderkey").cast("string"), F.col("o_custkey").cast("string"), F.col("o_orderstatus")
+    cents = F.floor(F.col("o_totalprice") * 100).cast("string")
+    parts = [
+        '<PubmedArticle><MedlineCitation><PMID Version="1"> ', key, " </PMID><Article><Journal><ISSN IssnType='Print'>", cust,
+        "</ISSN><JournalIssue><PubDate><Year>", F.year("o_orderdate").cast("string"), "</Year></PubDate></JournalIssue><Title>",
+        F.col("o_orderpriority"), "</Title></Journal><ArticleTitle>Order <i>", status, "</i> &amp; <b/>more &#60;x></ArticleTitle>",
+        '<Abstract><AbstractText Label="AIM" NlmCategory="X"/><AbstractText Label="TOTAL > ', status, '"><![CDATA[<', cents,
+        ">]]> cents</AbstractText><AbstractText>", F.col("o_orderpriority"), "<!-- <b> --> text</AbstractText></Abstract>",
+        "<AuthorList><Author><CollectiveName>Group</CollectiveName></Author><Author><LastName>", cust,
+        "</LastName><ForeName/></Author></AuthorList></Article><MeshHeadingList>", F.coalesce("headings", F.lit("")),
+        "</MeshHeadingList><KeywordList><Keyword/><Keyword> ", status, " &lt; 1</Keyword></KeywordList></MedlineCitation><PubmedData><ArticleIdList>",
+        '<ArticleId IdType="doi">old</ArticleId><ArticleId IdType="doi">10/', key, "</ArticleId></ArticleIdList><ReferenceList><Reference>",
+        '<ArticleIdList><ArticleId IdType="doi">cited</ArticleId></ArticleIdList></Reference></ReferenceList></PubmedData>',
+        F.when((F.col("o_orderpriority") == "5-LOW") & (status == "P"), F.lit("")).otherwise(F.lit("</PubmedArticle>")),
+    ]
+    return o.select(F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts]).alias("xml"))
 
 
 def q39_xml_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2 gate + B1-B9 extraction + C1/C2 over XML records rendered from the tables."""
-    good, _bad = art.gate_records(order_xml_records(spark, sf_dir))
-    a = art.extract_articles(good)
+    a = art.extract_articles(order_xml_records(spark, sf_dir))
     return a.where(ql.require_abstract("abstract.has_content") & ql.require_terms("mesh_terms")).select(
         F.col("pmid").cast("long").alias("pmid"), "title",
         F.col("abstract.full_text").alias("full_text"), F.col("abstract.word_count").alias("word_count"),
         F.col("abstract.structured").alias("structured"),
         F.size("mesh_terms").alias("n_terms"),
-        F.size(F.filter("mesh_terms", lambda m: m["descriptor"]["major_topic"])).alias("n_major"),
+        F.size(ql.major_terms_only("mesh_terms")).alias("n_major"),
         F.col("journal.title").alias("journal_title"), F.col("journal.issn").alias("issn"),
+        F.array_join(F.transform("authors", lambda x: F.concat_ws("/", x["last_name"], F.coalesce(x["first_name"], F.lit("-")))), ";").alias("authors"),
+        F.array_join("keywords", ";").alias("keywords"), F.col("identifiers")["doi"].alias("doi"),
         art.publication_year(F.col("publication_info")).alias("year"),
     )
 
 
 QUERIES.update({"q39_xml_extract": q39_xml_extract})
+
+
+# ---------------------------------------------------------------- Q40-Q49: operators met by no other query
+import os  # noqa: E402
+import uuid  # noqa: E402
+
+from tessera.session import ensure_checkpoint_dir  # noqa: E402
+from tessera.sinks import writers as wr  # noqa: E402
+
+
+def q40_gated_union(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Strategies run until half of all orders are found."""
+    t = Tables(spark, sf_dir)
+    union, _ = co.gated_union(order_strategies(t), t.orders.count() // 2, "id")
+    return union.select(F.col("id").alias("pmid"), "strategy", F.col("rank").cast("int").alias("rank"))
+
+
+def q41_subject_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C8 + H8: the first orders with a heading among the subjects."""
+    t = Tables(spark, sf_dir)
+    sup = t.supplier.join(t.nation.withColumnRenamed("n_nationkey", "s_nationkey"), "s_nationkey").select(
+        F.col("s_suppkey").alias("l_suppkey"), F.col("n_name").alias("name"))
+    terms = t.lineitem.select("l_orderkey", "l_suppkey").join(sup, "l_suppkey").groupBy(F.col("l_orderkey").alias("pmid")).agg(
+        F.collect_set(F.struct(F.struct("name").alias("descriptor"))).alias("mesh_terms"))
+    return pf.sample_first(terms.where(ql.any_term_in("mesh_terms", ["NATION_3", "NATION_7"])).select("pmid"), 20, "pmid")
+
+
+def q42_new_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Customers with an order in 1998 and none before 1997."""
+    o = Tables(spark, sf_dir).orders
+    seen = o.where(ql.date_in_years("o_orderdate", 1900, 1996)).select(F.col("o_custkey").alias("id"))
+    return co.new_ids(o.where(ql.date_in_years("o_orderdate", 1998, 1998)).select(F.col("o_custkey").alias("id")), seen, "id")
+
+
+def q43_single_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents per single label."""
+    docs = Tables(spark, sf_dir).documents.select(F.concat_ws("; ", "source", "lang").alias("categories"))
+    return pf.group_counts(sp.single_label(docs, "categories"), "single_category", "category")
+
+
+def q44_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J14 + J16: report texts; a missing nested field yields the default."""
+    docs = Tables(spark, sf_dir).documents.select(
+        F.struct(F.when(F.col("n_chars") > 1000, F.col("lang")).alias("title")).alias("journal"))
+    total = docs.count()
+    counts = pf.group_counts(docs, tx.nested_get("journal.title", "Unknown"), "journal")
+    return pf.report_format(counts.withColumn("share", F.col("count") * 100.0 / F.lit(max(total, 1))), ["count"], ["share"])
+
+
+def past_stem(word: str) -> str:
+    """A stemmer that SQL can repeat: drops a final ``ed``."""
+    return word[:-2] if word.endswith("ed") and len(word) > 4 else word
+
+
+def q45_stem_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: stems, and stems of lemmas."""
+    docs = Tables(spark, sf_dir).dealt("documents", "doc_id", "text")
+    toks = docs.select("doc_id", tx.tokenize(tx.clean_text("text")).alias("tokens"))
+    lemmas = vc.plural_lemma_table(vc.explode_tokens(toks, "doc_id", "tokens"))
+    out = vc.normalise_tokens(toks, "tokens", "stemmed", stem_fn=past_stem, mode="stem")
+    out = vc.normalise_tokens(out, "tokens", "lemma_stemmed", lemma_table=lemmas, stem_fn=past_stem, mode="both")
+    return out.select("doc_id", F.array_join("stemmed", " ").alias("stemmed"), F.array_join("lemma_stemmed", " ").alias("lemma_stemmed"))
+
+
+def q46_split_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K6 at exact sizes, every id twice."""
+    docs = Tables(spark, sf_dir).documents.select("doc_id")
+    twice = docs.withColumn("copy", F.lit(0)).unionByName(docs.withColumn("copy", F.lit(1)))
+    return sp.assign_splits_exact(twice, "doc_id").groupBy("split").agg(F.count("*").alias("n"), F.max("bucket").alias("last_bucket"))
+
+
+def q47_chunk_redelivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every result delivered twice; the missing chunks of each file."""
+    conv = Tables(spark, sf_dir).conversations
+    ok, _ = rq.split_results(conversation_results(spark, sf_dir))
+    totals = conv.groupBy(F.col("conv_id").cast("string").alias("source_file")).agg((F.max("turn") + 1).alias("total_chunks"))
+    chunks = rq.translated_chunks(ok)
+    docs = rq.reassemble(chunks.unionByName(chunks), totals)
+    return docs.select(F.col("source_file").cast("long").alias("conv_id"), "total_chunks",
+                       F.coalesce(F.size("tokens"), F.lit(0)).alias("n_tokens"),
+                       F.array_join(F.transform("missing", lambda i: i.cast("string")), ",").alias("missing"))
+
+
+def q48_category_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """L3 + A8: the category table written as CSV and read back."""
+    path = os.path.join(ensure_checkpoint_dir(spark), f"categories-{uuid.uuid4().hex}.csv")
+    quoted = label_orders(spark, sf_dir).withColumn("title", F.concat_ws("\n", F.lit('said "hi", ok'), "title"))
+    wr.write_category_csv(quoted, path)
+    from tessera.jobs.corpus import CATEGORY_CSV_SCHEMA
+
+    back = wr.read_category_csv(spark, path, CATEGORY_CSV_SCHEMA)
+    return back.select(F.col("pmid").cast("long").alias("pmid"), "title", "year", "level1_codes", "major_subjects_count", "level1_categories_str")
+
+
+def q49_corpus_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The statistics record, maps as sorted text."""
+    o = Tables(spark, sf_dir).orders
+    stats = pf.corpus_statistics(o, year=F.year("o_orderdate"), journal="o_orderpriority", language="o_orderstatus",
+                                 word_count="o_totalprice", structured=F.col("o_orderstatus") == "F", stage_counts={"final": 1})
+
+    def text(c: str):
+        return F.array_join(F.array_sort(F.transform(F.map_entries(c), lambda e: F.concat_ws(":", e["key"], e["value"].cast("string")))), ",").alias(c)
+
+    return stats.select("total_articles", "year_earliest", "year_latest", F.round("avg_abstract_length", 2).alias("avg_abstract_length"),
+                        "structured_abstracts", text("language_distribution"), text("top_years"), text("top_journals"), text("collection_stats"))
+
+
+QUERIES.update({
+    "q40_gated_union": q40_gated_union,
+    "q41_subject_filter": q41_subject_filter,
+    "q42_new_ids": q42_new_ids,
+    "q43_single_labels": q43_single_labels,
+    "q44_report": q44_report,
+    "q45_stem_modes": q45_stem_modes,
+    "q46_split_exact": q46_split_exact,
+    "q47_chunk_redelivery": q47_chunk_redelivery,
+    "q48_category_csv": q48_category_csv,
+    "q49_corpus_statistics": q49_corpus_statistics,
+})

@@ -770,15 +770,122 @@ ORACLES.update({
 Q39 = """
 WITH li AS (SELECT l_orderkey, count(*) AS n_terms, count(*) FILTER (WHERE l_returnflag = 'R') AS n_major
             FROM lineitem GROUP BY l_orderkey),
-t AS (SELECT *, 'TOTAL: ' || CAST(CAST(floor(o_totalprice * 100) AS BIGINT) AS VARCHAR) || ' cents' || chr(10) || chr(10)
-         || o_orderpriority || ' text' AS full_text FROM orders)
-SELECT o.o_orderkey AS pmid, 'Order ' || o.o_orderstatus || ' & more' AS title, o.full_text,
+t AS (SELECT *, 'TOTAL > ' || o_orderstatus || ': <' || CAST(CAST(floor(o_totalprice * 100) AS BIGINT) AS VARCHAR) || '> cents'
+         || chr(10) || chr(10) || o_orderpriority || ' text' AS full_text FROM orders)
+SELECT o.o_orderkey AS pmid, 'Order ' || o.o_orderstatus || ' & more <x>' AS title, o.full_text,
        CAST(""" + WORD_COUNT.format(c="o.full_text") + """ AS INTEGER) AS word_count, true AS structured,
        CAST(li.n_terms AS INTEGER) AS n_terms, CAST(li.n_major AS INTEGER) AS n_major,
        o.o_orderpriority AS journal_title, CAST(o.o_custkey AS VARCHAR) AS issn,
+       CAST(o.o_custkey AS VARCHAR) || '/-' AS authors, o.o_orderstatus || ' < 1' AS keywords, '10/' || CAST(o.o_orderkey AS VARCHAR) AS doi,
        CAST(year(o.o_orderdate) AS INTEGER) AS year
 FROM t o JOIN li ON li.l_orderkey = o.o_orderkey
 WHERE NOT (o.o_orderpriority = '5-LOW' AND o.o_orderstatus = 'P')
 """
 
 ORACLES.update({"q39_xml_extract": Q39})
+
+Q40 = """
+WITH o AS (SELECT o_orderkey AS id, o_orderdate, o_custkey, o_orderpriority FROM orders),
+tagged AS (
+  SELECT id, 'date_range' AS strategy, 0 AS rank FROM o WHERE year(o_orderdate) BETWEEN 1995 AND 1997
+  UNION ALL
+  SELECT id, 'journals', 1 FROM o WHERE o_custkey IN
+    (SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'MACHINERY'))
+  UNION ALL
+  SELECT id, 'subjects', 2 FROM o WHERE o_orderpriority = '1-URGENT'),
+winners AS (SELECT id, arg_min(strategy, rank) AS strategy, min(rank) AS rank FROM tagged GROUP BY id),
+added AS (SELECT rank, count(*) AS n FROM winners GROUP BY rank),
+earlier AS (SELECT a.rank, coalesce((SELECT sum(b.n) FROM added b WHERE b.rank < a.rank), 0) AS n FROM added a)
+SELECT w.id AS pmid, w.strategy, CAST(w.rank AS INTEGER) AS rank
+FROM winners w JOIN earlier e USING (rank) WHERE e.n < (SELECT count(*) // 2 FROM orders)
+"""
+
+Q41 = """
+SELECT DISTINCT l_orderkey AS pmid FROM lineitem JOIN supplier ON l_suppkey = s_suppkey JOIN nation ON s_nationkey = n_nationkey
+WHERE n_name IN ('NATION_3', 'NATION_7') ORDER BY pmid LIMIT 20
+"""
+
+Q42 = """
+SELECT DISTINCT o_custkey AS id FROM orders WHERE year(o_orderdate) = 1998
+  AND o_custkey NOT IN (SELECT o_custkey FROM orders WHERE year(o_orderdate) < 1997)
+"""
+
+Q43 = "SELECT source AS category, count(*) AS count FROM documents GROUP BY source"
+
+Q44 = """
+WITH d AS (SELECT CASE WHEN n_chars > 1000 THEN lang ELSE 'Unknown' END AS journal FROM documents)
+SELECT journal, format('{:,}', count(*)) AS count, printf('%.1f', count(*) * 100.0 / (SELECT count(*) FROM d)) AS share
+FROM d GROUP BY journal
+"""
+
+STEM = "CASE WHEN ends_with({c}, 'ed') AND length({c}) > 4 THEN substr({c}, 1, length({c}) - 2) ELSE {c} END"
+
+Q45 = f"""
+WITH toks AS (SELECT doc_id, {TOKENS.format(c='text')} AS tokens FROM documents),
+rows AS (SELECT doc_id, generate_subscripts(tokens, 1) AS pos, unnest(tokens) AS token FROM toks),
+vocab AS (SELECT DISTINCT token FROM rows),
+lemmas AS (
+  SELECT v.token, substr(v.token, 1, length(v.token) - 1) AS lemma FROM vocab v
+  WHERE ends_with(v.token, 's') AND length(v.token) >= 4
+    AND substr(v.token, 1, length(v.token) - 1) IN (SELECT token FROM vocab)),
+normed AS (SELECT r.doc_id, r.pos, r.token, coalesce(l.lemma, r.token) AS lemma FROM rows r LEFT JOIN lemmas l USING (token))
+SELECT d.doc_id, coalesce(string_agg({STEM.format(c='n.token')}, ' ' ORDER BY n.pos), '') AS stemmed,
+       coalesce(string_agg({STEM.format(c='n.lemma')}, ' ' ORDER BY n.pos), '') AS lemma_stemmed
+FROM documents d LEFT JOIN normed n USING (doc_id)
+GROUP BY d.doc_id
+"""
+
+Q46 = """
+WITH b AS (
+  SELECT doc_id, CAST(('0x' || substr(md5(CAST(doc_id AS VARCHAR) || '#42'), 1, 8))::BIGINT % 10000 AS INTEGER) AS bucket
+  FROM documents, (VALUES (0), (1)) AS c(copy)),
+n AS (SELECT count(*) AS n, CAST(ceil(count(*) / 5.0) AS BIGINT) AS t FROM b),
+cut AS (SELECT n, t, CAST(ceil((n - t) / 5.0) AS BIGINT) AS v FROM n),
+r AS (SELECT bucket, row_number() OVER (ORDER BY bucket, doc_id) AS k FROM b),
+s AS (SELECT bucket, CASE WHEN k <= t THEN 'test' WHEN k <= t + v THEN 'val' ELSE 'train' END AS split FROM r, cut)
+SELECT split, count(*) AS n, max(bucket) AS last_bucket FROM s GROUP BY split
+"""
+
+Q47 = "WITH " + RESULTS_CTE + """,
+ok AS (
+  SELECT conv_id, turn,
+         list_filter(list_transform(list_filter(list_transform(regexp_split_to_array(content, '\\r\\n|\\r|\\n'),
+                       lambda s: regexp_replace(s, '^\\s+|\\s+$', '', 'g')), lambda s: s <> '' AND contains(s, chr(9))),
+                     lambda s: string_split(s, chr(9))), lambda p: len(p) >= 2) AS parts
+  FROM res WHERE status_code = 200),
+t AS (SELECT conv_id, max(turn) + 1 AS total_chunks FROM conversations GROUP BY conv_id)
+SELECT t.conv_id, t.total_chunks,
+       CAST(coalesce((SELECT sum(len(parts)) FROM ok WHERE ok.conv_id = t.conv_id), 0) AS INTEGER) AS n_tokens,
+       coalesce((SELECT string_agg(CAST(i AS VARCHAR), ',' ORDER BY i) FROM generate_series(0, t.total_chunks - 1) g(i)
+                 WHERE i NOT IN (SELECT turn FROM ok WHERE ok.conv_id = t.conv_id)), '') AS missing
+FROM t
+"""
+
+Q48 = "WITH " + LABEL_ORDERS_CTES + """
+SELECT pmid, 'said "hi", ok' || chr(10) || title AS title, year,
+       CASE WHEN level1_codes = '' THEN '[]' ELSE '["' || replace(level1_codes, ',', '","') || '"]' END AS level1_codes,
+       major_subjects_count, nullif(level1_names, '') AS level1_categories_str
+FROM named
+"""
+
+Q49 = """
+WITH s AS (SELECT o_orderstatus AS k, count(*) AS n FROM orders GROUP BY k),
+y AS (SELECT year(o_orderdate) AS k, count(*) AS n FROM orders GROUP BY k ORDER BY n DESC, k LIMIT 10),
+j AS (SELECT o_orderpriority AS k, count(*) AS n FROM orders GROUP BY k ORDER BY n DESC, k LIMIT 20)
+SELECT count(*) AS total_articles, CAST(min(year(o_orderdate)) AS INTEGER) AS year_earliest, CAST(max(year(o_orderdate)) AS INTEGER) AS year_latest,
+       round(avg(o_totalprice), 2) AS avg_abstract_length, count(*) FILTER (WHERE o_orderstatus = 'F') AS structured_abstracts,
+       (SELECT string_agg(k || ':' || n, ',' ORDER BY k || ':' || n) FROM s) AS language_distribution,
+       (SELECT string_agg(k || ':' || n, ',' ORDER BY k || ':' || n) FROM y) AS top_years,
+       (SELECT string_agg(k || ':' || n, ',' ORDER BY k || ':' || n) FROM j) AS top_journals,
+       'final:1' AS collection_stats
+FROM orders
+"""
+
+ORACLES.update({
+    "q40_gated_union": Q40, "q41_subject_filter": Q41, "q42_new_ids": Q42, "q43_single_labels": Q43, "q44_report": Q44,
+    "q45_stem_modes": Q45, "q46_split_exact": Q46, "q47_chunk_redelivery": Q47, "q48_category_csv": Q48, "q49_corpus_statistics": Q49,
+})
+
+# The same white space as on the Spark side, inside classes and alone.
+ORACLES.update({k: v.replace("_\\s]", "_" + fv.WHITESPACE + "]").replace("\\s", "[" + fv.WHITESPACE + "]") for k, v in ORACLES.items()
+                if k != "q29_page_extract"})  # markup has ASCII space only

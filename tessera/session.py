@@ -10,7 +10,7 @@ from __future__ import annotations
 import os
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on.  AQE re-plans joins at runtime (turns a
 # sort-merge join into a broadcast when a side turns out small, coalesces
@@ -55,8 +55,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by ``spark.checkpoint.dir``.
 
     On a cluster the folder is configured by the deployment and must be on
-    shared storage; it is only read here.  When it is unset (local tests)
-    a fresh scratch folder is created and registered.
+    shared storage; it is only read here, and it is an error if it is unset.
+    A local master (tests) gets a fresh scratch folder.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -64,6 +64,14 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not (sc.master == "local" or sc.master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         configured = tempfile.mkdtemp(prefix="tessera-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def reusable(df: DataFrame) -> DataFrame:
+    """``df`` computed once and read back from the shared checkpoint folder."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint()

@@ -11,6 +11,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
+from tessera.operators import bio
+
 
 def _arrays_to_json(df: DataFrame) -> DataFrame:
     """CSV has no nested types: arrays/maps/structs become JSON text."""
@@ -20,11 +22,21 @@ def _arrays_to_json(df: DataFrame) -> DataFrame:
     })
 
 
+def _write_csv(df: DataFrame, path: str, *partitions: str) -> None:
+    """Header CSV that standard readers understand: quotes inside a cell are
+    doubled, nested columns are JSON text."""
+    w = _arrays_to_json(df).write.mode("overwrite").option("header", True).option("escape", '"')
+    (w.partitionBy(*partitions) if partitions else w).csv(path)
+
+
 def write_article_dataset(articles: DataFrame, out_dir: str, metadata: DataFrame | None = None,
-                          statistics: DataFrame | None = None, fmt: str = "parquet") -> None:
+                          statistics: DataFrame | None = None, fmt: str = "parquet", year: str | None = None) -> None:
     """Articles as parquet (or JSON lines) plus one-row metadata and
-    statistics JSON beside them."""
-    w = articles.write.mode("overwrite")
+    statistics JSON beside them.  With ``year``, a column to deal the articles
+    out by, they are written in one folder per year, so that a range of years
+    (C6) reads only its folders."""
+    w = (articles.repartition(year) if year else articles).write.mode("overwrite")
+    w = w.partitionBy(year) if year else w
     (w.parquet if fmt == "parquet" else w.json)(os.path.join(out_dir, "articles"))
     if metadata is not None:
         metadata.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "metadata"))
@@ -36,7 +48,7 @@ def write_category_csv(df: DataFrame, path: str) -> None:
     """L3: the category table as CSV with a header; list columns as JSON text."""
     if not path.endswith(".csv"):
         raise ValueError("the category table is written only to a path ending in .csv")
-    _arrays_to_json(df).write.mode("overwrite").option("header", True).option("escape", '"').csv(path)
+    _write_csv(df, path)
 
 
 def read_category_csv(spark, path: str, schema: str) -> DataFrame:
@@ -46,9 +58,10 @@ def read_category_csv(spark, path: str, schema: str) -> DataFrame:
 
 
 def write_request_files(requests: DataFrame, out_dir: str) -> None:
-    """L4: JSON lines, one folder per batch number."""
-    requests.select("batch_no", F.to_json("request").alias("value")).write.mode("overwrite").partitionBy(
-        "batch_no").text(out_dir)
+    """L4: JSON lines, one folder per batch number with one file each (the
+    rows are dealt out by batch before they are written)."""
+    (requests.select("batch_no", F.to_json("request").alias("value")).repartition("batch_no")
+     .write.mode("overwrite").partitionBy("batch_no").text(out_dir))
 
 
 def write_token_files(tokens: DataFrame, out_dir: str, label_col: str = "label") -> None:
@@ -60,17 +73,24 @@ def write_token_files(tokens: DataFrame, out_dir: str, label_col: str = "label")
 
 
 def write_validation_report(verdicts: DataFrame, errors: DataFrame, out_dir: str) -> None:
-    """Per-file verdict JSON and an errors CSV (missing fix -> ``N/A``)."""
-    verdicts.write.mode("overwrite").json(os.path.join(out_dir, "files"))
-    errors.select(
+    """Per-file verdict JSON with the file's errors in it, a one-row summary
+    (D20 and the errors per type) and an errors CSV (missing fix -> ``N/A``)."""
+    nested = errors.groupBy("file").agg(F.sort_array(F.collect_list(F.struct(
+        F.col("line_number").alias("line"), "rule", "token", "label", F.col("error_type").alias("type"), "description", "suggested_fix"))).alias("errors"))
+    verdicts.join(nested, "file", "left").write.mode("overwrite").json(os.path.join(out_dir, "files"))
+    types = errors.groupBy("error_type").agg(F.count("*").alias("n")).agg(
+        F.map_from_entries(F.collect_list(F.struct("error_type", "n"))).alias("error_type_distribution"))
+    summary = bio.validation_summary(verdicts).withColumn("_k", F.lit(1)).join(types.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    summary.coalesce(1).write.mode("overwrite").json(os.path.join(out_dir, "summary"))
+    _write_csv(errors.select(
         "file", "line_number", "token", "label", "error_type", "description",
         F.coalesce("suggested_fix", F.lit("N/A")).alias("suggested_fix"),
-    ).write.mode("overwrite").option("header", True).csv(os.path.join(out_dir, "errors"))
+    ), os.path.join(out_dir, "errors"))
 
 
 def write_splits(df: DataFrame, out_dir: str) -> None:
     """One CSV folder per split value."""
-    _arrays_to_json(df).write.mode("overwrite").partitionBy("split").option("header", True).csv(out_dir)
+    _write_csv(df, out_dir, "split")
 
 
 def write_info(info: DataFrame, path: str, mode: str = "overwrite") -> None:

@@ -1,21 +1,21 @@
 """Article sources: the JSON dataset (A1) and XML records (A2 + B1-B9).
 
 XML records are split with the text source (``lineSep`` = the closing tag),
-which keeps input splitting parallel for large files.  Each record is first
-gated with the permissive ``from_xml`` parser -- malformed records go to a
-quarantine frame instead of failing the job, because ``xpath_*`` throws on
-malformed input -- and then projected with ``xpath_*`` functions:
-each element is cut out as a fragment with a regex; attributes and leading
-text (the ElementTree ``.text``) are read from the fragment with regexes and
-the predefined entities decoded, so no XML parse is needed for them.  Only
-mixed-content fields (title, abstract sections) use ``xpath_string`` -- on
-the small fragment, not the whole record -- because it returns all
-descendant text in order (``Foo <i>x</i> bar``), which the XML data source
-with inferred or declared struct schemas does not.
+which keeps input splitting parallel for large files.  Each record is parsed
+once, by an XML parser, in Arrow batches: Spark's own XML reader has no type
+for mixed content (``Foo <i>x</i> bar``) and every ``xpath_*`` call parses the
+record again.  A record that is not well-formed gives a null ``record`` and
+goes to a quarantine frame instead of failing the job.  What the parser reads
+(texts, attributes, in document order) is then projected natively: abstract
+text, word count, language vote.
 """
 
 from __future__ import annotations
 
+import xml.etree.ElementTree as ET
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -76,6 +76,13 @@ def has_rows(df: DataFrame) -> bool:
     return df.limit(1).count() > 0
 
 
+def require_articles(articles: DataFrame, path: str) -> DataFrame:
+    """A1: an input without a single article is an error that names the input."""
+    if not has_rows(articles):
+        raise ValueError(f"no articles in {path}")
+    return articles
+
+
 # ---------------------------------------------------------------- A2
 def read_xml_records(spark: SparkSession, path: str, tag: str = "PubmedArticle") -> DataFrame:
     """A2 (splitter): one row per ``<tag>...</tag>`` record, as text."""
@@ -85,191 +92,120 @@ def read_xml_records(spark: SparkSession, path: str, tag: str = "PubmedArticle")
         F.concat(F.col("b"), F.lit(f"</{tag}>")).alias("xml"))
 
 
-def gate_records(records: DataFrame, tag: str = "PubmedArticle") -> tuple[DataFrame, DataFrame]:
-    """Split records into (well-formed, quarantined) with the permissive parser."""
-    g = records.withColumn("_g", F.from_xml(
-        "xml", "_corrupt_record string",
-        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record", "rowTag": tag}))
-    bad_flag = F.col("_g").isNull() | F.col("_g._corrupt_record").isNotNull()
-    return g.where(~bad_flag).drop("_g"), g.where(bad_flag).drop("_g")
-
-
-def _fragments(xml: Column, tag: str) -> Column:
-    """All ``<tag ...>...</tag>`` / ``<tag/>`` elements as separate XML strings."""
-    return F.regexp_extract_all(xml, F.lit(rf"(?s)<{tag}(?:\s[^>]*)?(?:/>|>.*?</{tag}>)"), 0)
-
-
-def _first_fragment(xml: Column, tag: str) -> Column:
-    return F.regexp_extract(xml, rf"(?s)<{tag}(?:\s[^>]*)?(?:/>|>.*?</{tag}>)", 0)
-
-
-def _x(xml: Column, path: str) -> Column:
-    return F.xpath_string(xml, F.lit(path))
-
-
-# --- fixed values: the XML predefined entities (ampersand decoded last) ---
-_ENTITIES = [("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&")]
-
-
-def decode_xml_text(t: Column) -> Column:
-    """Character data of a well-formed record -> text.  The predefined
-    entities are replaced directly; text with numeric character references
-    is handed to the XML parser (rare, so the parse cost is rare too)."""
-    plain = t
-    for ent, ch in _ENTITIES:
-        plain = F.replace(plain, F.lit(ent), F.lit(ch))
-    parsed = F.xpath_string(F.concat(F.lit("<x>"), t, F.lit("</x>")), F.lit("/x"))
-    return F.when(~t.contains("&"), t).when(t.contains("&#"), parsed).otherwise(plain)
-
-
-def _start_tag(frag: Column, tag: str) -> Column:
-    return F.regexp_extract(frag, rf"^<{tag}(?:\s[^>]*)?/?>", 0)
-
-
-def attribute(frag: Column, tag: str, name: str) -> Column:
-    """Value of attribute ``name`` on the fragment's root element, ``''`` if absent
-    (one anchored regex over the start tag; either quote style)."""
-    quoted = F.regexp_extract(frag, rf"""^<{tag}\s[^>]*?\b{name}\s*=\s*("[^"]*"|'[^']*')""", 1)
-    return decode_xml_text(F.substring(quoted, 2, F.greatest(F.length(quoted) - 2, F.lit(0))))
-
-
-def leading_text(frag: Column, tag: str) -> Column:
-    """Text of the fragment's root element before its first child element
-    (the ElementTree ``.text``); null for an empty or self-closing element."""
-    raw = F.regexp_extract(frag, rf"^<{tag}(?:\s[^>]*)?>([^<]*)", 1)
-    return F.nullif(decode_xml_text(raw), F.lit(""))
-
-
-def all_text(frag: Column, tag: str) -> Column:
-    """All descendant text of the fragment's root element, entities decoded,
-    mixed content (``Foo <i>x</i> bar``) kept in order."""
-    inner = F.regexp_extract(frag, rf"(?s)^<{tag}(?:\s[^>]*)?>(.*)</{tag}>$", 1)
-    # In a well-formed record, removing the tags of child elements leaves the
-    # text runs in document order; only CDATA sections, comments and
-    # processing instructions need the XML parser.
-    needs_parser = inner.contains("<!") | inner.contains("<?")
-    return (F.when(frag == "", F.lit(None).cast("string"))
-            .when(~inner.contains("<"), decode_xml_text(inner))
-            .when(~needs_parser, decode_xml_text(F.regexp_replace(inner, r"<[^>]*>", "")))
-            .otherwise(_x(frag, f"/{tag}")))
-
-
-def has_child(frag: Column, child: str) -> Column:
-    return frag.rlike(rf"<{child}[\s/>]")
-
-
-def node_text(xml: Column, tag: str) -> Column:
-    """B1: all descendant text of the first ``tag`` element, stripped, '' if absent."""
-    return F.coalesce(tx.strip_ws(all_text(_first_fragment(xml, tag), tag)), F.lit(""))
-
-
-def extract_abstract(xml: Column) -> Column:
-    """B2: sections of every ``AbstractText`` inside ``Abstract`` elements."""
-    blocks = F.regexp_extract_all(xml, F.lit(r"(?s)<Abstract(?:\s[^>]*)?>.*?</Abstract>"), 0)
-    frags = F.flatten(F.transform(blocks, lambda b: _fragments(b, "AbstractText")))
-    raw = F.transform(frags, lambda f: F.struct(
-        tx.strip_ws(attribute(f, "AbstractText", "Label")).alias("label"),
-        F.coalesce(tx.strip_ws(all_text(f, "AbstractText")), F.lit("")).alias("content")))
-    kept = F.filter(raw, lambda s: s["content"] != "")
-    full = F.array_join(F.transform(kept, lambda s: F.when(
+NAMED = "struct<name:string, ui:string, major_topic:boolean>"
+RECORD_SCHEMA = f"""struct<pmid:string, title:string, sections:array<struct<label:string, content:string>>,
+journal:struct<title:string, iso_abbreviation:string, issn:string>,
+authors:array<struct<last_name:string, first_name:string>>,
+mesh_terms:array<struct<descriptor:{NAMED}, qualifiers:array<{NAMED}>>>,
+keywords:array<string>, publication_info:struct<year:string, month:string>,
+identifiers:map<string,string>, all_identifiers:map<string,string>>""".replace("\n", " ")
+
+
+def _leading(element: ET.Element | None, path: str) -> str | None:
+    """Text of the first ``path`` element before its first child, if any."""
+    found = element.find(path) if element is not None else None
+    return found.text if found is not None else None
+
+
+def _whole(element: ET.Element) -> str:
+    """All descendant text, in document order, stripped."""
+    return "".join(element.itertext()).strip()
+
+
+def _named(element: ET.Element) -> dict:
+    return {"name": element.text, "ui": element.get("UI", ""), "major_topic": element.get("MajorTopicYN") == "Y"}
+
+
+def _identifiers(scope: ET.Element | None, path: str) -> list[tuple[str, str]]:
+    found = scope.iterfind(path) if scope is not None else ()
+    return list({e.get("IdType"): e.text for e in found if e.get("IdType") and e.text}.items())
+
+
+def parse_record(xml: str | None) -> dict | None:
+    """B1-B8 of one record; None if it is null or not well-formed."""
+    try:
+        root = ET.fromstring(xml or "")
+    except ET.ParseError:
+        return None
+    title = root.find(".//ArticleTitle")
+    journal, authors, date = root.find(".//Journal"), root.find(".//AuthorList"), root.find(".//PubDate")
+    headings = [h for h in root.iterfind(".//MeshHeading") if h.find("DescriptorName") is not None]
+    return {
+        "pmid": (_leading(root, ".//PMID") or "").strip(),
+        "title": _whole(title) if title is not None else "",
+        "sections": [{"label": t.get("Label", "").strip(), "content": c}
+                     for a in root.iterfind(".//Abstract") for t in a.iterfind("AbstractText") if (c := _whole(t))],
+        "journal": {"title": _leading(journal, "Title"), "iso_abbreviation": _leading(journal, "ISOAbbreviation"), "issn": _leading(journal, "ISSN")},
+        "authors": [{"last_name": _leading(a, "LastName"), "first_name": _leading(a, "ForeName")}
+                    for a in (authors.iterfind("Author") if authors is not None else ())
+                    if a.find("LastName") is not None or a.find("ForeName") is not None],
+        "mesh_terms": [{"descriptor": _named(h.find("DescriptorName")), "qualifiers": [_named(q) for q in h.iterfind("QualifierName")]}
+                       for h in headings],
+        "keywords": [k.text.strip() for ks in root.iterfind(".//KeywordList") for k in ks.iterfind("Keyword") if k.text],
+        "publication_info": {"year": (_leading(date, "Year") or "") if date is not None and date.find("Year") is not None else None,
+                             "month": _leading(date, "Month")},
+        "identifiers": _identifiers(root.find("PubmedData/ArticleIdList"), "ArticleId"),
+        "all_identifiers": _identifiers(root, ".//ArticleId"),
+    }
+
+
+def parse_records(records: DataFrame) -> DataFrame:
+    """``xml, record`` for every row of ``records`` (column ``xml``); ``record``
+    is null where the text is not well-formed."""
+
+    def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        named = pa.struct([("name", pa.string()), ("ui", pa.string()), ("major_topic", pa.bool_())])
+        pair = pa.map_(pa.string(), pa.string())
+        text = lambda *names: pa.struct([(n, pa.string()) for n in names])
+        kind = pa.struct([
+            ("pmid", pa.string()), ("title", pa.string()), ("sections", pa.list_(text("label", "content"))),
+            ("journal", text("title", "iso_abbreviation", "issn")), ("authors", pa.list_(text("last_name", "first_name"))),
+            ("mesh_terms", pa.list_(pa.struct([("descriptor", named), ("qualifiers", pa.list_(named))]))),
+            ("keywords", pa.list_(pa.string())), ("publication_info", text("year", "month")),
+            ("identifiers", pair), ("all_identifiers", pair)])
+        for batch in batches:
+            parsed = pa.array([parse_record(x) for x in batch.column(0).to_pylist()], type=kind)
+            yield pa.record_batch([batch.column(0), parsed], names=["xml", "record"])
+
+    return records.select("xml").mapInArrow(parse, f"xml string, record {RECORD_SCHEMA}")
+
+
+def gate_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Parsed records split into (well-formed, quarantined)."""
+    parsed = records if "record" in records.columns else parse_records(records)
+    return parsed.where(F.col("record").isNotNull()), parsed.where(F.col("record").isNull()).select("xml")
+
+
+def abstract_of(sections: Column) -> Column:
+    """B2: the abstract struct of the non-blank ``(label, content)`` sections."""
+    full = F.array_join(F.transform(sections, lambda s: F.when(
         s["label"] != "", F.concat(s["label"], F.lit(": "), s["content"])).otherwise(s["content"])), "\n\n")
-    sections = F.transform(kept, lambda s: F.struct(
+    named = F.transform(sections, lambda s: F.struct(
         F.when(s["label"] != "", s["label"]).otherwise(F.lit("Main")).alias("label"), s["content"].alias("content")))
     return F.struct(
         full.alias("full_text"),
-        sections.alias("sections"),
-        (F.size(kept) > 0).alias("has_content"),
+        named.alias("sections"),
+        (F.size(sections) > 0).alias("has_content"),
         tx.word_count(full).cast("int").alias("word_count"),
-        F.exists(kept, lambda s: s["label"] != "").alias("structured"),
+        F.exists(sections, lambda s: s["label"] != "").alias("structured"),
         F.lit(None).cast("struct<text:string, success:boolean, model_used:string, batch_size_used:int, "
                          "translation_date:string, error:string>").alias("spanish_translation"),
     )
 
 
-def _named_flag(frag: Column, elem: str) -> Column:
-    return F.struct(
-        leading_text(frag, elem).alias("name"),
-        attribute(frag, elem, "UI").alias("ui"),
-        (attribute(frag, elem, "MajorTopicYN") == "Y").alias("major_topic"),
-    )
-
-
-def extract_mesh_terms(xml: Column) -> Column:
-    """Headings that have a descriptor, with their qualifiers."""
-    heads = F.filter(_fragments(xml, "MeshHeading"), lambda h: has_child(h, "DescriptorName"))
-    return F.transform(heads, lambda h: F.struct(
-        _named_flag(_first_fragment(h, "DescriptorName"), "DescriptorName").alias("descriptor"),
-        F.transform(_fragments(h, "QualifierName"), lambda q: _named_flag(q, "QualifierName")).alias("qualifiers"),
-    ))
-
-
-def extract_journal(xml: Column) -> Column:
-    """First journal's title, ISO abbreviation and ISSN (null when absent)."""
-    j = _first_fragment(xml, "Journal")
-    has = j != ""
-
-    def field(tag):
-        return F.when(has, leading_text(_first_fragment(j, tag), tag))
-
-    return F.struct(field("Title").alias("title"), field("ISOAbbreviation").alias("iso_abbreviation"),
-                    field("ISSN").alias("issn"))
-
-
-def extract_authors(xml: Column) -> Column:
-    """Authors of the first author list with at least one name element."""
-    lst = _first_fragment(xml, "AuthorList")
-    auths = F.filter(_fragments(lst, "Author"), lambda a: has_child(a, "LastName") | has_child(a, "ForeName"))
-    return F.transform(auths, lambda a: F.struct(
-        leading_text(_first_fragment(a, "LastName"), "LastName").alias("last_name"),
-        leading_text(_first_fragment(a, "ForeName"), "ForeName").alias("first_name")))
-
-
-def extract_publication(xml: Column) -> Column:
-    """First publication date's year (raw text; ``try_cast`` gives the
-    integer year when it is all digits) and month."""
-    d = _first_fragment(xml, "PubDate")
-    return F.struct(
-        F.when(has_child(d, "Year"), F.coalesce(leading_text(_first_fragment(d, "Year"), "Year"), F.lit("")))
-        .alias("year"),
-        F.when(has_child(d, "Month"), leading_text(_first_fragment(d, "Month"), "Month")).alias("month"),
-    )
-
-
-def extract_identifiers(xml: Column, article_ids_only: bool = True) -> Column:
-    """``IdType -> id``, last duplicate wins.  By default only the
-    article's own ``PubmedData/ArticleIdList`` is read (ids of cited works
-    in a reference list would otherwise overwrite the article's own)."""
-    scope = _first_fragment(_first_fragment(xml, "PubmedData"), "ArticleIdList") if article_ids_only else xml
-    frags = _fragments(scope, "ArticleId")
-    pairs = F.transform(frags, lambda f, i: F.struct(
-        attribute(f, "ArticleId", "IdType").alias("k"), leading_text(f, "ArticleId").alias("v"), i.alias("pos")))
-    pairs = F.filter(pairs, lambda p: (p["k"] != "") & p["v"].isNotNull())
-    last = F.filter(pairs, lambda p: ~F.exists(pairs, lambda q: (q["k"] == p["k"]) & (q["pos"] > p["pos"])))
-    return F.map_from_entries(F.transform(last, lambda p: F.struct(p["k"], p["v"])))
-
-
-def extract_keywords(xml: Column) -> Column:
-    """Stripped leading text of every ``Keyword`` of every ``KeywordList``."""
-    lists = F.regexp_extract_all(xml, F.lit(r"(?s)<KeywordList(?:\s[^>]*)?>.*?</KeywordList>"), 0)
-    kws = F.flatten(F.transform(lists, lambda b: _fragments(b, "Keyword")))
-    texts = F.transform(kws, lambda k: leading_text(k, "Keyword"))
-    return F.transform(F.filter(texts, lambda t: t.isNotNull()), tx.strip_ws)
-
-
 def extract_articles(records: DataFrame, article_ids_only: bool = True) -> DataFrame:
-    """Every well-formed record -> article row (before quality filters)."""
-    x = F.col("xml")
-    a = records.select(
-        F.coalesce(tx.strip_ws(leading_text(_first_fragment(x, "PMID"), "PMID")), F.lit("")).alias("pmid"),
-        node_text(x, "ArticleTitle").alias("title"),
-        extract_abstract(x).alias("abstract"),
-        extract_journal(x).alias("journal"),
-        extract_authors(x).alias("authors"),
-        extract_mesh_terms(x).alias("mesh_terms"),
-        extract_keywords(x).alias("keywords"),
-        extract_publication(x).alias("publication_info"),
-        extract_identifiers(x, article_ids_only).alias("identifiers"),
-    )
+    """Every well-formed record -> article row (before quality filters).
+
+    B7: by default only the article's own ``PubmedData/ArticleIdList`` is read
+    (ids of cited works would otherwise overwrite the article's own); of equal
+    types the last id wins."""
+    good, _ = gate_records(records)
+    r = F.col("record")
+    ids = r["identifiers"] if article_ids_only else r["all_identifiers"]
+    a = good.select(
+        r["pmid"].alias("pmid"), r["title"].alias("title"), abstract_of(r["sections"]).alias("abstract"),
+        *[r[f].alias(f) for f in ("journal", "authors", "mesh_terms", "keywords", "publication_info")],
+        ids.alias("identifiers"))
     return a.select(
         "pmid", "title", "abstract",
         tx.detect_language(F.col("abstract.full_text")).alias("abstract_language"),

@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
@@ -26,29 +27,6 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(table_path(sf_dir, name))
 
 
-def spread(df: DataFrame, key: str | None = None, min_partitions: int | None = None) -> DataFrame:
-    """Spread rows over at least ``min_partitions`` (default: the session's
-    parallelism) when the scan yields fewer input splits -- e.g. one file with
-    one row group.  Row-local CPU work (regexes, tokenising) then uses every
-    core.  On large inputs the scan already has more splits and this is a
-    no-op, so no shuffle is added at scale.  Hash partitioning on ``key``
-    (an id) is deterministic without the pre-sort a round-robin needs."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() >= target:
-            return df
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the plan as is
-        return df
-    from tessera.session import ensure_checkpoint_dir
-
-    ensure_checkpoint_dir(df.sparkSession)
-    spread_df = df.repartition(target, key) if key else df.repartition(target)
-    # A checkpoint (shared checkpoint folder) is a barrier the optimizer
-    # cannot push filters through; without it an expensive predicate would be
-    # pushed below the exchange and run in the single input task again.
-    return spread_df.checkpoint(eager=True)
-
-
 class Tables:
     """Attribute access to the tables of one scale-factor folder."""
 
@@ -56,9 +34,10 @@ class Tables:
         self.spark = spark
         self.sf_dir = sf_dir
 
-    def spread(self, name: str, key: str | None = None) -> DataFrame:
-        """The table with its rows spread over all cores (see :func:`spread`)."""
-        return spread(read_table(self.spark, self.sf_dir, name), key)
+    def dealt(self, name: str, key: str, *columns: str) -> DataFrame:
+        """``key`` and ``columns`` of a table, dealt out by ``key``: the test
+        tables are single files with one row group, hence one input task."""
+        return read_table(self.spark, self.sf_dir, name).select(key, *columns).repartition(F.col(key))
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in TABLES:

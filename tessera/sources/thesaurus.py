@@ -25,10 +25,13 @@ TABLES = ("descriptor", "descriptor_tree", "tree_name")
 
 
 def read_descriptor_records(spark: SparkSession, path: str) -> DataFrame:
-    """A3: one row per ``DescriptorRecord`` with its position in the source."""
+    """A3: one row per ``DescriptorRecord`` with its position in the source:
+    file, start of the block it was read from, and place in that block -- the
+    same however Spark packs files and blocks into tasks."""
     raw = spark.read.format("xml").option("rowTag", "DescriptorRecord").schema(DESCRIPTOR_XML_SCHEMA).load(path)
     return raw.select(
-        F.monotonically_increasing_id().alias("rec"),
+        F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"),
+                 F.monotonically_increasing_id().alias("place")).alias("rec"),
         F.col("DescriptorUI").alias("ui"),
         F.col("DescriptorName.String").alias("name"),
         F.filter(F.coalesce(F.col("TreeNumberList.TreeNumber"), F.array().cast("array<string>")),

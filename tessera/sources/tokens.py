@@ -25,12 +25,15 @@ def file_name(path: Column) -> Column:
 def list_files(spark: SparkSession, directory: str, suffix: str | None = None) -> DataFrame:
     """Visible regular file names of a directory, optionally by suffix.
     Hidden names (``.``, ``._``) and common system files are skipped.
-    Only ``path`` is selected, so file contents are not read.  Zero-length
-    files get no input split in Spark's file sources and are not listed."""
+
+    The names come from the source's own file index (which Spark holds on the
+    driver for any file source), so no file is opened and zero-length files,
+    for which Spark plans no input split, are listed too."""
     reader = spark.read.format("binaryFile")
     if suffix:
         reader = reader.option("pathGlobFilter", f"*{suffix}")
-    files = reader.load(directory).select(file_name(F.col("path")).alias("name"))
+    paths = spark.createDataFrame([(p,) for p in reader.load(directory).inputFiles()], "path string")
+    files = paths.select(F.url_decode(F.replace(file_name(F.col("path")), F.lit("+"), F.lit("%2B"))).alias("name"))
     name = F.col("name")
     return files.where(
         ~name.startswith(".") & ~name.isin(fv.SYSTEM_FILE_NAMES)

@@ -4,8 +4,8 @@ The corpus tooling has no streaming operators; its incremental behaviour is
 "collect the result files that have arrived, keep what succeeded, resubmit
 the rest".  This module expresses exactly that as a file-source stream:
 result JSON lines landing in a folder are read with the declared schema,
-split into successful chunks (parsed into tokens) and failures, and appended
-to two tables.  With ``trigger(availableNow=True)`` each run processes only
+split into successful chunks (parsed into tokens) and failures, and added to
+two tables.  With ``trigger(availableNow=True)`` each run processes only
 files not seen before (tracked in the checkpoint), so re-runs are cheap and
 survive restarts; reassembly (D23) then runs as a batch job over the
 appended chunk table.
@@ -33,11 +33,12 @@ def ingest_available(spark: SparkSession, results_dir: str, out_dir: str, checkp
     ``out_dir/failed``; runs until the currently available files are done."""
     stream = result_stream(spark, results_dir)
 
-    def write_batch(batch: DataFrame, _epoch: int) -> None:
+    def write_batch(batch: DataFrame, epoch: int) -> None:
+        # a folder per epoch, replaced when a restart repeats the epoch
         ok, failed = rq.split_results(batch)
-        rq.translated_chunks(ok).write.mode("append").parquet(os.path.join(out_dir, "chunks"))
+        rq.translated_chunks(ok).write.mode("overwrite").parquet(os.path.join(out_dir, "chunks", f"epoch={epoch}"))
         failed.select("custom_id", F.col("response.status_code").alias("status_code")).write.mode(
-            "append").parquet(os.path.join(out_dir, "failed"))
+            "overwrite").parquet(os.path.join(out_dir, "failed", f"epoch={epoch}"))
 
     query = (stream.writeStream.foreachBatch(write_batch)
              .option("checkpointLocation", checkpoint_dir)
@@ -48,5 +49,4 @@ def ingest_available(spark: SparkSession, results_dir: str, out_dir: str, checkp
 
 def reassemble_ingested(spark: SparkSession, out_dir: str) -> DataFrame:
     """D23 over everything ingested so far (latest result per chunk wins)."""
-    chunks = spark.read.parquet(os.path.join(out_dir, "chunks")).dropDuplicates(["source_file", "chunk_index"])
-    return rq.reassemble(chunks)
+    return rq.reassemble(spark.read.parquet(os.path.join(out_dir, "chunks")), order="epoch")

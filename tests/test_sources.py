@@ -63,14 +63,38 @@ def test_token_files(spark, tmp_path):
         ("b.nersuite", 1, "perro", "B-x"), ("b.nersuite", 2, "gato", "O"), ("b.nersuite", 3, "café", "O"),
     ]
     names = sorted(r["name"] for r in tokens.list_files(spark, str(d), ".nersuite").collect())
-    # Spark's file sources plan no split for zero-length files, so empty files
-    # are not listed (they are never admitted as token files either).
-    assert names == ["PMC1.nersuite", "a.nersuite", "b.nersuite", "mac.nersuite"]
+    assert names == ["PMC1.nersuite", "a.nersuite", "b.nersuite", "empty.nersuite", "mac.nersuite"]
 
 
-def test_all_text_paths(spark):
-    df = spark.createDataFrame([
-        ("<T>plain &amp; simple</T>",), ("<T>Foo <i>x</i> &lt;bar&gt;</T>",), ("<T>a<![CDATA[<b>]]>c</T>",),
-        ("<T>num &#233;t&#xE9;</T>",), ("<T/>",), ("<T a='1'>q<!-- c -->r</T>",)], "f string")
-    got = [r[0] for r in df.select(articles.all_text(F.col("f"), "T")).collect()]
-    assert got == ["plain & simple", "Foo x <bar>", "a<b>c", "num été", "", "qr"]
+def record(inner, article="", tail=""):
+    return (f"<PubmedArticle><MedlineCitation><PMID>1</PMID><Article>{article}<Abstract>{inner}</Abstract></Article></MedlineCitation>"
+            f"{tail}</PubmedArticle>")
+
+
+def test_awkward_markup(spark):
+    recs = [
+        record('<AbstractText Label="AIM" NlmCategory="X"/><AbstractText Label="RESULTS">text b</AbstractText>'),
+        record('<AbstractText Label="P > 0.05">text c</AbstractText><CopyrightInformation>(c)</CopyrightInformation>'),
+        record("<AbstractText>a<![CDATA[<b>]]>c<!-- <i> -->d &#233;&lt;</AbstractText>", "<ArticleTitle>Foo <i>x</i> bar<b/></ArticleTitle>"),
+        record("", "<Journal><Title/><ISSN a='/>'>1</ISSN></Journal><AuthorList><Author/><Author><LastName/></Author></AuthorList>"),
+        None, "", "<PubmedArticle><PMID>2</PMID>", record("") + " junk",
+    ]
+    parsed = articles.parse_records(spark.createDataFrame([(x,) for x in recs], "xml string"))
+    good, bad = articles.gate_records(parsed)
+    assert good.count() == 4 and bad.count() == 4
+    rows = [r["record"] for r in parsed.collect()]
+    assert [[(s["label"], s["content"]) for s in r["sections"]] for r in rows[:4]] == [
+        [("RESULTS", "text b")], [("P > 0.05", "text c")], [("", "a<b>cd é<")], []]
+    assert rows[2]["title"] == "Foo x bar" and rows[3]["title"] == ""
+    assert rows[3]["journal"].asDict() == {"title": None, "iso_abbreviation": None, "issn": "1"}
+    assert [a.asDict() for a in rows[3]["authors"]] == [{"last_name": None, "first_name": None}]
+    full = [r[0] for r in articles.extract_articles(good).select("abstract.full_text").collect()]
+    assert full == ["RESULTS: text b", "P > 0.05: text c", "a<b>cd é<", ""]
+
+
+def test_all_identifiers_on_request(spark):
+    tail = ('<PubmedData><ArticleIdList><ArticleId IdType="doi">a</ArticleId><ArticleId IdType="doi">b</ArticleId><ArticleId>x</ArticleId>'
+            '</ArticleIdList><ReferenceList><ArticleIdList><ArticleId IdType="doi">c</ArticleId></ArticleIdList></ReferenceList></PubmedData>')
+    recs = spark.createDataFrame([(record("", tail=tail),)], "xml string")
+    assert articles.extract_articles(recs).first()["identifiers"] == {"doi": "b"}
+    assert articles.extract_articles(recs, article_ids_only=False).first()["identifiers"] == {"doi": "c"}

@@ -84,8 +84,8 @@ def test_unknown_code_name(spark):
     d = spark.createDataFrame([("U1", "x")], "ui string, name string")
     t = spark.createDataFrame([("U1", "A01.1", 0)], "ui string, tree_number string, ord long")
     empty_names = spark.createDataFrame([], "code string, name string")
-    cats = {(r["level"], r["code"]): r["name"] for r in th.ui_categories(t, empty_names).collect()}
-    assert cats[(1, "A")] == "Unknown_A" and cats[(2, "A01")] == "Unknown_A01"
+    r = th.ui_categories(t, empty_names).first()
+    assert [tuple(x) for x in r["l1"]] == [("A", "Unknown_A")] and [tuple(x) for x in r["l2"]] == [("A01", "Unknown_A01")]
 
 
 def test_thesaurus_stats(spark):
