@@ -11,10 +11,12 @@ starts in a document with a smaller id is removed.
    they stand for are counted.  Of a window in several documents, the smallest
    document is the owner; the words around an owner's phrase are a passage.
 3. *Automata.*  The touched documents are dealt into buckets of bounded size.
-   The passages whose phrases occur in a bucket are compiled into one
-   Aho-Corasick automaton over words, the bucket's whole documents stream
-   through it, and each occurrence is extended word by word along its passage.
-   Where 50 words or more agree they are removed.
+   A window holds its phrase and at least 17 words more on one side: these 33
+   words lead a passage to the buckets it may occur in (a phrase alone could be
+   a common line, with a passage for each document that is copied).  A bucket's
+   passages are compiled into one Aho-Corasick automaton over words, its whole
+   documents stream through it, and each occurrence is extended word by word
+   along its passage.  Where 50 words or more agree they are removed.
 
 Hashes only choose what to compare; what is removed has been compared word by
 word.  A phrase that a third of all documents hold is counted with partial
@@ -129,20 +131,29 @@ def phrase_table(docs: DataFrame, window: int, phrase: int) -> DataFrame:
     return docs.mapInArrow(scan, schema)
 
 
+def _lists(column: pa.ListArray) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Offsets and fields of a column of lists of structs."""
+    flat = column.flatten()
+    names = [f.name for f in flat.type]
+    offsets = column.offsets.to_numpy()
+    return offsets - offsets[0], {n: flat.field(n).to_numpy(zero_copy_only=False) for n in names}
+
+
 def _windows_of(window: int):
     """Rows ``h, w, doc_id`` of the windows that recurring phrases stand for."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         powers = _Powers()
         for batch in batches:
-            owner, hs, ws = [], [], []
-            for i, (t, found) in enumerate(zip(batch.column(1), batch.column(2))):
+            at, p = _lists(batch.column(2))
+            hs, ws, owner = [], [], []
+            for i, t in enumerate(batch.column(1)):
+                h, first, n = (p[f][at[i]:at[i + 1]] for f in ("h", "first", "n"))
                 runs = _runs(_word_hashes(split_words(t.as_py())), window, powers).view(np.int64)
-                for p in found.as_py():
-                    own = runs[p["first"]:p["first"] + p["n"]]
-                    ws.append(own)
-                    hs.append(np.full(len(own), p["h"], dtype=np.int64))
-                    owner.append(np.full(len(own), i, dtype=np.int64))
+                place = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
+                ws.append(runs[place])
+                hs.append(np.repeat(h, n))
+                owner.append(np.full(len(place), i, dtype=np.int64))
             if ws:
                 yield pa.record_batch([pa.array(np.concatenate(hs)), pa.array(np.concatenate(ws)),
                                        batch.column(0).take(pa.array(np.concatenate(owner)))], names=["h", "w", "doc_id"])
@@ -150,22 +161,67 @@ def _windows_of(window: int):
     return scan
 
 
-def _passages_of(window: int):
-    """Rows ``h, owner, at, words``: the words around owned phrases, and the
-    phrase's place among them."""
+def _sides(window: int, phrase: int) -> tuple[int, int]:
+    """Words that a window holds at least on one side of its phrase, and the
+    length of the phrase with these."""
+    side = -(-(window - phrase) // 2)
+    return side, phrase + side
+
+
+def _leads_of(window: int, phrase: int):
+    """Rows ``lead, bucket, doc_id``: hashes of the phrases with their sides."""
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, (side, size) = _Powers(), _sides(window, phrase)
+        for batch in batches:
+            offsets, p = _lists(batch.column(3))
+            owner, leads = [], []
+            for i, t in enumerate(batch.column(2)):
+                at = p["at"][offsets[i]:offsets[i + 1]]
+                runs = _runs(_word_hashes(split_words(t.as_py())), size, powers).view(np.int64)
+                starts = np.unique(np.concatenate([at, at - side]))
+                leads.append(np.unique(runs[starts[(starts >= 0) & (starts < len(runs))]]))
+                owner.append(np.full(len(leads[-1]), i, dtype=np.int64))
+            if owner:
+                who = pa.array(np.concatenate(owner))
+                yield pa.record_batch([pa.array(np.concatenate(leads)), batch.column(0).take(who), batch.column(1).take(who)],
+                                      names=["lead", "bucket", "doc_id"])
+
+    return scan
+
+
+def _passages_of(window: int, phrase: int):
+    """Rows ``owner, key, start, words, leads, ats``: the words of every run of
+    owned phrases that follow each other, and the hashes and places in it of
+    the phrases with their sides."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        powers, (side, size) = _Powers(), _sides(window, phrase)
         for batch in batches:
-            out = []
-            for d, t, found, owned in zip(*(batch.column(i) for i in range(4))):
-                w, owned = split_words(t.as_py()), set(owned.as_py())
-                for p in found.as_py():
-                    if p["h"] in owned:
-                        out.append((p["h"], d.as_py(), p["at"] - p["first"], " ".join(w[p["first"]:p["first"] + p["n"] - 1 + window])))
+            offsets, p = _lists(batch.column(3))
+            rows, out = [], []
+            for i, (t, owned) in enumerate(zip(batch.column(2), batch.column(4))):
+                w, mine = split_words(t.as_py()), set(owned.as_py())
+                span = slice(offsets[i], offsets[i + 1])
+                found = sorted(z for z in zip(*(p[f][span].tolist() for f in ("first", "n", "at", "h"))) if z[3] in mine)
+                runs: list[list] = []
+                for z in found:
+                    if runs and runs[-1][-1][0] + runs[-1][-1][1] == z[0]:
+                        runs[-1].append(z)
+                    else:
+                        runs.append([z])
+                hashes = _runs(_word_hashes(w), size, powers).view(np.int64) if runs else None
+                for run in runs:
+                    start, end = run[0][0], run[-1][0] + run[-1][1] - 1 + window
+                    at = np.unique([x for z in run for x in (z[2], z[2] - side) if start <= x <= end - size])
+                    rows.append(i)
+                    out.append((start, " ".join(w[start:end]), hashes[at].tolist(), (at - start).tolist()))
             if out:
-                h, d, at, words = zip(*out)
-                yield pa.record_batch([pa.array(h, pa.int64()), pa.array(d, batch.column(0).type), pa.array(at, pa.int32()), pa.array(words, pa.string())],
-                                      names=["h", "owner", "at", "words"])
+                start, words, leads, ats = zip(*out)
+                at = pa.array(rows, pa.int64())
+                yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(start, pa.int32()), pa.array(words, pa.string()),
+                                       pa.array(leads, pa.list_(pa.int64())), pa.array(ats, pa.list_(pa.int32()))],
+                                      names=["owner", "key", "start", "words", "leads", "ats"])
 
     return scan
 
@@ -185,32 +241,38 @@ def agreement(words: list[int], at: int, passage: list[int], place: int, size: i
     return at - left, at + right
 
 
-def _locate(window: int, phrase: int):
+def _locate(window: int, size: int, kept_text: bool):
     """All occurrences of a bucket's passages in its documents."""
 
     def locate(docs: pd.DataFrame, passages: pd.DataFrame) -> pd.DataFrame:
         import ahocorasick
 
         number: dict[str, int] = {}
-        held = defaultdict(set)
-        for owner, at, text in zip(passages["owner"], passages["at"], passages["words"]):
-            ids = tuple(number.setdefault(w, len(number) + 1) for w in text.split(" "))
-            held[ids[at:at + phrase]].add((owner, at, ids))
+        texts, held = [], defaultdict(set)
+        for owner, text, places in zip(passages["owner"], passages["words"], passages["ats"]):
+            ids = [number.setdefault(w, len(number) + 1) for w in text.split(" ")]
+            for at in places:
+                held[tuple(ids[at:at + size])].add((owner, len(texts), int(at)))
+            texts.append(ids)
         automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
         for key, found in held.items():
-            automaton.add_word(key, sorted(((o, a, list(ids)) for o, a, ids in found), key=lambda f: f[0]))
+            automaton.add_word(key, sorted(found))
         automaton.make_automaton()
         out = []
         for doc_id, key, text in zip(docs["doc_id"], docs["text_key"], docs["text"]):
             words = split_words(text)
             ids = list(map(number.get, words, repeat(0)))
             gone = np.zeros(len(words) + 1, dtype=np.int32)
+            done: dict[tuple[int, int], int] = {}  # passage and alignment to where they have been compared
             for end, found in automaton.iter(tuple(ids)) if held else ():
-                at = end - phrase + 1
-                for owner, place, passage in found:
+                at = end - size + 1
+                for owner, n, place in found:
                     if owner >= doc_id:
                         break
-                    left, right = agreement(ids, at, passage, place, phrase)
+                    if done.get((n, at - place), -1) > end:
+                        continue
+                    left, right = agreement(ids, at, texts[n], place, size)
+                    done[n, at - place] = right
                     if right - left >= window:
                         gone[left] += 1
                         gone[right] -= 1
@@ -218,13 +280,14 @@ def _locate(window: int, phrase: int):
             edges = np.flatnonzero(np.diff(np.r_[0, mask.astype(np.int8), 0]))
             kept = " ".join(w for w, g in zip(words, mask.tolist()) if not g)
             out.append((doc_id, key, int(mask.sum()), edges.tolist(), kept, hashlib.sha256(kept.encode()).hexdigest()))
-        return pd.DataFrame(out, columns=["doc_id", "text_key", "n_removed", "edges", "kept", "sha256"])
+        rows = pd.DataFrame(out, columns=["doc_id", "text_key", "n_removed", "edges", "kept", "sha256"])
+        return rows if kept_text else rows.drop(columns="kept")
 
     return locate
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, phrase: int = PHRASE,
-                   bucket_bytes: int = 4 << 20, kept_text: bool = False) -> DataFrame:
+                   bucket_bytes: int = 2 << 20, kept_text: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, text_key, n_words, n_removed``,
     ``removed`` (word numbers, ``[start, end, start, end, ...]``) and
     ``kept_sha256`` of the kept words joined by a space; with ``kept_text``
@@ -249,16 +312,21 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     owners = (windows.groupBy("h", "w").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last"))
               .filter("owner < last").select("h", "owner").distinct())
     owned = stage(owners.groupBy("owner").agg(F.collect_list("h").alias("owned")), "owned_phrases")
-    passages = stage(touched.join(owned, touched["doc_id"] == owned["owner"]).select("doc_id", "text", "phrases", "owned")
-                     .mapInArrow(_passages_of(window), f"h long, owner {id_type}, at int, words string").distinct(), "passages")
+    passages = stage(touched.join(owned, touched["doc_id"] == owned["owner"]).select("doc_id", "text_key", "text", "phrases", "owned").mapInArrow(
+        _passages_of(window, phrase), f"owner {id_type}, key long, start int, words string, leads array<long>, ats array<int>"), "passages")
 
     size = touched.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bucket = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(max(1, -(-size // bucket_bytes)))).cast("int")
     bucketed = touched.withColumn("bucket", bucket)
-    wanted = bucketed.select("bucket", F.explode("phrases.h").alias("h")).distinct()
-    dealt = wanted.join(passages, "h").select(F.col("bucket").alias("b"), "owner", "at", "words").distinct()
+    wanted = (bucketed.select("bucket", "doc_id", "text", "phrases").mapInArrow(_leads_of(window, phrase), f"lead long, bucket int, doc_id {id_type}")
+              .groupBy("lead", "bucket").agg(F.max("doc_id").alias("last")))
+    name = ["owner", "key", "start"]
+    routes = (passages.select(*name, F.explode("leads").alias("lead")).join(wanted, "lead").filter("owner < last")
+              .select(F.col("bucket").alias("b"), *name).distinct())
+    dealt = routes.join(passages.drop("leads"), name).select("b", "owner", "words", "ats")
     located = (bucketed.select("bucket", "doc_id", "text_key", "text").groupBy("bucket").cogroup(dealt.groupBy("b"))
-               .applyInPandas(_locate(window, phrase), f"doc_id {id_type}, text_key long, n_removed long, edges array<int>, kept string, sha256 string"))
+               .applyInPandas(_locate(window, _sides(window, phrase)[1], kept_text), f"doc_id {id_type}, text_key long, n_removed long, edges array<int>, "
+                              + ("kept string, " if kept_text else "") + "sha256 string"))
     lost = located.filter("n_removed > 0").dropDuplicates(["doc_id", "text_key"]).select(
         F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "n_removed", "edges", F.col("sha256").alias("sha"), *(["kept"] if kept_text else []))
     joined = table.join(lost, (table["doc_id"] == lost["d"]) & (table["text_key"] == lost["k"]), "left")

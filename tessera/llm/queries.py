@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from tessera.llm import line_quality, mixing, packing, phrase_dedup, secret_links, simhash_blocks, token_counts, toxicity, url_rules, vector_graph
 from tessera.llm.common import table
+from tessera.llm.oracles import ORACLES  # noqa: F401
 
 
 def op1_embedding_dedup(spark, sf_dir):
@@ -63,5 +64,3 @@ QUERIES = {
     "op9_line_quality": op9_line_quality,
     "op10_token_counts": op10_token_counts,
 }
-
-ORACLES: dict[str, str] = {}
