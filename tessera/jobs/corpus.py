@@ -165,10 +165,8 @@ def validate_directory(spark: SparkSession, token_dir: str, report_dir: str, fix
 
 def read_token_documents(spark: SparkSession, token_dir: str) -> DataFrame:
     """Admitted token files as one row per file with the ordered token array."""
-    toks = tk.read_token_files(spark, token_dir, layout="full")
-    return toks.groupBy("file").agg(
-        F.transform(F.sort_array(F.collect_list(F.struct("ord", "token", "label"))),
-                    lambda t: F.struct(t["token"].alias("token"), t["label"].alias("label"))).alias("tokens"))
+    return tk.read_token_arrays(spark, token_dir, layout="full").select("file", F.transform(
+        "tokens", lambda t: F.struct(t["token"].alias("token"), t["label"].alias("label"))).alias("tokens"))
 
 
 def make_requests(spark: SparkSession, token_dir: str, out_dir: str, model: str, max_lines: int,

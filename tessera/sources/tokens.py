@@ -57,21 +57,43 @@ def decode_text(content: Column) -> Column:
     return F.coalesce(F.try_validate_utf8(content.cast("string")), F.decode(content, "ISO-8859-1"))
 
 
-def read_token_files(
-    spark: SparkSession,
-    directory: str,
-    layout: str = "auto",
-    suffix: str = fv.TOKEN_FILE_SUFFIX,
-) -> DataFrame:
-    """A5/A6 + A7 + A10: ``(file, ord, token, label)`` for every admitted file."""
+def _token_of(parts: Column, layout: str) -> tuple[Column, Column, Column]:
+    """(kept, token, label) of a line's columns, see :func:`parse_token_lines`."""
+    n = F.size(parts)
+    if layout == "full":
+        return n >= 4, F.get(parts, 3), F.get(parts, 0)
+    if layout == "auto":
+        return n >= 2, F.when(n >= 4, F.get(parts, 3)).otherwise(F.get(parts, 0)), F.when(n >= 4, F.get(parts, 0)).otherwise(F.get(parts, 1))
+    raise ValueError(f"unknown layout {layout!r}")
+
+
+def token_array(text: Column, layout: str = "auto") -> Column:
+    """A5/A6 + G2 of a whole file's text: its kept lines in order as
+    ``array<struct<ord, token, label, line_no, prev>>``, numbered and with the
+    label before each, all inside the row."""
+    numbered = F.transform(F.split(text, LINE_BREAK), lambda x, i: F.struct(tx.strip_ws(x).alias("s"), i.alias("line_no")))
+    split = F.transform(F.filter(numbered, lambda x: x["s"].contains("\t")),
+                        lambda x: F.struct(F.split(x["s"], "\t").alias("p"), x["line_no"].alias("line_no")))
+    kept = F.transform(F.filter(split, lambda x: _token_of(x["p"], layout)[0]), lambda x: F.struct(
+        _token_of(x["p"], layout)[1].alias("token"), _token_of(x["p"], layout)[2].alias("label"), x["line_no"].alias("line_no")))
+    return tx.let(kept, lambda k: F.transform(k, lambda x, i: F.struct(
+        (i + 1).alias("ord"), x["token"].alias("token"), x["label"].alias("label"), x["line_no"].alias("line_no"),
+        F.get(k, i - 1)["label"].alias("prev"))))
+
+
+def read_token_arrays(spark: SparkSession, directory: str, layout: str = "auto", suffix: str = fv.TOKEN_FILE_SUFFIX) -> DataFrame:
+    """A7 + A10: ``(file, tokens)``, one row per admitted file (a file arrives
+    as one row, so its lines never leave it)."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(directory)
     name = file_name(F.col("path"))
     ok = raw.where(admitted(name, F.col("length"), F.substring(F.col("content"), 1, 50), suffix))
-    lines = ok.select(
-        name.alias("file"),
-        F.posexplode(F.split(decode_text(F.col("content")), LINE_BREAK)).alias("line_no", "line"),
-    )
-    return parse_token_lines(lines, layout)
+    return ok.select(name.alias("file"), token_array(decode_text(F.col("content")), layout).alias("tokens"))
+
+
+def read_token_files(spark: SparkSession, directory: str, layout: str = "auto", suffix: str = fv.TOKEN_FILE_SUFFIX) -> DataFrame:
+    """A5/A6 + A7 + A10: ``(file, ord, token, label, line_no, prev)`` for every
+    line of every admitted file, without a shuffle."""
+    return read_token_arrays(spark, directory, layout, suffix).select("file", F.explode("tokens").alias("t")).select("file", "t.*")
 
 
 def parse_token_lines(lines: DataFrame, layout: str = "auto", segment_size: int | None = None) -> DataFrame:
@@ -89,18 +111,8 @@ def parse_token_lines(lines: DataFrame, layout: str = "auto", segment_size: int
     s = tx.strip_ws(F.col("line"))
     parsed = lines.select("file", "line_no", F.split(s, "\t").alias("parts"), s.alias("s")).where(
         (F.col("s") != "") & F.col("s").contains("\t"))
-    n = F.size("parts")
-    if layout == "full":
-        parsed = parsed.where(n >= 4).select(
-            "file", "line_no", F.col("parts")[3].alias("token"), F.col("parts")[0].alias("label"))
-    elif layout == "auto":
-        parsed = parsed.where(n >= 2).select(
-            "file", "line_no",
-            F.when(n >= 4, F.col("parts")[3]).otherwise(F.col("parts")[0]).alias("token"),
-            F.when(n >= 4, F.col("parts")[0]).otherwise(F.col("parts")[1]).alias("label"),
-        )
-    else:
-        raise ValueError(f"unknown layout {layout!r}")
+    kept, token, label = _token_of(F.col("parts"), layout)
+    parsed = parsed.where(kept).select("file", "line_no", token.alias("token"), label.alias("label"))
     segment = F.floor(F.col("line_no") / segment_size) if segment_size else None
     return positions(parsed, "file", ["line_no"], segment=segment).select("file", "ord", "token", "label", "line_no")
 
