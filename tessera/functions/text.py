@@ -74,11 +74,6 @@ def has_content(c: ColumnOrName) -> Column:
     return F.coalesce(F.length(strip_ws(c)) > 0, F.lit(False))
 
 
-def text_or_empty(c: ColumnOrName) -> Column:
-    """B1: stripped text, ``''`` when absent."""
-    return F.coalesce(strip_ws(c), F.lit(""))
-
-
 def _unwrap(c: Column, open_ch: str, close_ch: str) -> Column:
     """Remove ``open_ch ... close_ch`` pairs wrapping the whole string, repeatedly,
     stripping whitespace after each removal.
@@ -211,17 +206,6 @@ def filter_tokens(
     return F.filter(_col(tokens), keep)
 
 
-def preprocess_text(
-    c: ColumnOrName,
-    stopwords: Sequence[str] | None,
-    min_length: int = 2,
-    extra_cleaning: bool = False,
-) -> Column:
-    """J8 (basic processing): clean -> tokenize -> filter -> join with spaces."""
-    toks = filter_tokens(tokenize(clean_text(c, extra_cleaning)), stopwords, min_length)
-    return F.array_join(toks, " ")
-
-
 def nested_get(c: ColumnOrName, default) -> Column:
     """``.get(a, {}).get(b, default)`` -- a missing struct or field yields the default."""
     return F.coalesce(_col(c), F.lit(default))

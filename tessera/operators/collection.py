@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tessera.operators.joins import anti_join
 from tessera.session import reusable
 
 
@@ -43,7 +44,7 @@ def strategy_counts(strategies: Sequence[tuple[str, DataFrame]], id_col: str = "
 
 def new_ids(candidates: DataFrame, seen: DataFrame, id_col: str = "id") -> DataFrame:
     """``candidates - seen`` as a left anti join."""
-    return candidates.select(id_col).distinct().join(seen.select(id_col), id_col, "left_anti")
+    return anti_join(candidates.select(id_col).distinct(), seen.select(id_col), id_col)
 
 
 def gated_union(

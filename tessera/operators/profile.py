@@ -169,17 +169,6 @@ def text_profile(df: DataFrame, column: str, processed: str) -> DataFrame:
     )
 
 
-# ---------------------------------------------------------------- D16
-def label_frequency(exploded: DataFrame, label: str, total: int | None = None) -> DataFrame:
-    """Rows and percentage per label.  ``exploded`` has one row per
-    (item, label); the percentage base is the number of items, passed in or
-    computed by a window over the (small) grouped table."""
-    counts = group_counts(exploded, label, label)
-    if total is not None:
-        return counts.withColumn("percentage", F.round(F.col("count") * 100.0 / F.lit(total), 4))
-    return counts
-
-
 # ---------------------------------------------------------------- J14
 def report_format(df: DataFrame, counts: list[str] = (), percents: list[str] = ()) -> DataFrame:
     """Report text -- counts with thousands separators (``1,234``),

@@ -81,11 +81,6 @@ def all_of(predicates: Sequence[Column]) -> Column:
     return functools.reduce(operator.and_, predicates) if predicates else F.lit(True)
 
 
-def year_between(year: Column | str, lo: int, hi: int) -> Column:
-    """Publication year in ``[lo, hi]``."""
-    return _col(year).between(lo, hi)
-
-
 def date_in_years(date: Column | str, lo: int, hi: int) -> Column:
     """C6 on a date/timestamp column, written as a range on the column itself
     (``lo-01-01 <= d < (hi+1)-01-01``) so the predicate is pushed into the
@@ -120,19 +115,6 @@ def abstract_queue_predicate(
     )
 
 
-def title_queue_predicate(
-    title: Column | str = "title",
-    translated_ok: Column | str = "title_spanish_translation.success",
-) -> Column:
-    """Title non-blank, not yet translated, non-empty after cleaning."""
-    t = _col(title)
-    return (
-        tx.has_content(t)
-        & ~F.coalesce(_col(translated_ok), F.lit(False))
-        & (F.coalesce(F.length(tx.clean_title(tx.strip_ws(t))), F.lit(0)) > 0)
-    )
-
-
 def major_terms_only(terms: Column | str = "mesh_terms") -> Column:
     """C11: headings whose descriptor is a major topic."""
     return F.filter(_col(terms), lambda m: F.coalesce(m["descriptor"]["major_topic"], F.lit(False)))

@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
 from tessera.operators.chunking import custom_id_file, custom_id_index
+from tessera.operators.joins import anti_join
+from tessera.operators.quality import ok_result
 
 RESULT_SCHEMA = (
     "custom_id string, response struct<status_code:int, "
@@ -48,7 +50,7 @@ def parse_translation(content: Column) -> Column:
 
 def split_results(results: DataFrame) -> tuple[DataFrame, DataFrame]:
     """C14: (ok, failed) by HTTP status 200."""
-    ok_flag = F.coalesce(F.col("response.status_code") == 200, F.lit(False))
+    ok_flag = ok_result("response.status_code")
     return results.where(ok_flag), results.where(~ok_flag)
 
 
@@ -92,4 +94,4 @@ def reassemble(chunks: DataFrame, totals: DataFrame | None = None, order: str |
 
 def retry_set(requests: DataFrame, ok_results: DataFrame) -> DataFrame:
     """Requests without a successful result (left anti join on custom_id)."""
-    return requests.join(ok_results.select("custom_id").distinct(), "custom_id", "left_anti")
+    return anti_join(requests, ok_results.select("custom_id"), "custom_id")

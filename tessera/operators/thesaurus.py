@@ -49,27 +49,7 @@ def tree_prefixes(tree_number: Column) -> Column:
     )
 
 
-def prefix_closure(descriptor_tree: DataFrame) -> DataFrame:
-    """distinct prefixes of every tree number -> ``code``."""
-    return (
-        descriptor_tree.select(F.explode(tree_prefixes(F.col("tree_number"))).alias("code"))
-        .distinct()
-    )
-
-
 # ---------------------------------------------------------------- E3 / F3
-def exact_tree_matches(descriptor: DataFrame, descriptor_tree: DataFrame) -> DataFrame:
-    """Tree number -> name of the first descriptor (by ``ord``) that has
-    exactly that tree number and a non-empty name.  Equi-join + ``min_by``
-    instead of scanning every descriptor for every prefix."""
-    named = descriptor.where(F.col("name").isNotNull() & (F.col("name") != "")).select("ui", "name")
-    return (
-        descriptor_tree.join(named, "ui")
-        .groupBy(F.col("tree_number").alias("code"))
-        .agg(F.min_by("name", "ord").alias("name"))
-    )
-
-
 def tree_names(descriptor: DataFrame, descriptor_tree: DataFrame) -> DataFrame:
     """name every root letter and every prefix of every tree number.
 

@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tessera.functions import text as tx
 from tessera.operators import quality as ql
+from tessera.operators.joins import anti_join
 
 RESULT_TYPE = "struct<text:string,success:boolean,error:string>"
 
@@ -119,15 +120,17 @@ def translation_queue(
             F.col(id_col), F.lit("abstract").alias("kind"), abstract.alias("source_text"),
             F.lit(None).cast("string").alias("original_title"))
         if done_abstracts is not None:
-            a = a.join(done_abstracts.select(id_col), id_col, "left_anti")
+            a = anti_join(a, done_abstracts.select(id_col), id_col)
         parts.append(a)
     if translate_titles and title is not None:
-        pred = ql.title_queue_predicate(title, title_ok if title_ok is not None else F.lit(False))
-        t = articles.where(pred).select(
-            F.col(id_col), F.lit("title").alias("kind"),
-            tx.clean_title(tx.strip_ws(title)).alias("source_text"), tx.strip_ws(title).alias("original_title"))
+        open_title = tx.has_content(title) & ~F.coalesce(title_ok if title_ok is not None else F.lit(False), F.lit(False))
+        # Cleaned once; a generated column is not pushed into the filter and computed again there
+        cleaned = F.filter(F.array(tx.clean_title(tx.strip_ws(title))), lambda x: F.length(x) > 0)
+        t = articles.where(open_title).select(
+            F.col(id_col), F.lit("title").alias("kind"), F.explode_outer(cleaned).alias("source_text"), tx.strip_ws(title).alias("original_title"))
+        t = t.where(F.col("source_text").isNotNull())
         if done_titles is not None:
-            t = t.join(done_titles.select(id_col), id_col, "left_anti")
+            t = anti_join(t, done_titles.select(id_col), id_col)
         parts.append(t)
     out = parts[0]
     for p in parts[1:]:

@@ -822,7 +822,14 @@ def q49_corpus_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "structured_abstracts", text("language_distribution"), text("top_years"), text("top_journals"), text("collection_stats"))
 
 
+def q50_status_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C14: orders as batch jobs, by the class of their status."""
+    status = F.when(F.col("o_orderstatus") == "F", "completed").when(F.col("o_orderpriority") == "5-LOW", "expired").otherwise("validating")
+    return pf.group_counts(Tables(spark, sf_dir).orders, ql.status_class(status), "status")
+
+
 QUERIES.update({
+    "q50_status_classes": q50_status_classes,
     "q40_gated_union": q40_gated_union,
     "q41_subject_filter": q41_subject_filter,
     "q42_new_ids": q42_new_ids,

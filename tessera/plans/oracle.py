@@ -881,7 +881,13 @@ SELECT count(*) AS total_articles, CAST(min(year(o_orderdate)) AS INTEGER) AS ye
 FROM orders
 """
 
+Q50 = """
+SELECT CASE WHEN o_orderstatus = 'F' THEN 'done' WHEN o_orderpriority = '5-LOW' THEN 'failed' ELSE 'in_progress' END AS status, count(*) AS count
+FROM orders GROUP BY status
+"""
+
 ORACLES.update({
+    "q50_status_classes": Q50,
     "q40_gated_union": Q40, "q41_subject_filter": Q41, "q42_new_ids": Q42, "q43_single_labels": Q43, "q44_report": Q44,
     "q45_stem_modes": Q45, "q46_split_exact": Q46, "q47_chunk_redelivery": Q47, "q48_category_csv": Q48, "q49_corpus_statistics": Q49,
 })

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tessera.operators import bio
+from tessera.sources import tokens as tk
 
 
 def _arrays_to_json(df: DataFrame) -> DataFrame:
@@ -67,7 +68,7 @@ def write_request_files(requests: DataFrame, out_dir: str) -> None:
 def write_token_files(tokens: DataFrame, out_dir: str, label_col: str = "label") -> None:
     """``token<TAB>label`` lines, one folder per source file, in order.
     Rows of a file are brought to one task (a file is written sequentially)."""
-    (tokens.select("file", "ord", F.concat_ws("\t", "token", label_col).alias("value"))
+    (tk.render_token_lines(tokens.withColumn("label", F.col(label_col))).withColumnRenamed("line", "value")
      .repartition("file").sortWithinPartitions("file", "ord").drop("ord")
      .write.mode("overwrite").partitionBy("file").text(out_dir))
 
