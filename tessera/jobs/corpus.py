@@ -63,8 +63,9 @@ def label_dataset(spark: SparkSession, articles_path: str, thesaurus_xml: str, t
     labelled = thesaurus.label_articles(
         arts.withColumn("publication_info", F.struct(
             art.publication_year(F.col("publication_info")).alias("year"))), dtree, names)
+    labelled = reusable(labelled)
     writers.write_category_csv(labelled, out_csv)
-    return profile.coverage_stats(writers.read_category_csv(spark, out_csv, CATEGORY_CSV_SCHEMA))
+    return profile.coverage_stats(labelled)
 
 
 # ---------------------------------------------------------------- 3.3 splits
