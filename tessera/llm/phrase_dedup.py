@@ -15,8 +15,9 @@ starts in a document with a smaller id is removed.
    words lead a passage to the buckets it may occur in (a phrase alone could be
    a common line, with a passage for each document that is copied).  A bucket's
    passages are compiled into one Aho-Corasick automaton over words, its whole
-   documents stream through it, and each occurrence is extended word by word
-   along its passage.  Where 50 words or more agree they are removed.
+   documents stream through it, and the windows around every occurrence are
+   looked up among the passages' windows and compared word by word.  Every word
+   of an equal window is removed.
 
 Hashes only choose what to compare; what is removed has been compared word by
 word.  A phrase that a third of all documents hold is counted with partial
@@ -27,7 +28,6 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections import defaultdict
 from collections.abc import Iterator
 from itertools import repeat
 
@@ -226,19 +226,19 @@ def _passages_of(window: int, phrase: int):
     return scan
 
 
-def agreement(words: list[int], at: int, passage: list[int], place: int, size: int) -> tuple[int, int]:
-    """Largest span of ``words`` around a phrase at ``at`` that agrees with
-    ``passage`` around its own at ``place``."""
-    left, right = at - place, at - place + len(passage)
-    if left >= 0 and words[left:right] == passage:
-        return left, right
-    left = 0
-    while left < place and left < at and words[at - left - 1] == passage[place - left - 1]:
-        left += 1
-    right, most = size, min(len(words) - at, len(passage) - place)
-    while right < most and words[at + right] == passage[place + right]:
-        right += 1
-    return at - left, at + right
+#: Words of a lead that the automaton looks for (the rest is looked up where it
+#: finds them), and letters of a word in it.
+KEY_WORDS = 8
+LETTERS = 3
+
+
+def word_letters(n: int) -> list[str]:
+    """Three letters for each word number up to ``n``, from an alphabet for each
+    of the three places and with 64 letters in the last two, so that an
+    automaton's nodes have few children and a key can match at the start of a
+    word only.  Number 0 stands for a word that is in no key."""
+    first, second, third = ([chr(start + d) for d in range(size)] for start, size in ((0x10000, (n >> 12) + 1), (0x100, 64), (0x200, 64)))
+    return ["\0" * LETTERS, *(first[i >> 12] + second[i >> 6 & 63] + third[i & 63] for i in range(1, n + 1))]
 
 
 def _locate(window: int, size: int, kept_text: bool):
@@ -247,39 +247,60 @@ def _locate(window: int, size: int, kept_text: bool):
     def locate(docs: pd.DataFrame, passages: pd.DataFrame) -> pd.DataFrame:
         import ahocorasick
 
-        number: dict[str, int] = {}
-        texts, held = [], defaultdict(set)
+        powers, number = _Powers(), {}
+        rank = {d: i for i, d in enumerate(sorted({*passages["owner"], *docs["doc_id"]}))}
+        flat, starts, owners, leads = [np.zeros(0, dtype=np.int64)], [], [], set()
+        length = 0
         for owner, text, places in zip(passages["owner"], passages["words"], passages["ats"]):
             ids = [number.setdefault(w, len(number) + 1) for w in text.split(" ")]
-            for at in places:
-                held[tuple(ids[at:at + size])].add((owner, len(texts), int(at)))
-            texts.append(ids)
-        automaton = ahocorasick.Automaton(ahocorasick.STORE_ANY, ahocorasick.KEY_SEQUENCE)
-        for key, found in held.items():
-            automaton.add_word(key, sorted(found))
-        automaton.make_automaton()
+            leads.update(tuple(ids[at:at + min(KEY_WORDS, size)]) for at in places)
+            flat.append(np.array(ids, dtype=np.int64))
+            starts.append(np.arange(length, length + len(ids) - window + 1))
+            owners.append(np.full(len(starts[-1]), rank[owner]))
+            length += len(ids)
+        words_of, hash_of, letters = np.concatenate(flat), _mix(np.arange(1, len(number) + 2, dtype=np.uint64)), word_letters(len(number))
+        if leads:
+            # of equal windows in the passages, the one of the smallest owner
+            start, owner = np.concatenate(starts), np.concatenate(owners)
+            hashes = _runs(hash_of[words_of], window, powers)[start]
+            order = np.lexsort((owner, hashes))
+            keep = order[np.r_[True, hashes[order][1:] != hashes[order][:-1]]]
+            start, owner, hashes = start[keep], owner[keep], hashes[keep]
+            there = np.lib.stride_tricks.sliding_window_view(words_of, window)
+            automaton = ahocorasick.Automaton(ahocorasick.STORE_LENGTH)
+            for lead in leads:
+                automaton.add_word("".join([letters[i] for i in lead]))
+            automaton.make_automaton()
+
+        def repeated(ids: np.ndarray, hay: str, own: int) -> np.ndarray:
+            """Windows of a document that a passage of a smaller one holds."""
+            at = np.array([(last + 1 - n) // LETTERS for last, n in automaton.iter(hay)], dtype=np.int64)
+            low, high = np.maximum(at - (window - size), 0), np.minimum(at, len(ids) - window)
+            edges = np.zeros(len(ids) + 2, dtype=np.int64)
+            np.add.at(edges, low[low <= high], 1)
+            np.add.at(edges, high[low <= high] + 1, -1)
+            found = np.flatnonzero(np.cumsum(edges) > 0)  # windows with a lead where the automaton found one
+            run = _runs(hash_of[ids], window, powers)[found]
+            j = np.minimum(np.searchsorted(hashes, run), len(hashes) - 1)
+            same = (hashes[j] == run) & (owner[j] < own)
+            found, j = found[same], j[same]
+            here = np.lib.stride_tricks.sliding_window_view(ids, window)
+            equal = [(here[found[k:k + 4096]] == there[start[j[k:k + 4096]]]).all(axis=1) for k in range(0, len(found), 4096)]
+            return found[np.concatenate(equal)] if equal else found
+
         out = []
         for doc_id, key, text in zip(docs["doc_id"], docs["text_key"], docs["text"]):
             words = split_words(text)
-            ids = list(map(number.get, words, repeat(0)))
-            gone = np.zeros(len(words) + 1, dtype=np.int32)
-            done: dict[tuple[int, int], int] = {}  # passage and alignment to where they have been compared
-            for end, found in automaton.iter(tuple(ids)) if held else ():
-                at = end - size + 1
-                for owner, n, place in found:
-                    if owner >= doc_id:
-                        break
-                    if done.get((n, at - place), -1) > end:
-                        continue
-                    left, right = agreement(ids, at, texts[n], place, size)
-                    done[n, at - place] = right
-                    if right - left >= window:
-                        gone[left] += 1
-                        gone[right] -= 1
-            mask = np.cumsum(gone[:-1]) > 0
-            edges = np.flatnonzero(np.diff(np.r_[0, mask.astype(np.int8), 0]))
-            kept = " ".join(w for w, g in zip(words, mask.tolist()) if not g)
-            out.append((doc_id, key, int(mask.sum()), edges.tolist(), kept, hashlib.sha256(kept.encode()).hexdigest()))
+            edges = np.zeros(len(words) + 1, dtype=np.int64)
+            if leads and len(words) >= window:
+                ids = np.fromiter(map(number.get, words, repeat(0)), dtype=np.int64, count=len(words))
+                gone = repeated(ids, "".join([letters[i] for i in ids.tolist()]), rank[doc_id])
+                np.add.at(edges, gone, 1)
+                np.add.at(edges, gone + window, -1)
+            mask = np.cumsum(edges[:-1]) > 0
+            spans = np.flatnonzero(np.diff(np.r_[0, mask.astype(np.int8), 0]))
+            kept = " ".join([w for w, g in zip(words, mask.tolist()) if not g])
+            out.append((doc_id, key, int(mask.sum()), spans.tolist(), kept, hashlib.sha256(kept.encode()).hexdigest()))
         rows = pd.DataFrame(out, columns=["doc_id", "text_key", "n_removed", "edges", "kept", "sha256"])
         return rows if kept_text else rows.drop(columns="kept")
 
@@ -287,7 +308,7 @@ def _locate(window: int, size: int, kept_text: bool):
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, phrase: int = PHRASE,
-                   bucket_bytes: int = 2 << 20, kept_text: bool = False) -> DataFrame:
+                   bucket_bytes: int = 1 << 20, kept_text: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, text_key, n_words, n_removed``,
     ``removed`` (word numbers, ``[start, end, start, end, ...]``) and
     ``kept_sha256`` of the kept words joined by a space; with ``kept_text``
