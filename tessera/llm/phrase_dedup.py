@@ -11,9 +11,10 @@ starts in a document with a smaller id is removed.
    they stand for are counted.  Of a window in several documents, the smallest
    document is the owner; the words around an owner's phrase are a passage.
 3. *Automata.*  The touched documents are dealt into buckets of bounded size.
-   A window holds its phrase and at least 17 words more on one side: these 33
-   words lead a passage to the buckets it may occur in (a phrase alone could be
-   a common line, with a passage for each document that is copied).  A bucket's
+   A window holds its phrase and 28 words more around it, in one of five ways:
+   these 44 words lead a passage to the buckets it may occur in (a phrase alone
+   could be a common line, with a passage for each document that is copied).  A
+   bucket's
    passages are compiled into one Aho-Corasick automaton over words, its whole
    documents stream through it, and the windows around every occurrence are
    looked up among the passages' windows and compared word by word.  Every word
@@ -161,26 +162,36 @@ def _windows_of(window: int):
     return scan
 
 
-def _sides(window: int, phrase: int) -> tuple[int, int]:
-    """Words that a window holds at least on one side of its phrase, and the
-    length of the phrase with these."""
-    side = -(-(window - phrase) // 2)
-    return side, phrase + side
+def lead_shapes(window: int, phrase: int, step: int = 7) -> list[tuple[int, int]]:
+    """``(left, size)`` of the leads of a phrase: every window with the phrase
+    holds one of them, ``size`` words from ``left`` words before the phrase."""
+    slack = window - phrase
+    return [(left, phrase + left + max(slack - left - step + 1, 0)) for left in range(0, slack + 1, step)]
+
+
+def _leads(at: np.ndarray, hashes: np.ndarray, low: int, high: int, shapes: list[tuple[int, int]], powers: _Powers) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes and starts of the leads of phrases ``at``, inside ``low`` to ``high``."""
+    found, starts = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.int64)]
+    for size in sorted({z for _, z in shapes}):
+        start = np.unique(np.concatenate([at - left for left, z in shapes if z == size]))
+        start = start[(start >= low) & (start + size <= high)]
+        if len(start):
+            found.append(_runs(hashes, size, powers).view(np.int64)[start])
+            starts.append(start)
+    return np.concatenate(found), np.concatenate(starts)
 
 
 def _leads_of(window: int, phrase: int):
-    """Rows ``lead, bucket, doc_id``: hashes of the phrases with their sides."""
+    """Rows ``lead, bucket, doc_id``: hashes of the phrases' leads."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, (side, size) = _Powers(), _sides(window, phrase)
+        powers, shapes = _Powers(), lead_shapes(window, phrase)
         for batch in batches:
             offsets, p = _lists(batch.column(3))
             owner, leads = [], []
             for i, t in enumerate(batch.column(2)):
-                at = p["at"][offsets[i]:offsets[i + 1]]
-                runs = _runs(_word_hashes(split_words(t.as_py())), size, powers).view(np.int64)
-                starts = np.unique(np.concatenate([at, at - side]))
-                leads.append(np.unique(runs[starts[(starts >= 0) & (starts < len(runs))]]))
+                hashes = _word_hashes(split_words(t.as_py()))
+                leads.append(np.unique(_leads(p["at"][offsets[i]:offsets[i + 1]], hashes, 0, len(hashes), shapes, powers)[0]))
                 owner.append(np.full(len(leads[-1]), i, dtype=np.int64))
             if owner:
                 who = pa.array(np.concatenate(owner))
@@ -192,11 +203,11 @@ def _leads_of(window: int, phrase: int):
 
 def _passages_of(window: int, phrase: int):
     """Rows ``owner, key, start, words, leads, ats``: the words of every run of
-    owned phrases that follow each other, and the hashes and places in it of
-    the phrases with their sides."""
+    owned phrases that follow each other, and the hashes of the phrases' leads
+    and their places in it."""
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        powers, (side, size) = _Powers(), _sides(window, phrase)
+        powers, shapes = _Powers(), lead_shapes(window, phrase)
         for batch in batches:
             offsets, p = _lists(batch.column(3))
             rows, out = [], []
@@ -210,12 +221,12 @@ def _passages_of(window: int, phrase: int):
                         runs[-1].append(z)
                     else:
                         runs.append([z])
-                hashes = _runs(_word_hashes(w), size, powers).view(np.int64) if runs else None
+                hashes = _word_hashes(w) if runs else None
                 for run in runs:
                     start, end = run[0][0], run[-1][0] + run[-1][1] - 1 + window
-                    at = np.unique([x for z in run for x in (z[2], z[2] - side) if start <= x <= end - size])
+                    leads, at = _leads(np.array([z[2] for z in run]), hashes, start, end, shapes, powers)
                     rows.append(i)
-                    out.append((start, " ".join(w[start:end]), hashes[at].tolist(), (at - start).tolist()))
+                    out.append((start, " ".join(w[start:end]), leads.tolist(), (np.unique(at) - start).tolist()))
             if out:
                 start, words, leads, ats = zip(*out)
                 at = pa.array(rows, pa.int64())
@@ -228,7 +239,7 @@ def _passages_of(window: int, phrase: int):
 
 #: Words of a lead that the automaton looks for (the rest is looked up where it
 #: finds them), and letters of a word in it.
-KEY_WORDS = 8
+KEY_WORDS = 6
 LETTERS = 3
 
 
@@ -308,7 +319,7 @@ def _locate(window: int, size: int, kept_text: bool):
 
 
 def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", window: int = WINDOW, phrase: int = PHRASE,
-                   bucket_bytes: int = 1 << 20, kept_text: bool = False) -> DataFrame:
+                   bucket_bytes: int = 2 << 20, kept_text: bool = False) -> DataFrame:
     """One row per row of ``docs``: ``doc_id, text_key, n_words, n_removed``,
     ``removed`` (word numbers, ``[start, end, start, end, ...]``) and
     ``kept_sha256`` of the kept words joined by a space; with ``kept_text``
@@ -346,7 +357,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
               .select(F.col("bucket").alias("b"), *name).distinct())
     dealt = routes.join(passages.drop("leads"), name).select("b", "owner", "words", "ats")
     located = (bucketed.select("bucket", "doc_id", "text_key", "text").groupBy("bucket").cogroup(dealt.groupBy("b"))
-               .applyInPandas(_locate(window, _sides(window, phrase)[1], kept_text), f"doc_id {id_type}, text_key long, n_removed long, edges array<int>, "
+               .applyInPandas(_locate(window, min(z for _, z in lead_shapes(window, phrase)), kept_text), f"doc_id {id_type}, text_key long, n_removed long, edges array<int>, "
                               + ("kept string, " if kept_text else "") + "sha256 string"))
     lost = located.filter("n_removed > 0").dropDuplicates(["doc_id", "text_key"]).select(
         F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "n_removed", "edges", F.col("sha256").alias("sha"), *(["kept"] if kept_text else []))
