@@ -28,9 +28,8 @@ sums, and reaches a bucket once for each passage, not for each document.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Iterator
-from itertools import repeat
+from itertools import compress, repeat
 
 import numpy as np
 import pandas as pd
@@ -43,13 +42,13 @@ from tessera.llm.common import stage, text_key
 
 WINDOW = 50
 PHRASE = 16
-WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 _BASE = 0x9E3779B97F4A7C15  # odd, so that powers have inverses modulo 2**64
 
 
-def split_words(text: str | None) -> list[str]:
-    return WORD.findall(text or "")
+def split_words(text: bytes | str | None) -> list[bytes]:
+    """Words of a text as UTF-8; bytes split at the six ASCII spaces only."""
+    return (text.encode() if isinstance(text, str) else text or b"").split()
 
 
 class _Powers:
@@ -81,7 +80,7 @@ def _runs(hashes: np.ndarray, k: int, powers: _Powers) -> np.ndarray:
     return _mix((sums[k:] - sums[:-k]) * down[:len(hashes) - k + 1])
 
 
-def _word_hashes(words: list[str]) -> np.ndarray:
+def _word_hashes(words: list[bytes]) -> np.ndarray:
     import xxhash
 
     digest = xxhash.xxh64_intdigest
@@ -115,10 +114,10 @@ def phrase_table(docs: DataFrame, window: int, phrase: int) -> DataFrame:
         kind = pa.list_(pa.struct([("h", pa.int64()), ("at", pa.int32()), ("first", pa.int32()), ("n", pa.int32())]))
         for batch in batches:
             n_words, sha, parts, ends = [], [], [], [0]
-            for t in batch.column(2):
+            for t in batch.column(2).cast(pa.binary()):
                 w = split_words(t.as_py())
                 n_words.append(len(w))
-                sha.append(hashlib.sha256(" ".join(w).encode()).hexdigest())
+                sha.append(hashlib.sha256(b" ".join(w)).hexdigest())
                 if len(w) >= window:
                     h, at, first = standing_phrases(_word_hashes(w), window, phrase, powers)
                     parts.append((h, at, first, np.diff(np.r_[first, len(w) - window + 1])))
@@ -148,7 +147,7 @@ def _windows_of(window: int):
         for batch in batches:
             at, p = _lists(batch.column(2))
             hs, ws, owner = [], [], []
-            for i, t in enumerate(batch.column(1)):
+            for i, t in enumerate(batch.column(1).cast(pa.binary())):
                 h, first, n = (p[f][at[i]:at[i + 1]] for f in ("h", "first", "n"))
                 runs = _runs(_word_hashes(split_words(t.as_py())), window, powers).view(np.int64)
                 place = np.repeat(first - np.cumsum(n) + n, n) + np.arange(n.sum())
@@ -189,7 +188,7 @@ def _leads_of(window: int, phrase: int):
         for batch in batches:
             offsets, p = _lists(batch.column(3))
             owner, leads = [], []
-            for i, t in enumerate(batch.column(2)):
+            for i, t in enumerate(batch.column(2).cast(pa.binary())):
                 hashes = _word_hashes(split_words(t.as_py()))
                 leads.append(np.unique(_leads(p["at"][offsets[i]:offsets[i + 1]], hashes, 0, len(hashes), shapes, powers)[0]))
                 owner.append(np.full(len(leads[-1]), i, dtype=np.int64))
@@ -211,7 +210,7 @@ def _passages_of(window: int, phrase: int):
         for batch in batches:
             offsets, p = _lists(batch.column(3))
             rows, out = [], []
-            for i, (t, owned) in enumerate(zip(batch.column(2), batch.column(4))):
+            for i, (t, owned) in enumerate(zip(batch.column(2).cast(pa.binary()), batch.column(4))):
                 w, mine = split_words(t.as_py()), set(owned.as_py())
                 span = slice(offsets[i], offsets[i + 1])
                 found = sorted(z for z in zip(*(p[f][span].tolist() for f in ("first", "n", "at", "h"))) if z[3] in mine)
@@ -226,11 +225,11 @@ def _passages_of(window: int, phrase: int):
                     start, end = run[0][0], run[-1][0] + run[-1][1] - 1 + window
                     leads, at = _leads(np.array([z[2] for z in run]), hashes, start, end, shapes, powers)
                     rows.append(i)
-                    out.append((start, " ".join(w[start:end]), leads.tolist(), (np.unique(at) - start).tolist()))
+                    out.append((start, b" ".join(w[start:end]), leads.tolist(), (np.unique(at) - start).tolist()))
             if out:
                 start, words, leads, ats = zip(*out)
                 at = pa.array(rows, pa.int64())
-                yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(start, pa.int32()), pa.array(words, pa.string()),
+                yield pa.record_batch([batch.column(0).take(at), batch.column(1).take(at), pa.array(start, pa.int32()), pa.array(words, pa.binary()),
                                        pa.array(leads, pa.list_(pa.int64())), pa.array(ats, pa.list_(pa.int32()))],
                                       names=["owner", "key", "start", "words", "leads", "ats"])
 
@@ -253,7 +252,8 @@ def word_letters(n: int) -> list[str]:
 
 
 def _locate(window: int, size: int, kept_text: bool):
-    """All occurrences of a bucket's passages in its documents."""
+    """All occurrences of a bucket's passages in its documents: a row for each
+    document that loses a word."""
 
     def locate(docs: pd.DataFrame, passages: pd.DataFrame) -> pd.DataFrame:
         import ahocorasick
@@ -263,7 +263,7 @@ def _locate(window: int, size: int, kept_text: bool):
         flat, starts, owners, leads = [np.zeros(0, dtype=np.int64)], [], [], set()
         length = 0
         for owner, text, places in zip(passages["owner"], passages["words"], passages["ats"]):
-            ids = [number.setdefault(w, len(number) + 1) for w in text.split(" ")]
+            ids = [number.setdefault(w, len(number) + 1) for w in text.split()]
             leads.update(tuple(ids[at:at + min(KEY_WORDS, size)]) for at in places)
             flat.append(np.array(ids, dtype=np.int64))
             starts.append(np.arange(length, length + len(ids) - window + 1))
@@ -309,9 +309,11 @@ def _locate(window: int, size: int, kept_text: bool):
                 np.add.at(edges, gone, 1)
                 np.add.at(edges, gone + window, -1)
             mask = np.cumsum(edges[:-1]) > 0
+            if not mask.any():
+                continue
             spans = np.flatnonzero(np.diff(np.r_[0, mask.astype(np.int8), 0]))
-            kept = " ".join([w for w, g in zip(words, mask.tolist()) if not g])
-            out.append((doc_id, key, int(mask.sum()), spans.tolist(), kept, hashlib.sha256(kept.encode()).hexdigest()))
+            kept = b" ".join(compress(words, (~mask).tolist()))
+            out.append((doc_id, key, int(mask.sum()), spans.tolist(), kept.decode() if kept_text else None, hashlib.sha256(kept).hexdigest()))
         rows = pd.DataFrame(out, columns=["doc_id", "text_key", "n_removed", "edges", "kept", "sha256"])
         return rows if kept_text else rows.drop(columns="kept")
 
@@ -345,7 +347,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
               .filter("owner < last").select("h", "owner").distinct())
     owned = stage(owners.groupBy("owner").agg(F.collect_list("h").alias("owned")), "owned_phrases")
     passages = stage(touched.join(owned, touched["doc_id"] == owned["owner"]).select("doc_id", "text_key", "text", "phrases", "owned").mapInArrow(
-        _passages_of(window, phrase), f"owner {id_type}, key long, start int, words string, leads array<long>, ats array<int>"), "passages")
+        _passages_of(window, phrase), f"owner {id_type}, key long, start int, words binary, leads array<long>, ats array<int>"), "passages")
 
     size = touched.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bucket = F.pmod(F.xxhash64("doc_id", "text_key"), F.lit(max(1, -(-size // bucket_bytes)))).cast("int")
@@ -359,7 +361,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     located = (bucketed.select("bucket", "doc_id", "text_key", "text").groupBy("bucket").cogroup(dealt.groupBy("b"))
                .applyInPandas(_locate(window, min(z for _, z in lead_shapes(window, phrase)), kept_text), f"doc_id {id_type}, text_key long, n_removed long, edges array<int>, "
                               + ("kept string, " if kept_text else "") + "sha256 string"))
-    lost = located.filter("n_removed > 0").dropDuplicates(["doc_id", "text_key"]).select(
+    lost = located.dropDuplicates(["doc_id", "text_key"]).select(
         F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "n_removed", "edges", F.col("sha256").alias("sha"), *(["kept"] if kept_text else []))
     joined = table.join(lost, (table["doc_id"] == lost["d"]) & (table["text_key"] == lost["k"]), "left")
     return joined.select("doc_id", "text_key", "n_words", F.coalesce("n_removed", F.lit(0)).cast("long").alias("n_removed"),
