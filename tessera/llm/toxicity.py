@@ -127,7 +127,7 @@ def train(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, max_words:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
-        max_positives: int = 2500, max_unlabelled: int = 6000, prior: float | None = None, seed: int = 7) -> Model | None:
+        max_positives: int = 3500, max_unlabelled: int = 9000, prior: float | None = None, seed: int = 7) -> Model | None:
     """A model from the rows that are not held out; None without a positive.
 
     ``prior`` is the share of toxic texts; by default that of the labelled
