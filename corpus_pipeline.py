@@ -15,7 +15,7 @@ from tessera.llm.common import stage, table
 def quality_rules(spark, docs, sf_dir):
     """Drops documents that fail the base rules or are depleted by removing
     lines that too many documents of their host share."""
-    return line_quality.reject_documents(docs)
+    return line_quality.reject_documents(docs, **line_quality.NOTICES)
 
 
 def near_duplicates(spark, docs, sf_dir):

@@ -6,8 +6,10 @@ documents that hold a line are counted, lines above the limit are removed, and
 a document that keeps too few of its words is rejected.
 
 Copies must not make a text look like boilerplate: documents of a host with
-the same set of lines count as one, and the limit is a share of a host's
-documents that navigation and notices exceed but a group of near copies does not.
+the same set of lines count as one.  The limit is a count of documents, a share
+of a host's documents, or both.  A count (``NOTICES``) finds notices on hosts of
+any size; documents made of shared lines for the most part are not counted then,
+so that a group of near copies does not make its own text a notice.
 """
 
 from __future__ import annotations
@@ -21,6 +23,10 @@ from tessera.llm.common import SPACE_CLASS, stage, text_key, words
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 
+#: Limits that do not grow with the host: lines of six words or more in 20
+#: documents of it that have at least half of their words elsewhere.
+NOTICES = {"min_docs": 20, "max_share": 0.0, "min_line": 6, "max_shared": 0.5}
+
 
 def repeat_words(w: Column, n: int = 3) -> Column:
     """Words of ``w`` in ``n``-word windows found twice or more in ``w``.
@@ -77,22 +83,45 @@ def measures(docs: DataFrame, text: str = "text") -> DataFrame:
     return out.drop("__w", "__l")
 
 
-def busy_lines(lines: DataFrame, host: str, min_docs: int, max_share: float) -> DataFrame:
-    """Rows ``host, h`` of the lines that more than ``max_share`` of a host's
-    distinct documents hold, and ``min_docs`` of them at least.  ``lines`` has a
-    row per document with its host and ``lines``."""
+def busy_lines(lines: DataFrame, host: str, min_docs: int, max_share: float, min_line: int = 0, max_shared: float = 1.0) -> DataFrame:
+    """Rows ``host, h`` of the lines of ``min_line`` words or more that more than
+    ``max_share`` of a host's distinct documents hold, and ``min_docs`` of them
+    at least.  ``lines`` has a row per document with its host and ``lines``.
+
+    Below 1, ``max_shared`` is the share of a document's words that such lines
+    may have for it to be counted: a document made of little else is a near
+    copy of others and no witness of a notice."""
     keys = F.transform("lines", lambda x: x["h"])
     own = lines.filter(F.size("lines") > 0).select(
-        F.col(host).alias("host"), F.array_sort(F.array_distinct(keys)).alias("keys")).withColumn("sig", F.xxhash64("keys"))
-    per_line = (own.select("host", "sig", F.explode("keys").alias("h")).distinct()
-                .groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs))
+        F.col(host).alias("host"), "lines", F.array_sort(F.array_distinct(keys)).alias("keys")).withColumn("sig", F.xxhash64("keys"))
     hosts = own.select("host", "sig").distinct().groupBy("host").agg(F.count(F.lit(1)).alias("n_docs"))
-    both = per_line.join(hosts, per_line["host"].eqNullSafe(hosts["host"]))
-    return both.filter(F.col("n") > max_share * F.col("n_docs")).select(per_line["host"], "h")
+
+    def above(held):
+        per_line = held.groupBy("host", "h").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
+        if not max_share:
+            return per_line.select("host", "h")
+        both = per_line.join(hosts, per_line["host"].eqNullSafe(hosts["host"]))
+        return both.filter(F.col("n") > max_share * F.col("n_docs")).select(per_line["host"], "h")
+
+    if not min_line and max_shared >= 1:
+        return above(own.select("host", "sig", F.explode("keys").alias("h")).distinct())
+    held = own.select("host", "sig", F.explode(F.array_distinct("lines")).alias("line")).select(
+        "host", "sig", F.col("line.h").alias("h"), F.col("line.w").alias("w")).distinct()
+    if max_shared >= 1:
+        return above(held.filter(F.col("w") >= min_line))
+    held = stage(held, "held_lines")
+    found = stage(above(held.filter(F.col("w") >= min_line)), "shared_lines")
+    shared = held.join(found, (held["h"] == found["h"]) & held["host"].eqNullSafe(found["host"])).select(held["host"], "sig", held["h"], "w")
+    sizes = held.groupBy("host", "sig").agg(F.sum("w").alias("n"))
+    parts = shared.groupBy("host", "sig").agg(F.sum("w").alias("w"), F.collect_list("h").alias("keys"))
+    both = parts.join(sizes, (parts["sig"] == sizes["sig"]) & parts["host"].eqNullSafe(sizes["host"]))
+    witness = both.filter(F.col("w") <= max_shared * F.col("n"))
+    return above(witness.select(parts["host"], F.explode("keys").alias("h")))
 
 
 def judge_documents(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", host: str = "source",
-                    min_docs: int = 20, max_share: float = 0.4, min_left: float = 0.3) -> DataFrame:
+                    min_docs: int = 20, max_share: float = 0.4, min_left: float = 0.3,
+                    min_line: int = 0, max_shared: float = 1.0) -> DataFrame:
     """One row per row of ``docs``: the columns ``keep``, the measures,
     ``base_failed`` (fewer than 50 words, or over half of them repeated),
     ``n_removed_lines``, ``n_removed_words`` (lines above the limit) and
@@ -104,7 +133,7 @@ def judge_documents(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text:
     cannot clash."""
     rows = docs.select(*keep, F.col(host).alias("__host"), F.coalesce(F.col(text), F.lit("")).alias("__text"))
     judged = stage(measures(rows, "__text").drop("__text").withColumn("__row", F.monotonically_increasing_id()), "line_measures")
-    busy = stage(busy_lines(judged, "__host", min_docs, max_share), "busy_lines")
+    busy = stage(busy_lines(judged, "__host", min_docs, max_share, min_line, max_shared), "busy_lines")
     lines = judged.select("__row", "__host", F.explode("lines").alias("line")).select(
         "__row", "__host", F.col("line.h").alias("h"), F.col("line.w").alias("w"))
     removed = (lines.join(busy, (lines["h"] == busy["h"]) & lines["__host"].eqNullSafe(busy["host"]))

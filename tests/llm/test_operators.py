@@ -119,6 +119,21 @@ def test_lines_shared_by_a_host_are_removed_and_copies_are_not_counted_apart(spa
     assert left.columns == df.columns and {r["doc_id"] for r in left.collect()} == {r[0] for r in rows if r[0] >= 100}
 
 
+def test_notices_of_a_large_host_are_found_and_near_copies_are_not(spark):
+    rng = random.Random(9)
+    own = lambda n: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
+    notice, short, base = own(60), own(3), [own(20) for _ in range(12)]
+    rows = [(i, f"{own(10)}\n{notice}", "a") for i in range(20)]  # depleted
+    rows += [(100 + i, f"{own(200)}\n{notice.upper()}\n{short}", "a") for i in range(40)]  # 60 of 960 documents: 6 %
+    rows += [(1000 + i, f"{own(100)}\n{short}", "a") for i in range(900)]
+    rows += [(2000 + i, "\n".join(own(20) if j == i % 12 else x for j, x in enumerate(base)), "a") for i in range(40)]  # near copies
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    got = {r["doc_id"]: (r["n_removed_words"], r["kept"]) for r in line_quality.judge_documents(df, **line_quality.NOTICES).collect()}
+    assert got == {r[0]: (60 if r[0] < 1000 else 0, r[0] >= 100) for r in rows}
+    kept = corpus_pipeline.quality_rules(spark, df.withColumn("n_chars", F.length("text")), None)
+    assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows if r[0] >= 100}
+
+
 # ---------------------------------------------------------------- operator 7
 def test_base_secrets(odd, empty):
     def want(i, text):
