@@ -31,7 +31,7 @@ def secret_scan(spark, docs, sf_dir):
 
 def source_mixing(spark, docs, sf_dir):
     """Keeps the documents sampled by the raked weights of their cells."""
-    return mixing.sample_documents(docs).filter("sampled").select(*docs.columns)
+    return mixing.sample_documents(docs, rate=mixing.RATE).filter("sampled").select(*docs.columns)
 
 
 def sequence_packing(spark, docs, sf_dir):

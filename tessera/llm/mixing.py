@@ -5,7 +5,8 @@ Documents fall into cells of source, language and topic.  The tokens of the
 cells are raked: scaled along one margin after the other until the sums match
 every target.  Raked over own tokens is a cell's weight, and a document is
 sampled with a probability in proportion to it, by a hash of its id, so that
-the expected tokens of the sample have the target shares.
+the expected tokens of the sample have the target shares.  A token rate can be
+asked for; cells too small for it are then taken whole.
 
 Only the cells' table goes round the loop, as DataFrames; documents are read
 once to fill the cells and once to be sampled.
@@ -77,16 +78,39 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
     return state
 
 
+def scale_to(cells: DataFrame, rate: float) -> float:
+    """Factor by which ``sum(tokens * least(1, factor * weight))`` over ``cells``
+    is ``rate`` of all tokens.  Cells that reach 1 are taken whole and the others
+    share what is left, until no more cells reach 1; if all do, the rate cannot
+    be met and every cell with a weight is whole."""
+    budget, factor = rate * (cells.agg(F.sum("tokens")).first()[0] or 0), 0.0
+    while True:
+        whole = F.col("weight") * F.lit(factor) >= 1
+        taken, rest = cells.filter("weight > 0").agg(
+            F.sum(F.when(whole, F.col("tokens"))), F.sum(F.when(~whole, F.col("weight") * F.col("tokens")))).first()
+        if not rest or (budget - (taken or 0)) / rest <= factor * (1 + 1e-12):
+            return factor
+        factor = (budget - (taken or 0)) / rest
+
+
+#: Share of all tokens that the query and the pipeline keep.
+RATE = 0.75
+
 #: Powers of the default targets: sources are evened out most.
 AIMS = {"source": 0.8, "lang": 0.9, "topic": 0.95}
 
 
 def sample_documents(docs: DataFrame, aims: Mapping[str, float | Mapping[str, float]] = AIMS, text: str = "text",
                      doc_id: str = "doc_id", source: str = "source", lang: str = "lang", topic: Column | None = None,
-                     seed: int = 42) -> DataFrame:
+                     seed: int = 42, rate: float | None = None) -> DataFrame:
     """``docs`` plus ``topic``, ``n_tokens`` (words), ``weight`` (raked over own
-    tokens of the document's cell), ``probability`` (weight over the largest
-    weight, so that no document is wanted more than once) and ``sampled``.
+    tokens of the document's cell), ``probability`` and ``sampled``.
+
+    With a ``rate`` the expected tokens of the sample are that share of all
+    tokens: probabilities are weights times one factor, 1 at most, so a cell
+    that is rarer than its target is taken whole and does not shrink the rest.
+    Without, they are weights over the largest weight: expected shares are
+    exact, and the least cell decides how much is kept.
 
     Null sources and languages are values of their own; a document without a
     word costs no tokens and is kept; equal ids with equal texts are drawn
@@ -102,9 +126,13 @@ def sample_documents(docs: DataFrame, aims: Mapping[str, float | Mapping[str, fl
     targets = {m: stage(margin_targets(cells, m, aims[m]), f"target_{m}") for m in MARGINS if m in aims}
     raked = rake(cells, targets)
     weighed = raked.select(*[F.col(m).alias(k) for k, m in zip(key, MARGINS)],
-                           F.when(F.col("tokens") > 0, F.col("raked") / F.col("tokens")).alias("weight"))
-    top = weighed.agg(F.max("weight")).first()[0] or 1.0
-    cell = stage(weighed.withColumn("probability", F.col("weight") / F.lit(float(top))), "cell_probabilities")
+                           "tokens", F.when(F.col("tokens") > 0, F.col("raked") / F.col("tokens")).alias("weight"))
+    if rate is None:
+        factor = 1 / (weighed.agg(F.max("weight")).first()[0] or 1.0)
+    else:
+        factor = scale_to(weighed, rate)
+    probability = F.least(F.lit(1.0), F.col("weight") * F.lit(float(factor)))
+    cell = stage(weighed.withColumn("probability", probability).drop("tokens"), "cell_probabilities")
     draw = F.shiftrightunsigned(F.xxhash64(F.col(doc_id), F.col(text), F.lit(seed)), 11) / float(1 << 53)
     free = F.col("n_tokens") == 0
     return (rows.join(cell, key, "left").drop(*key)

@@ -389,6 +389,23 @@ def test_mixing_meets_its_targets(spark):
     assert max(r["probability"] for r in got) == pytest.approx(1)
 
 
+def test_a_rare_source_does_not_shrink_the_rest(spark):
+    rng = random.Random(8)
+    rows = [(i, "w " * rng.randrange(100, 300), "en", f"src{i % 4}", 0) for i in range(2000)]
+    kept = {}
+    for n in (0, 1):
+        df = spark.createDataFrame(rows + [(5000, "w " * 200, "en", "rare", 0)] * n, DOCS)
+        got = mixing.sample_documents(df, rate=0.6).collect()
+        total = sum(r["n_tokens"] for r in got)
+        assert sum(r["n_tokens"] * r["probability"] for r in got) == pytest.approx(0.6 * total)
+        assert sum(r["n_tokens"] * r["sampled"] for r in got) == pytest.approx(0.6 * total, rel=0.1)
+        kept[n] = {r["doc_id"]: r["probability"] for r in got}
+    assert kept[1][5000] == 1 and all(p == pytest.approx(kept[0][i], rel=0.01) for i, p in kept[1].items() if i != 5000)
+    assert all(r["sampled"] for r in mixing.sample_documents(df, rate=2.0).collect())
+    drawn = queries.op5_mixing(spark, SF001).agg(F.sum(F.col("n_tokens") * F.col("probability")) / F.sum("n_tokens")).first()[0]
+    assert drawn == pytest.approx(mixing.RATE)
+
+
 def test_mixing_of_odd_rows(odd, empty):
     got = mixing.sample_documents(odd)
     rows = got.collect()
