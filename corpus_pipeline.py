@@ -13,9 +13,10 @@ from tessera.llm.common import stage, table
 
 
 def quality_rules(spark, docs, sf_dir):
-    """Drops documents that fail the base rules or are depleted by removing
-    lines that too many documents of their host share."""
-    return line_quality.reject_documents(docs, **line_quality.NOTICES)
+    """Cuts out lines that too many documents of their host share, and drops
+    documents that fail the base rules or are depleted by that."""
+    left = line_quality.reject_documents(docs, **line_quality.NOTICES)
+    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
 
 
 def near_duplicates(spark, docs, sf_dir):

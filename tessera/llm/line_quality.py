@@ -119,13 +119,22 @@ def busy_lines(lines: DataFrame, host: str, min_docs: int, max_share: float, min
     return above(witness.select(parts["host"], F.explode("keys").alias("h")))
 
 
+def without_lines(text: Column, keys: Column) -> Column:
+    """``text`` without the lines whose :func:`line_key` is among ``keys``; null
+    or no keys leave it as it is."""
+    left = F.filter(F.split(text, "\n"), lambda x: ~(has_word(x) & F.array_contains(keys, line_key(x))))
+    return F.when(F.size(F.coalesce(keys, F.array().cast("array<bigint>"))) > 0, F.array_join(left, "\n")).otherwise(text)
+
+
 def judge_documents(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text: str = "text", host: str = "source",
                     min_docs: int = 20, max_share: float = 0.4, min_left: float = 0.3,
-                    min_line: int = 0, max_shared: float = 1.0) -> DataFrame:
+                    min_line: int = 0, max_shared: float = 1.0, removed_keys: str | None = None) -> DataFrame:
     """One row per row of ``docs``: the columns ``keep``, the measures,
     ``base_failed`` (fewer than 50 words, or over half of them repeated),
     ``n_removed_lines``, ``n_removed_words`` (lines above the limit) and
-    ``kept``: not base-failed, and ``min_left`` of its words left.
+    ``kept``: not base-failed, and ``min_left`` of its words left.  With
+    ``removed_keys``, a column of that name has the keys of the lines above the
+    limit (null: none), which :func:`without_lines` takes.
 
     Null and empty texts have no words and fail the base rule; a null host is
     a host of its own; repeated rows are judged each by itself; an empty table
@@ -136,8 +145,11 @@ def judge_documents(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text:
     busy = stage(busy_lines(judged, "__host", min_docs, max_share, min_line, max_shared), "busy_lines")
     lines = judged.select("__row", "__host", F.explode("lines").alias("line")).select(
         "__row", "__host", F.col("line.h").alias("h"), F.col("line.w").alias("w"))
+    told = [F.count(F.lit(1)).alias("n_removed_lines"), F.sum("w").alias("n_removed_words")]
+    if removed_keys:
+        told.append(F.collect_set(lines["h"]).alias(removed_keys))
     removed = (lines.join(busy, (lines["h"] == busy["h"]) & lines["__host"].eqNullSafe(busy["host"]))
-               .groupBy("__row").agg(F.count(F.lit(1)).alias("n_removed_lines"), F.sum("w").alias("n_removed_words")))
+               .groupBy("__row").agg(*told))
     n_words, gone = F.col("n_words"), F.coalesce("n_removed_words", F.lit(0))
     base_failed = (n_words < MIN_WORDS) | (F.lit(100) * F.col("n_repeat_words") > F.lit(MAX_REPEAT_PERCENT) * n_words)
     return (judged.drop("lines").join(removed, "__row", "left")
@@ -147,9 +159,14 @@ def judge_documents(docs: DataFrame, keep: tuple[str, ...] = ("doc_id",), text:
             .drop("__row", "__host"))
 
 
-def reject_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", **limits) -> DataFrame:
-    """The rows of ``docs`` that :func:`judge_documents` keeps, unchanged."""
+def reject_documents(docs: DataFrame, text: str = "text", doc_id: str = "doc_id", host: str = "source", **limits) -> DataFrame:
+    """The rows of ``docs`` that :func:`judge_documents` keeps, with the lines
+    above the limit cut out of ``text`` and nothing else changed."""
     keyed = docs.withColumn("__key", text_key(F.col(text)))
-    judged = judge_documents(keyed, (doc_id, "__key"), text, **limits)
-    bad = judged.filter("NOT kept").select(F.col(doc_id).alias("__id"), F.col("__key").alias("__bad")).distinct()
-    return keyed.join(bad, (keyed["__key"] == bad["__bad"]) & keyed[doc_id].eqNullSafe(bad["__id"]), "left_anti").select(*docs.columns)
+    judged = judge_documents(keyed.withColumn("__of", F.col(host)), (doc_id, "__key", "__of"), text, host, removed_keys="__gone", **limits)
+    fate = (judged.filter("NOT kept OR n_removed_lines > 0")
+            .select(F.col(doc_id).alias("__id"), F.col("__key").alias("__judged"), "__of", "kept", F.array_sort("__gone").alias("__gone"))
+            .dropDuplicates(["__id", "__judged", "__of"]).withColumnRenamed("kept", "__kept"))
+    same = (keyed["__key"] == fate["__judged"]) & keyed[doc_id].eqNullSafe(fate["__id"]) & keyed[host].eqNullSafe(fate["__of"])
+    left = keyed.join(fate, same, "left").filter(F.coalesce("__kept", F.lit(True)))
+    return left.withColumn(text, without_lines(F.col(text), F.col("__gone"))).select(*docs.columns)

@@ -134,6 +134,21 @@ def test_notices_of_a_large_host_are_found_and_near_copies_are_not(spark):
     assert {r["doc_id"] for r in kept.collect()} == {r[0] for r in rows if r[0] >= 100}
 
 
+def test_lines_above_the_limit_are_cut_out_of_the_text(spark):
+    rng = random.Random(10)
+    own = lambda n: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
+    notice = own(8) + " 2019 |"
+    text = lambda i: ["", own(60), "", notice.replace("2019", str(i)), " \t", own(60) + " ", "  " + notice.upper(), ""]
+    parts = [text(i) for i in range(30)]
+    rows = [(i, "\n".join(p), "a", 0) for i, p in enumerate(parts)]
+    rows += [(0, rows[0][1], "b", 0), rows[1], (None, rows[2][1], "a", 0), (50, None, "a", None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars int")
+    cut = {t: "\n".join(p[:3] + p[4:6] + p[7:]) for t, p in zip([r[1] for r in rows], parts)}
+    want = [(i, cut[t] if h == "a" else t, h, len(cut[t] if h == "a" else t)) for i, t, h, _ in rows if t]
+    got = corpus_pipeline.quality_rules(spark, df, None)
+    assert got.schema == df.schema and collected(got) == sorted(want, key=repr)
+
+
 # ---------------------------------------------------------------- operator 7
 def test_base_secrets(odd, empty):
     def want(i, text):
