@@ -36,7 +36,8 @@ def source_mixing(spark, docs, sf_dir):
 
 
 def sequence_packing(spark, docs, sf_dir):
-    """Token pieces of every document and their places in the sequences."""
+    """Token pieces of every document with their ids and their places in the
+    sequences, which packing.assemble puts together."""
     return packing.pack_documents(docs)
 
 

@@ -20,7 +20,6 @@ from __future__ import annotations
 
 import os
 import re
-import zlib
 from collections import Counter
 from collections.abc import Iterator
 
@@ -101,11 +100,12 @@ class WordIds:
 
 def token_pieces(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity: int = CAPACITY,
                  text: str = "text", doc_id: str = "doc_id") -> DataFrame:
-    """Rows ``doc_id, piece, start, length, ids_crc32``: each text's ids and a
-    closing id 0, cut every ``capacity`` ids."""
+    """Rows ``doc_id, piece, start, length, ids, ids_crc32``: each text's ids and
+    a closing id 0, cut every ``capacity`` ids, as little-endian unsigned 32-bit
+    numbers, and their checksum."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     schema = T.StructType([source.schema["doc_id"], T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
-                           T.StructField("length", T.LongType()), T.StructField("ids_crc32", T.LongType())])
+                           T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
@@ -113,7 +113,7 @@ def token_pieces(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         ids = WordIds(public_tokenizers.path(file_name))
         for batch in batches:
-            owner, piece, length, crc = [], [], [], []
+            owner, piece, length, parts = [], [], [], []
             for i, t in enumerate(batch.column(1)):
                 data = ids.encode(t.as_py()) + b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(data), 4 * capacity)):
@@ -121,12 +121,12 @@ def token_pieces(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity
                     owner.append(i)
                     piece.append(k)
                     length.append(len(part) // 4)
-                    crc.append(zlib.crc32(part))
+                    parts.append(part)
             k = np.array(piece, dtype=np.int32)
             yield pa.record_batch([batch.column(0).take(pa.array(owner, pa.int64())), pa.array(k), pa.array(k.astype(np.int64) * capacity),
-                                   pa.array(length, pa.int64()), pa.array(crc, pa.int64())], names=schema.names)
+                                   pa.array(length, pa.int64()), pa.array(parts, pa.binary())], names=schema.names)
 
-    return source.mapInArrow(cut, schema)
+    return source.mapInArrow(cut, schema).withColumn("ids_crc32", F.crc32("ids"))
 
 
 class Sums:
@@ -228,7 +228,7 @@ def place(runs: list[tuple[int, int, int, int, int, int]], length, number):
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = 1000) -> DataFrame:
     """``pieces`` (a staged table of :func:`token_pieces`) plus ``sequence_id``
-    and ``offset``.  At most ``capacity`` counts reach the driver, and the plan
+    and ``offset``; other columns, such as the ids, go along.  At most ``capacity`` counts reach the driver, and the plan
     sent to the tasks has at most 64 runs a step."""
     counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     buckets = max([1, *(-(-n // bucket_rows) for n in counts.values())])
@@ -239,13 +239,22 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = 1000) -
     ranked = bucketed.withColumn("rank", F.expr("row_number() OVER (PARTITION BY length, bucket ORDER BY doc_id, piece) - 1"))
     numbered = ranked.join(before, ["length", "bucket"]).withColumn("number", (F.col("before") + F.col("rank")).cast("long"))
     placed = numbered.withColumn("at", place(plan(counts, capacity), F.col("length"), F.col("number")))
-    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "at.sequence_id", "at.offset")
+    return placed.select(*pieces.columns, "at.sequence_id", "at.offset")
+
+
+def assemble(packed: DataFrame) -> DataFrame:
+    """Rows ``sequence_id, n_ids, ids`` of packed pieces: the ids of a sequence
+    one after the other, in the form of :func:`token_pieces`.  A group has
+    ``capacity`` ids at most."""
+    held = packed.groupBy("sequence_id").agg(F.sum("length").alias("n_ids"), F.array_sort(F.collect_list(F.struct("offset", "ids"))).alias("parts"))
+    return held.select("sequence_id", "n_ids", F.aggregate("parts", F.lit(bytearray()), lambda a, x: F.concat(a, x["ids"])).alias("ids"))
 
 
 def pack_documents(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity: int = CAPACITY,
                    text: str = "text", doc_id: str = "doc_id") -> DataFrame:
     """One row per piece of every row of ``docs``: ``doc_id, piece, start,
-    length, ids_crc32, sequence_id, offset``.
+    length, ids, ids_crc32, sequence_id, offset``.  :func:`assemble` makes the
+    sequences of them.
 
     A null or empty text is one piece of length 1 (the closing id); repeated
     rows and null ids are packed each by itself; an empty table gives an empty

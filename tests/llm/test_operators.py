@@ -302,6 +302,25 @@ def test_packing_ranks_a_hot_length_in_buckets(spark):
     assert n <= least + 2
 
 
+def test_sequences_are_assembled_from_the_packed_ids(odd, empty):
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    t = Tokenizer.from_file(public_tokenizers.path("word_bpe_49k.json"))
+    packed = packing.stage(packing.pack_documents(odd, capacity=64), "packed")
+    rows = packed.collect()
+    whole = {r["sequence_id"]: np.frombuffer(bytes(r["ids"]), dtype="<u4") for r in packing.assemble(packed).collect()}
+    assert all(len(x) <= 64 for x in whole.values()) and sum(map(len, whole.values())) == sum(r["length"] for r in rows)
+    texts = by_id(odd_rows())
+    ids = {i: [*t.encode(x or "", add_special_tokens=False).ids, 0] for i, x in texts.items()}
+    for r in rows:
+        held = whole[r["sequence_id"]][r["offset"]:r["offset"] + r["length"]]
+        assert r["ids_crc32"] == zlib.crc32(held.tobytes())
+        if r["doc_id"] is not None:
+            assert held.tolist() == ids[r["doc_id"]][r["start"]:r["start"] + r["length"]]
+    assert packing.assemble(packing.pack_documents(empty)).count() == 0
+
+
 def test_plan_fills_exactly_where_it_can():
     rng = random.Random(4)
     for capacity in (8, 100, 2048):
