@@ -158,10 +158,25 @@ r AS (
 SELECT *, NOT base_failed AND n_words - n_removed_words >= 0.3 * n_words AS kept FROM r
 """
 
+OP13 = f"""
+WITH d AS (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents),
+each AS (SELECT doc_id, unnest(range(1, len(lines) + 1)) AS i, unnest(lines) AS x FROM d),
+keyed AS (
+  SELECT doc_id, i, x, {lower_ascii("regexp_replace(regexp_replace(x, '^[\x20\x09-\x0D]+', ''), '[\x20\x09-\x0D]+$', '')")} AS k FROM each),
+busy AS (
+  SELECT k, max(doc_id) AS last FROM keyed WHERE length(k) >= 40 GROUP BY k HAVING count(DISTINCT doc_id) >= 5),
+left_over AS (
+  SELECT doc_id, count(*) AS n_lines, count(*) FILTER (last <> doc_id) AS n_dropped,
+         string_agg(x, chr(10) ORDER BY i) FILTER (last IS NULL OR last = doc_id) AS t
+  FROM keyed LEFT JOIN busy USING (k) GROUP BY doc_id)
+SELECT doc_id, n_lines, n_dropped, sha256(coalesce(t, '')) AS kept_sha256 FROM left_over
+"""
+
 ORACLES = {
     "op1_embedding_dedup": OP1,
     "op3_substring_dedup": OP3,
     "op6_url_filter": _op6(),
     "op7_secret_scan": _op7(),
     "op9_line_quality": OP9,
+    "op13_line_dedup": OP13,
 }

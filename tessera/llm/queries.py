@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from tessera.llm import line_quality, mixing, packing, phrase_dedup, secret_links, simhash_blocks, token_counts, toxicity, url_rules, vector_graph
+from pyspark.sql import functions as F
+
+from tessera.llm import (conversation_repair, line_keep, line_quality, mixing, packing, phrase_dedup, secret_links, simhash_blocks, token_counts,
+                         toxicity, url_rules, vector_graph, whitening)
 from tessera.llm.common import table
 from tessera.llm.oracles import ORACLES  # noqa: F401
 
@@ -52,6 +55,19 @@ def op10_token_counts(spark, sf_dir):
     return token_counts.count_tokens(docs).select("doc_id", "n_bytes", "n_tokens", "over_limit")
 
 
+def op11_whitening(spark, sf_dir):
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_repair(spark, sf_dir):
+    told = conversation_repair.repair_conversations(table(spark, sf_dir, "conversations"))
+    return told.withColumn("repaired_sha256", F.sha2("repaired", 256)).drop("repaired")
+
+
+def op13_line_dedup(spark, sf_dir):
+    return line_keep.dedup_lines(table(spark, sf_dir, "documents")).drop("keep")
+
+
 QUERIES = {
     "op1_embedding_dedup": op1_embedding_dedup,
     "op2_toxicity": op2_toxicity,
@@ -63,4 +79,7 @@ QUERIES = {
     "op8_simhash": op8_simhash,
     "op9_line_quality": op9_line_quality,
     "op10_token_counts": op10_token_counts,
+    "op11_whitening": op11_whitening,
+    "op12_conversation_repair": op12_conversation_repair,
+    "op13_line_dedup": op13_line_dedup,
 }
