@@ -22,6 +22,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
+from zlib import crc32
 
 import numpy as np
 import pandas as pd
@@ -99,13 +100,15 @@ class WordIds:
 
 
 def token_pieces(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity: int = CAPACITY,
-                 text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+                 text: str = "text", doc_id: str = "doc_id", with_ids: bool = True) -> DataFrame:
     """Rows ``doc_id, piece, start, length, ids, ids_crc32``: each text's ids and
     a closing id 0, cut every ``capacity`` ids, as little-endian unsigned 32-bit
-    numbers, and their checksum."""
+    numbers, and their checksum.  Without ``with_ids`` the ids do not leave the
+    task, and there is no column of them."""
     source = docs.select(F.col(doc_id).alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("text"))
     schema = T.StructType([source.schema["doc_id"], T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()),
-                           T.StructField("length", T.LongType()), T.StructField("ids", T.BinaryType())])
+                           T.StructField("length", T.LongType()), *([T.StructField("ids", T.BinaryType())] if with_ids else []),
+                           T.StructField("ids_crc32", T.LongType())])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import public_tokenizers
@@ -113,7 +116,7 @@ def token_pieces(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         ids = WordIds(public_tokenizers.path(file_name))
         for batch in batches:
-            owner, piece, length, parts = [], [], [], []
+            owner, piece, length, parts, sums = [], [], [], [], []
             for i, t in enumerate(batch.column(1)):
                 data = ids.encode(t.as_py()) + b"\0\0\0\0"
                 for k, at in enumerate(range(0, len(data), 4 * capacity)):
@@ -121,12 +124,15 @@ def token_pieces(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity
                     owner.append(i)
                     piece.append(k)
                     length.append(len(part) // 4)
-                    parts.append(part)
+                    sums.append(crc32(part))
+                    if with_ids:
+                        parts.append(part)
             k = np.array(piece, dtype=np.int32)
             yield pa.record_batch([batch.column(0).take(pa.array(owner, pa.int64())), pa.array(k), pa.array(k.astype(np.int64) * capacity),
-                                   pa.array(length, pa.int64()), pa.array(parts, pa.binary())], names=schema.names)
+                                   pa.array(length, pa.int64()), *([pa.array(parts, pa.binary())] if with_ids else []),
+                                   pa.array(sums, pa.int64())], names=schema.names)
 
-    return source.mapInArrow(cut, schema).withColumn("ids_crc32", F.crc32("ids"))
+    return source.mapInArrow(cut, schema)
 
 
 class Sums:
@@ -140,15 +146,20 @@ class Sums:
         self.pair_at = np.arange(len(counts)) - 1
         self.triple_at = np.arange(len(counts)) - 2
 
-    def pair(self, total: int) -> tuple[int, ...] | None:
+    def pair(self, total: int, lent: int = 0) -> tuple[int, ...] | None:
+        """The pair of ``total`` with the longest second length.  A pair that
+        fails while a piece of length ``lent`` is set aside may do later, so
+        the search comes back to the first such pair."""
         left = self.left
-        b = self.pair_at[total]
+        b, again = self.pair_at[total], None
         while 2 * b >= total:
             a = total - b
             if left[b] > (a == b) and left[a] > 0:
                 break
+            if again is None and lent in (a, b):
+                again = b
             b -= 1
-        self.pair_at[total] = b
+        self.pair_at[total] = b if again is None else again
         return (b, total - b) if 2 * b >= total and total > 1 else None
 
     def triple(self, total: int) -> tuple[int, ...] | None:
@@ -157,7 +168,7 @@ class Sums:
         while 3 * c >= total and total > 2:
             if self.left[c] > 0:
                 self.left[c] -= 1
-                found = self.pair(total - c)
+                found = self.pair(total - c, lent=c)
                 self.left[c] += 1
                 if found:
                     found = (c, *found)
@@ -228,8 +239,9 @@ def place(runs: list[tuple[int, int, int, int, int, int]], length, number):
 
 def pack(pieces: DataFrame, capacity: int = CAPACITY, bucket_rows: int = 1000) -> DataFrame:
     """``pieces`` (a staged table of :func:`token_pieces`) plus ``sequence_id``
-    and ``offset``; other columns, such as the ids, go along.  At most ``capacity`` counts reach the driver, and the plan
-    sent to the tasks has at most 64 runs a step."""
+    and ``offset``; other columns, such as the ids, go along.  At most
+    ``capacity`` counts reach the driver, and the plan sent to the tasks has at
+    most 64 runs a step."""
     counts = {int(r["length"]): int(r["n"]) for r in pieces.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
     buckets = max([1, *(-(-n // bucket_rows) for n in counts.values())])
     bucketed = pieces.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(buckets)).cast("int"))
@@ -251,12 +263,12 @@ def assemble(packed: DataFrame) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity: int = CAPACITY,
-                   text: str = "text", doc_id: str = "doc_id") -> DataFrame:
+                   text: str = "text", doc_id: str = "doc_id", with_ids: bool = True) -> DataFrame:
     """One row per piece of every row of ``docs``: ``doc_id, piece, start,
     length, ids, ids_crc32, sequence_id, offset``.  :func:`assemble` makes the
-    sequences of them.
+    sequences of them.  Without ``with_ids``, places and checksums only.
 
     A null or empty text is one piece of length 1 (the closing id); repeated
     rows and null ids are packed each by itself; an empty table gives an empty
     table; other columns are left out."""
-    return pack(stage(token_pieces(docs, file_name, capacity, text, doc_id), "pieces"), capacity)
+    return pack(stage(token_pieces(docs, file_name, capacity, text, doc_id, with_ids), "pieces"), capacity)

@@ -24,7 +24,7 @@ def op3_substring_dedup(spark, sf_dir):
 
 
 def op4_packing(spark, sf_dir):
-    return packing.pack_documents(table(spark, sf_dir, "documents")).drop("ids")
+    return packing.pack_documents(table(spark, sf_dir, "documents"), with_ids=False)
 
 
 def op5_mixing(spark, sf_dir):

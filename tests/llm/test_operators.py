@@ -1,6 +1,7 @@
 """Operators against brute force on odd rows, and on given tables."""
 
 import hashlib
+import itertools
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -295,6 +296,30 @@ def test_packing(odd, empty, capacity):
     assert packing.pack_documents(empty).count() == 0
 
 
+def test_exact_sums_against_all_combinations():
+    rng = random.Random(6)
+    for _ in range(300):
+        left = np.array([0, *(rng.choice([0, 0, 1, 1, 2]) for _ in range(14))])
+        sums = packing.Sums(left)
+        while left.sum():
+            gap = rng.randrange(1, 15)
+            held = [x for x in range(1, 15) for _ in range(min(left[x], 3))]
+            there = any(sum(c) == gap for k in (1, 2, 3) for c in itertools.combinations(held, k))
+            found = sums.exact(gap)
+            assert bool(found) == there and sum(found or ()) == (gap if there else 0)
+            for x in found or [int(np.flatnonzero(left)[0])]:
+                left[x] -= 1
+            assert left.min() >= 0
+
+
+def test_places_and_checksums_without_ids(odd):
+    told = packing.pack_documents(odd, capacity=64).drop("ids")
+    alone = packing.pack_documents(odd, capacity=64, with_ids=False)
+    assert alone.columns == told.columns
+    key = ["doc_id", "piece", "start", "length", "ids_crc32"]
+    assert collected(alone.select(key)) == collected(told.select(key))
+
+
 def test_packing_ranks_a_hot_length_in_buckets(spark):
     texts = [(i, "a b c") for i in range(500)] + [(i, "a " * (i % 40)) for i in range(500, 700)]
     pieces = packing.stage(packing.token_pieces(spark.createDataFrame(texts, "doc_id long, text string"), capacity=64), "pieces")
