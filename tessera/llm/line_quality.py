@@ -33,7 +33,8 @@ def repeat_words(w: Column, n: int = 3) -> Column:
 
     Window hashes are shifted up to make room for the window's place and
     sorted as longs, so equal windows are neighbours: n log n steps, however
-    often a window repeats.  The hash keeps 64 bits less the bits of a place."""
+    often a window repeats.  A long text's places leave few bits to the hash,
+    so windows whose bits agree are then compared by their words."""
     m = F.size(w) - (n - 1)
     bits = F.length(F.bin(m.cast("long")))
 
@@ -43,17 +44,23 @@ def repeat_words(w: Column, n: int = 3) -> Column:
     def packed(i):
         return F.call_function("shiftleft", F.xxhash64(F.slice(w, i + 1, n)), bits).bitwiseOR(i.cast("long"))
 
-    def places(p):
+    def alike(p):
         twice = F.filter(p, lambda x, k: high(F.get(p, k - 1)).eqNullSafe(high(x)) | high(F.get(p, k + 1)).eqNullSafe(high(x)))
-        return F.sort_array(F.transform(twice, lambda x: x.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1)))
+        place = F.call_function("shiftleft", F.lit(1).cast("long"), bits) - 1
+        return F.sort_array(F.transform(twice, lambda x: F.struct(
+            F.slice(w, x.bitwiseAND(place).cast("int") + 1, n).alias("k"), x.bitwiseAND(place).alias("i"))))
+
+    def places(s):
+        equal = F.filter(s, lambda x, k: F.get(s, k - 1)["k"].eqNullSafe(x["k"]) | F.get(s, k + 1)["k"].eqNullSafe(x["k"]))
+        return F.sort_array(F.transform(equal, lambda x: x["i"]))
 
     def covered(s):
         steps = F.zip_with(s, F.slice(s, 2, F.size(s)), lambda a, z: F.least(F.lit(n).cast("long"), F.coalesce(z - a, F.lit(n).cast("long"))))
         return F.aggregate(steps, F.lit(0).cast("long"), lambda t, x: t + x)
 
     sorted_windows = F.sort_array(F.transform(F.sequence(F.lit(0), m - 1), packed))
-    found = F.transform(F.array(sorted_windows), places)
-    return F.when(m < 2, F.lit(0).cast("long")).otherwise(F.transform(found, covered)[0])
+    found = F.transform(F.transform(F.transform(F.array(sorted_windows), alike), places), covered)
+    return F.when(m < 2, F.lit(0).cast("long")).otherwise(found[0])
 
 
 def has_word(line: Column) -> Column:

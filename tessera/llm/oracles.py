@@ -144,10 +144,17 @@ m AS (
          list_transform(lines, lambda x: len(list_filter(regexp_split_to_array(x, '{SPACE}'), lambda y: y <> ''))) AS sizes
   FROM d),
 each AS (SELECT doc_id, source, list_sort(list_distinct(keys)) AS sig, unnest(keys) AS k, unnest(sizes) AS n FROM m),
-hosts AS (SELECT source, count(DISTINCT sig) AS n FROM each GROUP BY source),
+held AS (SELECT DISTINCT source, sig, k, n FROM each),
+shared AS (
+  SELECT source, k FROM held WHERE n >= {line_quality.NOTICES["min_line"]} GROUP BY source, k HAVING count(*) >= {line_quality.NOTICES["min_docs"]}),
+witness AS (
+  SELECT h.source, h.sig FROM held h LEFT JOIN shared s ON s.k = h.k AND s.source IS NOT DISTINCT FROM h.source
+  GROUP BY h.source, h.sig
+  HAVING coalesce(sum(n) FILTER (s.k IS NOT NULL), 0) <= {line_quality.NOTICES["max_shared"]} * sum(n)),
 busy AS (
-  SELECT e.source, e.k FROM each e JOIN hosts h ON h.source IS NOT DISTINCT FROM e.source
-  GROUP BY e.source, e.k, h.n HAVING count(DISTINCT e.sig) >= 20 AND count(DISTINCT e.sig) > 0.4 * h.n),
+  SELECT h.source, h.k FROM held h JOIN witness t ON t.sig = h.sig AND t.source IS NOT DISTINCT FROM h.source
+  JOIN shared s ON s.k = h.k AND s.source IS NOT DISTINCT FROM h.source
+  GROUP BY h.source, h.k HAVING count(*) >= {line_quality.NOTICES["min_docs"]}),
 gone AS (
   SELECT doc_id, count(*) AS n_lines, CAST(sum(n) AS BIGINT) AS n FROM each e JOIN busy b ON b.k = e.k AND b.source IS NOT DISTINCT FROM e.source GROUP BY doc_id),
 r AS (

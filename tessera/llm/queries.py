@@ -47,7 +47,7 @@ def op8_simhash(spark, sf_dir):
 
 
 def op9_line_quality(spark, sf_dir):
-    return line_quality.judge_documents(table(spark, sf_dir, "documents"))
+    return line_quality.judge_documents(table(spark, sf_dir, "documents"), **line_quality.NOTICES)
 
 
 def op10_token_counts(spark, sf_dir):

@@ -103,6 +103,11 @@ def test_line_measures(odd, empty):
     assert line_quality.judge_documents(empty).count() == 0
 
 
+def test_the_query_removes_lines_of_the_given_table(spark):
+    judged = queries.op9_line_quality(spark, "/root/testdata/sf0.1")
+    assert judged.agg(F.sum("n_removed_lines")).first()[0] > 1000
+
+
 def test_lines_shared_by_a_host_are_removed_and_copies_are_not_counted_apart(spark):
     rng = random.Random(1)
     own = lambda n: " ".join("".join(rng.choices("abcdefgh", k=7)) for _ in range(n))
@@ -506,7 +511,7 @@ def true_vectors(rows, threshold=0.93):
     return sorted(((rows[i][0], degree[i], least.get(comp[i])) for i in range(len(rows))), key=repr)
 
 
-@pytest.mark.parametrize("max_shard", [5000, 60, 20])
+@pytest.mark.parametrize("max_shard", [5000, 60])
 def test_vector_links(spark, max_shard):
     rows = vector_rows()
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int").repartition(3).withColumns({c: F.lit("x") for c in CLASHING if c != "label"})
