@@ -1,18 +1,22 @@
 """Embedding near-duplicates by a robust-pruned flat graph (operator 1).
 
-Vectors of a label are cut into overlapping clusters ("shards"), level by
-level, until a shard fits one task.  Each shard gets a flat graph: a vector
-keeps its nearest neighbours, but none that a kept one is clearly nearer to.
-The adjacency lists of a vector from all its shards are united.  Every vector
-is then searched for in its home shard, greedily from medoids; from all vectors
-found within range, itself among them, the search goes on until nothing new is
-in range.
-Links are verified by their cosine in double precision.
+Equal vectors become one with a count.  Vectors of a label are cut into
+overlapping clusters ("shards"), level by level, until a shard fits one task.
+Each shard gets a flat graph: a vector keeps its nearest neighbours, but none
+that a kept one is clearly nearer to.  The adjacency lists of a vector from all
+its shards are united.  Every vector is then searched for in each of its
+shards, greedily from medoids; from all vectors found within range, itself
+among them, the search goes on until nothing new is in range.  Links are
+verified by their cosine in double precision, and one that several shards find
+counts in the first of the shards that both ends share.
 
 Centres nearer to each other than ``merge`` become one, so a dense group of
-copies is never cut.  A shard that cannot be cut and does not fit is compared
-in blocks, exactly.  A bounded set of audit vectors is compared with all rows;
-below ``target`` recall the shards are built again with more overlap.
+near copies is never cut.  A shard that cannot be cut and does not fit is
+compared in blocks, exactly.  A bounded set of audit vectors is compared with
+all rows.  Recall is the mean over vectors, taken apart for vectors with one
+link, a few and many, so that one dense group does not speak for the others;
+where one is below ``target`` the shards are built again with more overlap, and
+in the end all vectors of a label are compared, exactly.
 """
 
 from __future__ import annotations
@@ -30,7 +34,8 @@ THRESHOLD = 0.93
 
 def unit_vectors(rows: DataFrame, vec_id: str, vector: str, label: str) -> DataFrame:
     """``row`` (a number), ``vec_id``, ``space`` (label and length; null if the
-    vector links with nothing) and ``v``, the vector over its length."""
+    vector links with nothing), ``v``, the vector over its length, and ``h1, h2``,
+    a 128-bit hash of it."""
     v = F.col(vector).cast("array<double>")
     norm = F.sqrt(F.aggregate(v, F.lit(0.0), lambda t, x: t + x * x))
     sound = (F.col(label).isNotNull() & v.isNotNull()
@@ -39,7 +44,15 @@ def unit_vectors(rows: DataFrame, vec_id: str, vector: str, label: str) -> DataF
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), F.col(vec_id).alias("vec_id"),
                            F.when(usable, F.concat_ws("/", F.col(label).cast("string"), F.size(v).cast("string"))).alias("space"),
                            F.when(usable, F.transform(v, lambda x: x / norm)).alias("v"))
-    return stage(numbered, "unit_vectors")
+    return stage(numbered.withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")}), "unit_vectors")
+
+
+def distinct_vectors(vectors: DataFrame) -> DataFrame:
+    """Rows ``row, space, v, m, least`` of :func:`unit_vectors`: equal vectors
+    of a space as the first of them, how many they are, their smallest id."""
+    return stage(vectors.filter("space IS NOT NULL").groupBy("space", "h1", "h2").agg(
+        F.min("row").alias("row"), F.first("v").alias("v"), F.count(F.lit(1)).alias("m"), F.min("vec_id").alias("least"))
+        .select("space", "h1", "h2", "row", "v", "m", "least"), "distinct_vectors")
 
 
 def _stack(column: pd.Series) -> np.ndarray:
@@ -72,7 +85,7 @@ def _assign(overlap: int, threshold: float):
 
     def deal(rows: pd.DataFrame, centres: pd.DataFrame) -> pd.DataFrame:
         if not len(rows) or not len(centres):
-            return pd.DataFrame({"row": [], "shard": [], "home": [], "v": []})
+            return pd.DataFrame({"row": [], "shard": [], "m": [], "v": []})
         sims = _stack(rows["v"]) @ _stack(centres["c"]).T
         m = min(overlap, sims.shape[1])
         best = np.argsort(-sims, axis=1, kind="stable")[:, :m]
@@ -84,7 +97,7 @@ def _assign(overlap: int, threshold: float):
         return pd.DataFrame({
             "row": rows["row"].to_numpy()[who],
             "shard": [f"{rows['shard'].iloc[0]}.{j}" for j in names[best[who, nth]]],
-            "home": rows["home"].to_numpy()[who] & (nth == 0),
+            "m": rows["m"].to_numpy()[who],
             "v": rows["v"].to_numpy()[who]})
 
     return deal
@@ -92,11 +105,11 @@ def _assign(overlap: int, threshold: float):
 
 def shards(vectors: DataFrame, threshold: float, overlap: int, max_shard: int, fanout: int, merge: float, max_levels: int = 8,
            part: int = 2000) -> tuple[DataFrame, DataFrame]:
-    """Rows ``row, shard, home, v`` of the shards that fit, and of those that
+    """Rows ``row, shard, m, v`` of the shards that fit, and of those that
     could not be cut.  Levels grow with the logarithm of the rows; centres are
     fitted on about ``16 * fanout`` vectors of a shard, and meet its vectors in
     parts of about ``part``."""
-    todo = vectors.filter("space IS NOT NULL").select("row", F.col("space").alias("shard"), F.lit(True).alias("home"), "v")
+    todo = vectors.select("row", F.col("space").alias("shard"), "m", "v")
     fits, stuck, level = None, None, 0
 
     def more(a, b):
@@ -119,14 +132,14 @@ def shards(vectors: DataFrame, threshold: float, overlap: int, max_shard: int, f
         n_parts = F.ceil(F.col("n") / part).cast("int")
         parts = large.join(cut.select("shard"), "shard").withColumn("salt", F.pmod(F.xxhash64("row"), n_parts).cast("int"))
         spread = centres.join(cut, "shard").withColumn("salt", F.explode(F.sequence(F.lit(0), n_parts - 1)))
-        todo = stage(parts.select("shard", "salt", "row", "home", "v").groupBy("shard", "salt")
+        todo = stage(parts.select("shard", "salt", "row", "m", "v").groupBy("shard", "salt")
                      .cogroup(spread.select("shard", "salt", "centre", "c").groupBy("shard", "salt"))
-                     .applyInPandas(_assign(overlap, threshold), "row long, shard string, home boolean, v array<double>"), "dealt_shards")
+                     .applyInPandas(_assign(overlap, threshold), "row long, shard string, m long, v array<double>"), "dealt_shards")
         level += 1
         if level >= max_levels:
             stuck = more(stuck, todo)
             break
-    empty = vectors.limit(0).select("row", F.lit("").alias("shard"), F.lit(True).alias("home"), "v")
+    empty = vectors.limit(0).select("row", F.lit("").alias("shard"), "m", "v")
     return fits if fits is not None else empty, stuck if stuck is not None else empty
 
 
@@ -156,7 +169,7 @@ def _graph(degree: int, alpha: float, block: int = 256):
             for j in kept:
                 back[j].append(i)
         near = [sorted({*a, *b}) for a, b in zip(lists, back)]
-        return pd.DataFrame({"row": ids, "near": [ids[a].tolist() for a in near]})
+        return pd.DataFrame({"row": ids, "shard": rows["shard"].to_numpy(), "near": [ids[a].tolist() for a in near]})
 
     return build
 
@@ -173,14 +186,30 @@ class _Joined:
             self.root[np.isin(self.root, roots)] = roots[0]
 
 
-def _result(ids: np.ndarray, counts: dict[int, int], joined: _Joined) -> pd.DataFrame:
+def _result(ids: np.ndarray, counts: dict[int, tuple[int, int]], joined: _Joined) -> pd.DataFrame:
     moved = np.flatnonzero(joined.root != np.arange(len(ids)))
     who = [*counts, *moved]
-    return pd.DataFrame({"row": ids[np.array(who, dtype=int)] if who else np.zeros(0, dtype=np.int64),
-                         "n_links": np.array([*counts.values(), *[0] * len(moved)], dtype=np.int64),
+    told = np.array([*counts.values(), *[(0, 0)] * len(moved)], dtype=np.int64).reshape(-1, 2)
+    return pd.DataFrame({"row": ids[np.array(who, dtype=int)] if who else np.zeros(0, dtype=np.int64), "n_links": told[:, 0], "n_near": told[:, 1],
                          "other": pd.array([*[None] * len(counts), *ids[joined.root[moved]]], dtype="Int64")})
 
 
+class _Elsewhere:
+    """Which vectors of a shard share an earlier shard with one of them: those
+    links count there.  ``homes`` has the shards of every vector."""
+
+    def __init__(self, shard: int, homes: pd.Series):
+        self.earlier = [[h for h in mine if h < shard] for mine in homes]
+        self.members: dict[int, list[int]] = {}
+        for i, mine in enumerate(self.earlier):
+            for h in mine:
+                self.members.setdefault(h, []).append(i)
+
+    def without(self, q: int, found: np.ndarray) -> np.ndarray:
+        gone = [i for h in self.earlier[q] for i in self.members[h]]
+        return found[~np.isin(found, gone)] if gone else found
+
+
 def medoids(x: np.ndarray, k: int = 8) -> np.ndarray:
     """The vector nearest to the mean, then ``k - 1`` that are each least
     similar to those before, every one moved to the middle of its group."""
@@ -195,7 +224,7 @@ def medoids(x: np.ndarray, k: int = 8) -> np.ndarray:
 
 
 def _search(threshold: float, beam: int, slack: float):
-    """Range-expanding greedy search of the home vectors of one shard."""
+    """Range-expanding greedy search of the vectors of one shard."""
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("row")
@@ -203,7 +232,8 @@ def _search(threshold: float, beam: int, slack: float):
         place = {r: i for i, r in enumerate(ids.tolist())}
         near = [np.array([place[r] for r in a if r in place], dtype=int) for a in rows["near"]]
         first, counts, joined = medoids(x), {}, _Joined(len(x))
-        for q in np.flatnonzero(rows["home"].to_numpy()):
+        m, elsewhere = rows["m"].to_numpy(), _Elsewhere(rows["id"].iloc[0], rows["homes"])
+        for q in range(len(x)):
             sims = np.full(len(x), -2.0)
             sims[first] = x[first] @ x[q]
             seen, done = first, np.zeros(len(x), dtype=bool)
@@ -227,61 +257,74 @@ def _search(threshold: float, beam: int, slack: float):
                 sims[new] = x[new] @ x[q]
                 seen = np.concatenate([seen, new])
             found = seen[sims[seen] >= threshold]
-            found = found[found != q]
-            counts[int(q)] = len(found)
-            joined.join(np.append(found, q))
+            found = elsewhere.without(q, found[found != q])
+            if len(found):
+                counts[q] = int(m[found].sum()), len(found)
+                joined.join(np.append(found, q))
         return _result(ids, counts, joined)
 
     return search
 
 
-def _compare(threshold: float):
-    """Links of one pair of blocks: queries are the home rows of the first."""
+def _compare(threshold: float, chunk: int = 256):
+    """Links inside a block, or between two blocks, in both directions."""
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
-        x, ids = _stack(rows["v"]), rows["row"].to_numpy()
-        counts, joined = {}, _Joined(len(x))
-        asked, other = np.flatnonzero(rows["asks"].to_numpy()), np.flatnonzero(rows["answers"].to_numpy())
-        for q in asked:
-            hit = other[x[other] @ x[q] >= threshold]
-            hit = hit[ids[hit] != ids[q]]
-            counts[int(q)] = len(hit)
-            joined.join(np.append(hit, q))
+        rows = rows.sort_values("row")
+        x, ids, m, own = _stack(rows["v"]), rows["row"].to_numpy(), rows["m"].to_numpy(), rows["own"].to_numpy()
+        counts, joined, elsewhere = {}, _Joined(len(x)), _Elsewhere(rows["id"].iloc[0], rows["homes"])
+        two = len(np.unique(own)) == 2
+        for at in range(0, len(x), chunk):
+            near = x[at:at + chunk] @ x.T >= threshold
+            for q in range(at, min(at + chunk, len(x))):
+                found = np.flatnonzero(near[q - at])
+                found = found[own[found] != own[q]] if two else found[found != q]
+                found = elsewhere.without(q, found)
+                if len(found):
+                    counts[q] = int(m[found].sum()), len(found)
+                    joined.join(np.append(found, q))
         return _result(ids, counts, joined)
 
     return compare
 
 
-RESULT = "row long, n_links long, other long"
+RESULT = "row long, n_links long, n_near long, other long"
 
 
-def search_shards(fits: DataFrame, threshold: float, degree: int, alpha: float, beam: int, slack: float) -> DataFrame:
+def search_shards(fits: DataFrame, homes: DataFrame, threshold: float, degree: int, alpha: float, beam: int, slack: float) -> DataFrame:
     """Counts and spanning links found in the shards that fit one task."""
-    lists = fits.groupBy("shard").applyInPandas(_graph(degree, alpha), "row long, near array<long>")
+    lists = fits.groupBy("shard").applyInPandas(_graph(degree, alpha), "row long, shard string, near array<long>")
     united = stage(lists.groupBy(F.col("row").alias("r")).agg(F.array_distinct(F.flatten(F.collect_list("near"))).alias("near")), "adjacency")
-    rows = fits.join(united, fits["row"] == united["r"]).select("shard", "row", "home", "v", "near")
+    rows = fits.join(united, fits["row"] == united["r"]).join(homes, "row").select("shard", F.xxhash64("shard").alias("id"), "row", "m", "v", "near", "homes")
     return rows.groupBy("shard").applyInPandas(_search(threshold, beam, slack), RESULT)
 
 
-def compare_blocks(stuck: DataFrame, threshold: float, block: int = 1500) -> DataFrame:
-    """Counts and spanning links of shards that do not fit, block by block."""
-    sizes = stuck.groupBy(F.col("shard").alias("s")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("m"))
-    rows = stuck.join(sizes, stuck["shard"] == sizes["s"]).withColumn("own", F.pmod(F.xxhash64("row"), F.col("m")).cast("int"))
-    dealt = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("m") - 1)))
-    asks = dealt.filter("home").select("shard", F.col("own").alias("i"), F.col("other").alias("j"), "row", "v", F.lit(True).alias("asks"),
-                                       (F.col("own") == F.col("other")).alias("answers"))
-    answers = dealt.filter("NOT (home AND own = other)").select(
-        "shard", F.col("other").alias("i"), F.col("own").alias("j"), "row", "v", F.lit(False).alias("asks"), F.lit(True).alias("answers"))
-    return asks.unionByName(answers).groupBy("shard", "i", "j").applyInPandas(_compare(threshold), RESULT)
+def compare_blocks(stuck: DataFrame, homes: DataFrame, threshold: float, block: int = 1500) -> DataFrame:
+    """Counts and spanning links of shards that do not fit, by pairs of blocks."""
+    sizes = stuck.groupBy(F.col("shard").alias("s")).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    rows = stuck.join(homes, "row").join(sizes, stuck["shard"] == sizes["s"])
+    dealt = (rows.withColumn("own", F.pmod(F.xxhash64("row"), F.col("blocks")).cast("int"))
+             .withColumn("with", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))))
+    pairs = dealt.select("shard", F.xxhash64("shard").alias("id"), F.least("own", "with").alias("i"), F.greatest("own", "with").alias("j"), "own", "row", "m", "v", "homes")
+    return pairs.groupBy("shard", "i", "j").applyInPandas(_compare(threshold), RESULT)
 
 
-def audit(vectors: DataFrame, counted: DataFrame, threshold: float, at_most: int = 256) -> float:
-    """Share of the links of a bounded set of vectors that were found: the set
-    is compared with all rows, which stream past it."""
-    usable = vectors.filter("space IS NOT NULL")
-    n = usable.count()
+def homes_of(dealt: DataFrame) -> DataFrame:
+    """Rows ``row, homes``: the hashes of all shards that a vector is in."""
+    return stage(dealt.groupBy("row").agg(F.collect_list(F.xxhash64("shard")).alias("homes")), "vector_homes")
+
+
+def link_counts(found: DataFrame) -> DataFrame:
+    return stage(found.groupBy("row").agg(F.sum("n_links").alias("n_links"), F.sum("n_near").alias("n_near")), "link_counts")
+
+
+def audit(vectors: DataFrame, counted: DataFrame, threshold: float, at_most: int = 1024) -> float:
+    """Least mean recall among the audit vectors with one link to a different
+    vector, with two to nine, and with more: a bounded set is compared with all
+    rows, which stream past it.  1 without any link."""
+    n = vectors.count()
     draw = F.pmod(F.xxhash64("row", F.lit(99)), F.lit(1 << 30)) / float(1 << 30)
-    few = usable.filter(draw < 1.3 * at_most / max(n, 1)).orderBy(F.xxhash64("row", F.lit(98))).limit(at_most).select("row", "space", "v").toPandas()
+    few = vectors.filter(draw < 1.3 * at_most / max(n, 1)).orderBy(F.xxhash64("row", F.lit(98))).limit(at_most).select("row", "space", "v").toPandas()
     if not len(few):
         return 1.0
     spaces = {s: (g["row"].to_numpy(), _stack(g["v"])) for s, g in few.groupby("space")}
@@ -294,10 +337,11 @@ def audit(vectors: DataFrame, counted: DataFrame, threshold: float, at_most: int
                     hit = (_stack(g["v"]) @ q.T >= threshold) & (g["row"].to_numpy()[:, None] != ids)
                     yield pd.DataFrame({"r": ids, "n_true": hit.sum(axis=0)})
 
-    true = usable.select("row", "space", "v").mapInPandas(count, "r long, n_true long").groupBy("r").agg(F.sum("n_true").alias("n_true"))
+    true = vectors.select("row", "space", "v").mapInPandas(count, "r long, n_true long").groupBy("r").agg(F.sum("n_true").alias("n_true")).filter("n_true > 0")
     both = true.join(counted, true["r"] == counted["row"], "left")
-    found, all_links = both.agg(F.sum(F.least("n_true", F.coalesce("n_links", F.lit(0)))), F.sum("n_true")).first()
-    return found / all_links if all_links else 1.0
+    share = F.least("n_true", F.coalesce("n_near", F.lit(0))) / F.col("n_true")
+    kinds = both.groupBy(F.when(F.col("n_true") == 1, 1).when(F.col("n_true") < 10, 2).otherwise(3).alias("kind")).agg(F.avg(share).alias("recall"))
+    return kinds.agg(F.min("recall")).first()[0] or (0.0 if true.count() else 1.0)
 
 
 def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, vec_id: str = "vec_id", vector: str = "embedding", label: str = "label",
@@ -312,21 +356,29 @@ def near_duplicates(rows: DataFrame, threshold: float = THRESHOLD, vec_id: str =
     not link; repeated rows are vectors of their own and link; a null id is
     never the smallest and not kept, and without any id in its component
     component_id is null; an empty table gives an empty table; other columns
-    are left out.  Raises if the audited recall stays below ``target``."""
+    are left out."""
     vectors = unit_vectors(rows, vec_id, vector, label)
+    alone = distinct_vectors(vectors)
     while True:
-        fits, stuck = shards(vectors, threshold, overlap, max_shard, fanout, merge)
-        found = stage(search_shards(fits, threshold, degree, alpha, beam, slack).unionByName(compare_blocks(stuck, threshold)), "vector_links")
-        counted = stage(found.groupBy("row").agg(F.sum("n_links").alias("n_links")), "link_counts")
-        recall = audit(vectors, counted, threshold)
-        if recall >= target:
+        if overlap > max_overlap:
+            whole = alone.select("row", F.col("space").alias("shard"), "m", "v")
+            found = stage(compare_blocks(whole, homes_of(whole), threshold), "vector_links")
+            counted = link_counts(found)
+            break
+        fits, stuck = shards(alone, threshold, overlap, max_shard, fanout, merge)
+        homes = homes_of(fits.unionByName(stuck))
+        found = stage(search_shards(fits, homes, threshold, degree, alpha, beam, slack).unionByName(compare_blocks(stuck, homes, threshold)), "vector_links")
+        counted = link_counts(found)
+        if audit(alone, counted, threshold) >= target:
             break
         overlap += 1
-        if overlap > max_overlap:
-            raise RuntimeError(f"audited recall {recall:.3f} is below {target}")
     links = found.filter("other IS NOT NULL").select(F.col("row").alias("a"), F.col("other").alias("b"))
-    ids = component_ids(vectors.select(F.col("row").alias("node"), F.col("vec_id").alias("id")), links)
-    counts = counted.withColumnRenamed("row", "r")
-    joined = vectors.join(counts, vectors["row"] == counts["r"], "left").join(ids, vectors["row"] == ids["node"], "left")
-    return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), "component_id",
-                         F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)).alias("kept"))
+    ids = component_ids(alone.select(F.col("row").alias("node"), F.col("least").alias("id")), links)
+    counts = counted.select(F.col("row").alias("r"), "n_links")
+    told = alone.join(counts, alone["row"] == counts["r"], "left").join(ids, alone["row"] == ids["node"])
+    told = stage(told.select(F.col("space").alias("of"), F.col("h1").alias("k1"), F.col("h2").alias("k2"),
+                             (F.coalesce("n_links", F.lit(0)) + F.col("m") - 1).alias("n_links"), "component_id"), "vector_components")
+    joined = vectors.join(told, (vectors["space"] == told["of"]) & (vectors["h1"] == told["k1"]) & (vectors["h2"] == told["k2"]), "left")
+    component = F.when(F.col("space").isNull(), F.col("vec_id")).otherwise(F.col("component_id"))
+    return joined.select("vec_id", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"), component.alias("component_id"),
+                         F.coalesce(F.col("vec_id") == component, F.lit(False)).alias("kept"))
