@@ -3,24 +3,28 @@
 Per-token normalisers (a lemma table, a stemmer) are applied once per
 *distinct* word, never once per occurrence:
 
-1. explode ``(id, pos, token)`` from the token arrays,
+1. number the rows and take each one's distinct tokens,
 2. build the distinct vocabulary (partially aggregated before the shuffle),
-3. map it through the lemma table (left join) and/or a stemmer running as a
-   pandas UDF over the vocabulary only, keeping only words that change,
+3. map it through the lemma table (left join) and a stemmer, keeping only
+   words that change; several modes share one map with a column each,
 4. join the map to the distinct tokens of each row (a number given to the row,
    not its id, is the key) and replace inside the row's own array.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.functions.stem import spanish_stem
+from tessera.functions.text import let
 from tessera.session import reusable
 
+MODES = ("basic", "stem", "lemmatize", "both")
+
 
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
     """``(id, pos, token)`` for every token of every row.
@@ -36,85 +40,109 @@ def vocabulary(token_rows: DataFrame) -> DataFrame:
     return token_rows.groupBy("token").agg(F.count("*").alias("freq"))
 
 
-def stem_vocabulary(vocab: DataFrame, stem_fn: Callable[[str], str]) -> DataFrame:
-    """Apply a Python stemmer to the distinct vocabulary (Arrow-batched)."""
+def stemmed(words: Column, stem_fn: Callable[[str], str] | None = None) -> Column:
+    """Stems of ``words``: the Spanish stemmer, or ``stem_fn`` in Arrow batches."""
+    if stem_fn is None:
+        return spanish_stem(words)
 
     @F.pandas_udf("string")
-    def _stem(words: pd.Series) -> pd.Series:
-        return words.map(lambda w: stem_fn(w) if w is not None else None)
-
-    return vocab.select("token", _stem("token").alias("norm"))
-
-
-def normalisation_map(
-    vocab: DataFrame,
-    lemma_table: DataFrame | None = None,
-    stem_fn: Callable[[str], str] | None = None,
-    mode: str = "lemmatize",
-) -> DataFrame:
-    """``(token, norm)`` for the distinct tokens whose normal form differs.
-
-    ``stem``: stemmer over the vocabulary.  ``lemmatize``: lemma table, and the
-    stemmer for words without a lemma when one is given.  ``both``: lemma
-    (or the word itself), then the stemmer."""
-    vocab = vocab.select("token").distinct()
-    if mode == "stem" or (lemma_table is None and stem_fn is not None):
-        mapping = stem_vocabulary(vocab, stem_fn)
+    def apply(batch: pd.Series) -> pd.Series:
+        return batch.map(lambda w: stem_fn(w) if w is not None else None)
+
+    return apply(words)
+
+
+def normalisation_map(vocab: DataFrame, modes: Mapping[str, str], lemma_table: DataFrame | None = None,
+                      stem_fn: Callable[[str], str] | None = None) -> DataFrame:
+    """``token`` and a column per entry ``name -> mode`` of ``modes``, for the
+    words of ``vocab`` that one of them changes.
+
+    ``stem``: the stemmer.  ``lemmatize``: the lemma table, and a given
+    ``stem_fn`` for words without a lemma.  ``both``: stem of the lemma, or of
+    the word itself."""
+    if lemma_table is None:
+        known = vocab.select("token", F.lit(None).cast("string").alias("lemma"))
     else:
-        # both sides are vocabulary-sized; the join strategy is left to AQE,
-        # which broadcasts at runtime when the shuffled lemma side is small
-        joined = vocab.join(lemma_table.select("token", "lemma"), "token", "left")
-        if mode == "lemmatize":
-            mapping = joined.where(F.col("lemma").isNotNull()).select("token", F.col("lemma").alias("norm"))
-            if stem_fn is not None:
-                mapping = mapping.unionByName(stem_vocabulary(joined.where(F.col("lemma").isNull()).select("token"), stem_fn))
-        elif mode == "both":
-            base = joined.select("token", F.coalesce("lemma", "token").alias("base"))
-            if stem_fn is None:
-                mapping = base.select("token", F.col("base").alias("norm"))
-            else:
-                stems = stem_vocabulary(base.select(F.col("base").alias("token")).distinct(), stem_fn)
-                mapping = base.join(stems.withColumnRenamed("token", "base"), "base").select("token", "norm")
-        else:
-            raise ValueError(f"unknown mode {mode!r}")
-    return mapping.where(F.col("norm").isNotNull() & (F.col("norm") != F.col("token")))
-
-
-def normalise_tokens(
-    df: DataFrame,
-    tokens_col: str,
-    out_col: str,
-    lemma_table: DataFrame | None = None,
-    stem_fn: Callable[[str], str] | None = None,
-    mode: str = "lemmatize",
-) -> DataFrame:
-    """K1: ``basic`` (identity), ``stem``, ``lemmatize`` or ``both``;
-    ``lemma_table`` has columns ``(token, lemma)``.  Returns ``df`` with
-    ``out_col``: the normalised tokens in their original order (null for a
-    null array).
+        known = vocab.join(lemma_table.select("token", "lemma"), "token", "left")
+    token, lemma = F.col("token"), F.col("lemma")
+
+    def form(mode):
+        if mode == "stem":
+            return stemmed(token, stem_fn)
+        if mode == "both":
+            return stemmed(F.coalesce(lemma, token), stem_fn)
+        return F.coalesce(lemma, token if stem_fn is None else stemmed(token, stem_fn))
+
+    forms = known.select("token", *(F.coalesce(form(mode), token).alias(name) for name, mode in modes.items()))
+    changed = [F.col(name) != token for name in modes]
+    return forms.where(F.array_contains(F.array(*changed), True))
+
+
+def bucketed_lookup(entries: Column, key: str):
+    """A lookup of ``entries`` (structs with a field ``key``) as a function of a
+    word.  Maps are searched from their start, so the entries of a row are dealt
+    to as many maps as each then has entries, by the word's hash."""
+    n = F.ceil(F.sqrt(F.size(entries))).cast("int")
+
+    def bucket(word):
+        return F.pmod(F.hash(word), n)
+
+    maps = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.map_from_entries(
+        F.transform(F.filter(entries, lambda e: bucket(e[key]) == b), lambda e: F.struct(e[key], e))))
+    return maps, lambda held, word: F.try_element_at(F.get(held, bucket(word)), word)
+
+
+def normalise_modes(df: DataFrame, tokens_col: str, modes: Mapping[str, str],
+                    lemma_table: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
+                    stem_fn: Callable[[str], str] | None = None) -> DataFrame:
+    """K1: ``df`` with a column per entry ``name -> mode`` of ``modes``: the
+    tokens of ``tokens_col`` in their order, as ``basic`` (as they are),
+    ``stem``, ``lemmatize`` or ``both`` makes them (null for a null array).
+    ``lemma_table`` has columns ``(token, lemma)``, a token once; or it is a
+    function that makes such a table of the vocabulary (``token``).
 
     Rows are numbered and written once, so repeated ids do not matter.  Only
     the distinct tokens of a row meet the map of changed words, and only the
     changes of a row come back to it; the token stream itself never moves."""
-    if mode == "basic":
-        return df.withColumn(out_col, F.col(tokens_col))
+    unknown = set(modes.values()).difference(MODES)
+    if unknown:
+        raise ValueError(f"unknown mode {min(unknown)!r}")
+    if "lemmatize" in modes.values() and lemma_table is None and stem_fn is None:
+        raise ValueError("mode 'lemmatize' needs a lemma table or a stemmer")
+    wanted = {name: mode for name, mode in modes.items() if mode != "basic"}
+    same = {name: F.col(tokens_col) for name, mode in modes.items() if mode == "basic"}
+    if not wanted:
+        return df.withColumns(same)
     rows = reusable(df.withColumn("_row", F.monotonically_increasing_id()))
     tokens = rows.select("_row", F.explode(F.array_distinct(tokens_col)).alias("token"))
-    if mode in ("lemmatize", "both") and lemma_table is None and stem_fn is None:
-        raise ValueError(f"mode {mode!r} needs a lemma table or a stemmer")
-    mapping = normalisation_map(tokens, lemma_table, stem_fn, mode)
-    changes = tokens.join(mapping, "token").groupBy("_row").agg(
-        F.map_from_entries(F.collect_list(F.struct("token", "norm"))).alias("_changes"))
-    changed = F.transform(tokens_col, lambda t: F.coalesce(F.try_element_at(F.col("_changes"), t), t))
-    return rows.join(changes, "_row", "left").withColumn(
-        out_col, F.when(F.col("_changes").isNull(), F.col(tokens_col)).otherwise(changed)).drop("_row", "_changes")
+    vocab = reusable(tokens.select("token").distinct())
+    lemmas = lemma_table(vocab) if callable(lemma_table) else lemma_table
+    mapping = normalisation_map(vocab, {f"_{k}": mode for k, mode in enumerate(wanted.values())}, lemmas, stem_fn)
+    forms = [f"_{k}" for k in range(len(wanted))]
+    changes = tokens.join(mapping, "token").groupBy("_row").agg(F.collect_list(F.struct("token", *forms)).alias("_changes"))
+
+    def replaced(entries):
+        maps, find = bucketed_lookup(entries, "token")
+        return let(maps, lambda held: F.transform(tokens_col, lambda t: let(find(held, t), lambda e: F.struct(
+            *(F.coalesce(e[f], t).alias(f) for f in forms)))))
+
+    told = rows.join(changes, "_row", "left").withColumn(
+        "_forms", F.when(F.col("_changes").isNotNull(), let(F.col("_changes"), replaced)))
+    made = {name: F.when(F.col("_forms").isNull(), F.col(tokens_col)).otherwise(F.col(f"_forms.{f}")) for name, f in zip(wanted, forms)}
+    return told.withColumns({**same, **made}).drop("_row", "_changes", "_forms")
+
+
+def normalise_tokens(df: DataFrame, tokens_col: str, out_col: str,
+                     lemma_table: DataFrame | Callable[[DataFrame], DataFrame] | None = None,
+                     stem_fn: Callable[[str], str] | None = None, mode: str = "lemmatize") -> DataFrame:
+    """:func:`normalise_modes` with one mode."""
+    return normalise_modes(df, tokens_col, {out_col: mode}, lemma_table, stem_fn)
 
 
-def plural_lemma_table(token_rows: DataFrame, min_length: int = 4) -> DataFrame:
+def plural_lemma_table(vocab: DataFrame, min_length: int = 4) -> DataFrame:
     """A lemma table derived from the data: a word ending in ``s`` (at least
     ``min_length`` characters) maps to the word without the ``s`` when that
-    word also occurs in the vocabulary."""
-    vocab = vocabulary(token_rows).select("token")
+    word also is in ``vocab`` (distinct ``token``)."""
     cand = vocab.where(F.col("token").endswith("s") & (F.length("token") >= min_length)).select(
         "token", F.expr("substring(token, 1, length(token) - 1)").alias("lemma"))
     return cand.join(vocab.select(F.col("token").alias("lemma")), "lemma", "left_semi")

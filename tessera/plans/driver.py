@@ -264,8 +264,7 @@ def q13_text_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q30_normalise_vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = Tables(spark, sf_dir).dealt("documents", "doc_id", "text")
     toks = docs.select("doc_id", tx.tokenize(tx.clean_text("text")).alias("tokens"))
-    lemmas = vc.plural_lemma_table(vc.explode_tokens(toks, "doc_id", "tokens"))
-    out = vc.normalise_tokens(toks, "tokens", "normalised", lemma_table=lemmas, mode="lemmatize")
+    out = vc.normalise_tokens(toks, "tokens", "normalised", lemma_table=vc.plural_lemma_table, mode="lemmatize")
     return out.select("doc_id", F.array_join("normalised", " ").alias("normalised"))
 
 
@@ -764,18 +763,11 @@ def q44_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pf.report_format(counts.withColumn("share", F.col("count") * 100.0 / F.lit(max(total, 1))), ["count"], ["share"])
 
 
-def past_stem(word: str) -> str:
-    """A stemmer that SQL can repeat: drops a final ``ed``."""
-    return word[:-2] if word.endswith("ed") and len(word) > 4 else word
-
-
 def q45_stem_modes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K1: stems, and stems of lemmas."""
+    """K1: Spanish stems, and stems of lemmas."""
     docs = Tables(spark, sf_dir).dealt("documents", "doc_id", "text")
     toks = docs.select("doc_id", tx.tokenize(tx.clean_text("text")).alias("tokens"))
-    lemmas = vc.plural_lemma_table(vc.explode_tokens(toks, "doc_id", "tokens"))
-    out = vc.normalise_tokens(toks, "tokens", "stemmed", stem_fn=past_stem, mode="stem")
-    out = vc.normalise_tokens(out, "tokens", "lemma_stemmed", lemma_table=lemmas, stem_fn=past_stem, mode="both")
+    out = vc.normalise_modes(toks, "tokens", {"stemmed": "stem", "lemma_stemmed": "both"}, vc.plural_lemma_table)
     return out.select("doc_id", F.array_join("stemmed", " ").alias("stemmed"), F.array_join("lemma_stemmed", " ").alias("lemma_stemmed"))
 
 

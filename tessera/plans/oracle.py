@@ -818,7 +818,47 @@ SELECT journal, format('{:,}', count(*)) AS count, printf('%.1f', count(*) * 100
 FROM d GROUP BY journal
 """
 
-STEM = "CASE WHEN ends_with({c}, 'ed') AND length({c}) > 4 THEN substr({c}, 1, length({c}) - 2) ELSE {c} END"
+
+def _stem_steps() -> str:
+    """CTEs from ``words(w)`` to ``stems(w, stem)``: the steps of the published
+    Spanish stemmer, one CTE each."""
+    from tessera.functions import stem as st
+
+    def ends(x: str, endings: str) -> str:
+        return f"regexp_extract({x}, '(?:{endings})$')"
+
+    def first(x: str) -> str:
+        found = f"length(regexp_extract({x}, '^.*?{st.VOWEL}{st.CONSONANT}'))"
+        return f"CASE WHEN {found} > 0 THEN {found} ELSE length({x}) END"
+
+    def less(x: str, endings: str) -> str:
+        return f"left({x}, r2) || regexp_replace(substr({x}, r2 + 1), '(?:{endings})$', '')" if endings else x
+
+    standard = " ".join(f"WHEN regexp_full_match(t, '{endings}') AND length(h) >= r2 THEN "
+                        + (f"h || '{instead}'" if instead else less("h", before)) for endings, instead, before in st.STANDARD)
+    rv = f"length(regexp_extract(w, '^(?:.{st.CONSONANT}+{st.VOWEL}|{st.VOWEL}{{2,}}{st.CONSONANT}|{st.CONSONANT}{st.VOWEL}.)'))"
+    return f"""
+reg1 AS (SELECT w, {first("w")} AS r1, CASE WHEN {rv} > 0 THEN {rv} ELSE length(w) END AS rv FROM words),
+reg AS (SELECT *, r1 + {first("substr(w, r1 + 1)")} AS r2 FROM reg1),
+p0 AS (SELECT *, {ends("w", st.PRONOUN)} AS t FROM reg),
+p1 AS (SELECT *, left(w, length(w) - length(t)) AS h FROM p0),
+p2 AS (SELECT *, {ends("h", st.BEFORE_PRONOUN)} AS g FROM p1),
+s0 AS (
+  SELECT w, r1, r2, rv, CASE WHEN t <> '' AND g <> '' AND length(h) - length(g) >= rv AND (g <> 'yendo' OR ends_with(h, 'uyendo'))
+                             THEN left(h, length(h) - length(g)) || translate(g, '{st.ACCENTED}', '{st.PLAIN}') ELSE w END AS x FROM p2),
+n0 AS (SELECT *, {ends("x", st.ALL_STANDARD)} AS t FROM s0),
+n1 AS (SELECT *, left(x, length(x) - length(t)) AS h FROM n0),
+s1 AS (SELECT w, rv, x AS before, CASE WHEN t = '' THEN x WHEN t = '{st.AMENTE}' AND length(h) >= r1 THEN {less("h", st.BEFORE_AMENTE)} {standard} ELSE x END AS x FROM n1),
+v0 AS (SELECT *, {ends("substr(x, rv + 1)", st.VERB_Y)} AS y, {ends("substr(x, rv + 1)", st.VERB + "|" + st.VERB_SHORT)} AS o FROM s1),
+s2 AS (
+  SELECT w, rv, CASE WHEN x <> before THEN x WHEN y <> '' AND ends_with(left(x, length(x) - length(y)), 'u') THEN left(x, length(x) - length(y))
+                     WHEN regexp_full_match(o, '{st.VERB_SHORT}') AND ends_with(left(x, length(x) - length(o)), 'gu') THEN left(x, length(x) - length(o) - 1)
+                     ELSE left(x, length(x) - length(o)) END AS x FROM v0),
+f0 AS (SELECT *, {ends("substr(x, rv + 1)", st.RESIDUAL + "|" + st.RESIDUAL_E)} AS t FROM s2),
+stems AS (
+  SELECT w, translate(CASE WHEN regexp_full_match(t, '{st.RESIDUAL_E}') AND ends_with(left(x, length(x) - length(t)), 'gu') AND length(x) - length(t) > rv
+                           THEN left(x, length(x) - length(t) - 1) ELSE left(x, length(x) - length(t)) END, '{st.ACCENTED}', '{st.PLAIN}') AS stem FROM f0)"""
+
 
 Q45 = f"""
 WITH toks AS (SELECT doc_id, {TOKENS.format(c='text')} AS tokens FROM documents),
@@ -828,9 +868,14 @@ lemmas AS (
   SELECT v.token, substr(v.token, 1, length(v.token) - 1) AS lemma FROM vocab v
   WHERE ends_with(v.token, 's') AND length(v.token) >= 4
     AND substr(v.token, 1, length(v.token) - 1) IN (SELECT token FROM vocab)),
-normed AS (SELECT r.doc_id, r.pos, r.token, coalesce(l.lemma, r.token) AS lemma FROM rows r LEFT JOIN lemmas l USING (token))
-SELECT d.doc_id, coalesce(string_agg({STEM.format(c='n.token')}, ' ' ORDER BY n.pos), '') AS stemmed,
-       coalesce(string_agg({STEM.format(c='n.lemma')}, ' ' ORDER BY n.pos), '') AS lemma_stemmed
+words AS (SELECT token AS w FROM vocab UNION SELECT lemma FROM lemmas),
+{_stem_steps()},
+forms AS (
+  SELECT v.token, s.stem, b.stem AS both_stem FROM vocab v LEFT JOIN lemmas l ON l.token = v.token
+  JOIN stems s ON s.w = v.token JOIN stems b ON b.w = coalesce(l.lemma, v.token)),
+normed AS (SELECT r.doc_id, r.pos, f.stem, f.both_stem FROM rows r JOIN forms f USING (token))
+SELECT d.doc_id, coalesce(string_agg(n.stem, ' ' ORDER BY n.pos), '') AS stemmed,
+       coalesce(string_agg(n.both_stem, ' ' ORDER BY n.pos), '') AS lemma_stemmed
 FROM documents d LEFT JOIN normed n USING (doc_id)
 GROUP BY d.doc_id
 """
