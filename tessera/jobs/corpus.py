@@ -14,7 +14,8 @@ import os
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.operators import bio, chunking, compare, profile, quality, requests, splits, textprep, thesaurus, translate
@@ -32,12 +33,21 @@ CATEGORY_CSV_SCHEMA = (
 
 
 # ---------------------------------------------------------------- 3.1 corpus collection
+def one_per_id(records: DataFrame, id_col: str, text: Column) -> DataFrame:
+    """One record per id: that of the longest ``text``, of those the last one by
+    its JSON.  Records without an id are no copies of each other; all stay."""
+    named = F.coalesce(F.col(id_col), F.lit("")) != ""
+    whole = F.struct(*records.columns)
+    best = records.where(named).groupBy(id_col).agg(F.max_by(whole, F.struct(F.coalesce(F.length(text), F.lit(0)), F.to_json(whole))).alias("best"))
+    return best.select("best.*").unionByName(records.where(~named))
+
+
 def collect_corpus(spark: SparkSession, xml_path: str, out_dir: str, metadata: dict | None = None) -> dict:
     """A2 -> B1-B9 -> C4 -> L1: one article per pmid, written by year, with the
     D7 statistics, the metadata record and the D8 stage counters."""
     good, bad = art.gate_records(reusable(art.parse_records(art.read_xml_records(spark, xml_path))))
     extracted = art.extract_articles(good).withColumn("year", art.publication_year(F.col("publication_info")))
-    extracted = reusable(extracted.dropDuplicates(["pmid"]))
+    extracted = reusable(one_per_id(extracted, "pmid", F.col("abstract.full_text")))
     kept = quality.quality_filter(extracted)
     counters = quality.stage_counters(extracted, quality.quality_rules()).first().asDict()
     counters["malformed"] = bad.count()
@@ -88,27 +98,28 @@ def create_split(spark: SparkSession, csv_path: str, out_dir: str, min_length: i
         "text_processing_type string, remove_stopwords boolean, min_length int, extra_cleaning boolean, "
         "processed_columns array<string>, original_columns array<string>")
     for name, table in (("preprocessing_info", info), ("multilabel_info", splits.label_counts(df)),
-                        ("traditional_info", profile.top_k(profile.group_counts(single, "single_category", "category"), 1 << 20, "count", "category")),
+                        ("traditional_info", profile.group_counts(single, "single_category", "category").orderBy(F.desc("count"), "category")),
                         ("text_profile", textprep.processing_profile(df, columns))):
         writers.write_info(table, os.path.join(out_dir, name))
     return splits.split_sizes(df)
 
 
 # ---------------------------------------------------------------- translation
-def translate_dataset(spark: SparkSession, articles: DataFrame, factory: Callable, model: str,
-                      done_abstracts: DataFrame | None = None, titles_only: bool = False,
-                      translate_titles: bool = True, done_titles: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    """C9/C10 queue -> K11/K10 -> E5 write-back by id -> D13 summary.
-    Returns ``(articles_with_translations, summary)``."""
+def article_queue(articles: DataFrame, done_abstracts: DataFrame | None = None, titles_only: bool = False,
+                  translate_titles: bool = True, done_titles: DataFrame | None = None) -> DataFrame:
+    """C9 + C10 + I6: the work items of ``articles``."""
     if titles_only and not translate_titles:  # C15
         raise ValueError("titles only and no titles exclude each other")
-    queue = translate.translation_queue(
+    return translate.translation_queue(
         articles, "pmid", abstract=F.col("abstract.full_text"), language=F.col("abstract_language"),
         has_content=F.col("abstract.has_content"), title=F.col("title"),
         abstract_ok=F.col("abstract.spanish_translation.success"),
         title_ok=F.col("title_spanish_translation.success"),
         done_abstracts=done_abstracts, done_titles=done_titles, titles_only=titles_only, translate_titles=translate_titles)
-    results = reusable(translate.translation_struct(translate.translate_items(queue, "pmid", factory), model))
+
+
+def with_translations(articles: DataFrame, results: DataFrame) -> DataFrame:
+    """E5: ``articles`` with the translation records of ``results`` in place."""
     abstract_of = F.when(F.col("kind") == "abstract", F.col("translation").withField(
         "translation_date", F.col("translation.translation_date").cast("string")))
     title_of = F.when(F.col("kind") == "title", F.struct(
@@ -117,12 +128,70 @@ def translate_dataset(spark: SparkSession, articles: DataFrame, factory: Callabl
         F.col("translation.model_used"), F.col("translation.batch_size_used"),
         F.col("translation.translation_date").cast("string").alias("translation_date"), F.col("translation.error")))
     found = results.groupBy("pmid").agg(F.first(abstract_of, ignorenulls=True).alias("_abs_tr"), F.first(title_of, ignorenulls=True).alias("_tit_tr"))
-    out = (articles.join(found, "pmid", "left")
-           .withColumn("abstract", F.col("abstract").withField(
-               "spanish_translation", F.coalesce("_abs_tr", "abstract.spanish_translation")))
-           .withColumn("title_spanish_translation", F.coalesce("_tit_tr", "title_spanish_translation"))
-           .drop("_abs_tr", "_tit_tr"))
-    return out, translate.translation_summary(results)
+    return (articles.join(found, "pmid", "left")
+            .withColumn("abstract", F.col("abstract").withField(
+                "spanish_translation", F.coalesce("_abs_tr", "abstract.spanish_translation")))
+            .withColumn("title_spanish_translation", F.coalesce("_tit_tr", "title_spanish_translation"))
+            .drop("_abs_tr", "_tit_tr"))
+
+
+def translate_dataset(spark: SparkSession, articles: DataFrame, factory: Callable, model: str, **options) -> tuple[DataFrame, DataFrame]:
+    """C9/C10 queue -> K11/K10 -> E5 write-back by id -> D13 summary; the
+    options are those of :func:`article_queue`.  Returns
+    ``(articles_with_translations, summary)``."""
+    queue = article_queue(articles, **options)
+    results = reusable(translate.translation_struct(translate.translate_items(queue, "pmid", factory), model))
+    return with_translations(articles, results), translate.translation_summary(results)
+
+
+def read_if_there(spark: SparkSession, path: str, schema: str, fmt: str = "parquet") -> DataFrame:
+    """A table that may not have been written yet (then without rows)."""
+    try:
+        return spark.read.schema(schema).format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def translate_in_parts(spark: SparkSession, articles: DataFrame, factory: Callable, model: str, work_dir: str, n_parts: int = 16,
+                       **options) -> tuple[DataFrame, DataFrame]:
+    """K12 that can be taken up again (E8, L10): as :func:`translate_dataset`,
+    with the queue written once, dealt to ``n_parts`` parts by id, and translated
+    part by part.
+
+    A part's results are one folder, replaced if it is written again, and its
+    record in the log is the commit: a file of the part's own, written after
+    the results.  A run that finds records skips their parts, so what a
+    failed run had finished is not translated again, and nothing is there
+    twice.  The queue is that of the first run; later articles go into another
+    ``work_dir``, with what is done here as ``done_abstracts``/``done_titles``."""
+    at = {name: os.path.join(work_dir, name) for name in ("queue", "parts", "results", "log")}
+    about = read_if_there(spark, at["parts"], "n_parts int", "json").first()
+    if about is None:
+        queue = article_queue(articles, **options)
+        queue.withColumn("part", F.pmod(F.xxhash64("pmid"), F.lit(n_parts)).cast("int")).repartition("part", F.xxhash64("pmid") % 64).write.mode(
+            "overwrite").partitionBy("part").parquet(at["queue"])
+        spark.createDataFrame([(n_parts,)], "n_parts int").coalesce(1).write.mode("overwrite").json(at["parts"])  # the queue is whole now
+    else:
+        n_parts = about["n_parts"]
+    committed = {r["part"] for r in read_if_there(spark, at["log"], "part int", "json").collect()}  # n_parts records at most
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in article_queue(articles, **options).schema.fields)
+    whole = read_if_there(spark, at["queue"], f"{fields}, part int")
+
+    def translated(part: int) -> DataFrame:
+        items = whole.where(F.col("part") == part).drop("part")
+        return translate.translation_struct(translate.translate_items(items, "pmid", factory), model)
+
+    schema = translated(0).schema
+    folder = {part: os.path.join(at["results"], f"part={part}") for part in range(n_parts)}
+    for part in sorted(set(folder).difference(committed)):
+        translated(part).write.mode("overwrite").parquet(folder[part])
+        record = spark.read.schema(schema).parquet(folder[part]).agg(
+            F.lit(part).alias("part"), F.lit(model).alias("model_used"), F.count(F.lit(1)).alias("items"), F.count_if(~F.col("success")).alias("failed"))
+        writers.write_records(record, at["log"], F.format_string("part_%05d.json", F.col("part").cast("long")))
+    results = spark.read.schema(schema).parquet(*folder.values())
+    return with_translations(articles, results), translate.translation_summary(results)
 
 
 def translate_corpus(spark: SparkSession, articles: DataFrame, factory: Callable, model: str, out_dir: str, **options) -> dict:
@@ -179,7 +248,7 @@ def make_requests(spark: SparkSession, token_dir: str, out_dir: str, model: str,
     batched = reusable(chunking.assign_batches(reqs, ["source_file", "chunk_index"], batch_size))
     writers.write_request_files(batched, os.path.join(out_dir, "requests"))
     info = chunking.batch_info(batched)
-    writers.write_info(info, os.path.join(out_dir, "batch_info"), mode="append")
+    writers.write_records(info, os.path.join(out_dir, "batch_info"), F.format_string("batch_info_%05d.json", F.col("batch_no").cast("long")))
     return info
 
 
@@ -214,12 +283,7 @@ def compare_datasets(spark: SparkSession, dir_a: str, dir_b: str, out_dir: str,
     return compare.completeness(m)
 
 
-def document_text_profile(df: DataFrame, columns: list[str]) -> DataFrame:
-    """D14 for preprocessed columns."""
-    return textprep.processing_profile(df, columns)
-
-
 __all__ = [
-    "collect_corpus", "label_dataset", "create_split", "translate_corpus", "translate_dataset", "validate_directory",
-    "make_requests", "ingest_results", "compare_datasets", "document_text_profile",
+    "collect_corpus", "label_dataset", "create_split", "translate_corpus", "translate_dataset", "translate_in_parts", "validate_directory",
+    "make_requests", "ingest_results", "compare_datasets",
 ]

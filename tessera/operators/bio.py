@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from tessera import fixed_values as fv
 from tessera.operators.ordered import previous_value
-from tessera.session import reusable
 
 ERROR_STRUCT = "struct<rule:int,error_type:string,description:string,suggested_fix:string>"
 
@@ -109,20 +108,27 @@ def repair_labels(tokens: DataFrame, errors: DataFrame | None = None) -> DataFra
     )
 
 
+def settled_label(label: Column, prev: Column) -> Column:
+    """Label of a line after repeated repair, from the labels as they are.
+
+    A fix makes a line ``O`` (no BIO label, or no type) or turns ``I-t`` into
+    ``B-t``; it never gives a line another type.  So an ``I-t`` stays if the
+    line before has type ``t``, which no pass takes from it, and in every other
+    case becomes ``B-t`` sooner or later: at once after another type, ``O`` or
+    nothing, and after a label that is not BIO once that is ``O``."""
+    typed = entity_type(label)
+    return (F.when(label.isNull() | (label == "O"), label).when(typed.isNull() | (typed == ""), F.lit("O"))
+            .when(is_inside(label) & ~F.coalesce(entity_type(prev) == typed, F.lit(False)), F.concat(F.lit("B-"), typed)).otherwise(label))
+
+
 def repair_until_clean(tokens: DataFrame, segment: Column | None = None) -> DataFrame:
-    """K13 option: repeat validate + repair until no error remains (a single
-    pass can create a new orphan, e.g. ``X I-a`` -> ``O I-a``), however many
-    passes that takes.  Raises if a pass changes no label and errors remain.
-    Each pass is written to the shared checkpoint folder."""
-    cur = tokens.select("file", "ord", "token", "label")
-    while True:
-        errs = validate_tokens(cur, segment)
-        if errs.limit(1).count() == 0:
-            return cur
-        fixed = reusable(repair_labels(cur, errs))
-        if fixed.where(~F.col("fixed_label").eqNullSafe(F.col("label"))).limit(1).count() == 0:
-            raise RuntimeError("errors remain that no rule repairs")
-        cur = fixed.select("file", "ord", "token", F.col("fixed_label").alias("label"))
+    """K13 option: the labels that repeated validate + repair ends in (a single
+    pass can create a new orphan, e.g. ``X I-a`` -> ``O I-a``), in one pass over
+    the lines and their previous labels; see :func:`settled_label`.  With
+    ``segment`` a long file is dealt to several tasks.  A ``prev`` column
+    already present is used as is."""
+    t = tokens if "prev" in tokens.columns else with_previous_label(tokens, segment)
+    return t.select("file", "ord", "token", settled_label(F.col("label"), F.col("prev")).alias("label"))
 
 
 # ---------------------------------------------------------------- D17-D20

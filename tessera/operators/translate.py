@@ -2,10 +2,9 @@
 
 The translator is any Python callable ``list[str] -> list[str]`` (a model
 wrapper in production, a fake in tests).  It runs inside an *iterator* pandas
-UDF, so it is created once per task and called once per Arrow batch (batch
-size = ``spark.sql.execution.arrow.maxRecordsPerBatch``).  A failing batch is
-retried item by item so one bad item does not fail its neighbours; each item
-gets ``(text, success, error)``.
+UDF, so it is created once per task and called on batches of texts of like
+length.  A failing batch is halved until the failing items stand alone, so one
+bad item does not fail its neighbours; each item gets ``(text, success, error)``.
 
 Abstracts are translated sentence by sentence inside the row: the sentences
 of the articles in one Arrow batch are flattened, translated in batches and
@@ -31,22 +30,34 @@ TranslatorFactory = Callable[[], Callable[[list[str]], list[str]]]
 
 
 def _translate_batch(fn: Callable[[list[str]], list[str]], texts: list[str]) -> list[tuple]:
+    """``(text, success, error)`` of each text.  A batch that fails is halved
+    until the failing texts stand alone: one of n costs about 2 log2(n) calls."""
     try:
         out = fn(texts)
         if len(out) != len(texts):
             raise ValueError(f"translator returned {len(out)} results for {len(texts)} inputs")
         return [(o, True, None) for o in out]
-    except Exception:  # isolate failing items
-        results = []
-        for t in texts:
-            try:
-                results.append((fn([t])[0], True, None))
-            except Exception as e:  # noqa: BLE001 - reported per item
-                results.append(("", False, f"{type(e).__name__}: {e}"))
-        return results
-
-
-def translator_udf(factory: TranslatorFactory):
+    except Exception as e:  # noqa: BLE001 - isolated, then reported per item
+        if len(texts) == 1:
+            return [("", False, f"{type(e).__name__}: {e}")]
+        half = len(texts) // 2
+        return _translate_batch(fn, texts[:half]) + _translate_batch(fn, texts[half:])
+
+
+def _translate_all(fn: Callable[[list[str]], list[str]], texts: list[str], batch_size: int) -> list[tuple]:
+    """Results of ``texts`` in their order.  Batches hold texts of like length,
+    longest first, so that a model pads little and runs out of memory, if it
+    does, at the start."""
+    order = sorted(range(len(texts)), key=lambda i: -len(texts[i]))
+    results: list[tuple] = [()] * len(texts)
+    for at in range(0, len(order), batch_size):
+        batch = order[at:at + batch_size]
+        for i, result in zip(batch, _translate_batch(fn, [texts[i] for i in batch])):
+            results[i] = result
+    return results
+
+
+def translator_udf(factory: TranslatorFactory, batch_size: int = 64):
     """Iterator pandas UDF ``text -> struct<text, success, error>``.
 
     ``factory`` builds the translator once per task (model load goes there)."""
@@ -55,8 +66,7 @@ def translator_udf(factory: TranslatorFactory):
     def _translate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         fn = factory()
         for texts in batches:
-            items = texts.fillna("").tolist()
-            res = _translate_batch(fn, items)
+            res = _translate_all(fn, texts.fillna("").tolist(), batch_size)
             yield pd.DataFrame(res, columns=["text", "success", "error"])
 
     return _translate
@@ -76,9 +86,7 @@ def sentences_translator_udf(factory: TranslatorFactory, batch_size: int = 64):
         for arrays in batches:
             lists = [list(a) if a is not None else [] for a in arrays]
             flat = [s for lst in lists for s in lst]
-            results = []
-            for i in range(0, len(flat), batch_size):
-                results.extend(_translate_batch(fn, flat[i:i + batch_size]))
+            results = _translate_all(fn, flat, batch_size)
             out, pos = [], 0
             for lst in lists:
                 part = results[pos:pos + len(lst)]
@@ -145,7 +153,7 @@ def translate_items(queue: DataFrame, id_col: str, factory: TranslatorFactory, b
     :func:`sentences_translator_udf`); title items are translated whole.
     Output ``(id, kind, source_text, original_title, text, success, error)``."""
     per_sentence = sentences_translator_udf(factory, batch_size)
-    whole = translator_udf(factory)
+    whole = translator_udf(factory, batch_size)
     abstracts = queue.where(F.col("kind") == "abstract").withColumn(
         "r", per_sentence(tx.split_sentences("source_text")))
     titles = queue.where(F.col("kind") == "title").withColumn("r", whole(F.col("source_text")))

@@ -1,17 +1,18 @@
-"""Sinks (L1-L11).  Every writer is a plain ``DataFrameWriter`` call; outputs
-are folders of part files (Spark's unit of parallel output), never a single
-document assembled on the driver.
+"""Sinks (L1-L11).  Tables are plain ``DataFrameWriter`` calls: folders of part
+files (Spark's unit of parallel output), never a single document assembled on
+the driver.  Outputs whose file names matter go through :mod:`tessera.sinks.files`.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, MapType, StructType
 
 from tessera.operators import bio
+from tessera.sinks.files import write_named_files
 from tessera.sources import tokens as tk
 
 
@@ -59,18 +60,15 @@ def read_category_csv(spark, path: str, schema: str) -> DataFrame:
 
 
 def write_request_files(requests: DataFrame, out_dir: str) -> None:
-    """L4: JSON lines, one folder per batch number with one file each (the
-    rows are dealt out by batch before they are written)."""
-    (requests.select("batch_no", F.to_json("request").alias("value")).repartition("batch_no")
-     .write.mode("overwrite").partitionBy("batch_no").text(out_dir))
+    """L4: JSON lines, one file ``batch_<number>.jsonl`` per batch, in the order
+    of the requests."""
+    write_named_files(requests.select(F.format_string("batch_%05d.jsonl", F.col("batch_no").cast("long")).alias("file"), F.struct("source_file", "chunk_index").alias("ord"),
+                                      F.to_json("request").alias("line")), out_dir)
 
 
 def write_token_files(tokens: DataFrame, out_dir: str, label_col: str = "label") -> None:
-    """``token<TAB>label`` lines, one folder per source file, in order.
-    Rows of a file are brought to one task (a file is written sequentially)."""
-    (tk.render_token_lines(tokens.withColumn("label", F.col(label_col))).withColumnRenamed("line", "value")
-     .repartition("file").sortWithinPartitions("file", "ord").drop("ord")
-     .write.mode("overwrite").partitionBy("file").text(out_dir))
+    """``token<TAB>label`` lines, one file of its own name per source file."""
+    write_named_files(tk.render_token_lines(tokens.withColumn("label", F.col(label_col))), out_dir)
 
 
 def write_validation_report(verdicts: DataFrame, errors: DataFrame, out_dir: str) -> None:
@@ -95,10 +93,16 @@ def write_splits(df: DataFrame, out_dir: str) -> None:
 
 
 def write_info(info: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Small info records as JSON (append for run logs)."""
+    """Small info records as JSON."""
     info.coalesce(1).write.mode(mode).json(path)
 
 
+def write_records(records: DataFrame, path: str, name: Column) -> None:
+    """A JSON file ``name`` per record; writing a record again replaces its
+    file, so a rerun adds none twice."""
+    write_named_files(records.select(name.alias("file"), F.lit(0).alias("ord"), F.to_json(F.struct(*records.columns)).alias("line")), path, mode="append")
+
+
 def write_names(names: DataFrame, path: str, column: str = "name") -> None:
     """A list of names, one per line, sorted."""
     names.select(column).orderBy(column).write.mode("overwrite").text(path)

@@ -68,8 +68,10 @@ def test_token_round_trip(spark, tmp_path):
     assert cov["doc1.nersuite"]["tokens"] == 130 and "doc2.nersuite" not in cov
     retry = spark.read.text(str(tmp_path / "in" / "retry_requests")).collect()
     assert len(retry) == 1 and "doc2.nersuite__chunk_0" in retry[0]["value"]
-    back = spark.read.text(str(tmp_path / "in" / "translated")).where(F.col("file") == "doc1.nersuite").count()
-    assert back == 130
+    assert len((tmp_path / "in" / "translated" / "doc1.nersuite").read_text().splitlines()) == 130
+    infos = sorted(p.name for p in (tmp_path / "out" / "batch_info").iterdir() if p.suffix == ".json")
+    corpus.make_requests(spark, str(tok), str(tmp_path / "out"), "m", max_lines=40, batch_size=2)
+    assert sorted(p.name for p in (tmp_path / "out" / "batch_info").iterdir() if p.suffix == ".json") == infos == [f"batch_info_{i:05d}.json" for i in range(len(infos))]
 
 
 def test_compare_datasets(spark, tmp_path):
