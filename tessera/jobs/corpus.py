@@ -65,11 +65,7 @@ def label_dataset(spark: SparkSession, articles_path: str, thesaurus_xml: str, t
                   out_csv: str, articles_format: str = "document") -> DataFrame:
     """A12 -> A1 -> F7 -> L3; returns the D11/D12 coverage row."""
     _, dtree, names = ts.load_or_build_thesaurus(spark, thesaurus_xml, thesaurus_dir)
-    if articles_format == "document":
-        arts, _, _ = art.read_article_dataset(spark, articles_path)
-    else:
-        arts = art.read_articles(spark, articles_path, articles_format)
-    arts = art.require_articles(arts, articles_path)
+    arts = art.require_articles(art.read_articles(spark, articles_path, articles_format), articles_path)
     labelled = thesaurus.label_articles(
         arts.withColumn("publication_info", F.struct(
             art.publication_year(F.col("publication_info")).alias("year"))), dtree, names)

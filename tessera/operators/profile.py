@@ -8,7 +8,7 @@ broken on the key so results are deterministic.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tessera import fixed_values as fv
@@ -68,13 +68,18 @@ def corpus_profile(
     structured: Column | str = "abstract.structured",
 ) -> DataFrame:
     """One-pass scalar profile -- count, year range, mean length, structured count."""
-    return df.agg(
-        F.count("*").alias("total_articles"),
-        F.min(_col(year)).alias("year_earliest"),
-        F.max(_col(year)).alias("year_latest"),
-        F.avg(_col(word_count)).alias("avg_abstract_length"),
-        F.count_if(F.coalesce(_col(structured), F.lit(False))).alias("structured_abstracts"),
-    )
+    return df.agg(*corpus_profile_columns(year, word_count, structured))
+
+
+#: Columns of :func:`corpus_profile` and their types.
+PROFILE = {"total_articles": "long", "year_earliest": "int", "year_latest": "int", "avg_abstract_length": "double", "structured_abstracts": "long"}
+
+
+def corpus_profile_columns(year: Column | str, word_count: Column | str = "abstract.word_count",
+                           structured: Column | str = "abstract.structured") -> list[Column]:
+    values = (F.count("*"), F.min(_col(year)), F.max(_col(year)), F.avg(_col(word_count)),
+              F.count_if(F.coalesce(_col(structured), F.lit(False))))
+    return [v.alias(n) for v, n in zip(values, PROFILE)]
 
 
 def corpus_statistics(
@@ -83,24 +88,34 @@ def corpus_statistics(
     journal: Column | str = "journal.title",
     language: Column | str = "abstract_language",
     stage_counts: dict[str, int] | None = None,
-    **profile,
+    word_count: Column | str = "abstract.word_count",
+    structured: Column | str = "abstract.structured",
 ) -> DataFrame:
     """The whole statistics record as one row: the D4-D6 profile, the
     language distribution, the 10 most frequent years and 20 most frequent
-    journals as maps, and the counts of the collection stages."""
-    def rows(stat: str, counts: DataFrame, key: str) -> DataFrame:
-        return counts.select(F.lit(stat).alias("stat"), F.col(key).cast("string").alias("key"), "count")
-
-    small = rows("language_distribution", language_distribution(df, language).where("language IS NOT NULL"), "language").unionByName(
-        rows("top_years", top_k(year_counts(df, year), 10, "count", "year"), "year")).unionByName(
-        rows("top_journals", top_k(journal_counts(df, journal), 20, "count", "journal"), "journal"))
-    maps = [F.map_from_entries(F.collect_list(F.when(F.col("stat") == s, F.struct("key", "count")))).alias(s)
+    journals as maps, and the counts of the collection stages.
+
+    One scan: years, journals, languages and the whole are grouping sets of the
+    same aggregation; only its rows, one per distinct value, are ranked."""
+    base = df.select(_col(year).alias("y"), F.coalesce(_col(journal), F.lit("Unknown")).alias("j"), _col(language).alias("l"),
+                     _col(year).alias("of"), _col(word_count).alias("w"), _col(structured).alias("s"))
+    groups = base.groupingSets([["y"], ["j"], ["l"], []], "y", "j", "l").agg(
+        *corpus_profile_columns("of", "w", "s"), F.grouping("y").alias("no_y"), F.grouping("j").alias("no_j"), F.grouping("l").alias("no_l"))
+    limits = {"top_years": ("y", 10), "top_journals": ("j", 20), "language_distribution": ("l", None)}
+    stat = F.lit("all")
+    for name, (c, _) in limits.items():
+        stat = F.when(F.col(f"no_{c}") == 0, F.when(F.col(c).isNotNull(), name)).otherwise(stat)
+    ranked = groups.withColumn("stat", stat).where("stat IS NOT NULL").withColumn("rank", F.row_number().over(
+        Window.partitionBy("stat").orderBy(F.desc("total_articles"), "y", "j", "l")))
+    of = {name: (F.col("stat") == name) & ((F.col("rank") <= k) if k else F.lit(True)) for name, (_, k) in limits.items()}
+    key = F.coalesce(F.col("y").cast("string"), F.col("j").cast("string"), F.col("l").cast("string"))
+    maps = [F.map_from_entries(F.collect_list(F.when(of[s], F.struct(key.alias("key"), F.col("total_articles").alias("count"))))).alias(s)
             for s in ("language_distribution", "top_years", "top_journals")]
-    scalars = corpus_profile(df, year=year, **profile).first()
+    scalars = [F.max(F.when(F.col("stat") == "all", F.col(n))).alias(n) for n in PROFILE]
     counts = F.create_map(*[x for k, v in (stage_counts or {}).items() for x in (F.lit(k), F.lit(int(v)).cast("long"))]).cast("map<string,bigint>")
-    return small.agg(*maps).select(
-        *[F.lit(scalars[n]).cast(t).alias(n) for n, t in (("total_articles", "long"), ("year_earliest", "int"), ("year_latest", "int"),
-                                                           ("avg_abstract_length", "double"), ("structured_abstracts", "long"))],
+    out = ranked.agg(*scalars, *maps)
+    return out.select(
+        *[(F.coalesce(F.col(n), F.lit(0)) if t == "long" else F.col(n)).cast(t).alias(n) for n, t in PROFILE.items()],
         "language_distribution", "top_years", "top_journals", counts.alias("collection_stats"))
 
 
@@ -156,6 +171,20 @@ def category_frequencies(labelled: DataFrame, categories_str: str = "level1_cate
     return names.groupBy("category").agg(F.sum("n").cast("long").alias("count"))
 
 
+# ---------------------------------------------------------------- D24
+def distinct_sketches(df: DataFrame, keys: list[str], value: Column | str, lg_k: int = 12) -> DataFrame:
+    """``keys, sketch``: a mergeable count of the distinct values per group, at
+    most ``2 ** lg_k`` bytes or so however many there are.  Null values count
+    for nothing.  Kept per year or strategy, new rows need only their own."""
+    return df.groupBy(*keys).agg(F.hll_sketch_agg(_col(value), F.lit(lg_k)).alias("sketch"))
+
+
+def distinct_estimates(sketches: DataFrame, keys: list[str]) -> DataFrame:
+    """``keys, distinct`` of sketches merged over all other columns.  The
+    standard error is about ``1.04 / sqrt(2 ** lg_k)``: 1.6 % for 12."""
+    return sketches.groupBy(*keys).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch", F.lit(False))).alias("distinct"))
+
+
 # ---------------------------------------------------------------- D14
 def text_profile(df: DataFrame, column: str, processed: str) -> DataFrame:
     """Non-null count and mean length before; non-empty count and mean

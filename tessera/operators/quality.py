@@ -89,6 +89,14 @@ def date_in_years(date: Column | str, lo: int, hi: int) -> Column:
     return (d >= F.to_timestamp_ntz(F.lit(f"{lo:04d}-01-01"))) & (d < F.to_timestamp_ntz(F.lit(f"{hi + 1:04d}-01-01")))
 
 
+def in_listed_years(articles: DataFrame, years: DataFrame, year_col: str = "year") -> DataFrame:
+    """C6 on a dataset in year folders (L1): articles of the years of a small
+    table.  The list's values reach the scan before it starts (dynamic partition
+    pruning), so the folders of other years are not read."""
+    listed = years.select(F.col(year_col).alias(year_col)).where(F.col(year_col) > 0).distinct()
+    return articles.join(listed, year_col)
+
+
 def member_of(df: DataFrame, key: str, values: DataFrame, values_key: str) -> DataFrame:
     """Rows whose ``key`` is in a list table (left semi join)."""
     return semi_join(df, values.select(F.col(values_key).alias(key)), key)

@@ -1,4 +1,4 @@
-"""Driver queries Q01-Q30: each is ``(spark, sf_dir) -> DataFrame`` over the
+"""Driver queries Q01-Q61: each is ``(spark, sf_dir) -> DataFrame`` over the
 driver's parquet tables, composed from the library operators through the
 stand-in mappings of :mod:`tessera.plans.mappings`.
 
@@ -833,3 +833,9 @@ QUERIES.update({
     "q48_category_csv": q48_category_csv,
     "q49_corpus_statistics": q49_corpus_statistics,
 })
+
+
+# ---------------------------------------------------------------- Q51-Q61: files written and read back
+from tessera.plans import roundtrips  # noqa: E402
+
+QUERIES.update(roundtrips.QUERIES)

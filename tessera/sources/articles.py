@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tessera import fixed_values as fv
 from tessera.functions import text as tx
+from tessera.sources.json_split import array_elements
 
 ARTICLE_SCHEMA = """
 pmid string, title string,
@@ -57,17 +58,21 @@ QUALITY_FILTERS = ["has_abstract", "has_mesh_terms", "copyright_free"]
 # ---------------------------------------------------------------- A1
 def read_article_dataset(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame, DataFrame]:
     """A1: one JSON document ``{metadata, statistics, articles[]}`` ->
-    ``(articles, metadata, statistics)``.  A single JSON document is one
-    input split; large corpora should use :func:`read_articles` (JSONL/parquet)."""
+    ``(articles, metadata, statistics)``.  The document is parsed by one task;
+    articles of a large one are read with :func:`read_articles`."""
     doc = spark.read.schema(DATASET_SCHEMA).option("multiLine", True).option("mode", "FAILFAST").json(path)
     articles = doc.select(F.explode("articles").alias("a")).select("a.*")
     return articles, doc.select("metadata.*"), doc.select("statistics.*")
 
 
 def read_articles(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
-    """A1 at scale: one article per JSON line, or a parquet table."""
+    """A1 at scale: one article per JSON line, a parquet table, or (``document``)
+    the ``articles`` of one or more JSON documents, each read by many tasks."""
     if fmt == "parquet":
         return spark.read.parquet(path)
+    if fmt == "document":
+        parsed = array_elements(spark, path, "articles").select(F.from_json("json", ARTICLE_SCHEMA, {"mode": "FAILFAST"}).alias("a"))
+        return parsed.select("a.*")
     return spark.read.schema(ARTICLE_SCHEMA).json(path)
 
 
