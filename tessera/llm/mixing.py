@@ -37,12 +37,16 @@ def _value(c: Column) -> Column:
     return F.coalesce(F.concat(F.lit("="), c.cast("string")), F.lit(""))
 
 
-def margin_targets(cells: DataFrame, margin: str, aim: float | Mapping[str, float]) -> DataFrame:
+def margin_targets(cells: DataFrame, margin: str, aim: float | Mapping[str, float] | DataFrame) -> DataFrame:
     """Rows ``value, target`` with shares that sum to 1.  ``aim`` is a power
     (targets are own tokens to that power: 1 keeps the mix, 0 makes all values
-    equal) or weights by name; values not named then have weight 0."""
+    equal), weights by name, or a table ``value, weight`` with a value once
+    (null stands for null); values not named then have weight 0."""
     own = cells.groupBy(F.col(margin).alias("value")).agg(F.sum("tokens").alias("own")).filter("own > 0")
-    if isinstance(aim, Mapping):
+    if isinstance(aim, DataFrame):
+        own = own.join(aim.select(_value(F.col("value")).alias("value"), F.col("weight").cast("double").alias("asked")), "value", "left")
+        weight = F.coalesce("asked", F.lit(0.0))
+    elif isinstance(aim, Mapping):
         weight = F.lit(0.0)
         for name, w in aim.items():
             weight = F.when(F.col("value") == F.lit("=" + name), F.lit(float(w))).otherwise(weight)
@@ -55,9 +59,10 @@ def margin_targets(cells: DataFrame, margin: str, aim: float | Mapping[str, floa
 
 def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float = 1e-6, max_rounds: int = 100) -> DataFrame:
     """``cells`` (margins, ``tokens``) plus ``raked``: tokens scaled so that the
-    sums along each margin have the target shares.  Ends when no share is off
-    by more than ``tolerance`` of its target, or when a round brings no gain
-    (targets that contradict each other), or after ``max_rounds``."""
+    sums along each margin have the target shares, and ``gap``, by how much of
+    its target the share that is off most misses it.  Ends when ``gap`` is at
+    most ``tolerance``, when a round brings no gain (targets that contradict
+    each other), or after ``max_rounds``; a larger ``gap`` tells of the last two."""
     total = cells.agg(F.sum("tokens")).first()[0] or 0
     state, off = stage(cells.withColumn("raked", F.col("tokens").cast("double")), "raked"), float("inf")
     for _ in range(max_rounds if total else 0):
@@ -75,7 +80,7 @@ def rake(cells: DataFrame, targets: Mapping[str, DataFrame], tolerance: float =
         before, off = off, max(gaps)
         if off <= tolerance or off >= before:
             break
-    return state
+    return state.withColumn("gap", F.lit(float(off) if total else 0.0))
 
 
 def scale_to(cells: DataFrame, rate: float) -> float:
@@ -100,11 +105,13 @@ RATE = 0.75
 AIMS = {"source": 0.8, "lang": 0.9, "topic": 0.95}
 
 
-def sample_documents(docs: DataFrame, aims: Mapping[str, float | Mapping[str, float]] = AIMS, text: str = "text",
+def sample_documents(docs: DataFrame, aims: Mapping[str, float | Mapping[str, float] | DataFrame] = AIMS, text: str = "text",
                      doc_id: str = "doc_id", source: str = "source", lang: str = "lang", topic: Column | None = None,
                      seed: int = 42, rate: float | None = None) -> DataFrame:
     """``docs`` plus ``topic``, ``n_tokens`` (words), ``weight`` (raked over own
-    tokens of the document's cell), ``probability`` and ``sampled``.
+    tokens of the document's cell), ``probability``, ``sampled`` and
+    ``target_gap``, the same in all rows: how far the raking stayed from the
+    target it missed most, as a share of it (see :func:`rake`).
 
     With a ``rate`` the expected tokens of the sample are that share of all
     tokens: probabilities are weights times one factor, 1 at most, so a cell
@@ -115,8 +122,8 @@ def sample_documents(docs: DataFrame, aims: Mapping[str, float | Mapping[str, fl
     Null sources and languages are values of their own; a document without a
     word costs no tokens and is kept; equal ids with equal texts are drawn
     alike; an empty table gives an empty table; columns of ``docs`` with one of
-    the five names are replaced."""
-    names = ["topic", "n_tokens", "weight", "probability", "sampled"]
+    the six names are replaced."""
+    names = ["topic", "n_tokens", "weight", "probability", "sampled", "target_gap"]
     plain = docs.drop(*names)
     rows = plain.withColumns({
         "topic": topic_of(F.col(text)) if topic is None else topic, "n_tokens": F.size(words(F.col(text))).cast("long")})
@@ -126,7 +133,7 @@ def sample_documents(docs: DataFrame, aims: Mapping[str, float | Mapping[str, fl
     targets = {m: stage(margin_targets(cells, m, aims[m]), f"target_{m}") for m in MARGINS if m in aims}
     raked = rake(cells, targets)
     weighed = raked.select(*[F.col(m).alias(k) for k, m in zip(key, MARGINS)],
-                           "tokens", F.when(F.col("tokens") > 0, F.col("raked") / F.col("tokens")).alias("weight"))
+                           "tokens", F.when(F.col("tokens") > 0, F.col("raked") / F.col("tokens")).alias("weight"), F.col("gap").alias("target_gap"))
     if rate is None:
         factor = 1 / (weighed.agg(F.max("weight")).first()[0] or 1.0)
     else:
@@ -138,4 +145,4 @@ def sample_documents(docs: DataFrame, aims: Mapping[str, float | Mapping[str, fl
     return (rows.join(cell, key, "left").drop(*key)
             .withColumn("probability", F.when(free, F.lit(1.0)).otherwise(F.coalesce("probability", F.lit(0.0))))
             .withColumn("sampled", draw < F.col("probability"))
-            .select(*plain.columns, "topic", "n_tokens", "weight", "probability", "sampled"))
+            .select(*plain.columns, *names))

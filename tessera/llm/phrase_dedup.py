@@ -335,11 +335,11 @@ def remove_repeats(docs: DataFrame, text: str = "text", doc_id: str = "doc_id",
     table = stage(phrase_table(source, window, phrase), "phrases")
     each = table.filter("doc_id IS NOT NULL").select("doc_id", "text_key", F.explode("phrases").alias("p")).select("doc_id", "text_key", "p.*")
     shared = stage(each.groupBy("h").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high")).filter("low < high").select("h"), "shared_phrases")
-    marked = each.join(shared, "h").groupBy("doc_id", "text_key").agg(
-        F.array_distinct(F.collect_list(F.struct("h", "at", "first", "n"))).alias("phrases"))
+    # a set, and one row of equal ones: a row that is repeated very often is looked at once
+    marked = each.join(shared, "h").groupBy("doc_id", "text_key").agg(F.collect_set(F.struct("h", "at", "first", "n")).alias("phrases"))
     renamed = marked.select(F.col("doc_id").alias("d"), F.col("text_key").alias("k"), "phrases")
     touched = stage(source.join(renamed, (source["doc_id"] == F.col("d")) & (source["text_key"] == F.col("k")))
-                    .select("doc_id", "text_key", "text", "phrases"), "touched_documents")
+                    .select("doc_id", "text_key", "text", F.array_sort("phrases").alias("phrases")).dropDuplicates(["doc_id", "text_key"]), "touched_documents")
 
     id_type = touched.schema["doc_id"].dataType.simpleString()
     windows = touched.select("doc_id", "text", "phrases").mapInArrow(_windows_of(window), f"h long, w long, doc_id {id_type}")

@@ -29,7 +29,7 @@ def op4_packing(spark, sf_dir):
 
 def op5_mixing(spark, sf_dir):
     drawn = mixing.sample_documents(table(spark, sf_dir, "documents"), rate=mixing.RATE)
-    return drawn.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
+    return drawn.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled", "target_gap")
 
 
 def op6_url_filter(spark, sf_dir):

@@ -99,6 +99,21 @@ def choose_words(pos: list[np.ndarray], unl: list[np.ndarray], max_words: int, m
     return np.sort(words[best[z[best] >= min_z]])
 
 
+def risk_gradient(pos: _Rows, unl: _Rows, theta: np.ndarray, prior: float, decay: float) -> np.ndarray:
+    """Gradient by ``theta`` (weights, then the bias) of the non-negative risk
+    and ``decay / 2`` times the squared weights.  While the estimate of the
+    clean texts' risk is below zero it is that of minus this estimate alone, which climbs back out."""
+    size = len(theta) - 1
+    sp, su = (_sigmoid(r.logits(theta[:size], theta[size])) for r in (pos, unl))
+    clean = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
+    toxic_g = prior * (sp - 1) / pos.n
+    clean_p, clean_u = -prior * sp / pos.n, su / unl.n
+    if clean < 0:
+        toxic_g, clean_p, clean_u = 0 * toxic_g, -clean_p, -clean_u
+    gp, gu = toxic_g + clean_p, clean_u
+    return np.append(pos.gradient(gp, size) + unl.gradient(gu, size) + decay * theta[:size], gp.sum() + gu.sum())
+
+
 def train(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, max_words: int = 20_000, models: int = 3,
           steps: int = 400, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> Model:
     """Mean of ``models`` logistic models, each trained with Adam on the
@@ -112,14 +127,7 @@ def train(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, max_words:
         theta, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
         theta[size] = np.log(prior / (1 - prior))
         for t in range(1, steps + 1):
-            sp, su = (_sigmoid(r.logits(theta[:size], theta[size])) for r in (p, u))
-            clean = -np.log1p(-np.minimum(su, 1 - 1e-12)).mean() + prior * np.log1p(-np.minimum(sp, 1 - 1e-12)).mean()
-            toxic_g = prior * (sp - 1) / p.n
-            clean_p, clean_u = -prior * sp / p.n, su / u.n
-            if clean < 0:  # climb back out of the estimate that cannot be
-                toxic_g, clean_p, clean_u = 0 * toxic_g, -clean_p, -clean_u
-            gp, gu = toxic_g + clean_p, clean_u
-            g = np.append(p.gradient(gp, size) + u.gradient(gu, size) + decay * theta[:size], gp.sum() + gu.sum())
+            g = risk_gradient(p, u, theta, prior, decay)
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-9)
         total += theta / models
@@ -127,12 +135,15 @@ def train(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, max_words:
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
-        max_positives: int = 3500, max_unlabelled: int = 9000, prior: float | None = None, seed: int = 7) -> Model | None:
+        max_positives: int = 4000, max_unlabelled: int = 12_000, prior: float | None = None, seed: int = 7) -> Model | None:
     """A model from the rows that are not held out; None without a positive.
 
     ``prior`` is the share of toxic texts; by default that of the labelled
     rows learned from.  Documents with several labels count as toxic if one
-    says so; null ids and null labels are not learned from."""
+    says so; null ids and null labels are not learned from.  Texts are null,
+    empty or of any length: a text counts by the set of its words.  Repeated
+    rows are drawn together.  At most about ``max_positives`` and
+    ``max_unlabelled`` texts, drawn by hashes of ids, reach the driver."""
     seen = labels.filter(~held_out(F.col(doc_id)) & F.col(doc_id).isNotNull() & F.col(label).isNotNull())
     marked = seen.groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("toxic"))
     n_marked, n_toxic = marked.agg(F.count(F.lit(1)), F.count_if(F.col("toxic") == 1)).first()

@@ -19,7 +19,7 @@ from tessera.llm.components import connected_components
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
 #: Columns that operators use or return, as strings: none may be disturbed.
-CLASHING = ("host path rule verdict n_blocking topic n_tokens weight probability sampled n_words piece start length ids_crc32 sequence_id "
+CLASHING = ("host path rule verdict n_blocking topic n_tokens weight probability sampled target_gap n_words piece start length ids_crc32 sequence_id "
             "offset fingerprint fp component_id text_key found kind end spans score predicted held_out h w row v n_bytes over_limit "
             "lines removed kept bucket id a b u token raw shard home near n_links base_failed n_removed").split()
 
@@ -405,6 +405,26 @@ def test_literal_tokens_are_whole_tokens_only():
 
 
 # ---------------------------------------------------------------- operator 2
+def test_patterns_read_alike_in_columns(spark):
+    more = ["", "a", "*", "||", "||a*b.c^", "x^y*z/w-v", "é|q$(1)", "abc*def", "/p.q?r=s&t", "^^", "||Ab.c/", "a||b"]
+    rules = [(v, p) for v, p in url_rules.PATTERN_RULES] + [("block", p) for p in more]
+    got = {r["rule_no"]: r for r in url_rules.pattern_rules(spark, rules).coalesce(1).collect()}
+    told = sorted((r["verdict"], r["regex"], tuple(sorted(r["tokens"]))) for r in got.values())
+    assert told == sorted((v, url_rules.pattern_regex(p), tuple(url_rules.literal_tokens(p))) for v, p in rules)
+
+
+def test_a_hundred_thousand_rules(spark):
+    rules = spark.range(100_000).select(F.lit("block").alias("verdict"), F.concat(F.lit("||site"), "id", F.lit(".example^")).alias("pattern"))
+    rules = rules.unionByName(spark.createDataFrame([("block", "*never*"), ("block", "tail*"), ("allow", "/ok/"), ("block", None)], "verdict string, pattern string"))
+    hosts = spark.createDataFrame([("allow", "kept.site7.example/"), ("block", "org/")], "verdict string, rule string")
+    urls = ["http://site7.example/a", "http://www.site99999.example/ok/", "http://site100000.example/", "http://xsite7.example/", "http://kept.site7.example/z",
+            "http://a.org/x", "http://b.com/tail", "http://b.com/"]
+    df = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    got = {r["page_id"]: (r["verdict"], r["n_blocking"], r["rule"]) for r in url_rules.judge_urls(df, hosts, rules).collect()}
+    assert got == {0: ("block", 1, None), 1: ("allow", 1, None), 2: ("allow", 0, None), 3: ("allow", 0, None), 4: ("allow", 1, "kept.site7.example/"),
+                   5: ("block", 0, "org/"), 6: ("block", 1, None), 7: ("allow", 0, None)}
+
+
 def test_toxicity_on_given_documents(spark):
     sf = SF001.replace("0.001", "0.1")
     got = queries.op2_toxicity(spark, sf)
@@ -424,6 +444,33 @@ def test_held_out_labels_are_not_used(spark):
     assert collected(toxicity.score_documents(docs, labels)) == collected(toxicity.score_documents(docs, turned))
 
 
+def test_risk_gradient_is_that_of_the_plain_risk():
+    rng = np.random.default_rng(4)
+    words = np.arange(6, dtype=np.int64) * 10
+    draw = lambda n: [np.sort(rng.choice(np.append(words, 7), size=rng.integers(0, 5), replace=False)) for _ in range(n)]
+    pos, unl = draw(9), draw(14)
+    sides = toxicity._Rows(pos, words), toxicity._Rows(unl, words)
+
+    def plain(theta, prior, decay):
+        """Non-negative risk: prior * R+(+) + max(0, Ru(-) - prior * R+(-)); below zero, minus the bracket alone."""
+        score = lambda d: theta[6] + sum(theta[i] for i, w in enumerate(words) if w in d)
+        loss = lambda z: np.log1p(np.exp(-z))
+        toxic = prior * np.mean([loss(score(d)) for d in pos])
+        clean = np.mean([loss(-score(d)) for d in unl]) - prior * np.mean([loss(-score(d)) for d in pos])
+        return (toxic + clean if clean >= 0 else -clean) + decay / 2 * (theta[:6] ** 2).sum(), clean
+
+    signs = set()
+    for prior in (0.2, 0.9):
+        for _ in range(6):
+            theta = rng.normal(size=7) * 2 + (3 if prior > 0.5 else 0) * (np.arange(7) == 6)
+            got = toxicity.risk_gradient(*sides, theta, prior, 0.01)
+            signs.add(plain(theta, prior, 0.01)[1] >= 0)
+            step = 1e-6 * np.eye(7)
+            want = [(plain(theta + s, prior, 0.01)[0] - plain(theta - s, prior, 0.01)[0]) / 2e-6 for s in step]
+            assert np.allclose(got, want, atol=1e-6)
+    assert signs == {True, False}
+
+
 def test_toxicity_of_odd_rows(spark, odd, empty):
     labels = spark.createDataFrame([(5, 1), (5, 0), (8, 0), (None, 1), (9, None), (14, 1)], "doc_id long, toxic int")
     got = toxicity.score_documents(odd, labels).collect()
@@ -470,6 +517,34 @@ def test_a_rare_source_does_not_shrink_the_rest(spark):
     assert drawn == pytest.approx(mixing.RATE)
 
 
+def test_raking_against_numpy(spark):
+    rng = np.random.default_rng(3)
+    tokens = rng.integers(1, 1000, size=(4, 3, 2)) * (rng.random((4, 3, 2)) < 0.85)
+    rows = [(f"s{i}", f"l{j}", f"t{k}", int(tokens[i, j, k])) for i in range(4) for j in range(3) for k in range(2) if tokens[i, j, k]]
+    cells = spark.createDataFrame([("=" + a, "=" + b, "=" + c, n) for a, b, c, n in rows], "source string, lang string, topic string, tokens long")
+    aims = {"source": 0.5, "lang": {"l0": 2.0, "l1": 1.0, "l2": 1.0}, "topic": spark.createDataFrame([("t0", 3), ("t1", 1), ("none", 5)], "value string, weight int")}
+    got = mixing.rake(cells, {m: mixing.margin_targets(cells, m, aims[m]) for m in mixing.MARGINS}, tolerance=1e-9)
+    x, total = tokens.astype(float), tokens.sum()
+    own = tokens.sum(axis=(1, 2)) ** 0.5
+    want = [own / own.sum(), np.array([0.5, 0.25, 0.25]), np.array([0.75, 0.25])]
+    for _ in range(2000):
+        for axis in range(3):
+            others = tuple(a for a in range(3) if a != axis)
+            x = x * np.expand_dims(want[axis] * total / x.sum(axis=others), others)
+    found = {(r["source"], r["lang"], r["topic"]): r["raked"] for r in got.collect()}
+    assert all(found["=" + a, "=" + b, "=" + c] == pytest.approx(x[int(a[1]), int(b[1]), int(c[1])], rel=1e-6) for a, b, c, _ in rows)
+    assert got.first()["gap"] <= 1e-9
+
+
+def test_targets_that_contradict_each_other_are_told(spark):
+    rows = [(i, "a b c", "en", "x" if i % 2 else "y", 5) for i in range(40)]
+    df = spark.createDataFrame(rows, DOCS)
+    topic = F.when(F.col("source") == "x", "p").otherwise("q")  # the same split twice
+    clash = mixing.sample_documents(df, {"source": {"x": 1, "y": 1}, "topic": {"p": 9, "q": 1}}, topic=topic)
+    assert clash.agg(F.min("target_gap")).first()[0] > 0.1
+    assert mixing.sample_documents(df, {"source": {"x": 1, "y": 1}, "topic": {"p": 1, "q": 1}}, topic=topic).agg(F.max("target_gap")).first()[0] <= 1e-6
+
+
 def test_mixing_of_odd_rows(odd, empty):
     got = mixing.sample_documents(odd)
     rows = got.collect()
