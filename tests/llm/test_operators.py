@@ -631,10 +631,23 @@ def test_pipeline(spark):
 
 
 def test_pipeline_of_odd_rows(spark):
-    df = spark.createDataFrame(odd_rows(), DOCS)
-    for name, apply in corpus_pipeline.STAGES:
-        df = corpus_pipeline.stage(apply(spark, df, None), name)
-    assert df.columns[:2] == ["doc_id", "piece"]
+    mine = [c for c in CLASHING if c not in ("text", "source", "lang")]
+    seen = spark.createDataFrame(odd_rows(), DOCS).withColumns({c: F.concat(F.lit("mine "), F.coalesce(F.col("doc_id").cast("string"), F.lit("-"))) for c in mine})
+    columns, texts = seen.columns, by_id(odd_rows())
+    good = {d for d, t in texts.items() if (m := brute.line_measures(t))[0] >= 50 and 2 * m[4] <= m[0]}
+    prints = {d: brute.simhash(texts[d]) for d in good}
+    apart = set(brute.components([(a, b) for a in prints for b in prints if (prints[a] ^ prints[b]).bit_count() <= 3], prints).values())
+    want = {"quality_rules": good, "near_duplicates": apart, "secret_scan": apart}
+    for name, apply in corpus_pipeline.STAGES[:-1]:
+        seen = corpus_pipeline.stage(apply(spark, seen, None), name)
+        rows = seen.collect()
+        assert seen.columns == columns and all(r[c] == f"mine {'-' if r['doc_id'] is None else r['doc_id']}" for r in rows for c in mine)
+        assert {r["doc_id"] for r in rows} - {None} == want.get(name, {r["doc_id"] for r in rows} - {None})
+        assert all(r["n_chars"] == len(r["text"]) for r in rows) or name == "source_mixing"
+    assert {r["doc_id"] for r in rows} <= apart | {None}
+    pieces = corpus_pipeline.sequence_packing(spark, seen, None)
+    n, least = packed_well(pieces.collect(), [(r["doc_id"], r["text"]) for r in rows], 2048)
+    assert pieces.columns[:2] == ["doc_id", "piece"] and n <= least + 1
     none = spark.createDataFrame([], DOCS)
     for name, apply in corpus_pipeline.STAGES:
         none = corpus_pipeline.stage(apply(spark, none, None), name)
