@@ -12,32 +12,57 @@ from tessera.llm import line_quality, mixing, packing, secret_links, simhash_blo
 from tessera.llm.common import stage, table
 
 
+def with_lengths(docs, changed):
+    """``changed`` with ``n_chars`` counted anew and the columns of ``docs``."""
+    return changed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+
+
 def quality_rules(spark, docs, sf_dir):
     """Cuts out lines that too many documents of their host share, and drops
-    documents that fail the base rules or are depleted by that."""
-    left = line_quality.reject_documents(docs, **line_quality.NOTICES)
-    return left.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    documents that fail the base rules or are depleted by that.
+
+    Null and empty texts fail the base rules and go; a null host is a host;
+    repeated rows share one fate; of an empty table nothing is left; columns
+    other than text and n_chars stay as they are, whatever their names."""
+    return with_lengths(docs, line_quality.reject_documents(docs, **line_quality.NOTICES))
 
 
 def near_duplicates(spark, docs, sf_dir):
-    """Keeps the document of smallest id of every SimHash component."""
+    """Keeps the document of smallest id of every SimHash component.
+
+    Texts without a word (null, empty) are alike; of rows with the same id and
+    text one stays; a component without any id keeps a row for each
+    fingerprint; an empty table stays empty; no column is changed."""
     return simhash_blocks.keep_one(docs, shingle=3, distance=3)
 
 
 def secret_scan(spark, docs, sf_dir):
-    """Replaces every reported secret by a mark; no document is dropped."""
-    clean = secret_links.redact(docs)
-    return clean.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(*docs.columns)
+    """Replaces every reported secret by a mark; no document is dropped.
+
+    Null texts stay null, empty ones empty; repeated rows are changed alike; an
+    empty table stays empty; columns other than text and n_chars are kept."""
+    return with_lengths(docs, secret_links.redact(docs))
 
 
 def source_mixing(spark, docs, sf_dir):
-    """Keeps the documents sampled by the raked weights of their cells."""
-    return mixing.sample_documents(docs, rate=mixing.RATE).filter("sampled").select(*docs.columns)
+    """Keeps the documents sampled by the raked weights of their cells.
+
+    Texts without a word cost nothing and stay; null sources and languages are
+    values; rows of equal id and text are drawn alike; an empty table stays
+    empty.  The operator works on columns under names of its own, so that it
+    replaces none of the input's."""
+    own = {c: f"__in{i}" for i, c in enumerate(docs.columns)}
+    drawn = mixing.sample_documents(docs.withColumnsRenamed(own), text=own["text"], doc_id=own["doc_id"], source=own["source"], lang=own["lang"], rate=mixing.RATE)
+    return drawn.filter("sampled").select(*(F.col(name).alias(c) for c, name in own.items()))
 
 
 def sequence_packing(spark, docs, sf_dir):
     """Token pieces of every document with their ids and their places in the
-    sequences, which packing.assemble puts together."""
+    sequences, which packing.assemble puts together.
+
+    Null and empty texts are one piece with the closing id; long ones are cut;
+    repeated rows and null ids are packed each by itself; of an empty table
+    there are no pieces; other columns of the documents are left out."""
     return packing.pack_documents(docs)
 
 
