@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
+import types
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -40,6 +43,16 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def kept_by_worker(name: str, make: Callable[[], object]) -> object:
+    """What ``make`` gives, made once in a Python worker and kept for its later
+    tasks.  Functions come to a worker with every task anew, so it is kept
+    under a module name of its own; it must not grow without bound."""
+    held = sys.modules.setdefault("tessera_worker_state", types.ModuleType("tessera_worker_state")).__dict__
+    if name not in held:
+        held[name] = make()
+    return held[name]
+
+
 def words(text: Column) -> Column:
     """Words ``[^\\x20\\x09-\\x0D]+`` of ``text``, unchanged; null gives none."""
     return F.array_remove(F.split(F.coalesce(text, F.lit("")), SPACE_CLASS), "")

@@ -22,6 +22,7 @@ import os
 import re
 from collections import Counter
 from collections.abc import Iterator
+from struct import pack as pack_ids
 from zlib import crc32
 
 import numpy as np
@@ -31,7 +32,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tessera.llm.common import stage
+from tessera.llm.common import kept_by_worker, stage
 
 CAPACITY = 2048
 
@@ -55,7 +56,7 @@ class WordIds:
     """Ids of whole texts for a tokenizer that merges inside words only: the
     ids of a text are those of its words, which are looked up."""
 
-    def __init__(self, path: str, max_lookup: int = 500_000):
+    def __init__(self, path: str, max_lookup: int = 1_000_000):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
@@ -87,10 +88,11 @@ class WordIds:
         ended = {w: w[:-1] for w in words.difference(plain) if w.endswith((".", ",")) and self.is_plain(w[:-1])}
         for w in plain.union(ended.values()).difference(self.ids):
             letters = w if w.isascii() else "".join([self.letter[b] for b in w.encode()])
-            self.ids[w] = np.array([t.id for t in self.merge(letters)], dtype="<u4").tobytes()
+            found = [t.id for t in self.merge(letters)]
+            self.ids[w] = pack_ids(f"<{len(found)}I", *found)
         others = list(words.difference(plain, ended).union(".,"))
         for w, e in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False)):
-            self.ids[w] = np.array(e.ids, dtype="<u4").tobytes()
+            self.ids[w] = pack_ids(f"<{len(e.ids)}I", *e.ids)
         for w, stem in ended.items():
             self.ids[w] = self.ids[stem] + self.ids[w[-1]]
 
@@ -114,7 +116,8 @@ def token_pieces(docs: DataFrame, file_name: str = "word_bpe_49k.json", capacity
         import public_tokenizers
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        ids = WordIds(public_tokenizers.path(file_name))
+        path = public_tokenizers.path(file_name)
+        ids = kept_by_worker(f"word ids of {path}", lambda: WordIds(path))  # its words are those of many tasks
         for batch in batches:
             owner, piece, length, parts, sums = [], [], [], [], []
             for i, t in enumerate(batch.column(1)):
