@@ -1,19 +1,27 @@
 """Toxicity by non-negative positive-unlabelled learning (operator 2).
 
-Confirmed toxic texts are the positives; the unlabelled set is a sample of all
-texts, toxic ones among them.  With the class prior p, the risk of a scorer is
+Confirmed toxic texts are the positives; the unlabelled set is every text that
+is not held out, toxic ones among them.  With the class prior p, the risk of a
+scorer is
 
     p * R_pos(+) + max(0, R_unl(-) - p * R_pos(-))
 
 and the maximum keeps the estimate of the clean texts' risk from going below
 zero, which is where a flexible model would start to learn the positives by
-heart.  Models are logistic, over the presence of words; they are trained with
-numpy on bounded samples (``max_positives``, ``max_unlabelled``) and their
-weights, at most ``max_words``, go to every task.
+heart.  Models are logistic, over the presence of words.
+
+Words are counted over all these texts by one aggregation, and those whose
+shares differ between positives and all texts are the inputs.  Texts, as lists
+of such words, are then dealt by hash to blocks of about ``block`` texts.  Each
+block trains models with numpy on its own texts against the same positives (a
+sample of at most ``max_positives`` labelled texts), and the model is the mean
+of all blocks' weights.  So every text is learned from, a task holds one block
+at a time, and the driver gets the positives' word lists and one weight a word.
 """
 
 from __future__ import annotations
 
+import math
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -24,7 +32,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tessera.llm.common import stage, text_key
+
 LETTERS = re.compile(r"[^\W\d_]+")
+UNIT = 1 << 30  # weights are summed as whole multiples of 1 / UNIT, so their order does not matter
+MAX_TASKS = 1 << 14
 
 
 def word_hashes(text: str | None) -> set[int]:
@@ -82,21 +94,33 @@ class _Rows:
         return np.bincount(self.index, weights=g[self.row], minlength=size)
 
 
-def choose_words(pos: list[np.ndarray], unl: list[np.ndarray], max_words: int, min_docs: int = 5, min_z: float = 4.0) -> np.ndarray:
-    """Words whose share of the positives and of the unlabelled texts differ by
-    at least ``min_z`` standard errors; the ``max_words`` that differ most."""
-    both = np.concatenate([*pos, *unl, np.zeros(0, dtype=np.int64)])
-    words, count = np.unique(both, return_counts=True)
-    words = words[count >= min_docs]
-    a, b = (np.isin(words, []) + np.zeros(len(words)) for _ in range(2))
-    for docs, out in ((pos, a), (unl, b)):
-        w, n = np.unique(np.concatenate([*docs, np.zeros(0, dtype=np.int64)]), return_counts=True)
-        out += np.where(np.isin(words, w), n[np.minimum(np.searchsorted(w, words), max(len(w) - 1, 0))] if len(w) else 0, 0)
-    share = (a + b) / (len(pos) + len(unl))
-    error = np.sqrt(share * (1 - share) * (1 / len(pos) + 1 / len(unl))) + 1e-12
-    z = np.abs(a / len(pos) - b / len(unl)) / error
-    best = np.argsort(-z, kind="stable")[:max_words]
-    return np.sort(words[best[z[best] >= min_z]])
+def differing_words(texts: DataFrame, max_words: int = 20_000, min_docs: int = 5, min_z: float = 4.0) -> np.ndarray:
+    """Sorted hashes of the words of ``texts`` (``pos, text``) whose shares of
+    the rows with ``pos`` and of all rows differ by at least ``min_z`` standard
+    errors and which at least ``min_docs`` rows hold (those with ``pos`` count
+    twice); of more than ``max_words`` those that differ most."""
+    n_pos, n_all = texts.agg(F.count_if("pos"), F.count(F.lit(1))).first()
+    if not n_pos:
+        return np.zeros(0, dtype=np.int64)
+    counts = (texts.select("pos", F.explode(_features("text")).alias("word")).groupBy("word")
+              .agg(F.count_if("pos").alias("a"), F.count(F.lit(1)).alias("b")).filter(F.col("a") + F.col("b") >= min_docs))
+    share = (F.col("a") + F.col("b")) / float(n_pos + n_all)
+    error = F.sqrt(share * (1 - share) * (1 / n_pos + 1 / n_all)) + 1e-12
+    z = F.abs(F.col("a") / n_pos - F.col("b") / n_all) / error
+    best = counts.select("word", z.alias("z")).filter(F.col("z") >= min_z).orderBy(F.desc("z"), "word").limit(max_words)
+    return np.sort(np.array([r["word"] for r in best.collect()], dtype=np.int64))
+
+
+def _places(words: np.ndarray, text: Column) -> Column:
+    """Places in ``words`` of a text's words: ascending 32-bit numbers."""
+
+    @F.pandas_udf(T.BinaryType())
+    def places(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        place = dict(zip(words.tolist(), range(len(words))))
+        for texts in batches:
+            yield pd.Series([np.array(sorted(place[h] for h in place.keys() & word_hashes(t)), dtype="<i4").tobytes() for t in texts], dtype=object)
+
+    return places(text)
 
 
 def risk_gradient(pos: _Rows, unl: _Rows, theta: np.ndarray, prior: float, decay: float) -> np.ndarray:
@@ -114,16 +138,16 @@ def risk_gradient(pos: _Rows, unl: _Rows, theta: np.ndarray, prior: float, decay
     return np.append(pos.gradient(gp, size) + unl.gradient(gu, size) + decay * theta[:size], gp.sum() + gu.sum())
 
 
-def train(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, max_words: int = 20_000, models: int = 3,
-          steps: int = 400, rate: float = 0.05, decay: float = 1e-4, seed: int = 7) -> Model:
-    """Mean of ``models`` logistic models, each trained with Adam on the
-    non-negative risk over its own bootstrap of the texts."""
-    words = choose_words(pos, unl, max_words)
-    size, total = len(words), np.zeros(len(words) + 1)
+def train(pos: list[np.ndarray], unl: list[np.ndarray], size: int, prior: float, models: int = 3, steps: int = 400,
+          rate: float = 0.05, decay: float = 1e-4, seed: int | tuple[int, ...] = 7) -> np.ndarray:
+    """``size`` weights, then the bias: the mean of ``models`` logistic models,
+    each trained with Adam on the non-negative risk over its own bootstrap of
+    the texts, which are lists of places below ``size``."""
+    total, own = np.zeros(size + 1), np.arange(size)
     rng = np.random.default_rng(seed)
     for _ in range(models):
-        p = _Rows([pos[i] for i in rng.integers(0, len(pos), len(pos))], words)
-        u = _Rows([unl[i] for i in rng.integers(0, len(unl), len(unl))], words)
+        p = _Rows([pos[i] for i in rng.integers(0, len(pos), len(pos))], own)
+        u = _Rows([unl[i] for i in rng.integers(0, len(unl), len(unl))], own)
         theta, m, v = np.zeros(size + 1), np.zeros(size + 1), np.zeros(size + 1)
         theta[size] = np.log(prior / (1 - prior))
         for t in range(1, steps + 1):
@@ -131,19 +155,38 @@ def train(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, max_words:
             m, v = 0.9 * m + 0.1 * g, 0.999 * v + 0.001 * g * g
             theta -= rate * (m / (1 - 0.9 ** t)) / (np.sqrt(v / (1 - 0.999 ** t)) + 1e-9)
         total += theta / models
-    return Model(words, total[:size], float(total[size]))
+    return total
+
+
+def train_blocks(texts: DataFrame, n_texts: int, pos: list[np.ndarray], size: int, prior: float, block: int, seed: int) -> np.ndarray:
+    """Mean of the weights that ``train`` finds on each block of ``texts``
+    (``key, places``); texts are dealt to blocks by a hash of their key."""
+    n_blocks = max(1, math.ceil(n_texts / block))
+
+    def learn(part: tuple, rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values(["key", "places"])
+        theta = train(pos, [np.frombuffer(x, dtype="<i4") for x in rows["places"]], size, prior, seed=(seed, int(part[0])))
+        return pd.DataFrame({"place": np.arange(size + 1), "units": np.rint(theta * UNIT).astype(np.int64)})
+
+    dealt = texts.select(F.pmod(F.xxhash64("key", F.lit(seed)), F.lit(n_blocks)).alias("part"), "key", "places")
+    learnt = dealt.repartition(min(n_blocks, MAX_TASKS), "part").groupBy("part").applyInPandas(learn, "place int, units long")
+    mean = learnt.groupBy("place").agg((F.sum("units") / F.count(F.lit(1)) / UNIT).alias("weight")).collect()
+    theta = np.zeros(size + 1)
+    theta[[r["place"] for r in mean]] = [r["weight"] for r in mean]
+    return theta
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
-        max_positives: int = 4000, max_unlabelled: int = 12_000, prior: float | None = None, seed: int = 7) -> Model | None:
+        max_positives: int = 4000, max_words: int = 20_000, block: int = 12_000, prior: float | None = None, seed: int = 7) -> Model | None:
     """A model from the rows that are not held out; None without a positive.
 
     ``prior`` is the share of toxic texts; by default that of the labelled
     rows learned from.  Documents with several labels count as toxic if one
     says so; null ids and null labels are not learned from.  Texts are null,
-    empty or of any length: a text counts by the set of its words.  Repeated
-    rows are drawn together.  At most about ``max_positives`` and
-    ``max_unlabelled`` texts, drawn by hashes of ids, reach the driver."""
+    empty or of any length: a text counts by the set of its words.  Equal texts
+    are learned from once, and are positives if one of them is; words are
+    counted over all rows.  Labelled rows are a sample, drawn by hashes, of at
+    most ``max_positives`` toxic texts; all other texts are used."""
     seen = labels.filter(~held_out(F.col(doc_id)) & F.col(doc_id).isNotNull() & F.col(label).isNotNull())
     marked = seen.groupBy(F.col(doc_id).alias("id")).agg(F.max(label).alias("toxic"))
     n_marked, n_toxic = marked.agg(F.count(F.lit(1)), F.count_if(F.col("toxic") == 1)).first()
@@ -151,15 +194,17 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
         return None
     draw = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     few = (marked.filter(F.col("toxic") == 1).withColumn("draw", draw).filter(F.col("draw") < 1.2 * max_positives / n_toxic)
-           .orderBy("draw", "id").limit(max_positives).select("id"))
+           .orderBy("draw", "id").limit(max_positives).select("id", F.lit(True).alias("pos")))
     texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(~held_out(F.col("id")) & F.col("id").isNotNull())
-    positives = texts.join(F.broadcast(few), "id").select(_features("text").alias("f"))  # at most max_positives ids
-    share = min(1.0, max_unlabelled / max(1, docs.count()))
-    unlabelled = texts.filter(F.pmod(F.xxhash64("id", F.lit(seed + 1)), F.lit(1 << 30)) / float(1 << 30) < share).select(_features("text").alias("f"))
-    pos, unl = ([np.asarray(f, dtype=np.int64) for f in d.toPandas()["f"]] for d in (positives, unlabelled))
-    if not pos or not unl:
+    texts = texts.join(F.broadcast(few), "id", "left").select(F.coalesce("pos", F.lit(False)).alias("pos"), "text")  # at most max_positives ids
+    words = differing_words(texts, max_words)
+    listed = texts.select("pos", text_key(F.col("text")).alias("key"), _places(words, F.col("text")).alias("places"))
+    listed = stage(listed.groupBy("key", "places").agg(F.max("pos").alias("pos")), "toxicity_texts")
+    pos = [np.frombuffer(r["places"], dtype="<i4") for r in listed.filter("pos").orderBy("key", "places").limit(max_positives).collect()]
+    if not pos:
         return None
-    return train(pos, unl, min(max(prior or n_toxic / n_marked, 1e-4), 0.9), seed=seed)
+    theta = train_blocks(listed, listed.count(), pos, len(words), min(max(prior or n_toxic / n_marked, 1e-4), 0.9), block, seed)
+    return Model(words, theta[:-1], float(theta[-1]))
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
