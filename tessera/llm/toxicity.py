@@ -58,6 +58,11 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(5)) == 0, F.lit(False))
 
 
+def _known(place: dict[int, int], text: str | None) -> np.ndarray:
+    """Ascending places of the words of ``text`` that ``place`` has."""
+    return np.array(sorted(place[h] for h in place.keys() & word_hashes(text)), dtype="<i4")
+
+
 @dataclass
 class Model:
     """``words``: sorted hashes; ``weights``: one for each; ``bias``."""
@@ -67,10 +72,12 @@ class Model:
     bias: float
 
     def scores(self, texts: list[str | None]) -> np.ndarray:
-        weight = dict(zip(self.words.tolist(), self.weights.tolist()))
-        known = weight.keys()
-        logits = np.array([self.bias + sum(weight[h] for h in known & word_hashes(t)) for t in texts], dtype=np.float64)
-        return _sigmoid(logits)
+        place = dict(zip(self.words.tolist(), range(len(self.words))))
+        return self.scores_of([_known(place, t) for t in texts])
+
+    def scores_of(self, places: list[np.ndarray]) -> np.ndarray:
+        """Scores of texts given as ascending places in ``words``."""
+        return _sigmoid(np.array([self.bias + self.weights[p].sum() for p in places], dtype=np.float64))
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
@@ -118,7 +125,7 @@ def _places(words: np.ndarray, text: Column) -> Column:
     def places(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         place = dict(zip(words.tolist(), range(len(words))))
         for texts in batches:
-            yield pd.Series([np.array(sorted(place[h] for h in place.keys() & word_hashes(t)), dtype="<i4").tobytes() for t in texts], dtype=object)
+            yield pd.Series([_known(place, t).tobytes() for t in texts], dtype=object)
 
     return places(text)
 
@@ -177,8 +184,11 @@ def train_blocks(texts: DataFrame, n_texts: int, pos: list[np.ndarray], size: in
 
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", label: str = "toxic",
-        max_positives: int = 4000, max_words: int = 20_000, block: int = 12_000, prior: float | None = None, seed: int = 7) -> Model | None:
-    """A model from the rows that are not held out; None without a positive.
+        max_positives: int = 4000, max_words: int = 20_000, block: int = 12_000, prior: float | None = None,
+        seed: int = 7) -> tuple[Model, DataFrame] | None:
+    """A model from the rows that are not held out, and one row per row of
+    ``docs`` with ``id`` and the ``places`` of its text's words in the model's;
+    None without a positive.
 
     ``prior`` is the share of toxic texts; by default that of the labelled
     rows learned from.  Documents with several labels count as toxic if one
@@ -195,16 +205,16 @@ def fit(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "d
     draw = F.pmod(F.xxhash64("id", F.lit(seed)), F.lit(1 << 30)) / float(1 << 30)
     few = (marked.filter(F.col("toxic") == 1).withColumn("draw", draw).filter(F.col("draw") < 1.2 * max_positives / n_toxic)
            .orderBy("draw", "id").limit(max_positives).select("id", F.lit(True).alias("pos")))
-    texts = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).filter(~held_out(F.col("id")) & F.col("id").isNotNull())
-    texts = texts.join(F.broadcast(few), "id", "left").select(F.coalesce("pos", F.lit(False)).alias("pos"), "text")  # at most max_positives ids
-    words = differing_words(texts, max_words)
-    listed = texts.select("pos", text_key(F.col("text")).alias("key"), _places(words, F.col("text")).alias("places"))
-    listed = stage(listed.groupBy("key", "places").agg(F.max("pos").alias("pos")), "toxicity_texts")
-    pos = [np.frombuffer(r["places"], dtype="<i4") for r in listed.filter("pos").orderBy("key", "places").limit(max_positives).collect()]
+    rows = docs.select(F.col(doc_id).alias("id"), F.col(text).alias("text")).join(F.broadcast(few), "id", "left")  # at most max_positives ids
+    rows = rows.select("id", "text", F.coalesce("pos", F.lit(False)).alias("pos"), (~held_out(F.col("id")) & F.col("id").isNotNull()).alias("used"))
+    words = differing_words(rows.filter("used"), max_words)
+    listed = stage(rows.select("id", "used", "pos", text_key(F.col("text")).alias("key"), _places(words, F.col("text")).alias("places")), "toxicity_rows")
+    texts = stage(listed.filter("used").groupBy("key", "places").agg(F.max("pos").alias("pos")), "toxicity_texts")
+    pos = [np.frombuffer(r["places"], dtype="<i4") for r in texts.filter("pos").orderBy("key", "places").limit(max_positives).collect()]
     if not pos:
         return None
-    theta = train_blocks(listed, listed.count(), pos, len(words), min(max(prior or n_toxic / n_marked, 1e-4), 0.9), block, seed)
-    return Model(words, theta[:-1], float(theta[-1]))
+    theta = train_blocks(texts, texts.count(), pos, len(words), min(max(prior or n_toxic / n_marked, 1e-4), 0.9), block, seed)
+    return Model(words, theta[:-1], float(theta[-1])), listed.select("id", "places")
 
 
 def score_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_id: str = "doc_id", **options) -> DataFrame:
@@ -214,13 +224,17 @@ def score_documents(docs: DataFrame, labels: DataFrame, text: str = "text", doc_
     id is not held out; repeated rows are scored each by itself; without a
     positive label every score is 0; an empty table gives an empty table; other
     columns are left out and are never an input."""
-    model = fit(docs, labels, text, doc_id, **options)
-
-    @F.pandas_udf(T.DoubleType())
-    def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield pd.Series(model.scores(list(texts)))
-
-    value = score(F.col(text)) if model is not None else F.lit(0.0)
-    return (docs.select(F.col(doc_id).alias("doc_id"), held_out(F.col(doc_id)).alias("held_out"), value.alias("score"))
+    found = fit(docs, labels, text, doc_id, **options)
+    if found is None:
+        scored = docs.select(F.col(doc_id).alias("id"), F.lit(0.0).alias("score"))
+    else:
+        model, listed = found
+
+        @F.pandas_udf(T.DoubleType())
+        def score(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+            for places in batches:
+                yield pd.Series(model.scores_of([np.frombuffer(p, dtype="<i4") for p in places]))
+
+        scored = listed.select("id", score("places").alias("score"))
+    return (scored.select(F.col("id").alias("doc_id"), held_out(F.col("id")).alias("held_out"), "score")
             .withColumn("predicted", (F.col("score") >= 0.5).cast("int")))

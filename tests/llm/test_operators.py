@@ -480,6 +480,40 @@ def test_toxicity_of_odd_rows(spark, odd, empty):
     assert {r["score"] for r in toxicity.score_documents(odd, labels.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_learns_from_every_text(spark):
+    """Words by plain counts; weights as the mean over the blocks of all texts; scores from texts and from places."""
+    rng = random.Random(11)
+    draw = lambda bad: " ".join(rng.choice(["vile", "foul", "grim"] if bad and rng.random() < 0.5 else ["sea", "hill", "road", "lamp", "oak"]) for _ in range(8))
+    rows = [(i, draw(i % 4 == 0)) for i in range(400)] + [(3, "Sea, sea")] * 50
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 == 0)) for i in range(200)], "doc_id long, toxic int")
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    toxic = {i for i in range(0, 200, 4)}
+    hashes = [(i in toxic, toxicity.word_hashes(t)) for i, t in learnt]
+    n_pos, want = sum(p for p, _ in hashes), []
+    for w in {w for _, h in hashes for w in h}:
+        a, b = sum(p and w in h for p, h in hashes), sum(w in h for _, h in hashes)
+        share = (a + b) / (n_pos + len(hashes))
+        z = abs(a / n_pos - b / len(hashes)) / (np.sqrt(share * (1 - share) * (1 / n_pos + 1 / len(hashes))) + 1e-12)
+        want += [w] * bool(a + b >= 5 and z >= 4)
+    model, listed = toxicity.fit(docs, labels, block=100)
+    assert want and model.words.tolist() == sorted(want)
+    place = {w: i for i, w in enumerate(sorted(want))}
+    keyed = docs.distinct().select("text", F.xxhash64("text").alias("key"), F.pmod(F.xxhash64(F.xxhash64("text"), F.lit(7)), F.lit(4)).alias("part"))
+    part = {r["text"]: (r["part"], r["key"]) for r in keyed.collect()}
+    texts = sorted({t for _, t in learnt}, key=lambda t: part[t][1])
+    assert 300 < len(texts) <= 400
+    on = lambda t: np.array(sorted(place[h] for h in toxicity.word_hashes(t) if h in place), dtype="<i4")
+    bad = {t for i, t in learnt if i in toxic}
+    n_marked = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in range(200))
+    prior = sum(zlib.crc32(str(i).encode()) % 5 != 0 for i in toxic) / n_marked
+    blocks = [toxicity.train([on(t) for t in texts if t in bad], [on(t) for t in texts if part[t][0] == k], len(want), prior, seed=(7, k)) for k in range(4)]
+    assert np.allclose(np.append(model.weights, model.bias), np.mean(blocks, axis=0), atol=1e-6)
+    got = {r["doc_id"]: r["score"] for r in toxicity.score_documents(docs, labels, block=100).collect() if r["doc_id"] != 3}
+    plain = dict(zip((i for i, _ in rows), model.scores([t for _, t in rows])))
+    assert all(abs(got[i] - plain[i]) < 1e-12 for i in got) and listed.count() == len(rows)
+
+
 # ---------------------------------------------------------------- operator 5
 def test_mixing_meets_its_targets(spark):
     rng = random.Random(6)
