@@ -1,4 +1,4 @@
-"""Driver queries Q51-Q61: files written from the driver's tables and read back
+"""Driver queries Q51-Q62: files written from the driver's tables and read back
 by the library's own sources, sinks and jobs, with their DuckDB SQL.
 
 Every query writes into a folder of its own under the shared checkpoint folder.
@@ -296,6 +296,49 @@ Q61 = """
 SELECT o_orderkey AS pmid, 'an "order" } ] of ' || o_orderpriority AS title, CAST(year(o_orderdate) AS INTEGER) AS year FROM orders
 """
 
+# ---------------------------------------------------------------- Q62: the translation job, run twice
+def upper_but(marker: str):
+    """A translator that fails on every batch with a text that holds ``marker``."""
+    def translate(texts):
+        if any(marker in t for t in texts):
+            raise ValueError(f"cannot translate {marker}")
+        return [t.upper() for t in texts]
+
+    return lambda: translate
+
+
+def q62_translate_corpus(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """C15 + E5 + L11: the translation job with titles only, where those of one
+    language fail, then in full on what it wrote: titles that are there keep
+    their record, failed ones and the abstracts are translated.  Articles and
+    translation infos of both runs are read back."""
+    base = new_folder(spark, "translated")
+    arts = document_articles(spark, sf_dir)
+    told = {}
+    for run, factory, titles_only in (("first", upper_but(" in de"), True), ("second", upper_translator, False)):
+        out = os.path.join(base, run)
+        if corpus.translate_corpus(spark, arts, factory, run, out, titles_only=titles_only)["items"]:
+            arts = art.read_articles(spark, os.path.join(out, "articles"), "parquet")
+            stats = "translation_stats array<struct<kind string, successful long, failed long, total long>>"
+            info = spark.read.schema(f"titles_only_mode boolean, items long, {stats}").json(os.path.join(out, "translation_info")).first()  # one record
+            told[run] = {"items": info["items"], "failed": sum(s["failed"] for s in info["translation_stats"]), "titles_only": info["titles_only_mode"]}
+    title, text = F.col("title_spanish_translation"), F.col("abstract.spanish_translation.text")
+    return arts.select(
+        F.col("pmid").cast("long").alias("doc_id"), title["translated_title"].alias("title"), text.alias("spanish_abstract"), title["model_used"].alias("title_model"),
+        *[F.lit(told.get(run, {}).get(x)).cast(of).alias(f"{run}_{x}") for run in ("first", "second")
+          for x, of in (("items", "long"), ("failed", "long"), ("titles_only", "boolean"))])
+
+
+Q62 = """
+SELECT doc_id, upper(concat_ws(' ', 'A text from', source, 'in', lang)) AS title,
+       CASE WHEN lang IS NOT DISTINCT FROM 'es' THEN NULL ELSE 'ONE OF ' || n_chars || ' CHARACTERS. TWO! THREE?' END AS spanish_abstract,
+       CASE WHEN lang IS NOT DISTINCT FROM 'de' THEN 'second' ELSE 'first' END AS title_model,
+       (SELECT count(*) FROM documents) AS first_items, (SELECT count(*) FILTER (WHERE lang = 'de') FROM documents) AS first_failed, true AS first_titles_only,
+       (SELECT count(*) FILTER (WHERE lang = 'de') + count(*) FILTER (WHERE lang IS DISTINCT FROM 'es') FROM documents) AS second_items,
+       CAST(0 AS BIGINT) AS second_failed, false AS second_titles_only
+FROM documents
+"""
+
 #: No token of an event file is a natural cut, so a chunk of a longer file has the
 #: 60 lines and the 50 of the look-ahead.
 Q54 = """
@@ -319,9 +362,11 @@ QUERIES = {
     "q54_request_round_trip": q54_request_round_trip, "q55_translate_in_parts": q55_translate_in_parts, "q56_thesaurus_files": q56_thesaurus_files,
     "q57_compare_directories": q57_compare_directories, "q58_create_split": q58_create_split, "q59_year_folders": q59_year_folders,
     "q60_distinct_sketches": q60_distinct_sketches, "q61_article_document": q61_article_document,
+    "q62_translate_corpus": q62_translate_corpus,
 }
 ORACLES = {
     "q51_stream_reassembly": Q51, "q52_token_files": Q52, "q53_validate_directory": Q53, "q54_request_round_trip": Q54, "q55_translate_in_parts": Q55, "q56_thesaurus_files": Q56,
     "q57_compare_directories": Q57, "q58_create_split": Q58, "q59_year_folders": Q59, "q60_distinct_sketches": Q60, "q61_article_document": Q61,
+    "q62_translate_corpus": Q62,
 }
 ORACLES = {k: v.replace("_\\s]", "_" + orc.fv.WHITESPACE + "]").replace("\\s", "[" + orc.fv.WHITESPACE + "]") for k, v in ORACLES.items()}
