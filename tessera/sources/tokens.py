@@ -8,6 +8,11 @@ only and the content is pruned).
 
 from __future__ import annotations
 
+import os
+from collections.abc import Iterator
+from itertools import islice
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -22,18 +27,48 @@ def file_name(path: Column) -> Column:
     return F.regexp_extract(path, r"([^/]*)$", 1)
 
 
+def folder_names(folders: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The names of the files in and below the folders of the first column, as
+    they are met.  Like Spark, it passes over what ``_`` or ``.`` begins."""
+    def files(folder: str) -> Iterator[str]:
+        below = []
+        with os.scandir(folder) as entries:
+            for e in entries:
+                if e.name.startswith(".") or e.name.startswith("_") and "=" not in e.name or e.name.endswith("._COPYING_"):
+                    continue
+                if e.is_dir():
+                    below.append(e.path)
+                else:
+                    yield e.name
+        for f in below:
+            yield from files(f)
+
+    for batch in folders:
+        for folder in batch.column(0).to_pylist():
+            found = files(folder)
+            while some := list(islice(found, 10000)):
+                yield pa.record_batch([pa.array(some, pa.string())], names=["name"])
+
+
 def list_files(spark: SparkSession, directory: str, suffix: str | None = None) -> DataFrame:
     """Visible regular file names of a directory, optionally by suffix.
     Hidden names (``.``, ``._``) and common system files are skipped.
 
-    The names come from the source's own file index (which Spark holds on the
-    driver for any file source), so no file is opened and zero-length files,
-    for which Spark plans no input split, are listed too."""
-    reader = spark.read.format("binaryFile")
-    if suffix:
-        reader = reader.option("pathGlobFilter", f"*{suffix}")
-    paths = spark.createDataFrame([(p,) for p in reader.load(directory).inputFiles()], "path string")
-    files = paths.select(F.url_decode(F.replace(file_name(F.col("path")), F.lit("+"), F.lit("%2B"))).alias("name"))
+    A folder that all tasks see is listed by a task, which hands the names on as
+    it meets them.  For other stores they come from the source's own file index
+    (which Spark holds on the driver for any file source).  Either way no file
+    is opened and zero-length files, for which Spark plans no input split, are
+    listed too."""
+    folder = directory.removeprefix("file://") if directory.startswith("file:///") else directory.removeprefix("file:")
+    if os.path.isdir(folder) and not set("*?[]{}\\").intersection(folder + (suffix or "")):
+        files = spark.createDataFrame([(folder,)], "folder string").mapInArrow(folder_names, "name string")
+        files = files.where(F.endswith("name", F.lit(suffix or "")))
+    else:
+        reader = spark.read.format("binaryFile")
+        if suffix:
+            reader = reader.option("pathGlobFilter", f"*{suffix}")
+        paths = spark.createDataFrame([(p,) for p in reader.load(directory).inputFiles()], "path string")
+        files = paths.select(F.url_decode(F.replace(file_name(F.col("path")), F.lit("+"), F.lit("%2B"))).alias("name"))
     name = F.col("name")
     return files.where(
         ~name.startswith(".") & ~name.isin(fv.SYSTEM_FILE_NAMES)

@@ -73,3 +73,55 @@ def test_token_files_are_read_back_by_the_jobs_own_reader(spark, tmp_path):
     assert tree(out) == ["f0.nersuite", "f1.nersuite", "f2.nersuite"]
     back = tk.read_token_files(spark, out)
     assert [(r["file"], r["token"]) for r in back.orderBy("file", "ord").collect()] == [(r["file"], r["token"]) for r in toks.orderBy("file", "ord").collect()]
+
+
+def test_a_file_of_many_lines_is_the_work_of_several_tasks(spark, tmp_path, monkeypatch):
+    out, tasks = str(tmp_path / "out"), []
+    rows = spark.range(4000).select(F.when(F.col("id") < 3900, "big").otherwise(F.concat(F.lit("f"), F.col("id") % 7)).alias("file"), F.col("id").alias("ord"),
+                                    F.concat(F.lit("línea "), "id").alias("line"))
+    real = W.join_parts
+
+    def joined(session, path, hidden, overwrite):
+        with open(f"{path}/{hidden}/{W.PLAN}") as f:
+            tasks.append(W.json.loads(f.read())["split"])
+        real(session, path, hidden, overwrite)
+
+    monkeypatch.setattr(W, "join_parts", joined)
+    W.write_named_files(rows.orderBy(F.rand(3)), out)
+    assert len(tasks[0]["big"]) >= 4
+    assert sorted(os.listdir(out)) == ["big", *[f"f{i}" for i in range(7)]]
+    for name in os.listdir(out):
+        with open(f"{out}/{name}", encoding="utf-8") as f:
+            ids = [int(x.split()[1]) for x in f]
+        assert ids == (list(range(3900)) if name == "big" else [i for i in range(3900, 4000) if f"f{i % 7}" == name])
+
+
+def test_names_without_lines_are_dealt_to_several_tasks(spark, tmp_path, monkeypatch):
+    out, deals = str(tmp_path / "out"), []
+    real = W.join_parts
+
+    def joined(session, path, hidden, overwrite):
+        deals.append(len(os.listdir(f"{path}/{hidden}")) if os.path.isdir(f"{path}/{hidden}") else 0)
+        real(session, path, hidden, overwrite)
+
+    monkeypatch.setattr(W, "join_parts", joined)
+    names = spark.range(3000).select(F.format_string("n%05d", "id").alias("file"), F.lit(0).alias("ord"), F.lit(None).cast("string").alias("line"))
+    last = spark.createDataFrame([("z", i, "x") for i in range(1200)], "file string, ord int, line string")  # its parts keep the hidden folder until the end
+    W.write_named_files(names.unionByName(last), out)
+    assert len(os.listdir(out)) == 3001 and deals[0] > 4
+    with open(f"{out}/z") as f:
+        assert f.read() == "x\n" * 1200
+
+
+def test_lines_of_a_name_in_tasks_apart_are_refused(tmp_path):
+    assert W.split_names([W.Written("0-1", ["a", "b"]), W.Written("1-2", ["b"]), W.Written("2-3", ["b", "c"])]) == {"b": ["0-1", "1-2", "2-3"]}
+    assert W.split_names([W.Written("0-1", ["a", "b"]), W.Written("1-2", ["c"]), W.Written("2-3", ["b"])]) is None
+    assert W.split_names([W.Written("0-1", ["a", "b"]), W.Written("1-2", ["b", "a"])]) is None
+
+
+def test_listing_meets_nested_and_empty_files_and_no_hidden_ones(spark, tmp_path):
+    for n in ("a.x", "sub/b.x", "c d+%41.x", "_h.x", ".i.x", "_w/j.x", "k.y"):
+        (tmp_path / n).parent.mkdir(exist_ok=True)
+        (tmp_path / n).write_bytes(b"")
+    for path in (str(tmp_path), f"file:{tmp_path}", f"file://{tmp_path}"):
+        assert sorted(r["name"] for r in tk.list_files(spark, path, ".x").collect()) == ["a.x", "b.x", "c d+%41.x"]
