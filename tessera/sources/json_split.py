@@ -4,9 +4,10 @@ The text source can cut a file at any separator, so the document is read as
 pieces that each end in ``}``, in as many tasks as it has blocks.  What a piece
 means depends on what lies before it: whether it starts inside a string, and at
 which depth.  Both are running sums -- of unescaped quotes, and of brackets
-outside strings -- taken inside each block and shifted by the totals of the
-blocks before, of which there is one row a block.  With them the pieces that
-belong to one element are known, and are put together by its number.
+outside strings -- taken inside each segment of a block and shifted by the
+totals of the segments before, of which there is one row a segment.  With them
+the pieces that belong to one element are known, and are put together by its
+number.
 """
 
 from __future__ import annotations
@@ -17,26 +18,29 @@ from pyspark.sql import functions as F
 from tessera.session import reusable
 
 MARK = "\u0001"
+SEGMENT_BITS = 15  # a running sum is taken over 2 ** 15 pieces at once
 
 
 def pieces(spark: SparkSession, path: str) -> DataFrame:
-    """``file, block, place, text`` of the pieces of the documents at ``path``."""
+    """``file, block, segment, place, text`` of the pieces of the documents at
+    ``path``; a segment is some of the pieces of a block that follow each other."""
     raw = spark.read.option("lineSep", "}").text(path)
     at = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
     return reusable(raw.select(at.alias("at"), F.monotonically_increasing_id().alias("place"), F.concat("value", F.lit("}")).alias("text"))).select(
-        "at.file", "at.block", "place", "text")
+        "at.file", "at.block", F.shiftright("place", SEGMENT_BITS).alias("segment"), "place", "text")
 
 
 def running_sum(df: DataFrame, value: Column, out: str) -> DataFrame:
     """``df`` with ``out``: the sum of ``value`` over the pieces of the file
     before this one."""
     valued = df.withColumn("_value", value)
-    inside = Window.partitionBy("file", "block").orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = valued.groupBy("file", "block").agg(F.sum("_value").alias("_total"))
-    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    starts = blocks.select("file", "block", F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
+    segment = ["file", "block", "segment"]
+    inside = Window.partitionBy(*segment).orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
+    totals = valued.groupBy(*segment).agg(F.sum("_value").alias("_total"))
+    earlier = Window.partitionBy("file").orderBy("block", "segment").rowsBetween(Window.unboundedPreceding, -1)
+    starts = totals.select(*segment, F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_start"))
     placed = valued.withColumn("_inside", F.coalesce(F.sum("_value").over(inside), F.lit(0)))
-    return placed.join(starts, ["file", "block"]).withColumn(out, F.col("_start") + F.col("_inside")).drop("_value", "_inside", "_start")
+    return placed.join(F.broadcast(starts), segment).withColumn(out, F.col("_start") + F.col("_inside")).drop("_value", "_inside", "_start")
 
 
 def count_of(text: Column, characters: str) -> Column:
@@ -56,7 +60,7 @@ def array_elements(spark: SparkSession, path: str, key: str) -> DataFrame:
     skeleton = F.regexp_replace(F.regexp_replace(marked, '"[^"]*"', ""), '"[^"]*$', "")
     shaped = quoted.withColumn("skeleton", skeleton).drop("bare", "quotes")
     change = count_of(F.col("skeleton"), r"\[{") - count_of(F.col("skeleton"), r"\]}")
-    deep = running_sum(shaped, change, "depth").withColumn("after", F.col("depth") + change)
+    deep = reusable(running_sum(shaped, change, "depth").withColumn("after", F.col("depth") + change))
 
     # The array begins in a piece that is in the document's object where the key is met, all arrays before it closed.
     before = F.regexp_extract("skeleton", rf"(?s)^(.*?){MARK}\s*:\s*\[", 1)
@@ -67,11 +71,11 @@ def array_elements(spark: SparkSession, path: str, key: str) -> DataFrame:
     where = F.struct("block", "place")
     marks = deep.withColumns({"begins": begins, "closes": closes})
     starts = marks.where("begins").groupBy("file").agg(F.min(where).alias("start"))
-    ends = marks.where("closes").join(starts, "file").where(where >= F.col("start")).groupBy("file").agg(F.min(where).alias("stop"))
-    inside = marks.join(starts, "file").join(ends, "file", "left").where(
+    ends = marks.where("closes").join(F.broadcast(starts), "file").where(where >= F.col("start")).groupBy("file").agg(F.min(where).alias("stop"))
+    inside = marks.join(F.broadcast(starts), "file").join(F.broadcast(ends), "file", "left").where(
         (where >= F.col("start")) & (F.col("stop").isNull() | (where < F.col("stop"))))
     done = (F.col("after") == 2) & F.col("skeleton").endswith("}")
-    numbered = running_sum(inside.select("file", "block", "place", "skeleton", "after",
+    numbered = running_sum(inside.select("file", "block", "segment", "place", "skeleton", "after",
                                          F.when(F.col("begins"), F.regexp_extract("text", rest, 1)).otherwise(F.col("text")).alias("text")),
                            done.cast("int"), "number")
     whole = numbered.groupBy("file", "number").agg(
