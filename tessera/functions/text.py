@@ -23,7 +23,9 @@ ColumnOrName = Column | str
 # "Word" characters in the Unicode sense (letters, digits, underscore).
 # Java's \w is ASCII-only, which would split "año" into "a o".
 SPACE = f"[{fv.WHITESPACE}]"
-NON_WORD_NON_SPACE = r"[^\p{L}\p{N}_" + fv.WHITESPACE + "]"
+NON_WORD = r"[^a-z\p{L}\p{N}_]+"  # a-z, the most frequent, first; no whitespace is a word character
+#: The characters of ``fixed_values.WHITESPACE``.
+SPACES = "".join(map(chr, [*range(0x09, 0x0E), *range(0x1C, 0x21), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000]))
 HAS_LETTER, URL_PATTERN, EMAIL_PATTERN = fv.HAS_LETTER, fv.URL_PATTERN, fv.EMAIL_PATTERN
 SENTENCE_BOUNDARY = rf"(?<=[.!?]){SPACE}+"
 
@@ -43,7 +45,7 @@ def let(value: Column, body) -> Column:
 
 def strip_ws(c: ColumnOrName) -> Column:
     """Python ``str.strip()``: remove leading and trailing whitespace."""
-    return F.regexp_replace(_col(c), rf"^{SPACE}+|{SPACE}+$", "")
+    return F.btrim(_col(c), F.lit(SPACES))
 
 
 def collapse_ws(c: ColumnOrName) -> Column:
@@ -179,14 +181,13 @@ def clean_text(c: ColumnOrName, extra_cleaning: bool = False) -> Column:
     if extra_cleaning:
         s = F.regexp_replace(s, URL_PATTERN, "")
         s = F.regexp_replace(s, EMAIL_PATTERN, "")
-    s = F.regexp_replace(s, NON_WORD_NON_SPACE, " ")
-    return collapse_ws(s)
+    return F.trim(F.regexp_replace(s, NON_WORD, " "))
 
 
 def tokenize(clean: ColumnOrName) -> Column:
     """Tokens of already-cleaned text (no punctuation is left, so a
     whitespace split equals a word tokenizer here)."""
-    return F.filter(F.split(_col(clean), " "), lambda t: t != "")
+    return F.array_remove(F.split(_col(clean), " "), "")
 
 
 def filter_tokens(
