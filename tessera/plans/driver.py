@@ -234,7 +234,7 @@ def part_titles(part: DataFrame) -> DataFrame:
 
 
 def q10_clean_title(spark: SparkSession, sf_dir: str) -> DataFrame:
-    titles = part_titles(Tables(spark, sf_dir).part)
+    titles = part_titles(Tables(spark, sf_dir).dealt("part", "p_partkey", "p_name", "p_brand"))
     return titles.select("p_partkey", "variant", "title", tx.clean_title("title").alias("cleaned_title"))
 
 
