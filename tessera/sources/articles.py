@@ -106,57 +106,68 @@ keywords:array<string>, publication_info:struct<year:string, month:string>,
 identifiers:map<string,string>, all_identifiers:map<string,string>>""".replace("\n", " ")
 
 
-def _leading(element: ET.Element | None, path: str) -> str | None:
-    """Text of the first ``path`` element before its first child, if any."""
-    found = element.find(path) if element is not None else None
-    return found.text if found is not None else None
+def _first(elements: list[ET.Element]) -> ET.Element | None:
+    return elements[0] if elements else None
+
+
+def _leading(element: ET.Element | None, tag: str) -> str | None:
+    """Text of the first child ``tag`` before its own first child, if any."""
+    return element.findtext(tag) or None if element is not None else None
 
 
 def _whole(element: ET.Element) -> str:
     """All descendant text, in document order, stripped."""
-    return "".join(element.itertext()).strip()
+    return "".join(element.itertext()).strip() if len(element) else (element.text or "").strip()
 
 
 def _named(element: ET.Element) -> dict:
     return {"name": element.text, "ui": element.get("UI", ""), "major_topic": element.get("MajorTopicYN") == "Y"}
 
 
-def _identifiers(scope: ET.Element | None, path: str) -> list[tuple[str, str]]:
-    found = scope.iterfind(path) if scope is not None else ()
+def _identifiers(found: list[ET.Element]) -> list[tuple[str, str]]:
     return list({e.get("IdType"): e.text for e in found if e.get("IdType") and e.text}.items())
 
 
+#: What is looked for at any depth of a record, in one pass over it.
+LOOKED_FOR = ("PMID", "ArticleTitle", "Journal", "AuthorList", "PubDate", "Abstract", "MeshHeading", "KeywordList", "ArticleId")
+
+
 def parse_record(xml: str | None) -> dict | None:
     """B1-B8 of one record; None if it is null or not well-formed."""
     try:
         root = ET.fromstring(xml or "")
     except ET.ParseError:
         return None
-    title = root.find(".//ArticleTitle")
-    journal, authors, date = root.find(".//Journal"), root.find(".//AuthorList"), root.find(".//PubDate")
-    headings = [h for h in root.iterfind(".//MeshHeading") if h.find("DescriptorName") is not None]
+    below: dict[str, list[ET.Element]] = {tag: [] for tag in LOOKED_FOR}
+    for e in root.iter():
+        if e.tag in below and e is not root:
+            below[e.tag].append(e)
+    pmid, title = _first(below["PMID"]), _first(below["ArticleTitle"])
+    journal, authors, date = _first(below["Journal"]), _first(below["AuthorList"]), _first(below["PubDate"])
+    own = next((ids for data in root.findall("PubmedData") if (ids := data.find("ArticleIdList")) is not None), None)
     return {
-        "pmid": (_leading(root, ".//PMID") or "").strip(),
+        "pmid": ((pmid.text if pmid is not None else None) or "").strip(),
         "title": _whole(title) if title is not None else "",
         "sections": [{"label": t.get("Label", "").strip(), "content": c}
-                     for a in root.iterfind(".//Abstract") for t in a.iterfind("AbstractText") if (c := _whole(t))],
+                     for a in below["Abstract"] for t in a.findall("AbstractText") if (c := _whole(t))],
         "journal": {"title": _leading(journal, "Title"), "iso_abbreviation": _leading(journal, "ISOAbbreviation"), "issn": _leading(journal, "ISSN")},
         "authors": [{"last_name": _leading(a, "LastName"), "first_name": _leading(a, "ForeName")}
-                    for a in (authors.iterfind("Author") if authors is not None else ())
+                    for a in (authors.findall("Author") if authors is not None else ())
                     if a.find("LastName") is not None or a.find("ForeName") is not None],
-        "mesh_terms": [{"descriptor": _named(h.find("DescriptorName")), "qualifiers": [_named(q) for q in h.iterfind("QualifierName")]}
-                       for h in headings],
-        "keywords": [k.text.strip() for ks in root.iterfind(".//KeywordList") for k in ks.iterfind("Keyword") if k.text],
+        "mesh_terms": [{"descriptor": _named(d), "qualifiers": [_named(q) for q in h.findall("QualifierName")]}
+                       for h in below["MeshHeading"] if (d := h.find("DescriptorName")) is not None],
+        "keywords": [k.text.strip() for ks in below["KeywordList"] for k in ks.findall("Keyword") if k.text],
         "publication_info": {"year": (_leading(date, "Year") or "") if date is not None and date.find("Year") is not None else None,
                              "month": _leading(date, "Month")},
-        "identifiers": _identifiers(root.find("PubmedData/ArticleIdList"), "ArticleId"),
-        "all_identifiers": _identifiers(root, ".//ArticleId"),
+        "identifiers": _identifiers(own.findall("ArticleId") if own is not None else []),
+        "all_identifiers": _identifiers(below["ArticleId"]),
     }
 
 
-def parse_records(records: DataFrame) -> DataFrame:
+def parse_records(records: DataFrame, keep_text: bool = True) -> DataFrame:
     """``xml, record`` for every row of ``records`` (column ``xml``); ``record``
-    is null where the text is not well-formed."""
+    is null where the text is not well-formed.  Without ``keep_text`` the texts
+    do not come back from the parser."""
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         named = pa.struct([("name", pa.string()), ("ui", pa.string()), ("major_topic", pa.bool_())])
@@ -170,9 +181,9 @@ def parse_records(records: DataFrame) -> DataFrame:
             ("identifiers", pair), ("all_identifiers", pair)])
         for batch in batches:
             parsed = pa.array([parse_record(x) for x in batch.column(0).to_pylist()], type=kind)
-            yield pa.record_batch([batch.column(0), parsed], names=["xml", "record"])
+            yield pa.record_batch([batch.column(0), parsed] if keep_text else [parsed], names=["xml", "record"] if keep_text else ["record"])
 
-    return records.select("xml").mapInArrow(parse, f"xml string, record {RECORD_SCHEMA}")
+    return records.select("xml").mapInArrow(parse, f"{'xml string, ' if keep_text else ''}record {RECORD_SCHEMA}")
 
 
 def gate_records(records: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -204,7 +215,8 @@ def extract_articles(records: DataFrame, article_ids_only: bool = True) -> DataF
     B7: by default only the article's own ``PubmedData/ArticleIdList`` is read
     (ids of cited works would otherwise overwrite the article's own); of equal
     types the last id wins."""
-    good, _ = gate_records(records)
+    parsed = records if "record" in records.columns else parse_records(records, keep_text=False)
+    good = parsed.where(F.col("record").isNotNull())
     r = F.col("record")
     ids = r["identifiers"] if article_ids_only else r["all_identifiers"]
     a = good.select(
