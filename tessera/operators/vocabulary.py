@@ -15,12 +15,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
+import numpy as np
 import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.functions.stem import spanish_stem
-from tessera.functions.text import let
 from tessera.session import reusable
 
 MODES = ("basic", "stem", "lemmatize", "both")
@@ -64,32 +66,61 @@ def normalisation_map(vocab: DataFrame, modes: Mapping[str, str], lemma_table: D
         known = vocab.select("token", F.lit(None).cast("string").alias("lemma"))
     else:
         known = vocab.join(lemma_table.select("token", "lemma"), "token", "left")
-    token, lemma = F.col("token"), F.col("lemma")
+    token, lemma, own = F.col("token"), F.col("lemma"), F.col("_stem")
+    if stem_fn is not None or {"stem", "both"}.intersection(modes.values()):
+        # a word's own stem once for all modes and the filter below, which would each make it anew
+        known = known.withColumn("_stem", stemmed(token, stem_fn))
+        if stem_fn is None:
+            known = reusable(known)
 
     def form(mode):
         if mode == "stem":
-            return stemmed(token, stem_fn)
+            return own
         if mode == "both":
-            return stemmed(F.coalesce(lemma, token), stem_fn)
-        return F.coalesce(lemma, token if stem_fn is None else stemmed(token, stem_fn))
+            return F.when(lemma.isNull(), own).otherwise(stemmed(lemma, stem_fn))
+        return F.coalesce(lemma, token if stem_fn is None else own)
 
     forms = known.select("token", *(F.coalesce(form(mode), token).alias(name) for name, mode in modes.items()))
     changed = [F.col(name) != token for name in modes]
     return forms.where(F.array_contains(F.array(*changed), True))
 
 
-def bucketed_lookup(entries: Column, key: str):
-    """A lookup of ``entries`` (structs with a field ``key``) as a function of a
-    word.  Maps are searched from their start, so the entries of a row are dealt
-    to as many maps as each then has entries, by the word's hash."""
-    n = F.ceil(F.sqrt(F.size(entries))).cast("int")
-
-    def bucket(word):
-        return F.pmod(F.hash(word), n)
-
-    maps = F.transform(F.sequence(F.lit(0), n - 1), lambda b: F.map_from_entries(
-        F.transform(F.filter(entries, lambda e: bucket(e[key]) == b), lambda e: F.struct(e[key], e))))
-    return maps, lambda held, word: F.try_element_at(F.get(held, bucket(word)), word)
+def rows_of(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Where each list begins in the flattened array, and the row of each element."""
+    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+    return np.concatenate([[0], np.cumsum(sizes)]), np.repeat(np.arange(len(lists)), sizes)
+
+
+def replaced(tokens: Column, changes: Column, forms: list[str]) -> Column:
+    """A struct with an array per name of ``forms``: ``tokens`` in their order,
+    those with an entry in ``changes`` (structs of ``token`` and the forms)
+    replaced.  Each row looks its tokens up in its own changes, all rows of an
+    Arrow batch at once; null without changes or tokens."""
+
+    @F.arrow_udf("struct<" + ", ".join(f"{f}: array<string>" for f in forms) + ">")
+    def apply(lists: pa.Array, entries: pa.Array) -> pa.Array:
+        starts, row = rows_of(lists)
+        told = entries.flatten()
+        found = lists.flatten().cast(pa.string()).dictionary_encode()
+        n = len(found.dictionary) + 1
+        # keys of row and word; a null word has none
+        own = pc.fill_null(found.indices, n - 1).to_numpy(zero_copy_only=False).astype(np.int64) + row * n
+        changed = pc.fill_null(pc.index_in(told.field("token").cast(pa.string()), value_set=found.dictionary), n - 1).to_numpy(zero_copy_only=False)
+        keys = changed.astype(np.int64) + rows_of(entries)[1] * n
+        known = np.flatnonzero(changed < n - 1)
+        known = known[np.argsort(keys[known], kind="stable")]
+        keys = keys[known]
+        if (np.diff(keys) == 0).any():
+            raise ValueError("a token has several entries in the lemma table")
+        words, take = found.cast(pa.string()), np.arange(len(found))
+        if len(keys):
+            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+            take = np.where(keys[at] == own, len(found) + known[at], take)
+        missing = pc.or_(lists.is_null(), entries.is_null())
+        made = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.concat_arrays([words, told.field(f).cast(pa.string())]).take(pa.array(take))) for f in forms]
+        return pa.StructArray.from_arrays(made, names=forms, mask=missing)
+
+    return apply(tokens, changes)
 
 
 def normalise_modes(df: DataFrame, tokens_col: str, modes: Mapping[str, str],
@@ -121,13 +152,7 @@ def normalise_modes(df: DataFrame, tokens_col: str, modes: Mapping[str, str],
     forms = [f"_{k}" for k in range(len(wanted))]
     changes = tokens.join(mapping, "token").groupBy("_row").agg(F.collect_list(F.struct("token", *forms)).alias("_changes"))
 
-    def replaced(entries):
-        maps, find = bucketed_lookup(entries, "token")
-        return let(maps, lambda held: F.transform(tokens_col, lambda t: let(find(held, t), lambda e: F.struct(
-            *(F.coalesce(e[f], t).alias(f) for f in forms)))))
-
-    told = rows.join(changes, "_row", "left").withColumn(
-        "_forms", F.when(F.col("_changes").isNotNull(), let(F.col("_changes"), replaced)))
+    told = rows.join(changes, "_row", "left").withColumn("_forms", replaced(F.col(tokens_col), F.col("_changes"), forms))
     made = {name: F.when(F.col("_forms").isNull(), F.col(tokens_col)).otherwise(F.col(f"_forms.{f}")) for name, f in zip(wanted, forms)}
     return told.withColumns({**same, **made}).drop("_row", "_changes", "_forms")
 

@@ -142,3 +142,28 @@ def test_modes_without_a_stemmer_of_the_caller(spark, mode, want):
     assert vc.normalise_tokens(df, "tokens", "norm", lemmas, mode=mode).select(F.array_join("norm", " ")).first()[0] == want
     if mode == "both":
         assert vc.normalise_tokens(df, "tokens", "norm", mode=mode).select(F.array_join("norm", " ")).first()[0] == want
+
+
+def test_own_stems_are_made_once_for_all_modes(spark):
+    vocab = spark.createDataFrame([("torres",), ("gatos",), ("y",)], "token string")
+    lemmas = spark.createDataFrame([("gatos", "gato")], "token string, lemma string")
+    made = vc.normalisation_map(vocab, {"s": "stem", "b": "both"}, lemmas)
+    plan, one = (df._jdf.queryExecution().optimizedPlan().toString() for df in (made, vocab.select(spanish_stem("token"))))
+    assert plan.count("amente") <= 2 * one.count("amente")  # in the filter and the column: stems of lemmas only
+    assert {tuple(r) for r in made.collect()} == {("torres", "torr", "torr"), ("gatos", "gat", "gat")}
+
+
+def test_tokens_are_replaced_by_the_changes_of_their_own_row(spark):
+    rows = spark.createDataFrame([(1, ["a", "b", None, "a", "cats"]), (1, ["b", "cats", "b"]), (2, None), (None, []), (3, ["zz"]), (4, [None, "cats"])], "id int, t array<string>")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("b", "B"), ("q", "r")], "token string, lemma string")
+    out = vc.normalise_modes(rows, "t", {"l": "lemmatize", "x": "both", "y": "basic"}, lemmas)
+    got = {(r["id"], tuple(r["t"]) if r["t"] is not None else None): (r["l"], r["x"], r["y"]) for r in out.collect()}
+    assert got == {
+        (1, ("a", "b", None, "a", "cats")): (["a", "B", None, "a", "cat"], ["a", "b", None, "a", "cat"], ["a", "b", None, "a", "cats"]),
+        (1, ("b", "cats", "b")): (["B", "cat", "B"], ["b", "cat", "b"], ["b", "cats", "b"]),
+        (2, None): (None, None, None), (None, ()): ([], [], []), (3, ("zz",)): (["zz"], ["zz"], ["zz"]),
+        (4, (None, "cats")): ([None, "cat"], [None, "cat"], [None, "cats"])}
+    assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()  # no lookup word by word in lambdas
+    twice = lemmas.unionByName(spark.createDataFrame([("cats", "dog")], "token string, lemma string"))
+    with pytest.raises(Exception, match="several entries"):
+        vc.normalise_modes(rows, "t", {"l": "lemmatize"}, twice).collect()
