@@ -98,3 +98,12 @@ def test_all_identifiers_on_request(spark):
     recs = spark.createDataFrame([(record("", tail=tail),)], "xml string")
     assert articles.extract_articles(recs).first()["identifiers"] == {"doi": "b"}
     assert articles.extract_articles(recs, article_ids_only=False).first()["identifiers"] == {"doi": "c"}
+
+
+def test_texts_do_not_come_back_from_the_parser(spark):
+    recs = spark.createDataFrame([(record("<AbstractText>one two</AbstractText>"),), ("<a",), (None,)], "xml string")
+    out = articles.extract_articles(recs)
+    assert [(r["pmid"], r["abstract"]["full_text"]) for r in out.collect()] == [("1", "one two")]
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    parser = next(x for x in plan.splitlines() if "MapInArrow" in x)
+    assert "[record#" in parser
