@@ -41,9 +41,11 @@ def unit_vectors(rows: DataFrame, vec_id: str, vector: str, label: str) -> DataF
     sound = (F.col(label).isNotNull() & v.isNotNull()
              & F.coalesce(F.forall(v, lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) != float("inf"))), F.lit(False)))
     usable = F.coalesce(sound & (norm > 0) & (norm != float("inf")), F.lit(False))
+    # inside the inner lambda the norm would be made anew for every component
+    scaled = F.transform(F.array(norm), lambda n: F.transform(v, lambda x: x / n))[0]
     numbered = rows.select(F.monotonically_increasing_id().alias("row"), F.col(vec_id).alias("vec_id"),
                            F.when(usable, F.concat_ws("/", F.col(label).cast("string"), F.size(v).cast("string"))).alias("space"),
-                           F.when(usable, F.transform(v, lambda x: x / norm)).alias("v"))
+                           F.when(usable, scaled).alias("v"))
     return stage(numbered.withColumns({"h1": F.xxhash64("v"), "h2": F.xxhash64(F.lit(1), "v")}), "unit_vectors")
 
 
@@ -146,30 +148,33 @@ def shards(vectors: DataFrame, threshold: float, overlap: int, max_shard: int, f
 def _graph(degree: int, alpha: float, block: int = 256):
     """Robust-pruned neighbour lists of one shard, with their reverse links:
     pruning hangs a group of copies on the one in its middle, so the way back
-    from there must not be cut short."""
+    from there must not be cut short.  The vectors of a block are pruned side by
+    side; a shard fits a task, and so do the cosines of its vectors."""
 
     def build(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("row")
         x, ids = _stack(rows["v"]), rows["row"].to_numpy()
-        n, lists = len(x), []
+        n, sims = len(x), x @ x.T
+        m, links = min(8 * degree, n), []
         for at in range(0, n, block):
-            sims = x[at:at + block] @ x.T
-            order = np.argsort(-sims, axis=1, kind="stable")[:, :8 * degree]
-            for i, (s, o) in enumerate(zip(sims, order)):
-                o = o[o != at + i]
-                gap, kept = 1 - s[o], []
-                while len(o) and len(kept) < degree:
-                    kept.append(o[0])
-                    far = alpha * (1 - x[o] @ x[o[0]]) > gap  # not clearly nearer to the kept one
-                    far[0] = False
-                    o, gap = o[far], gap[far]
-                lists.append(kept)
-        back: list[list[int]] = [[] for _ in range(n)]
-        for i, kept in enumerate(lists):
-            for j in kept:
-                back[j].append(i)
-        near = [sorted({*a, *b}) for a, b in zip(lists, back)]
-        return pd.DataFrame({"row": ids, "shard": rows["shard"].to_numpy(), "near": [ids[a].tolist() for a in near]})
+            s = sims[at:at + block]
+            own = np.arange(at, at + len(s))
+            o = np.argpartition(-s, m - 1, axis=1)[:, :m]
+            o = np.take_along_axis(o, np.argsort(-np.take_along_axis(s, o, axis=1), axis=1, kind="stable"), axis=1)
+            gap, left = 1 - np.take_along_axis(s, o, axis=1), o != own[:, None]
+            for _ in range(degree):
+                who = np.flatnonzero(left.any(axis=1))
+                if not len(who):
+                    break
+                nth = left[who].argmax(axis=1)  # the nearest that is left
+                kept = o[who, nth]
+                links.append(own[who] * n + kept)
+                left[who] &= alpha * (1 - sims[kept[:, None], o[who]]) > gap[who]  # not clearly nearer to the kept one
+                left[who, nth] = False
+        links = np.concatenate([*links, np.zeros(0, dtype=np.int64)])
+        links = np.unique(np.concatenate([links, links % n * n + links // n]))
+        near = np.split(ids[links % n], np.searchsorted(links, np.arange(1, n) * n))
+        return pd.DataFrame({"row": ids, "shard": rows["shard"].to_numpy(), "near": near})
 
     return build
 
@@ -180,18 +185,36 @@ class _Joined:
     def __init__(self, n: int):
         self.root = np.arange(n)
 
-    def join(self, members: np.ndarray) -> None:
-        roots = np.unique(self.root[members])
-        if len(roots) > 1:
-            self.root[np.isin(self.root, roots)] = roots[0]
+    def join(self, a: np.ndarray, b: np.ndarray) -> None:
+        """Joins each of ``a`` with its one of ``b``: of two roots the larger
+        hangs on the smaller, until no pair has two."""
+        while (apart := (a := self.root[a]) != (b := self.root[b])).any():
+            a, b = a[apart], b[apart]
+            np.minimum.at(self.root, np.maximum(a, b), np.minimum(a, b))
+            while (self.root != (up := self.root[self.root])).any():
+                self.root = up
+
+
+class _Found:
+    """Links found by the vectors of a shard: counts, copies of a vector and
+    once for all of them, and what they join."""
 
+    def __init__(self, ids: np.ndarray, m: np.ndarray):
+        self.ids, self.m, self.joined = ids, m, _Joined(len(ids))
+        self.n_links, self.n_near = np.zeros(len(ids), dtype=np.int64), np.zeros(len(ids), dtype=np.int64)
 
-def _result(ids: np.ndarray, counts: dict[int, tuple[int, int]], joined: _Joined) -> pd.DataFrame:
-    moved = np.flatnonzero(joined.root != np.arange(len(ids)))
-    who = [*counts, *moved]
-    told = np.array([*counts.values(), *[(0, 0)] * len(moved)], dtype=np.int64).reshape(-1, 2)
-    return pd.DataFrame({"row": ids[np.array(who, dtype=int)] if who else np.zeros(0, dtype=np.int64), "n_links": told[:, 0], "n_near": told[:, 1],
-                         "other": pd.array([*[None] * len(counts), *ids[joined.root[moved]]], dtype="Int64")})
+    def add(self, q: np.ndarray, found: np.ndarray) -> None:
+        np.add.at(self.n_links, q, self.m[found])
+        np.add.at(self.n_near, q, 1)
+        self.joined.join(q, found)
+
+    def result(self) -> pd.DataFrame:
+        linked, root = np.flatnonzero(self.n_near), self.joined.root
+        moved = np.flatnonzero(root != np.arange(len(root)))
+        none = np.zeros(len(moved), dtype=np.int64)
+        return pd.DataFrame({"row": self.ids[np.concatenate([linked, moved])], "n_links": np.concatenate([self.n_links[linked], none]),
+                             "n_near": np.concatenate([self.n_near[linked], none]),
+                             "other": pd.array([*[None] * len(linked), *self.ids[root[moved]]], dtype="Int64")})
 
 
 class _Elsewhere:
@@ -199,15 +222,21 @@ class _Elsewhere:
     links count there.  ``homes`` has the shards of every vector."""
 
     def __init__(self, shard: int, homes: pd.Series):
-        self.earlier = [[h for h in mine if h < shard] for mine in homes]
-        self.members: dict[int, list[int]] = {}
-        for i, mine in enumerate(self.earlier):
-            for h in mine:
-                self.members.setdefault(h, []).append(i)
+        earlier = [[h for h in mine if h < shard] for mine in homes]
+        self.earlier = np.zeros((len(earlier), max(map(len, earlier), default=0)), dtype=np.int64)
+        self.there = np.zeros(self.earlier.shape, dtype=bool)
+        for i, mine in enumerate(earlier):
+            self.earlier[i, :len(mine)], self.there[i, :len(mine)] = mine, True
+
+    def shared(self, q: np.ndarray | int, found: np.ndarray) -> np.ndarray:
+        """Whether each of ``found`` shares one with ``q``, its own or one for all."""
+        out = np.zeros(len(found), dtype=bool)
+        for h, there in zip(self.earlier[q].T[..., None], self.there[q].T[..., None]):
+            out |= ((self.earlier[found] == h) & self.there[found] & there).any(axis=1)
+        return out
 
     def without(self, q: int, found: np.ndarray) -> np.ndarray:
-        gone = [i for h in self.earlier[q] for i in self.members[h]]
-        return found[~np.isin(found, gone)] if gone else found
+        return found[~self.shared(q, found)]
 
 
 def medoids(x: np.ndarray, k: int = 8) -> np.ndarray:
@@ -223,45 +252,73 @@ def medoids(x: np.ndarray, k: int = 8) -> np.ndarray:
     return np.unique((x @ sums.T).argmax(axis=0))
 
 
-def _search(threshold: float, beam: int, slack: float):
+class _Walk:
+    """A block of searches of the graph of one shard, side by side: what each has
+    seen, with its cosine (-2: not seen), and from where it has gone on."""
+
+    def __init__(self, x: np.ndarray, starts: np.ndarray, near: np.ndarray, q: np.ndarray, first: np.ndarray):
+        self.x, self.starts, self.near, self.q = x, starts, near, q
+        self.sims, self.done = np.full((len(q), len(x)), -2.0), np.zeros((len(q), len(x)), dtype=bool)
+        self.mark = np.zeros(len(q) * len(x), dtype=np.int64)
+        self.sims[:, first] = x[q] @ x[first].T
+
+    def go(self, who: np.ndarray, node: np.ndarray) -> None:
+        """From ``node``, each of the search ``who``, to its neighbours."""
+        self.done[who, node] = True
+        size = self.starts[node + 1] - self.starts[node]
+        place = np.arange(size.sum()) + np.repeat(self.starts[node] - np.cumsum(size) + size, size)
+        who, new = np.repeat(who, size), self.near[place]
+        fresh = self.sims[who, new] == -2.0
+        who, new = who[fresh], new[fresh]
+        key, nth = who * len(self.x) + new, np.arange(len(who))
+        self.mark[key] = nth
+        once = self.mark[key] == nth
+        who, new = who[once], new[once]
+        self.sims[who, new] = np.einsum("ij,ij->i", self.x[self.q[who]], self.x[new])
+
+    def greedy(self, beam: int, width: int) -> None:
+        """On from the ``width`` nearest that are left of the ``beam`` nearest seen, until none is."""
+        live, beam = np.arange(len(self.q)), min(beam, len(self.x))
+        while len(live):
+            best = np.argpartition(-self.sims[live], beam - 1, axis=1)[:, :beam]
+            sims = self.sims[live[:, None], best]
+            sims[self.done[live[:, None], best]] = -2.0
+            nth = np.argsort(-sims, axis=1)[:, :width]
+            who, col = np.nonzero(np.take_along_axis(sims, nth, axis=1) > -2.0)
+            self.go(live[who], best[who, nth[who, col]])
+            live = live[np.unique(who)]
+
+    def expand(self, least: float) -> None:
+        """On from all with a cosine of ``least`` or more, until none is left."""
+        while len((todo := np.nonzero((self.sims >= least) & ~self.done))[0]):
+            self.go(*todo)
+
+
+def _search(threshold: float, beam: int, slack: float, block: int = 64, width: int = 4):
     """Range-expanding greedy search of the vectors of one shard."""
 
     def search(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("row")
         x, ids = _stack(rows["v"]), rows["row"].to_numpy()
-        place = {r: i for i, r in enumerate(ids.tolist())}
-        near = [np.array([place[r] for r in a if r in place], dtype=int) for a in rows["near"]]
-        first, counts, joined = medoids(x), {}, _Joined(len(x))
-        m, elsewhere = rows["m"].to_numpy(), _Elsewhere(rows["id"].iloc[0], rows["homes"])
-        for q in range(len(x)):
-            sims = np.full(len(x), -2.0)
-            sims[first] = x[first] @ x[q]
-            seen, done = first, np.zeros(len(x), dtype=bool)
-            while True:
-                best = seen if len(seen) <= beam else seen[np.argpartition(-sims[seen], beam - 1)[:beam]]
-                todo = best[~done[best]]
-                if not len(todo):
-                    break
-                go = todo[sims[todo].argmax()]
-                done[go] = True
-                new = near[go][sims[near[go]] == -2.0]
-                sims[new] = x[new] @ x[q]
-                seen = np.concatenate([seen, new])
-            if sims[q] == -2.0:  # the vector is in its own range
-                sims[q] = 1.0
-                seen = np.append(seen, q)
-            while len(todo := seen[(sims[seen] >= threshold - slack) & ~done[seen]]):
-                done[todo] = True
-                new = np.unique(np.concatenate([near[i] for i in todo]))
-                new = new[sims[new] == -2.0]
-                sims[new] = x[new] @ x[q]
-                seen = np.concatenate([seen, new])
-            found = seen[sims[seen] >= threshold]
-            found = elsewhere.without(q, found[found != q])
-            if len(found):
-                counts[q] = int(m[found].sum()), len(found)
-                joined.join(np.append(found, q))
-        return _result(ids, counts, joined)
+        # the lists name rows; those of other shards fall away
+        told, row = np.concatenate([*rows["near"], np.zeros(0, dtype=np.int64)]).astype(np.int64), np.repeat(np.arange(len(x)), rows["near"].map(len))
+        near = np.minimum(np.searchsorted(ids, told), len(x) - 1)
+        here = ids[near] == told
+        starts, near = np.searchsorted(row[here], np.arange(len(x) + 1)), near[here]
+        first, found, elsewhere = medoids(x), _Found(ids, rows["m"].to_numpy()), _Elsewhere(rows["id"].iloc[0], rows["homes"])
+        for at in range(0, len(x), block):
+            walk = _Walk(x, starts, near, np.arange(at, min(at + block, len(x))), first)
+            walk.greedy(beam, width)
+            own = walk.sims[np.arange(len(walk.q)), walk.q]
+            walk.sims[np.arange(len(walk.q)), walk.q] = np.where(own == -2.0, 1.0, own)  # the vector is in its own range
+            walk.expand(threshold - slack)
+            who, other = np.nonzero(walk.sims >= threshold)
+            q = walk.q[who]
+            links = q != other
+            q, other = q[links], other[links]
+            links = ~elsewhere.shared(q, other)
+            found.add(q[links], other[links])
+        return found.result()
 
     return search
 
@@ -271,19 +328,17 @@ def _compare(threshold: float, chunk: int = 256):
 
     def compare(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("row")
-        x, ids, m, own = _stack(rows["v"]), rows["row"].to_numpy(), rows["m"].to_numpy(), rows["own"].to_numpy()
-        counts, joined, elsewhere = {}, _Joined(len(x)), _Elsewhere(rows["id"].iloc[0], rows["homes"])
+        x, own = _stack(rows["v"]), rows["own"].to_numpy()
+        found, elsewhere = _Found(rows["row"].to_numpy(), rows["m"].to_numpy()), _Elsewhere(rows["id"].iloc[0], rows["homes"])
         two = len(np.unique(own)) == 2
         for at in range(0, len(x), chunk):
-            near = x[at:at + chunk] @ x.T >= threshold
-            for q in range(at, min(at + chunk, len(x))):
-                found = np.flatnonzero(near[q - at])
-                found = found[own[found] != own[q]] if two else found[found != q]
-                found = elsewhere.without(q, found)
-                if len(found):
-                    counts[q] = int(m[found].sum()), len(found)
-                    joined.join(np.append(found, q))
-        return _result(ids, counts, joined)
+            q, other = np.nonzero(x[at:at + chunk] @ x.T >= threshold)
+            q += at
+            links = own[other] != own[q] if two else other != q
+            q, other = q[links], other[links]
+            links = ~elsewhere.shared(q, other)
+            found.add(q[links], other[links])
+        return found.result()
 
     return compare
 

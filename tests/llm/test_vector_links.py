@@ -74,3 +74,43 @@ def test_a_link_of_several_shards_counts_once():
     later = G._Elsewhere(9, homes)
     assert later.without(0, np.array([1, 2, 3])).tolist() == [2] and later.without(2, np.array([0, 1, 3])).tolist() == [0, 1, 3]
     assert G._Elsewhere(5, homes).without(0, np.array([1, 3])).tolist() == [1, 3]
+
+
+def test_vectors_of_a_shard_are_searched_side_by_side():
+    import sys
+
+    import pandas as pd
+
+    x = unit(mixed(pairs=150, group=100, single=200).astype(np.float64))
+    n, calls = len(x), 0
+    rows = pd.DataFrame({"row": np.arange(n) * 3, "shard": "a", "m": 1, "v": list(x)})
+
+    def count(frame, event, arg):
+        nonlocal calls
+        calls += event == "c_call"
+
+    sys.setprofile(count)
+    try:
+        lists = G._graph(24, 1.2)(rows)
+        rows = rows.merge(lists[["row", "near"]], on="row").assign(id=5, homes=[[5]] * n)
+        rows["near"] = [np.append(a, 10 ** 9) for a in rows["near"]]  # a row of another shard
+        found = G._search(G.THRESHOLD, 24, 0.1)(rows)
+    finally:
+        sys.setprofile(None)
+    assert calls < 60 * n  # vector by vector some 350 for each
+    of = found[found["other"].isna()].set_index("row")["n_near"].reindex(rows["row"]).fillna(0).to_numpy()
+    assert (of == truth(x)).all()
+    assert sorted(found["other"].dropna().unique()) == sorted({0, *range(3, 450, 3), 900}) and found["other"].notna().sum() == 150 + 99
+
+
+def test_the_length_of_a_vector_is_not_made_for_every_component(spark):
+    df = spark.createDataFrame([(1, [3.0, 4.0], 1), (2, [0.0, 0.0], 1), (3, None, 1), (4, [1.0, float("nan")], 1)], SCHEMA)
+    seen = []
+    stage, G.stage = G.stage, lambda d, name: (seen.append(d), stage(d, name))[1]
+    try:
+        got = {r["vec_id"]: r["v"] for r in G.unit_vectors(df, "vec_id", "embedding", "label").collect()}
+    finally:
+        G.stage = stage
+    assert got == {1: [0.6, 0.8], 2: None, 3: None, 4: None}
+    plan = seen[0]._jdf.queryExecution().optimizedPlan().toString()
+    assert "/ lambda" in plan and "/ SQRT(" not in plan
