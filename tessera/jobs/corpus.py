@@ -212,20 +212,25 @@ def translate_corpus(spark: SparkSession, articles: DataFrame, factory: Callable
 
 
 # ---------------------------------------------------------------- 3.4 token files
+def report_directory(toks: DataFrame, report_dir: str) -> DataFrame:
+    """G1 -> D17-D20 -> L6 of token rows with ``prev``; returns the verdicts per
+    file.  Each of the report's outputs reads errors and verdicts made once."""
+    errs = reusable(bio.validate_tokens(toks))
+    verdicts = reusable(bio.file_verdicts(toks, errs))
+    writers.write_validation_report(verdicts, errs, report_dir)
+    return verdicts
+
+
 def validate_directory(spark: SparkSession, token_dir: str, report_dir: str, fix_dir: str | None = None) -> DataFrame:
     """A6 -> G1 -> D17-D20 -> L6; with ``fix_dir``, K13 repairs are
     written as new files and validated again.  Returns the D20 summary."""
     toks = reusable(tk.read_token_files(spark, token_dir, layout="auto"))
-    errs = bio.validate_tokens(toks)
-    verdicts = bio.file_verdicts(toks, errs)
-    writers.write_validation_report(verdicts, errs, report_dir)
+    verdicts = report_directory(toks, report_dir)
     if fix_dir is not None:
-        fixed = bio.repair_labels(toks, errs)
+        fixed = bio.repair_labels(toks)
         writers.write_token_files(fixed, fix_dir, label_col="fixed_label")
         re_toks = fixed.select("file", "ord", "token", F.col("fixed_label").alias("label"))
-        re_errs = bio.validate_tokens(re_toks)
-        writers.write_validation_report(bio.file_verdicts(re_toks, re_errs), re_errs,
-                                        os.path.join(report_dir, "after_fix"))
+        report_directory(reusable(bio.with_previous_label(re_toks)), os.path.join(report_dir, "after_fix"))
     return bio.validation_summary(verdicts)
 
 

@@ -20,7 +20,7 @@ from tessera.operators import quality as ql
 from tessera.operators import requests as rq
 from tessera.plans import mappings as mp
 from tessera.plans import oracle as orc
-from tessera.session import ensure_checkpoint_dir
+from tessera.session import ensure_checkpoint_dir, reusable
 from tessera.sinks import writers as wr
 from tessera.sinks.files import write_named_files
 from tessera.sources import articles as art
@@ -107,7 +107,7 @@ def q53_validate_directory(spark: SparkSession, sf_dir: str) -> DataFrame:
     told = spark.read.schema("file string, total_lines long, total_errors long, is_valid boolean, errors array<struct<line:int,type:string>>").json(
         os.path.join(base, "report", "files"))
     fixed = tk.read_token_files(spark, os.path.join(base, "fixed"))
-    clean = bio.repair_until_clean(fixed)
+    clean = reusable(bio.repair_until_clean(fixed))
     left = bio.validate_tokens(clean).groupBy("file").agg(F.count(F.lit(1)).alias("left"))
     lines = clean.groupBy("file").agg(F.count(F.lit(1)).alias("fixed_lines"), F.count_if(F.col("label") == "O").alias("fixed_outside"))
     return told.join(lines, "file").join(left, "file", "left").select(

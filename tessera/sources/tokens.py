@@ -21,6 +21,7 @@ from tessera.functions import text as tx
 from tessera.operators.ordered import positions
 
 LINE_BREAK = r"\r\n|\r|\n"
+TASKS_PER_CORE = 4
 
 
 def file_name(path: Column) -> Column:
@@ -118,8 +119,13 @@ def token_array(text: Column, layout: str = "auto") -> Column:
 
 def read_token_arrays(spark: SparkSession, directory: str, layout: str = "auto", suffix: str = fv.TOKEN_FILE_SUFFIX) -> DataFrame:
     """A7 + A10: ``(file, tokens)``, one row per admitted file (a file arrives
-    as one row, so its lines never leave it)."""
+    as one row, so its lines never leave it).
+
+    Spark counts a file as 4 MB at least, so a folder of small files would be a
+    task per 32 of them, and again in whatever is done with them.  They are read
+    by a few tasks per core, or as many as a shuffle has, one file after the other."""
     raw = spark.read.format("binaryFile").option("pathGlobFilter", f"*{suffix}").load(directory)
+    raw = raw.coalesce(max(int(spark.conf.get("spark.sql.shuffle.partitions")), TASKS_PER_CORE * spark.sparkContext.defaultParallelism))
     name = file_name(F.col("path"))
     ok = raw.where(admitted(name, F.col("length"), F.substring(F.col("content"), 1, 50), suffix))
     return ok.select(name.alias("file"), token_array(decode_text(F.col("content")), layout).alias("tokens"))

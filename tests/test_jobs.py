@@ -94,3 +94,48 @@ def test_collect_corpus(spark, tmp_path):
     stats = spark.read.json(os.path.join(out, "statistics")).first()
     assert stats["total_articles"] == 0
     assert spark.read.parquet(os.path.join(out, "articles")).count() == 0
+
+
+def test_validation_makes_the_errors_of_a_report_once(spark, tmp_path, monkeypatch):
+    from tessera.operators import bio
+    from tessera.sinks import writers
+
+    tok = tmp_path / "tok"
+    tok.mkdir()
+    for i in range(200):
+        (tok / f"d{i}.nersuite").write_text(f"I-a\t0\t0\tx\nX\t0\t0\ty\nI-b\t0\t0\tz{i}\nB-\t0\t0\t.\n")
+    plans, parts, write = [], [], writers.write_validation_report
+
+    def told(verdicts, errors, out_dir):
+        plans.extend(d._jdf.queryExecution().optimizedPlan().toString() for d in (verdicts, errors))
+        parts.append(errors.rdd.getNumPartitions())
+        write(verdicts, errors, out_dir)
+
+    monkeypatch.setattr(writers, "write_validation_report", told)
+    summary = corpus.validate_directory(spark, str(tok), str(tmp_path / "report"), str(tmp_path / "fixed")).first()
+    assert tuple(summary) == (200, 600, 200)
+    assert len(plans) == 4 and not any(node in p for p in plans for node in ("Window", "Generate", "Aggregate"))
+    assert max(parts) <= 16
+    files = {r["file"]: r for r in spark.read.json(str(tmp_path / "report" / "files")).collect()}
+    assert len(files) == 200 and [(e["line"], e["type"]) for e in files["d7.nersuite"]["errors"]] == [
+        (1, "ORPHAN_I_TAG"), (2, "INVALID_LABEL_FORMAT"), (4, "EMPTY_ENTITY_TYPE")]
+    again = {r["file"]: (r["total_lines"], r["total_errors"]) for r in spark.read.json(str(tmp_path / "report" / "after_fix" / "files")).collect()}
+    assert set(again.values()) == {(4, 1)}  # the line after the one that had no BIO label
+    assert (tmp_path / "fixed" / "d7.nersuite").read_text().splitlines() == ["x\tB-a", "y\tO", "z7\tI-b", ".\tO"]
+    assert bio.validate_tokens(bio.repair_until_clean(tokens_of(spark, tmp_path / "fixed"))).count() == 0
+
+
+def tokens_of(spark, folder):
+    from tessera.sources import tokens as tk
+
+    return tk.read_token_files(spark, str(folder))
+
+
+def test_small_token_files_share_tasks(spark, tmp_path):
+    from tessera.sources import tokens as tk
+
+    for i in range(700):  # 32 of them to a task by their least size
+        (tmp_path / f"d{i}.nersuite").write_text(f"B-a\t0\t0\tx{i}\n")
+    read = tk.read_token_files(spark, str(tmp_path))
+    assert read.rdd.getNumPartitions() <= max(8, 4 * spark.sparkContext.defaultParallelism) < 700 / 32
+    assert read.count() == 700 and read.select("file").distinct().count() == 700
