@@ -26,6 +26,8 @@ from tessera.functions.stem import spanish_stem
 from tessera.session import reusable
 
 MODES = ("basic", "stem", "lemmatize", "both")
+#: Words of a map of changed words that go to every task whole; a larger map meets the tokens in a shuffle.
+MAP_BROADCAST = 200_000
 
 
 def explode_tokens(df: DataFrame, id_col: str, tokens_col: str) -> DataFrame:
@@ -94,30 +96,27 @@ def rows_of(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 def replaced(tokens: Column, changes: Column, forms: list[str]) -> Column:
     """A struct with an array per name of ``forms``: ``tokens`` in their order,
     those with an entry in ``changes`` (structs of ``token`` and the forms)
-    replaced.  Each row looks its tokens up in its own changes, all rows of an
-    Arrow batch at once; null without changes or tokens."""
+    replaced.  A token has the same forms in all rows, so the rows of an Arrow
+    batch look each distinct word up once; null without changes or tokens."""
 
     @F.arrow_udf("struct<" + ", ".join(f"{f}: array<string>" for f in forms) + ">")
     def apply(lists: pa.Array, entries: pa.Array) -> pa.Array:
-        starts, row = rows_of(lists)
+        starts, _ = rows_of(lists)
         told = entries.flatten()
         found = lists.flatten().cast(pa.string()).dictionary_encode()
         n = len(found.dictionary) + 1
-        # keys of row and word; a null word has none
-        own = pc.fill_null(found.indices, n - 1).to_numpy(zero_copy_only=False).astype(np.int64) + row * n
+        # places of words; a null word has the one after them
+        own = pc.fill_null(found.indices, n - 1).to_numpy(zero_copy_only=False)
         changed = pc.fill_null(pc.index_in(told.field("token").cast(pa.string()), value_set=found.dictionary), n - 1).to_numpy(zero_copy_only=False)
-        keys = changed.astype(np.int64) + rows_of(entries)[1] * n
         known = np.flatnonzero(changed < n - 1)
-        known = known[np.argsort(keys[known], kind="stable")]
-        keys = keys[known]
+        keys = np.sort(changed[known].astype(np.int64) + rows_of(entries)[1][known] * n)
         if (np.diff(keys) == 0).any():
             raise ValueError("a token has several entries in the lemma table")
-        words, take = found.cast(pa.string()), np.arange(len(found))
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
-            take = np.where(keys[at] == own, len(found) + known[at], take)
+        place = np.arange(n)
+        place[changed[known]] = n + known
+        words, take = pa.concat_arrays([found.dictionary.cast(pa.string()), pa.nulls(1, pa.string())]), pa.array(place[own])
         missing = pc.or_(lists.is_null(), entries.is_null())
-        made = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.concat_arrays([words, told.field(f).cast(pa.string())]).take(pa.array(take))) for f in forms]
+        made = [pa.ListArray.from_arrays(pa.array(starts, pa.int32()), pa.concat_arrays([words, told.field(f).cast(pa.string())]).take(take)) for f in forms]
         return pa.StructArray.from_arrays(made, names=forms, mask=missing)
 
     return apply(tokens, changes)
@@ -148,7 +147,10 @@ def normalise_modes(df: DataFrame, tokens_col: str, modes: Mapping[str, str],
     tokens = rows.select("_row", F.explode(F.array_distinct(tokens_col)).alias("token"))
     vocab = reusable(tokens.select("token").distinct())
     lemmas = lemma_table(vocab) if callable(lemma_table) else lemma_table
-    mapping = normalisation_map(vocab, {f"_{k}": mode for k, mode in enumerate(wanted.values())}, lemmas, stem_fn)
+    mapping = reusable(normalisation_map(vocab, {f"_{k}": mode for k, mode in enumerate(wanted.values())}, lemmas, stem_fn))
+    # an exploded column counts as one token a row, so the planner would take the token stream for the small side
+    few = mapping.limit(MAP_BROADCAST + 1).count() <= MAP_BROADCAST
+    mapping = F.broadcast(mapping) if few else mapping.hint("merge")
     forms = [f"_{k}" for k in range(len(wanted))]
     changes = tokens.join(mapping, "token").groupBy("_row").agg(F.collect_list(F.struct("token", *forms)).alias("_changes"))
 

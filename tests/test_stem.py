@@ -167,3 +167,16 @@ def test_tokens_are_replaced_by_the_changes_of_their_own_row(spark):
     twice = lemmas.unionByName(spark.createDataFrame([("cats", "dog")], "token string, lemma string"))
     with pytest.raises(Exception, match="several entries"):
         vc.normalise_modes(rows, "t", {"l": "lemmatize"}, twice).collect()
+
+
+@pytest.mark.parametrize("words", [200_000, 0])
+def test_the_token_stream_is_not_the_side_that_every_task_gets(spark, monkeypatch, words):
+    monkeypatch.setattr(vc, "MAP_BROADCAST", words)
+    rows = spark.createDataFrame([(i, ["cats", f"w{i}", "b", "cats", None]) for i in range(50)], "id int, t array<string>")
+    lemmas = spark.createDataFrame([("cats", "cat"), ("w7", "seven")], "token string, lemma string")
+    out = vc.normalise_tokens(rows, "t", "n", lemmas)
+    plan = out._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Generate explode") == 1
+    hit = [x for x in plan.splitlines() if "Join [token" in x]
+    assert hit and all("BroadcastHashJoin" in x and "BuildRight" in x if words else "SortMergeJoin" in x for x in hit)
+    assert {r["id"]: r["n"] for r in out.collect()} == {i: ["cat", "seven" if i == 7 else f"w{i}", "b", "cat", None] for i in range(50)}
